@@ -1,0 +1,7 @@
+"""Streaming.
+
+The original declares streaming dependencies and a message-topic setting but
+has no streaming code: no source, window, watermark or state. There is
+therefore nothing to reproduce here; every job in this package is a batch
+DataFrame plan. (Kept as a package so the layout is uniform.)
+"""
