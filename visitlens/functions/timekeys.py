@@ -43,8 +43,16 @@ def after(time1: Column, time2: Column) -> Column:
 
 def date_hour(text: Column) -> Column:
     """``getDateHour``: ``yyyy-MM-dd_H`` by text split; the hour is kept as written."""
-    parts = F.split(text, " ", -1)
-    return F.concat(F.element_at(parts, 1), F.lit("_"), F.element_at(F.split(F.element_at(parts, 2), ":", -1), 1))
+    return F.concat(_part(text, " ", 1), F.lit("_"), hour_text(text))
+
+
+def hour_text(text: Column) -> Column:
+    """The hour digits of ``yyyy-MM-dd H:mm:ss`` exactly as written."""
+    return _part(_part(text, " ", 2), ":", 1)
+
+
+def _part(text: Column, sep: str, index: int) -> Column:
+    return F.try_element_at(F.split(text, sep, -1), F.lit(index))
 
 
 def fulfill(text: Column) -> Column:

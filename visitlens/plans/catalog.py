@@ -12,9 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.params import TaskParams
+from ..operators.funnel import one_step_convert_rate
+from ..operators.kvrecord import record_roundtrip
 from ..operators.products import click_share_by_user, product_status
 from ..operators.sessions import aggregate_sessions, scan_actions
 from ..operators.stats import bucket_counts, histogram
+from ..operators.timeline import action_time_keys
+from ..operators.topn import category_counts_by_session, top_categories, top_sessions
 from ..sources import fixtures
 from . import params_catalog as P
 from .by_task import session_aggr_stat_by_task
@@ -89,6 +93,37 @@ def product_status_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return product_status(fixtures.product_info(spark, sf_dir))
 
 
+def action_time_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return action_time_keys(_actions(spark, sf_dir))
+
+
+def kv_record_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return record_roundtrip(session_user_join(spark, sf_dir))
+
+
+def _category_counts(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
+    """(session, category) counts over the actions of the sessions that pass the task."""
+    actions = _actions(spark, sf_dir, params)
+    kept = sessions_for_task(actions, _users(spark, sf_dir), params).select("session_id")
+    scanned = scan_actions(actions, params.start_date, params.end_date)
+    return category_counts_by_session(scanned).join(kept, "session_id", "left_semi")
+
+
+def top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_categories(_category_counts(spark, sf_dir, P.FLAGSHIP), P.TASK_ID)
+
+
+def top10_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = _category_counts(spark, sf_dir, P.FLAGSHIP)
+    return top_sessions(per, top_categories(per, P.TASK_ID), P.TASK_ID)
+
+
+def page_one_step_convert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = P.TOP_PAGE_FLOW
+    scanned = scan_actions(_actions(spark, sf_dir, p), p.start_date, p.end_date)
+    return one_step_convert_rate(spark, scanned, p.page_flow())
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "session_aggr_stat": _stat(P.FLAGSHIP),
@@ -102,6 +137,11 @@ def queries() -> dict[str, Query]:
         "session_aggr_stat_by_task": by_task,
         "ratio_half_up": ratio_half_up,
         "product_status": product_status_query,
+        "action_time_keys": action_time_keys_query,
+        "kv_record_roundtrip": kv_record_roundtrip,
+        "top10_category": top10_category,
+        "top10_session": top10_session,
+        "page_one_step_convert_rate": page_one_step_convert_rate,
     }
     for name, params in P.FILTERS.items():
         out[f"session_filter_{name}"] = _session_filter(params)

@@ -245,6 +245,139 @@ SELECT product_id, product_name, CAST(json_extract_string(extend_info, '$.produc
 FROM pi"""
 
 
+def action_time_keys_sql() -> str:
+    return f"""WITH {ACTIONS_CTE},
+a AS (SELECT session_id, action_time, {PARSED_TIME} AS t FROM uva),
+d AS (
+  SELECT session_id, t,
+         lag(t) OVER (PARTITION BY session_id ORDER BY t) AS prev_t,
+         min(t) OVER (PARTITION BY session_id) AS first_t,
+         max(t) OVER (PARTITION BY session_id) AS last_t
+  FROM (SELECT DISTINCT session_id, t FROM a WHERE t IS NOT NULL) x
+)
+SELECT a.session_id, a.action_time,
+       split_part(a.action_time, ' ', 1) || '_' || split_part(split_part(a.action_time, ' ', 2), ':', 1) AS date_hour,
+       CASE WHEN length(split_part(split_part(a.action_time, ' ', 2), ':', 1)) = 2
+            THEN split_part(split_part(a.action_time, ' ', 2), ':', 1)
+            ELSE '0' || split_part(split_part(a.action_time, ' ', 2), ':', 1) END AS hour_padded,
+       strftime(a.t, '%Y%m%d') AS date_key,
+       strftime(a.t, '%Y%m%d%H%M') AS minute_key,
+       CAST(date_sub('second', d.prev_t, a.t) AS BIGINT) AS seconds_since_prev,
+       COALESCE(a.t > d.first_t, FALSE) AS after_session_start,
+       COALESCE(a.t < d.last_t, FALSE) AS before_session_end
+FROM a LEFT JOIN d ON a.session_id = d.session_id AND a.t = d.t"""
+
+
+def _kv_get(record: str, field: str) -> str:
+    import re
+
+    pattern = r"(?:^|\|)" + re.escape(field) + r"=([^|=]+)=*(?:\||$)"
+    return f"NULLIF(regexp_extract({record}, {q(pattern)}, 1), '')"
+
+
+def _trim_comma(x: str) -> str:
+    return f"regexp_replace({x}, '^,|,$', '', 'g')"
+
+
+def kv_record_roundtrip_sql(params: TaskParams) -> str:
+    fields = [
+        (C.FIELD_SESSION_ID, "session_id"), (C.FIELD_SEARCH_KEYWORDS, "search_keywords"),
+        (C.FIELD_CLICK_CATEGORY_IDS, "click_category_ids"), (C.FIELD_VISIT_LENGTH, "visit_length"),
+        (C.FIELD_STEP_LENGTH, "step_length"), (C.FIELD_AGE, "age"), (C.FIELD_PROFESSIONAL, "professional"),
+        (C.FIELD_CITY, "city"), (C.FIELD_SEX, "sex"),
+    ]
+    record = "concat_ws('|', " + ", ".join(f"{q(n + '=')} || CAST({c} AS VARCHAR)" for n, c in fields) + ")"
+    step = C.FIELD_STEP_LENGTH
+    pieces = r"string_split(regexp_replace(record, '\|+$', ''), '|')"
+    bumped = (
+        f"array_to_string(list_transform({pieces}, lambda p, i: CASE WHEN i = "
+        f"list_position(list_transform({pieces}, lambda x: split_part(x, '=', 1)), {q(step)}) "
+        f"THEN {q(step + '=')} || CAST(step_length + 1 AS VARCHAR) ELSE p END), '|')"
+    )
+    r = "bumped_record"
+    return f"""WITH {ACTIONS_CTE},{USERS_CTE},{kept_sessions_cte(params, filtered=False)},
+enc AS (SELECT session_id, step_length, {record} AS record FROM kept),
+bump AS (SELECT session_id, record, {bumped} AS bumped_record FROM enc)
+SELECT session_id, record, bumped_record,
+       {_trim_comma(_kv_get(r, C.FIELD_SEARCH_KEYWORDS))} AS search_keywords,
+       {_trim_comma(_kv_get(r, C.FIELD_CLICK_CATEGORY_IDS))} AS click_category_ids,
+       CAST({_kv_get(r, C.FIELD_VISIT_LENGTH)} AS BIGINT) AS visit_length,
+       CAST({_kv_get(r, C.FIELD_STEP_LENGTH)} AS BIGINT) AS step_length,
+       CAST({_kv_get(r, C.FIELD_AGE)} AS INTEGER) AS age,
+       {_kv_get(r, C.FIELD_PROFESSIONAL)} AS professional,
+       {_kv_get(r, C.FIELD_CITY)} AS city,
+       {_kv_get(r, C.FIELD_SEX)} AS sex
+FROM bump"""
+
+
+def _category_ctes(params: TaskParams) -> str:
+    return f"""{ACTIONS_CTE},{USERS_CTE},{kept_sessions_cte(params)},
+act AS (SELECT * FROM uva WHERE {_date_where(params)} AND session_id IN (SELECT session_id FROM kept)),
+cev AS (
+  SELECT session_id, click_category_id AS cid, 1 AS c, 0 AS o, 0 AS p FROM act WHERE click_category_id IS NOT NULL
+  UNION ALL
+  SELECT session_id, TRY_CAST(x AS BIGINT), 0, 1, 0
+  FROM (SELECT session_id, unnest(string_split(order_category_ids, ',')) AS x FROM act WHERE order_category_ids IS NOT NULL) o
+  UNION ALL
+  SELECT session_id, TRY_CAST(x AS BIGINT), 0, 0, 1
+  FROM (SELECT session_id, unnest(string_split(pay_category_ids, ',')) AS x FROM act WHERE pay_category_ids IS NOT NULL) y
+),
+tot AS (
+  SELECT cid, SUM(c) AS clicks, SUM(o) AS orders, SUM(p) AS pays FROM cev
+  WHERE cid IS NOT NULL AND cid <> 0 GROUP BY cid
+),
+topc AS (
+  SELECT * FROM tot ORDER BY clicks DESC, orders DESC, pays DESC, cid ASC LIMIT {10}
+)"""
+
+
+def top10_category_sql(params: TaskParams, taskid: int) -> str:
+    return f"""WITH {_category_ctes(params)}
+SELECT CAST({taskid} AS BIGINT) AS taskid, cid AS categoryid, CAST(clicks AS BIGINT) AS clickCount,
+       CAST(orders AS BIGINT) AS orderCount, CAST(pays AS BIGINT) AS payCount
+FROM topc"""
+
+
+def top10_session_sql(params: TaskParams, taskid: int) -> str:
+    return f"""WITH {_category_ctes(params)},
+per AS (
+  SELECT session_id, click_category_id AS cid, COUNT(*) AS clicks FROM act
+  WHERE click_category_id IS NOT NULL AND click_category_id <> 0 GROUP BY session_id, click_category_id
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY cid ORDER BY clicks DESC, session_id ASC) AS rn
+  FROM per WHERE cid IN (SELECT cid FROM topc)
+)
+SELECT CAST({taskid} AS BIGINT) AS taskid, cid AS categoryid, session_id AS sessionid, CAST(clicks AS BIGINT) AS clickCount
+FROM ranked WHERE rn <= 10"""
+
+
+def page_convert_sql(params: TaskParams) -> str:
+    flow = params.page_flow()
+    hops = ", ".join(f"({i + 1}, {flow[i]}, {flow[i + 1]})" for i in range(len(flow) - 1))
+    return f"""WITH {ACTIONS_CTE},
+a AS (SELECT session_id, page_id, {PARSED_TIME} AS t FROM uva WHERE {_date_where(params)}),
+s AS (
+  SELECT page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY t, page_id) AS next_page
+  FROM a WHERE t IS NOT NULL
+),
+hops AS (SELECT * FROM (VALUES {hops}) h(hop_index, from_page, to_page)),
+cnt AS (
+  SELECT h.hop_index, CAST(h.from_page AS BIGINT) AS from_page, CAST(h.to_page AS BIGINT) AS to_page,
+         CAST((SELECT COUNT(*) FROM s WHERE s.page_id = h.from_page AND s.next_page = h.to_page) AS BIGINT) AS hop_count
+  FROM hops h
+),
+chain AS (
+  SELECT 0 AS hop_index, CAST(NULL AS BIGINT) AS from_page, CAST({flow[0]} AS BIGINT) AS to_page,
+         CAST(COUNT(*) AS BIGINT) AS hop_count
+  FROM a WHERE t IS NOT NULL AND page_id = {flow[0]}
+  UNION ALL SELECT * FROM cnt
+),
+rated AS (SELECT *, lag(hop_count) OVER (ORDER BY hop_index) AS prev FROM chain)
+SELECT CAST(hop_index AS INTEGER) AS hop_index, from_page, to_page, hop_count, {sql_ratio('hop_count', 'prev')} AS rate
+FROM rated WHERE hop_index >= 1"""
+
+
 def oracle_queries() -> dict[str, str]:
     out = {
         "action_date_range": action_date_range_sql(P.FLAGSHIP),
@@ -258,6 +391,11 @@ def oracle_queries() -> dict[str, str]:
         "session_aggr_stat_by_task": by_task_sql(P.TASK_ROWS),
         "ratio_half_up": ratio_half_up_sql(),
         "product_status": product_status_sql(),
+        "action_time_keys": action_time_keys_sql(),
+        "kv_record_roundtrip": kv_record_roundtrip_sql(P.FLAGSHIP),
+        "top10_category": top10_category_sql(P.FLAGSHIP, P.TASK_ID),
+        "top10_session": top10_session_sql(P.FLAGSHIP, P.TASK_ID),
+        "page_one_step_convert_rate": page_convert_sql(P.TOP_PAGE_FLOW),
     }
     for name, params in P.FILTERS.items():
         out[f"session_filter_{name}"] = session_filter_sql(params)

@@ -6,9 +6,11 @@ professions are TPC-H market segments, cities are nation names.
 
 from __future__ import annotations
 
+from ..constants import LOCAL_SESSION_TASK_ID
 from ..functions.params import TaskParams
 
 START, END = "2024-01-05", "2024-01-20"
+TASK_ID = LOCAL_SESSION_TASK_ID
 
 FLAGSHIP = TaskParams(start_date=START, end_date=END)
 
