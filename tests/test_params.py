@@ -1,0 +1,57 @@
+"""Task parameter rules, on the driver and as columns."""
+
+from __future__ import annotations
+
+import pytest
+
+from visitlens.functions.params import TaskError, TaskParams, split_list, task_param_columns
+from visitlens.plans import params_catalog as P
+
+
+def test_first_element_only():
+    p = TaskParams.from_json('{"sex": ["male", "female"], "startAge": [20], "cities": ["a,b"]}')
+    assert p.sex == "male" and p.start_age == "20" and p.city_list() == ["a", "b"]
+
+
+@pytest.mark.parametrize("text", ['{}', '{"sex": []}', '{"sex": null}', '{"sex": [null]}', '{"sex": "male"}'])
+def test_absent_values(text):
+    assert TaskParams.from_json(text).sex_value() is None
+
+
+def test_split_list_rules():
+    assert split_list(None) is None and split_list("") is None
+    assert split_list(",,") == []
+    assert split_list("a,,b,") == ["a", "b"]
+    assert split_list(" a") == [" a"]  # no trimming
+
+
+def test_age_rules():
+    assert TaskParams(start_age="20").age_range() is None
+    assert TaskParams(start_age="20", end_age="30").age_range() == (20, 30)
+    with pytest.raises(TaskError):
+        TaskParams(start_age="x", end_age="30").age_range()
+
+
+def test_dates_required():
+    with pytest.raises(TaskError):
+        TaskParams(start_date="2024-01-01").date_range()
+
+
+def test_roundtrip_json():
+    p = P.FILTERS["all"]
+    assert TaskParams.from_json(p.to_json()) == p
+
+
+def test_columns_agree_with_driver_parse(spark):
+    tasks = spark.createDataFrame(list(P.TASK_ROWS), "task_id bigint, task_name string, task_param string")
+    rows = {r.task_id: r for r in task_param_columns(tasks).collect()}
+    for task_id, _, text in P.TASK_ROWS:
+        p, r = TaskParams.from_json(text), rows[task_id]
+        assert (r.start_date, r.end_date) == (p.start_date, p.end_date)
+        ages = p.age_range()
+        assert (r.age_lo, r.age_hi) == (ages if ages else (None, None))
+        assert r.professionals == p.professional_list()
+        assert r.cities == p.city_list()
+        assert r.keywords == p.keyword_list()
+        assert r.category_ids == p.category_list()
+        assert r.sex == p.sex_value()
