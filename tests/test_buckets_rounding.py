@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from visitlens import constants as C
-from visitlens.functions.rounding import half_up, half_up_reference
+from visitlens.functions.rounding import half_up, half_up_reference, half_up_sql
 from visitlens.operators.stats import bucket_counts, histogram
 
 EDGES = [0, 1, 3, 4, 6, 7, 9, 10, 30, 31, 60, 61, 180, 181, 600, 601, 1800, 1801]
@@ -44,9 +44,9 @@ def test_half_up_matches_decimal_rule(spark):
     values = [n / d for d in range(1, 201) for n in range(0, d + 1)]
     values += [rng.random() * 4 for _ in range(3000)] + [3 / 40, 0.125, 0.005, 0.015, 201 / 40, 1e-12, 123.455]
     df = spark.createDataFrame([(float(v),) for v in values], "d double")
-    got = [r[0] for r in df.select(half_up(F.col("d"))).collect()]
+    got = df.select(half_up(F.col("d")).alias("c"), F.expr(half_up_sql("d")).alias("s")).collect()
     expected = [half_up_reference(v) for v in values]
-    mismatches = [(v, g, e) for v, g, e in zip(values, got, expected) if g != e]
+    mismatches = [(v, g, e) for v, g, e in zip(values, got, expected) if g.c != e or g.s != e]
     assert not mismatches, mismatches[:5]
 
 

@@ -41,6 +41,21 @@ def half_up(d: Column, scale: int = 2) -> Column:
     return (whole.cast("bigint") * unit + units).cast("double") / F.lit(float(unit))
 
 
+def half_up_sql(d: str, scale: int = 2) -> str:
+    """Spark SQL text of :func:`half_up` for the SQL expression ``d``."""
+    unit = 10 ** scale
+    m = f"CAST(({d} - floor({d})) * {float(TWO_61)!r}D AS BIGINT)"
+    a = f"shiftright({m}, 31) * {2 * unit}"
+    b = f"(({m} & {_LOW31}) * {2 * unit} + {TWO_61}L)"
+    units = f"shiftright({a} + shiftright({b}, 31), 31)"
+    return f"CAST(CAST(floor({d}) AS BIGINT) * {unit} + {units} AS DOUBLE) / {float(unit)!r}D"
+
+
+def ratio_sql(numerator: str, denominator: str, scale: int = 2) -> str:
+    """Spark SQL text of :func:`ratio`."""
+    return half_up_sql(f"try_divide(CAST({numerator} AS DOUBLE), CAST({denominator} AS DOUBLE))", scale)
+
+
 def ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:
     """``half_up(numerator / denominator)``; NULL when the denominator is 0."""
     d = F.try_divide(numerator.cast("double"), denominator.cast("double"))

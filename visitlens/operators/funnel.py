@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import ratio
 from ..functions.timekeys import parse_time
+from ..session import local_table
 
 
 def adjacent_page_pairs(actions: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def one_step_convert_rate(spark: SparkSession, actions: DataFrame, flow: list[in
     previous row's count" in one small window over the n hops of the flow
     (a parameter-sized table)."""
     hops = [(i + 1, flow[i], flow[i + 1]) for i in range(len(flow) - 1)]
-    hop_df = spark.createDataFrame(hops, "hop_index int, from_page bigint, to_page bigint")
+    hop_df = local_table(spark, hops, [("hop_index", "INT"), ("from_page", "BIGINT"), ("to_page", "BIGINT")])
     pairs = adjacent_page_pairs(actions)
     counted = hop_df.join(pairs, ["from_page", "to_page"], "left").select(
         "hop_index", "from_page", "to_page", F.coalesce(F.col("pairs"), F.lit(0).cast("bigint")).alias("hop_count")

@@ -12,19 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.rounding import ratio
+from ..functions.rounding import ratio_sql
 
 
-def _in_bucket(value: Column, lo: int, hi: int | None) -> Column:
-    return value >= lo if hi is None else value.between(lo, hi)
+def _bucket_sql(value: str, lo: int, hi: int | None) -> str:
+    return f"{value} >= {lo}" if hi is None else f"{value} BETWEEN {lo} AND {hi}"
 
 
 def bucket_count_columns(visit: str = "visit_length", step: str = "step_length") -> list[Column]:
     """session_count plus one count per visit bucket and per step bucket."""
-    v, s = F.col(visit), F.col(step)
-    cols = [F.count(F.lit(1)).alias(C.SESSION_COUNT)]
-    cols += [F.count_if(_in_bucket(v, lo, hi)).alias(f"visit_{name}") for name, lo, hi in C.VISIT_LENGTH_BUCKETS]
-    cols += [F.count_if(_in_bucket(s, lo, hi)).alias(f"step_{name}") for name, lo, hi in C.STEP_LENGTH_BUCKETS]
+    cols = [F.expr(f"count(1) AS {C.SESSION_COUNT}")]
+    cols += [F.expr(f"count_if({_bucket_sql(visit, lo, hi)}) AS visit_{n}") for n, lo, hi in C.VISIT_LENGTH_BUCKETS]
+    cols += [F.expr(f"count_if({_bucket_sql(step, lo, hi)}) AS step_{n}") for n, lo, hi in C.STEP_LENGTH_BUCKETS]
     return cols
 
 
@@ -33,22 +32,27 @@ def bucket_counts(sessions: DataFrame) -> DataFrame:
     return sessions.agg(*bucket_count_columns())
 
 
-def ratio_columns(taskid: Column) -> list[Column]:
-    total = F.col(C.SESSION_COUNT)
-    cols = [taskid.cast("bigint").alias("taskid"), total.cast("bigint").alias(C.SESSION_COUNT)]
-    cols += [
-        ratio(F.col(f"visit_{name}"), total).alias(C.visit_ratio_column(name)) for name, _, _ in C.VISIT_LENGTH_BUCKETS
-    ]
-    cols += [
-        ratio(F.col(f"step_{name}"), total).alias(C.step_ratio_column(name)) for name, _, _ in C.STEP_LENGTH_BUCKETS
-    ]
-    return cols
+_COUNT_NAMES = [f"visit_{n}" for n, _, _ in C.VISIT_LENGTH_BUCKETS] + [f"step_{n}" for n, _, _ in C.STEP_LENGTH_BUCKETS]
+_RATIO_NAMES = [C.visit_ratio_column(n) for n, _, _ in C.VISIT_LENGTH_BUCKETS] + [
+    C.step_ratio_column(n) for n, _, _ in C.STEP_LENGTH_BUCKETS
+]
+
+
+def with_ratios(counts: DataFrame, taskid_sql: str) -> DataFrame:
+    """taskid, session_count and the 15 ratios of the counts of ``bucket_counts``.
+
+    The ratios come from one ``transform`` over the array of the 15 counts, so
+    the exact rounding expression appears once in the plan, not 15 times."""
+    arr = f"array({', '.join(_COUNT_NAMES)})"
+    ratios = f"transform({arr}, x -> {ratio_sql('x', C.SESSION_COUNT)}) AS _ratios"
+    step = counts.selectExpr(f"CAST({taskid_sql} AS BIGINT) AS taskid", f"CAST({C.SESSION_COUNT} AS BIGINT) AS {C.SESSION_COUNT}", ratios)
+    return step.selectExpr("taskid", C.SESSION_COUNT, *[f"_ratios[{i}] AS {n}" for i, n in enumerate(_RATIO_NAMES)])
 
 
 def stat_row(counts: DataFrame, taskid: int) -> DataFrame:
     """The 17-column session_aggr_stat row; ratios half-up at 2 decimals,
     NULL when no session was selected."""
-    return counts.select(*ratio_columns(F.lit(taskid)))
+    return with_ratios(counts, str(int(taskid)))
 
 
 def histogram(counts: DataFrame, kind: str) -> DataFrame:

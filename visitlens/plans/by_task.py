@@ -20,32 +20,48 @@ from pyspark.sql import functions as F
 from ..functions.params import task_param_columns
 from ..functions.timekeys import parse_time, seconds_between
 from ..operators.sessions import USER_FIELDS
-from ..operators.stats import bucket_count_columns, ratio_columns
+from ..operators.stats import bucket_count_columns, with_ratios
 
 # Tasks per broadcast batch. Each task row is ~1 KB of parameters, so a batch
-# stays far below any broadcast limit; the actions are compared with every
-# task of the batch (nested-loop join on the date range).
+# stays far below any broadcast limit; every (session, date) row is compared
+# with every task of the batch (nested-loop join on the date range).
 MAX_TASKS_PER_BATCH = 2000
 
 
-def _stats_for_tasks(actions: DataFrame, users: DataFrame, tp: DataFrame) -> DataFrame:
+def session_days(actions: DataFrame) -> DataFrame:
+    """One row per (session, date): the per-session aggregates of that day's
+    actions plus the distinct keywords and clicked categories.
+
+    A task's date window selects whole dates, so any task's sessions are
+    exactly the re-aggregation of these rows over its dates. Partial
+    aggregation runs map-side, so a hot session costs one row per map task
+    and date before the shuffle."""
+    t = parse_time(F.col("action_time"))
+    user, kw, cat = F.col("user_id"), F.col("search_keyword"), F.col("click_category_id")
+    return actions.groupBy("session_id", "date").agg(
+        F.max(F.when(user != 0, user)).alias("user_max"),
+        F.min(t).alias("t_min"),
+        F.max(t).alias("t_max"),
+        F.count(F.lit(1)).alias("steps"),
+        F.collect_set(F.when(kw != "", kw)).alias("keywords_seen"),
+        F.collect_set(F.when(cat != 0, cat.cast("string"))).alias("categories_seen"),
+    )
+
+
+def _stats_for_tasks(days: DataFrame, users: DataFrame, tp: DataFrame) -> DataFrame:
     ranges = F.broadcast(tp.select("task_id", "start_date", "end_date", "keywords", "category_ids"))
-    a = actions.select("date", "session_id", "user_id", "action_time", "search_keyword", "click_category_id")
-    in_range = (a.date >= ranges.start_date) & (a.date <= ranges.end_date)
-    at = a.join(ranges, in_range, "inner")
+    in_range = (days.date >= ranges.start_date) & (days.date <= ranges.end_date)
+    td = days.join(ranges, in_range, "inner")
 
-    kw, cat = F.col("search_keyword"), F.col("click_category_id")
-    kw_hit = F.col("keywords").isNull() | F.coalesce(F.array_contains("keywords", kw), F.lit(False))
+    kw_hit = F.col("keywords").isNull() | F.coalesce(F.arrays_overlap("keywords_seen", "keywords"), F.lit(False))
     cat_hit = F.col("category_ids").isNull() | F.coalesce(
-        (cat != 0) & F.array_contains("category_ids", cat.cast("string")), F.lit(False)
+        F.arrays_overlap("categories_seen", "category_ids"), F.lit(False)
     )
-    t = parse_time(F.col("action_time"))
-    user = F.col("user_id")
-    sessions = at.groupBy("task_id", "session_id").agg(
-        F.coalesce(F.max(F.when(user != 0, user)), F.lit(0).cast("bigint")).alias("user_id"),
-        F.min(t).alias("_start"),
-        F.max(t).alias("_end"),
-        F.count(F.lit(1)).alias("step_length"),
+    sessions = td.groupBy("task_id", "session_id").agg(
+        F.coalesce(F.max("user_max"), F.lit(0).cast("bigint")).alias("user_id"),
+        F.min("t_min").alias("_start"),
+        F.max("t_max").alias("_end"),
+        F.sum("steps").alias("step_length"),
         F.bool_or(kw_hit).alias("kw_hit"),
         F.bool_or(cat_hit).alias("cat_hit"),
     ).select(
@@ -75,16 +91,17 @@ def _stats_for_tasks(actions: DataFrame, users: DataFrame, tp: DataFrame) -> Dat
     filled = all_tasks.join(counts, "task_id", "left").select(
         "task_id", *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in counts.columns if c != "task_id"]
     )
-    return filled.select(*ratio_columns(F.col("task_id")))
+    return with_ratios(filled, "task_id")
 
 
 def session_aggr_stat_by_task(actions: DataFrame, users: DataFrame, tasks: DataFrame) -> DataFrame:
     """17-column stat rows, one per task of ``tasks`` (task_id, task_param)."""
     tp = task_param_columns(tasks)
+    days = session_days(actions)
     n_tasks = tp.count()
     if n_tasks <= MAX_TASKS_PER_BATCH:
-        return _stats_for_tasks(actions, users, tp)
+        return _stats_for_tasks(days, users, tp)
     n_batches = -(-n_tasks // MAX_TASKS_PER_BATCH)
     batch = F.pmod(F.xxhash64("task_id"), F.lit(n_batches))
-    parts = [_stats_for_tasks(actions, users, tp.where(batch == i)) for i in range(n_batches)]
+    parts = [_stats_for_tasks(days, users, tp.where(batch == i)) for i in range(n_batches)]
     return reduce(DataFrame.unionByName, parts)

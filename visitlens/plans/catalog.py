@@ -19,6 +19,7 @@ from ..operators.sessions import aggregate_sessions, scan_actions
 from ..operators.stats import bucket_counts, histogram
 from ..operators.timeline import action_time_keys
 from ..operators.topn import category_counts_by_session, top_categories, top_sessions
+from ..session import local_table
 from ..sources import fixtures
 from . import params_catalog as P
 from .by_task import session_aggr_stat_by_task
@@ -78,7 +79,7 @@ def _stat(params: TaskParams) -> Query:
 
 
 def task_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(P.TASK_ROWS), "task_id bigint, task_name string, task_param string")
+    return local_table(spark, P.TASK_ROWS, [("task_id", "BIGINT"), ("task_name", "STRING"), ("task_param", "STRING")])
 
 
 def by_task(spark: SparkSession, sf_dir: str) -> DataFrame:

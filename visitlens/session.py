@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # Python call-site capture for error messages costs ~2 ms per Column call.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -72,3 +75,29 @@ def local_cpus(default: int = 8) -> int:
         return int(os.environ.get("BENCH_CPUS", default))
     except ValueError:
         return default
+
+
+def _sql_literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, int):
+        return str(value)
+    if isinstance(value, float):
+        return repr(value) + "D"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def local_table(spark, rows, columns: list[tuple[str, str]]):
+    """A small parameter table (task rows, a page flow) as a JVM-side local
+    relation: no Python worker and no RDD behind it. ``columns`` are
+    (name, SQL type) pairs."""
+    names = [n for n, _ in columns]
+    typed = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in columns)
+    if not rows:
+        nulls = ", ".join(f"CAST(NULL AS {t}) AS {n}" for n, t in columns)
+        return spark.sql(f"SELECT {nulls}").where("FALSE")
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT {typed} FROM VALUES {values} AS t({', '.join(names)})")

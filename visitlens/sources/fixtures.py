@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,22 @@ _TIME_DIVISORS = (1, 10, 100, 1000, 10000)
 _CANONICAL_DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 
 
+_HANDLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet table handle, reused within a session (the file listing and
+    footer read happen once, like a catalog table). ``forget`` re-lists."""
+    path = f"{sf_dir}/{name}.parquet"
+    handles = _HANDLES.setdefault(spark, {})
+    if path not in handles:
+        handles[path] = spark.read.parquet(path)
+    return handles[path]
+
+
+def forget(spark: SparkSession) -> None:
+    """Drop the cached table handles of ``spark`` (files changed on disk)."""
+    _HANDLES.pop(spark, None)
 
 
 def _canonical_day(text: str | None) -> _dt.date | None:
@@ -57,13 +72,44 @@ def ts_prefilter(start_date: str | None, end_date: str | None) -> Column | None:
     lo, hi = _canonical_day(start_date), _canonical_day(end_date)
     if lo is None or hi is None:
         return None
-    lo_ts = _dt.datetime.combine(lo, _dt.time())
-    hi_ts = _dt.datetime.combine(hi + _dt.timedelta(days=1), _dt.time())
-    return (F.col("ts") >= F.lit(lo_ts).cast("timestamp_ntz")) & (
-        F.col("ts") < F.lit(hi_ts).cast("timestamp_ntz")
+    return F.expr(
+        f"ts >= TIMESTAMP_NTZ '{lo.isoformat()} 00:00:00' "
+        f"AND ts < TIMESTAMP_NTZ '{(hi + _dt.timedelta(days=1)).isoformat()} 00:00:00'"
     )
 
 
+_WORDS_SQL = "array(" + ", ".join("'" + w + "'" for w in SEARCH_WORDS) + ")"
+_DIVISORS_SQL = "array(" + ", ".join(str(d) for d in _TIME_DIVISORS) + ")"
+
+# Spark SQL expressions of the 13 action columns over ``events`` (FIXTURES.md §4);
+# ``k`` is the integer in ``props``, ``sq`` the squeezed second of the day.
+_EVENT_KEYS = (
+    "*",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    f"CAST(floor((hour(ts) * 3600 + minute(ts) * 60 + second(ts)) / element_at({_DIVISORS_SQL}, "
+    "CAST(user_id % 5 + 1 AS INT))) AS BIGINT) AS sq",
+    "CAST(CAST(ts AS DATE) AS STRING) AS day_text",
+)
+_ACTION_EXPRS = (
+    "day_text AS date",
+    "CASE WHEN event_id % 97 = 5 THEN CAST(0 AS BIGINT) ELSE user_id END AS user_id",
+    "CASE WHEN user_id % 10 = 0 THEN concat('m', CAST(user_id AS STRING)) "
+    "WHEN user_id % 10 = 1 THEN concat('h', CAST(user_id AS STRING), '-', CASE WHEN dayofmonth(ts) <= 15 THEN '1' ELSE '2' END) "
+    "ELSE concat('d', CAST(user_id AS STRING), '-', CAST(dayofmonth(ts) AS STRING)) END AS session_id",
+    "CAST(event_id % 10 AS BIGINT) AS page_id",
+    "concat(day_text, ' ', CAST(floor(sq / 3600) AS BIGINT), ':', lpad(CAST(CAST(floor((sq % 3600) / 60) AS BIGINT) AS STRING), 2, '0'), "
+    "':', lpad(CAST(sq % 60 AS STRING), 2, '0')) AS action_time",
+    f"CASE WHEN event_type = 'view' THEN element_at({_WORDS_SQL}, CAST(k % 10 + 1 AS INT)) END AS search_keyword",
+    "CASE WHEN event_type = 'click' THEN CAST(k AS BIGINT) END AS click_category_id",
+    "CASE WHEN event_type = 'click' THEN CAST((k * 7) % 100 AS BIGINT) END AS click_product_id",
+    "CASE WHEN event_type = 'purchase' AND k % 2 = 0 THEN CAST((k * 3) % 100 AS STRING) END AS order_category_ids",
+    "CASE WHEN event_type = 'purchase' AND k % 2 = 0 THEN CAST(k AS STRING) END AS order_product_ids",
+    "CASE WHEN event_type = 'purchase' AND k % 2 = 1 THEN CAST((k * 3) % 100 AS STRING) END AS pay_category_ids",
+    "CASE WHEN event_type = 'purchase' AND k % 2 = 1 THEN CAST(k AS STRING) END AS pay_product_ids",
+    "CAST(user_id % 10 AS BIGINT) AS city_id",
+)
+
+
 def user_visit_action(
     spark: SparkSession,
     sf_dir: str,
@@ -79,75 +125,31 @@ def user_visit_action(
     pre = ts_prefilter(start_date, end_date)
     if pre is not None:
         ev = ev.where(pre)
-
-    user = F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = F.col("event_type")
-    day = F.dayofmonth("ts")
-    second_of_day = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
-    divisor = F.element_at(F.array(*[F.lit(d) for d in _TIME_DIVISORS]), (user % 5 + 1).cast("int"))
-    squeezed = F.floor(second_of_day / divisor).cast("bigint")
-    date = F.date_format("ts", "yyyy-MM-dd")
-    action_time = F.concat(
-        date, F.lit(" "),
-        F.floor(squeezed / 3600).cast("bigint").cast("string"), F.lit(":"),
-        F.lpad(F.floor((squeezed % 3600) / 60).cast("bigint").cast("string"), 2, "0"), F.lit(":"),
-        F.lpad((squeezed % 60).cast("string"), 2, "0"),
-    )
-    session_id = (
-        F.when(user % 10 == 0, F.concat(F.lit("m"), user.cast("string")))
-        .when(
-            user % 10 == 1,
-            F.concat(F.lit("h"), user.cast("string"), F.lit("-"),
-                     F.when(day <= 15, F.lit("1")).otherwise(F.lit("2"))),
-        )
-        .otherwise(F.concat(F.lit("d"), user.cast("string"), F.lit("-"), day.cast("string")))
-    )
-    words = F.array(*[F.lit(w) for w in SEARCH_WORDS])
-    is_purchase = kind == "purchase"
-    even_k, odd_k = (k % 2) == 0, (k % 2) == 1
-    return ev.select(
-        date.alias("date"),
-        F.when(F.col("event_id") % 97 == 5, F.lit(0).cast("bigint")).otherwise(user).alias("user_id"),
-        session_id.alias("session_id"),
-        (F.col("event_id") % 10).cast("bigint").alias("page_id"),
-        action_time.alias("action_time"),
-        F.when(kind == "view", F.element_at(words, (k % 10 + 1).cast("int"))).alias("search_keyword"),
-        F.when(kind == "click", k.cast("bigint")).alias("click_category_id"),
-        F.when(kind == "click", ((k * 7) % 100).cast("bigint")).alias("click_product_id"),
-        F.when(is_purchase & even_k, ((k * 3) % 100).cast("string")).alias("order_category_ids"),
-        F.when(is_purchase & even_k, k.cast("string")).alias("order_product_ids"),
-        F.when(is_purchase & odd_k, ((k * 3) % 100).cast("string")).alias("pay_category_ids"),
-        F.when(is_purchase & odd_k, k.cast("string")).alias("pay_product_ids"),
-        (user % 10).cast("bigint").alias("city_id"),
-    )
+    return ev.selectExpr(*_EVENT_KEYS).selectExpr(*_ACTION_EXPRS)
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_info`` (7 columns) from ``customer`` ⋈ ``nation``; every 17th key is left out
     so that the session ⋈ user inner join drops sessions."""
-    cust = _table(spark, sf_dir, "customer").where(F.col("c_custkey") % 17 != 3)
+    cust = _table(spark, sf_dir, "customer").where("c_custkey % 17 <> 3")
     nation = _table(spark, sf_dir, "nation")
-    key = F.col("c_custkey")
-    return cust.join(nation, cust.c_nationkey == nation.n_nationkey, "inner").select(
-        key.cast("bigint").alias("user_id"),
-        F.concat(F.lit("user"), key.cast("string")).alias("username"),
-        F.col("c_name").alias("name"),
-        ((key * 7) % 60).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.col("n_name").alias("city"),
-        F.when(key % 2 == 0, F.lit("male")).otherwise(F.lit("female")).alias("sex"),
+    return cust.join(nation, cust.c_nationkey == nation.n_nationkey, "inner").selectExpr(
+        "CAST(c_custkey AS BIGINT) AS user_id",
+        "concat('user', CAST(c_custkey AS STRING)) AS username",
+        "c_name AS name",
+        "CAST((c_custkey * 7) % 60 AS INT) AS age",
+        "c_mktsegment AS professional",
+        "n_name AS city",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex",
     )
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``product_info`` (3 columns) from ``part``; status JSON in ``extend_info``."""
-    part = _table(spark, sf_dir, "part")
-    key = F.col("p_partkey")
-    return part.select(
-        key.cast("bigint").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.concat(F.lit('{"product_status": '), (key % 2).cast("string"), F.lit("}")).alias("extend_info"),
+    return _table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS BIGINT) AS product_id",
+        "p_name AS product_name",
+        "concat('{\"product_status\": ', CAST(p_partkey % 2 AS STRING), '}') AS extend_info",
     )
 
 
