@@ -55,3 +55,14 @@ def test_columns_agree_with_driver_parse(spark):
         assert r.keywords == p.keyword_list()
         assert r.category_ids == p.category_list()
         assert r.sex == p.sex_value()
+
+
+def test_load_task_params_from_table(spark):
+    from visitlens.plans import catalog
+    from visitlens.sources.tables import load_task_params
+
+    tasks = catalog.task_table(spark)
+    assert load_task_params(tasks, 6).sex == "female"
+    assert load_task_params(tasks, 14).sex == "male"  # only element 0 counts
+    with pytest.raises(TaskError):
+        load_task_params(tasks, 999)
