@@ -44,15 +44,22 @@ def get_field(record: Column, field: str) -> Column:
 
 
 def set_field(record: Column, field: str, value: Column) -> Column:
-    """``setFieldInConcatString(record, "|", field, value)``."""
+    """``setFieldInConcatString(record, "|", field, value)``.
+
+    One left fold over the pieces: the first piece named ``field`` is
+    replaced, every other piece is kept; linear in the number of pieces."""
     pieces = F.split(F.regexp_replace(record, r"\|+$", ""), r"\|", -1)
-    names = F.transform(pieces, lambda p: F.substring_index(p, "=", 1))
-    at = F.array_position(names, F.lit(field))
-    replaced = F.transform(
-        pieces,
-        lambda p, i: F.when(i + 1 == at, F.concat(F.lit(field + "="), value.cast("string"))).otherwise(p),
-    )
-    return F.array_join(replaced, "|")
+    replacement = F.concat(F.lit(field + "="), value.cast("string"))
+    start = F.struct(F.lit(False).alias("done"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        hit = ~acc["done"] & (F.substring_index(piece, "=", 1) == F.lit(field))
+        return F.struct(
+            (acc["done"] | hit).alias("done"),
+            F.array_append(acc["out"], F.when(hit, replacement).otherwise(piece)).alias("out"),
+        )
+
+    return F.aggregate(pieces, start, step, lambda acc: F.array_join(acc["out"], "|"))
 
 
 def encode(fields: list[tuple[str, Column]]) -> Column:
