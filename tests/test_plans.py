@@ -1,5 +1,5 @@
-"""Plan-level checks: partition invariance, by-task vs single task, top-k with
-salting and day-split adjacency against brute force, sinks."""
+"""Plan-level checks: partition invariance, by-task vs single task, top-k
+and day-split adjacency against brute force, sinks."""
 
 from __future__ import annotations
 
@@ -90,12 +90,16 @@ def test_convert_rate_chain(spark):
     assert [(r.hop_count, r.rate) for r in rows] == [(2, 0.67), (1, 0.5), (0, 0.0)]
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 64])
-def test_salted_top_sessions_equal_plain_ranking(spark, buckets):
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_top_sessions_equal_plain_ranking(spark, partitions):
     per = [(f"s{i:03d}", c, (i * 7 + c) % 5 + 1, 0, 0) for i, c in itertools.product(range(60), range(1, 4))]
-    df = spark.createDataFrame(per, "session_id string, category_id bigint, click_count bigint, order_count bigint, pay_count bigint")
+    df = spark.createDataFrame(
+        per, "session_id string, category_id bigint, click_count bigint, order_count bigint, pay_count bigint"
+    ).repartition(partitions)
     cats = spark.createDataFrame([(1,), (2,), (3,)], "categoryid bigint")
-    got = sorted(tuple(r) for r in top_sessions(df, cats, 2, k=10, salt_buckets=buckets).collect())
+    result = top_sessions(df, cats, 2, k=10)
+    assert "WindowGroupLimit" in result._jdf.queryExecution().executedPlan().toString()
+    got = sorted(tuple(r) for r in result.collect())
     pdf = pd.DataFrame(per, columns=["session_id", "category_id", "click_count", "o", "p"])
     expected = []
     for c, g in pdf.groupby("category_id"):

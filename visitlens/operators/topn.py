@@ -14,9 +14,9 @@ sessionid, clickCount); the ranking rules are ours:
 Plan: actions are first reduced to one row per (session, category) with
 partial aggregation, so the semi-join with the kept sessions and everything
 after it touch at most (sessions × categories) rows whatever the skew of the
-raw actions. The top-k per category is computed in two steps (top k inside
-each of ``salt_buckets`` hash buckets of sessions, then top k of those), so a
-category clicked in most sessions never lands in one window task.
+raw actions. The top-k per category is limited per map task before the
+shuffle (Spark's partial window group limit), so a category clicked in most
+sessions never lands in one window task whole.
 """
 
 from __future__ import annotations
@@ -78,22 +78,20 @@ def top_sessions(
     categories: DataFrame,
     taskid: int,
     k: int = TOP_SESSIONS,
-    salt_buckets: int = 64,
 ) -> DataFrame:
     """taskid, categoryid, sessionid, clickCount: per category of ``categories``
-    (at most TOP_CATEGORIES rows, so broadcast is bounded), the k sessions with
-    most clicks on it."""
+    (at most TOP_CATEGORIES rows, so the broadcast is bounded), the k sessions
+    with most clicks on it, ties by session id.
+
+    ``row_number() <= k`` lets Spark put a partial per-group limit before the
+    shuffle (``WindowGroupLimit`` Partial), so every map task sends at most k
+    rows per category and a category clicked in most sessions never lands in
+    one window task whole."""
     cats = F.broadcast(categories.select(F.col("categoryid").alias("category_id")))
     clicked = per_session.where(F.col("click_count") > 0).join(cats, "category_id", "left_semi")
     order = [F.col("click_count").desc(), F.col("session_id").asc()]
-    salted = clicked.withColumn("_bucket", F.pmod(F.xxhash64("session_id"), F.lit(salt_buckets)))
-    local = salted.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("category_id", "_bucket").orderBy(*order))
-    ).where(F.col("_rn") <= k)
-    final = local.withColumn("_rn", F.row_number().over(Window.partitionBy("category_id").orderBy(*order))).where(
-        F.col("_rn") <= k
-    )
-    return final.select(
+    ranked = clicked.withColumn("_rn", F.row_number().over(Window.partitionBy("category_id").orderBy(*order)))
+    return ranked.where(F.col("_rn") <= k).select(
         F.lit(taskid).cast("bigint").alias("taskid"),
         F.col("category_id").alias("categoryid"),
         F.col("session_id").alias("sessionid"),
