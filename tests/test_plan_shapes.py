@@ -33,6 +33,11 @@ def test_no_cartesian_products(plans):
             assert "BroadcastNestedLoopJoin" not in text, name
 
 
+def test_no_sort_based_aggregation(plans):
+    for name, text in plans.items():
+        assert "SortAggregate" not in text, name
+
+
 def test_flagship_prunes_columns_and_pushes_dates(plans):
     text = plans["session_aggr_stat"]
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in text

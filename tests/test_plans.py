@@ -12,7 +12,7 @@ import pytest
 
 from conftest import ACTION_SCHEMA, SF_MID, SF_SMALL, action_rows
 from visitlens.functions.params import TaskParams
-from visitlens.operators.funnel import adjacent_page_pairs, one_step_convert_rate
+from visitlens.operators.funnel import adjacent_page_pairs, one_step_convert_rate, page_points
 from visitlens.operators.topn import top_sessions
 from visitlens.plans import catalog
 from visitlens.plans import params_catalog as P
@@ -77,7 +77,7 @@ def test_adjacent_pairs_across_days_and_ties(spark):
         ("s2", "2024-01-03 1:00:00", 3), ("s3", "2024-01-05 1:00:00", 1),
     ]
     df = spark.createDataFrame(action_rows([(s, 1, t, None, None, p) for s, t, p in raw]), ACTION_SCHEMA)
-    got = {(r.from_page, r.to_page): r.pairs for r in adjacent_page_pairs(df).collect()}
+    got = {(r.from_page, r.to_page): r.pairs for r in adjacent_page_pairs(page_points(df)).collect()}
     expected = _brute_pairs([(s, p, pd.Timestamp(t.replace(" 0:", " 00:").replace(" 5:", " 05:").replace(" 1:", " 01:")))
                              for s, t, p in raw])
     assert got == expected

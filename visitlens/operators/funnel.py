@@ -28,32 +28,50 @@ from ..functions.timekeys import parse_time
 from ..session import local_table
 
 
-def adjacent_page_pairs(actions: DataFrame) -> DataFrame:
-    """(from_page, to_page, pairs): counts of adjacent page pairs over all sessions."""
+def page_points(actions: DataFrame) -> DataFrame:
+    """One row per distinct (session, time, page) with its multiplicity m and
+    day; actions whose time does not parse are left out. Partial aggregation
+    combines a hot session map-side."""
     timed = actions.select("session_id", "page_id", parse_time(F.col("action_time")).alias("t")).where(
         F.col("t").isNotNull()
     )
-    points = timed.groupBy("session_id", "t", "page_id").agg(F.count(F.lit(1)).alias("m")).withColumn(
+    return timed.groupBy("session_id", "t", "page_id").agg(F.count(F.lit(1)).alias("m")).withColumn(
         "day", F.to_date("t")
     )
 
+
+def adjacent_page_pairs(points: DataFrame) -> DataFrame:
+    """(from_page, to_page, pairs): counts of adjacent page pairs over all
+    sessions, from the rows of :func:`page_points`."""
+
     in_day = Window.partitionBy("session_id", "day").orderBy("t", "page_id")
-    within = points.select(F.lag("page_id").over(in_day).alias("from_page"), F.col("page_id").alias("to_page")).where(
-        F.col("from_page").isNotNull()
-    ).withColumn("n", F.lit(1).cast("bigint"))
-    repeats = points.where(F.col("m") > 1).select(
-        F.col("page_id").alias("from_page"), F.col("page_id").alias("to_page"), (F.col("m") - 1).alias("n")
+    w = points.select("page_id", "m", F.lag("page_id").over(in_day).alias("prev_page"))
+    # per point: the pair (previous point -> this point) and m-1 self pairs
+    # inside a run of m identical points
+    none = F.array().cast("array<struct<from_page:bigint,to_page:bigint,n:bigint>>")
+    pair = lambda a, b, n: F.array(F.struct(a.alias("from_page"), b.alias("to_page"), n.alias("n")))
+    emitted = F.concat(
+        F.when(F.col("prev_page").isNotNull(), pair(F.col("prev_page"), F.col("page_id"), F.lit(1).cast("bigint")))
+        .otherwise(none),
+        F.when(F.col("m") > 1, pair(F.col("page_id"), F.col("page_id"), F.col("m") - 1)).otherwise(none),
     )
+    within = w.select(F.explode(emitted).alias("p")).select("p.*")
 
-    edges = points.groupBy("session_id", "day").agg(
-        F.min(F.struct("t", "page_id")).alias("first"), F.max(F.struct("t", "page_id")).alias("last")
+    # First and last point of each session-day as plain min / max of an
+    # order-preserving numeric key (second of the day, then page id), so the
+    # step stays a hash aggregation (a min / max of a struct would sort).
+    key = F.expr(
+        "CAST(hour(t) * 3600 + minute(t) * 60 + second(t) AS DECIMAL(6,0)) * CAST(1E20 AS DECIMAL(21,0)) "
+        "+ (CAST(page_id AS DECIMAL(20,0)) + 9223372036854775808BD)"
     )
+    edges = points.groupBy("session_id", "day").agg(F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+    page_of = lambda k: F.expr(f"CAST(({k} % CAST(1E20 AS DECIMAL(21,0))) - 9223372036854775808BD AS BIGINT)")
     by_day = Window.partitionBy("session_id").orderBy("day")
     across = edges.select(
-        F.lag(F.col("last.page_id")).over(by_day).alias("from_page"), F.col("first.page_id").alias("to_page")
+        F.lag(page_of("last_key")).over(by_day).alias("from_page"), page_of("first_key").alias("to_page")
     ).where(F.col("from_page").isNotNull()).withColumn("n", F.lit(1).cast("bigint"))
 
-    pairs = within.unionByName(repeats).unionByName(across)
+    pairs = within.unionByName(across)
     return pairs.groupBy("from_page", "to_page").agg(F.sum("n").alias("pairs"))
 
 
@@ -65,18 +83,17 @@ def one_step_convert_rate(spark: SparkSession, actions: DataFrame, flow: list[in
     (a parameter-sized table)."""
     hops = [(i + 1, flow[i], flow[i + 1]) for i in range(len(flow) - 1)]
     hop_df = local_table(spark, hops, [("hop_index", "INT"), ("from_page", "BIGINT"), ("to_page", "BIGINT")])
-    pairs = adjacent_page_pairs(actions)
+    points = page_points(actions)
+    pairs = adjacent_page_pairs(points)
     counted = hop_df.join(pairs, ["from_page", "to_page"], "left").select(
         "hop_index", "from_page", "to_page", F.coalesce(F.col("pairs"), F.lit(0).cast("bigint")).alias("hop_count")
     )
     first_page = flow[0] if flow else None
-    views = actions.where(
-        (F.col("page_id") == F.lit(first_page)) & parse_time(F.col("action_time")).isNotNull()
-    ).agg(
+    views = points.where(F.col("page_id") == F.lit(first_page)).agg(
         F.lit(0).alias("hop_index"),
         F.lit(None).cast("bigint").alias("from_page"),
         F.lit(first_page).cast("bigint").alias("to_page"),
-        F.count(F.lit(1)).alias("hop_count"),
+        F.coalesce(F.sum("m"), F.lit(0)).cast("bigint").alias("hop_count"),
     )
     prev = F.lag("hop_count").over(Window.orderBy("hop_index"))
     chain = views.unionByName(counted).select("*", ratio(F.col("hop_count"), prev).alias("rate"))
