@@ -29,7 +29,7 @@ def test_no_python_in_any_plan(plans):
 def test_no_cartesian_products(plans):
     for name, text in plans.items():
         assert "CartesianProduct" not in text, name
-        if name != "session_aggr_stat_by_task":  # the only nested-loop join: against the bounded task table
+        if name != "session_aggr_stat_by_task":  # the only nested-loop join: distinct dates x tasks
             assert "BroadcastNestedLoopJoin" not in text, name
 
 

@@ -54,7 +54,7 @@ def test_by_task_batches(spark, monkeypatch):
     users = fixtures.user_info(spark, SF_SMALL)
     tasks = catalog.task_table(spark)
     whole = sorted(session_aggr_stat_by_task(actions, users, tasks).collect())
-    monkeypatch.setattr(bt, "MAX_TASKS_PER_BATCH", 3)
+    monkeypatch.setattr(bt, "MAX_PAIRS_PER_BATCH", 40)
     batched = sorted(session_aggr_stat_by_task(actions, users, tasks).collect())
     assert whole == batched
 

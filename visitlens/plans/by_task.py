@@ -5,9 +5,12 @@ joined to the actions on its date range, sessions are grouped by
 (task_id, session_id) and every task's filters are evaluated as columns, so
 N tasks cost one scan of the actions instead of N.
 
-The task table is a parameter table: its size is checked before it is
-broadcast, and larger task sets run as several broadcast batches whose
-results are unioned (every task in exactly one batch).
+Range join without comparing every row with every task: the date-range
+predicate is evaluated only on the *distinct* date values of the actions
+(dates × tasks, a few thousand rows), giving exact (date, task) pairs; the
+session-day rows then join those pairs on ``date`` by hash. The pairs table
+is counted before it is broadcast; a larger one is processed in task batches
+whose results are unioned (every task in exactly one batch).
 """
 
 from __future__ import annotations
@@ -22,10 +25,9 @@ from ..functions.timekeys import parse_time, seconds_between
 from ..operators.sessions import USER_FIELDS
 from ..operators.stats import bucket_count_columns, with_ratios
 
-# Tasks per broadcast batch. Each task row is ~1 KB of parameters, so a batch
-# stays far below any broadcast limit; every (session, date) row is compared
-# with every task of the batch (nested-loop join on the date range).
-MAX_TASKS_PER_BATCH = 2000
+# Upper bound of (date, task) pairs broadcast at once; each pair carries the
+# task's keyword / category lists (~1 KB), so a batch stays in the tens of MB.
+MAX_PAIRS_PER_BATCH = 20000
 
 
 def session_days(actions: DataFrame) -> DataFrame:
@@ -48,10 +50,16 @@ def session_days(actions: DataFrame) -> DataFrame:
     )
 
 
-def _stats_for_tasks(days: DataFrame, users: DataFrame, tp: DataFrame) -> DataFrame:
+def date_task_pairs(dates: DataFrame, tp: DataFrame) -> DataFrame:
+    """(date, task_id, keywords, category_ids) for every distinct action date
+    inside a task's [start_date, end_date] (string compare, like the scan)."""
     ranges = F.broadcast(tp.select("task_id", "start_date", "end_date", "keywords", "category_ids"))
-    in_range = (days.date >= ranges.start_date) & (days.date <= ranges.end_date)
-    td = days.join(ranges, in_range, "inner")
+    in_range = (dates.date >= ranges.start_date) & (dates.date <= ranges.end_date)
+    return dates.join(ranges, in_range, "inner").select("date", "task_id", "keywords", "category_ids")
+
+
+def _stats_for_tasks(days: DataFrame, users: DataFrame, tp: DataFrame, pairs: DataFrame) -> DataFrame:
+    td = days.join(F.broadcast(pairs), "date", "inner")
 
     kw_hit = F.col("keywords").isNull() | F.coalesce(F.arrays_overlap("keywords_seen", "keywords"), F.lit(False))
     cat_hit = F.col("category_ids").isNull() | F.coalesce(
@@ -98,10 +106,15 @@ def session_aggr_stat_by_task(actions: DataFrame, users: DataFrame, tasks: DataF
     """17-column stat rows, one per task of ``tasks`` (task_id, task_param)."""
     tp = task_param_columns(tasks)
     days = session_days(actions)
-    n_tasks = tp.count()
-    if n_tasks <= MAX_TASKS_PER_BATCH:
-        return _stats_for_tasks(days, users, tp)
-    n_batches = -(-n_tasks // MAX_TASKS_PER_BATCH)
+    dates = actions.select("date").distinct()
+    pairs = date_task_pairs(dates, tp)
+    n_pairs = pairs.count()  # size check before broadcasting
+    if n_pairs <= MAX_PAIRS_PER_BATCH:
+        return _stats_for_tasks(days, users, tp, pairs)
+    n_batches = -(-n_pairs // MAX_PAIRS_PER_BATCH)
     batch = F.pmod(F.xxhash64("task_id"), F.lit(n_batches))
-    parts = [_stats_for_tasks(days, users, tp.where(batch == i)) for i in range(n_batches)]
+    parts = []
+    for i in range(n_batches):
+        tasks_i = tp.where(batch == i)
+        parts.append(_stats_for_tasks(days, users, tasks_i, pairs.where(batch == i)))
     return reduce(DataFrame.unionByName, parts)
