@@ -115,3 +115,14 @@ def test_parquet_sink_appends(spark):
     sinks.append_files(row, out)
     back = spark.read.parquet(out)
     assert back.count() == 2 and tuple(back.columns) == tuple(row.columns)
+
+
+def test_scale_conf_sizes_partitions():
+    from visitlens.session import MB, scale_conf
+
+    small = scale_conf(total_cores=16, input_bytes=100 * MB)
+    assert int(small["spark.sql.shuffle.partitions"]) == 32  # at least two per core
+    big = scale_conf(total_cores=8000, input_bytes=20 * (1 << 40))  # 20 TB of scanned columns
+    parts = int(big["spark.sql.shuffle.partitions"])
+    assert 20 * (1 << 40) * 0.25 / parts <= 128 * MB  # <= 128 MB of shuffle data per partition
+    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(parts)

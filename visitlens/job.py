@@ -20,7 +20,7 @@ from .constants import LOCAL_SESSION_TASK_ID
 from .functions.params import TaskParams
 from .plans.by_task import session_aggr_stat_by_task
 from .plans.session_stat import session_aggr_stat
-from .session import build_session
+from .session import build_session, scale_conf
 from .sources import fixtures, sinks, tables
 
 
@@ -35,6 +35,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--hive", action="store_true", help="read catalog tables from the Hive metastore")
     ap.add_argument("--out-jdbc-url", help="append the result to session_aggr_stat over JDBC")
     ap.add_argument("--out-path", help="append the result to a parquet table at this path")
+    ap.add_argument("--cluster-cores", type=int, help="total executor cores (sizes partitions with --input-bytes)")
+    ap.add_argument("--input-bytes", type=int, help="bytes of the action columns the job scans")
     ap.add_argument("--show", action="store_true")
     ap.add_argument("--master")
     return ap.parse_args(argv)
@@ -42,7 +44,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(sys.argv[1:] if argv is None else argv)
-    spark = build_session(args.master, app_name="visitlens-session-job", hive=args.hive)
+    extra = scale_conf(args.cluster_cores, args.input_bytes) if args.cluster_cores and args.input_bytes else None
+    spark = build_session(args.master, app_name="visitlens-session-job", hive=args.hive, extra_conf=extra)
     if args.fixture_dir:
         actions = fixtures.user_visit_action(spark, args.fixture_dir)
         users = fixtures.user_info(spark, args.fixture_dir)

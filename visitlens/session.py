@@ -55,6 +55,33 @@ def build_session(
     return spark
 
 
+MB = 1 << 20
+
+
+def scale_conf(total_cores: int, input_bytes: int, shuffle_fraction: float = 0.25) -> dict[str, str]:
+    """Partition sizing for a cluster run, so that no task outgrows memory.
+
+    * scan splits of 256 MB: 100 TB of actions become ~400k scan tasks, a few
+      dozen waves on a 1000-executor cluster, each split well inside memory;
+    * initial shuffle partitions sized for ~128 MB of shuffle data each, with
+      the shuffled bytes estimated as ``shuffle_fraction`` of the input (the
+      session aggregation combines map-side, so its shuffle is a fraction of
+      the scanned columns); AQE then coalesces toward the 128 MB advisory size
+      and splits partitions more than 5× the median and above 256 MB (skew);
+    * at least 2 partitions per core so every core has work in every stage.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    partitions = max(2 * total_cores, -(-shuffle_bytes // (128 * MB)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * MB),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
