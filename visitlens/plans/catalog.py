@@ -29,9 +29,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _actions(spark: SparkSession, sf_dir: str, params: TaskParams | None = None) -> DataFrame:
-    if params is None:
-        return fixtures.user_visit_action(spark, sf_dir)
-    return fixtures.user_visit_action(spark, sf_dir, params.start_date, params.end_date)
+    """The action table (stored once per session, partitioned by date); the
+    task's date range is applied by the plans and prunes partitions."""
+    return fixtures.stored_actions(spark, sf_dir)
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import uuid
 import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +50,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def forget(spark: SparkSession) -> None:
     """Drop the cached table handles of ``spark`` (files changed on disk)."""
     _HANDLES.pop(spark, None)
+    _STORED.pop(spark, None)
 
 
 def _canonical_day(text: str | None) -> _dt.date | None:
@@ -153,6 +155,36 @@ def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ACTION_SCHEMA = (
+    "user_id bigint, session_id string, page_id bigint, action_time string, search_keyword string, "
+    "click_category_id bigint, click_product_id bigint, order_category_ids string, order_product_ids string, "
+    "pay_category_ids string, pay_product_ids string, city_id bigint, date string"
+)
+
+_STORED: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
+def stored_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user_visit_action`` as the production layout has it: a parquet table
+    partitioned by ``date``, written once per session from ``events`` into the
+    shared checkpoint folder (``spark.checkpoint.dir``) and read back from there.
+
+    A task's date range then prunes whole partitions (exact string compare on
+    the partition value) and the scan splits over the files, and the lineage
+    of every query starts at this table instead of at the JSON-parsing
+    derivation. Each task of the writing stage writes the dates it holds, so
+    the write itself has no shuffle and no hot partition."""
+    from ..session import ensure_checkpoint_dir
+
+    tables = _STORED.setdefault(spark, {})
+    if sf_dir not in tables:
+        base = ensure_checkpoint_dir(spark).rstrip("/")
+        path = f"{base}/visitlens-tables/{uuid.uuid4().hex}/user_visit_action"
+        user_visit_action(spark, sf_dir).write.mode("error").partitionBy("date").parquet(path)
+        tables[sf_dir] = spark.read.schema(ACTION_SCHEMA).parquet(path).select(*ACTION_COLUMNS)
+    return tables[sf_dir]
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register the three fixture views under the original table names."""
     user_visit_action(spark, sf_dir).createOrReplaceTempView("user_visit_action")
