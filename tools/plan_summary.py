@@ -61,10 +61,13 @@ def summarise(plan: str) -> list[str]:
             out.append(f"{part}{kind} by [{keys.group(1) if keys else ''}]")
         elif line.startswith("FileScan parquet"):
             table = re.search(r"/([a-z_]+)\.parquet", line)
+            name = table.group(1) if table else ("user_visit_action (stored)" if "visitlens-t" in line else "?")
             cols = re.search(r"FileScan parquet \[([^\]]*)\]", line)
             pushed = re.search(r"PushedFilters: \[([^\]]*)\]", line)
+            parts = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", line)
             out.append(
-                f"scan {table.group(1) if table else '?'} [{cols.group(1) if cols else ''}]"
+                f"scan {name} [{cols.group(1) if cols else ''}]"
+                + (f" partitions: {parts.group(1)}" if parts and parts.group(1) else "")
                 + (f" pushed: {pushed.group(1)}" if pushed and pushed.group(1) else "")
             )
     return out
