@@ -85,12 +85,16 @@ def scale_conf(total_cores: int, input_bytes: int, shuffle_fraction: float = 0.2
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (tests, a laptop) a private folder is chosen.
+    On a cluster that setting must point at storage every executor sees
+    (HDFS, an object store) and is used as is; a cluster session without it
+    is an error, because a machine-local folder would not be shared. Only a
+    ``local[...]`` session (tests, a laptop) falls back to a private folder.
     """
     sc = spark.sparkContext
     configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="visitlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
