@@ -84,3 +84,18 @@ def test_time_helpers(spark):
 def test_today_yesterday(spark):
     r = spark.range(1).select(timekeys.today("2024-03-01").alias("t"), timekeys.yesterday("2024-03-01").alias("y")).first()
     assert (r.t, r.y) == ("2024-03-01", "2024-02-29")
+
+
+def test_date_key_roundtrip_and_formats(spark):
+    df = spark.createDataFrame([("20240229",), ("20240230",)], "k string")
+    rows = df.select(
+        timekeys.parse_date_key(F.col("k")).alias("d"),
+        timekeys.format_date(timekeys.parse_date_key(F.col("k"))).alias("f"),
+    ).collect()
+    assert str(rows[0].d) == "2024-02-29" and rows[0].f == "2024-02-29"
+    assert rows[1].d is None  # not a date
+
+
+def test_is_empty(spark):
+    df = spark.createDataFrame([(None,), ("",), ("x",)], "s string")
+    assert [r[0] for r in df.select(kv.is_empty(F.col("s"))).collect()] == [True, True, False]

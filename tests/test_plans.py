@@ -126,3 +126,16 @@ def test_scale_conf_sizes_partitions():
     parts = int(big["spark.sql.shuffle.partitions"])
     assert 20 * (1 << 40) * 0.25 / parts <= 128 * MB  # <= 128 MB of shuffle data per partition
     assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(parts)
+
+
+def test_job_cli_writes_stat_rows(spark):
+    from visitlens import job
+
+    out = os.path.join(tempfile.mkdtemp(prefix="visitlens-job-"), "stat")
+    task = '{"startDate":["2024-01-05"],"endDate":["2024-01-20"],"sex":["female"]}'
+    assert job.main(["--fixture-dir", SF_SMALL, "--task-json", task, "--task-id", "7", "--out-path", out]) == 0
+    rows = spark.read.parquet(out).collect()
+    expected = session_aggr_stat(
+        fixtures.user_visit_action(spark, SF_SMALL), fixtures.user_info(spark, SF_SMALL), TaskParams.from_json(task), 7
+    ).first()
+    assert len(rows) == 1 and rows[0].asDict() == expected.asDict()

@@ -82,7 +82,7 @@ def format_date(ts: Column) -> Column:
 
 def parse_date_key(text: Column) -> Column:
     """``parseDateKey``: ``yyyyMMdd`` -> date, NULL when it does not parse."""
-    return F.try_to_date(text, F.lit("yyyyMMdd"))
+    return F.try_to_date(text, "yyyyMMdd")
 
 
 def today(as_of: str) -> Column:
