@@ -99,3 +99,10 @@ def test_date_key_roundtrip_and_formats(spark):
 def test_is_empty(spark):
     df = spark.createDataFrame([(None,), ("",), ("x",)], "s string")
     assert [r[0] for r in df.select(kv.is_empty(F.col("s"))).collect()] == [True, True, False]
+
+
+def test_set_field_inserts_value_literally(spark):
+    df = spark.createDataFrame([("b=2|a=1",)], "r string")
+    value = "x$1\\y"
+    got = df.select(kv.set_field(F.col("r"), "a", F.lit(value))).first()[0]
+    assert got == java_set_field("b=2|a=1", "a", value) == "b=2|a=x$1\\y"

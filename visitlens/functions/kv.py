@@ -46,20 +46,14 @@ def get_field(record: Column, field: str) -> Column:
 def set_field(record: Column, field: str, value: Column) -> Column:
     """``setFieldInConcatString(record, "|", field, value)``.
 
-    One left fold over the pieces: the first piece named ``field`` is
-    replaced, every other piece is kept; linear in the number of pieces."""
-    pieces = F.split(F.regexp_replace(record, r"\|+$", ""), r"\|", -1)
-    replacement = F.concat(F.lit(field + "="), value.cast("string"))
-    start = F.struct(F.lit(False).alias("done"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, piece: Column) -> Column:
-        hit = ~acc["done"] & (F.substring_index(piece, "=", 1) == F.lit(field))
-        return F.struct(
-            (acc["done"] | hit).alias("done"),
-            F.array_append(acc["out"], F.when(hit, replacement).otherwise(piece)).alias("out"),
-        )
-
-    return F.aggregate(pieces, start, step, lambda acc: F.array_join(acc["out"], "|"))
+    One anchored regex: the lazy prefix skips as few whole pieces as possible,
+    so only the first piece whose name (text before its first ``=``) is
+    ``field`` is replaced. Trailing ``|`` are dropped first, as the original's
+    split dropped trailing empty pieces."""
+    trimmed = F.regexp_replace(record, r"\|+$", "")
+    pattern = r"^((?:[^|]*\|)*?)" + re.escape(field) + r"(?:=[^|]*)?(?=\||$)"
+    literal = F.regexp_replace(value.cast("string"), r"([\\$])", r"\\$1")  # no group references in the value
+    return F.regexp_replace(trimmed, F.lit(pattern), F.concat(F.lit("$1" + field + "="), literal))
 
 
 def encode(fields: list[tuple[str, Column]]) -> Column:
