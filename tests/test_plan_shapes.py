@@ -80,3 +80,47 @@ def test_hot_session_time_keys_match_brute_force(spark):
             gap = int((t - earlier[-1]).total_seconds()) if earlier else None
             expected.append((sid, at, gap, bool(t > first), bool(t < last)))
     assert got == sorted(expected)
+
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4096",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_hot_user_join_is_split_by_aqe(spark):
+    """One user owns 80% of the sessions: AQE splits that join partition."""
+    from visitlens.functions.params import TaskParams
+    from visitlens.plans.session_stat import session_aggr_stat
+
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        actions = spark.range(0, 40000, numPartitions=8).selectExpr(
+            "'2024-01-01' AS date",
+            "CASE WHEN id % 10 < 8 THEN 7L ELSE id % 500 END AS user_id",
+            "concat('s', CAST(id % 20000 AS STRING)) AS session_id",
+            "0L AS page_id",
+            "concat('2024-01-01 1:', lpad(CAST(id % 60 AS STRING), 2, '0'), ':00') AS action_time",
+            "CAST(NULL AS STRING) AS search_keyword",
+            "CAST(NULL AS BIGINT) AS click_category_id",
+        )
+        users = spark.range(0, 500).selectExpr(
+            "id AS user_id", "CAST(id % 60 AS INT) AS age", "'p' AS professional", "'c' AS city", "'male' AS sex"
+        )
+        df = session_aggr_stat(actions, users, TaskParams(start_date="2024-01-01", end_date="2024-01-01"))
+        row = df.collect()[0]  # collect on df itself, so its adaptive plan is the final one
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "skew=true" in plan
+        assert row.session_count == 20000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
