@@ -47,3 +47,12 @@ def test_stored_table_equals_derived_view(spark):
     stored = fixtures.stored_actions(spark, d)
     assert stored.columns == derived.columns
     assert stored.exceptAll(derived).count() == 0 and derived.exceptAll(stored).count() == 0
+
+
+def test_preview_and_views(spark):
+    d = "/root/testdata/sf0.001"
+    rows = fixtures.preview(spark, d)
+    assert {k: len(v) for k, v in rows.items()} == {"user_visit_action": 1, "user_info": 1, "product_info": 1}
+    fixtures.register_views(spark, d)
+    assert spark.sql("SELECT count(*) FROM user_visit_action").first()[0] == 1000
+    assert spark.table("product_info").columns == ["product_id", "product_name", "extend_info"]

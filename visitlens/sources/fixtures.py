@@ -185,6 +185,16 @@ def stored_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables[sf_dir]
 
 
+def preview(spark: SparkSession, sf_dir: str, n: int = 1) -> dict[str, list]:
+    """First ``n`` rows of each input table, as a smoke check of the adapter
+    (``take`` stops after the first rows it needs; nothing else is read)."""
+    return {
+        "user_visit_action": user_visit_action(spark, sf_dir).take(n),
+        "user_info": user_info(spark, sf_dir).take(n),
+        "product_info": product_info(spark, sf_dir).take(n),
+    }
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register the three fixture views under the original table names."""
     user_visit_action(spark, sf_dir).createOrReplaceTempView("user_visit_action")
