@@ -66,3 +66,17 @@ def test_load_task_params_from_table(spark):
     assert load_task_params(tasks, 14).sex == "male"  # only element 0 counts
     with pytest.raises(TaskError):
         load_task_params(tasks, 999)
+
+
+def test_age_columns(spark):
+    from visitlens.session import local_table
+
+    rows = [
+        (1, '{"startAge":["x"],"endAge":["3"]}'),
+        (2, '{"startAge":["+5"],"endAge":["-3"]}'),
+        (3, '{"startAge":["20"]}'),
+        (4, '{"startAge":[""],"endAge":["30"]}'),
+    ]
+    tasks = local_table(spark, rows, [("task_id", "BIGINT"), ("task_param", "STRING")])
+    got = {r.task_id: (r.age_lo, r.age_hi, r.age_bad) for r in task_param_columns(tasks).collect()}
+    assert got == {1: (None, None, True), 2: (5, -3, False), 3: (None, None, False), 4: (None, None, False)}

@@ -20,8 +20,7 @@ import dataclasses
 import json
 import re
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from .. import constants as C
 
@@ -143,14 +142,13 @@ class TaskParams:
         return [int(x) for x in items]
 
 
-def _param_column(task_param: Column, key: str) -> Column:
-    return F.get_json_object(task_param, f"$.{key}[0]")
+def _param_sql(param_col: str, key: str) -> str:
+    return f"get_json_object({param_col}, '$.{key}[0]')"
 
 
-def _list_column(text: Column) -> Column:
-    """Column version of :func:`split_list`: NULL = no filter, [] = match nothing."""
-    items = F.filter(F.split(text, ",", -1), lambda x: x != F.lit(""))
-    return F.when(text.isNull() | (text == ""), F.lit(None)).otherwise(items)
+def _list_sql(text: str) -> str:
+    """SQL of :func:`split_list`: NULL = no filter, [] = match nothing."""
+    return f"CASE WHEN coalesce({text}, '') = '' THEN NULL ELSE filter(split({text}, ',', -1), x -> x <> '') END"
 
 
 def task_param_columns(tasks: DataFrame, param_col: str = "task_param") -> DataFrame:
@@ -161,22 +159,22 @@ def task_param_columns(tasks: DataFrame, param_col: str = "task_param") -> DataF
     the task matches nothing), professionals, cities, keywords, category_ids
     (array<string> or NULL), sex (NULL = no filter).
     """
-    p = F.col(param_col)
-    start_age = _param_column(p, C.PARAM_START_AGE)
-    end_age = _param_column(p, C.PARAM_END_AGE)
-    both = (F.coalesce(start_age, F.lit("")) != "") & (F.coalesce(end_age, F.lit("")) != "")
-    good = start_age.rlike(_INT.pattern) & end_age.rlike(_INT.pattern)
-    sex = _param_column(p, C.PARAM_SEX)
-    return tasks.select(
-        F.col("task_id"),
-        _param_column(p, C.PARAM_START_DATE).alias("start_date"),
-        _param_column(p, C.PARAM_END_DATE).alias("end_date"),
-        F.when(both & good, start_age.cast("int")).alias("age_lo"),
-        F.when(both & good, end_age.cast("int")).alias("age_hi"),
-        (both & ~good).alias("age_bad"),
-        _list_column(_param_column(p, C.PARAM_PROFESSIONALS)).alias("professionals"),
-        _list_column(_param_column(p, C.PARAM_CITIES)).alias("cities"),
-        F.when(sex != "", sex).alias("sex"),
-        _list_column(_param_column(p, C.PARAM_KEYWORDS)).alias("keywords"),
-        _list_column(_param_column(p, C.PARAM_CATEGORY_IDS)).alias("category_ids"),
+    def p(key: str) -> str:
+        return _param_sql(param_col, key)
+
+    both = f"(coalesce({p(C.PARAM_START_AGE)}, '') <> '' AND coalesce({p(C.PARAM_END_AGE)}, '') <> '')"
+    integer = "'^[+-]?[0-9]+$'"  # same rule as _INT, written without backslashes for SQL text
+    good = f"({p(C.PARAM_START_AGE)} RLIKE {integer} AND {p(C.PARAM_END_AGE)} RLIKE {integer})"
+    return tasks.selectExpr(
+        "task_id",
+        f"{p(C.PARAM_START_DATE)} AS start_date",
+        f"{p(C.PARAM_END_DATE)} AS end_date",
+        f"CASE WHEN {both} AND {good} THEN CAST({p(C.PARAM_START_AGE)} AS INT) END AS age_lo",
+        f"CASE WHEN {both} AND {good} THEN CAST({p(C.PARAM_END_AGE)} AS INT) END AS age_hi",
+        f"coalesce({both} AND NOT {good}, false) AS age_bad",
+        f"{_list_sql(p(C.PARAM_PROFESSIONALS))} AS professionals",
+        f"{_list_sql(p(C.PARAM_CITIES))} AS cities",
+        f"CASE WHEN {p(C.PARAM_SEX)} <> '' THEN {p(C.PARAM_SEX)} END AS sex",
+        f"{_list_sql(p(C.PARAM_KEYWORDS))} AS keywords",
+        f"{_list_sql(p(C.PARAM_CATEGORY_IDS))} AS category_ids",
     )

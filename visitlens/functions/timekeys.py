@@ -20,6 +20,11 @@ def parse_time(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit(ACTION_TIME_PATTERN)).cast("timestamp_ntz")
 
 
+def parse_time_sql(text: str) -> str:
+    """:func:`parse_time` as SQL text over the SQL expression ``text``."""
+    return f"CAST(try_to_timestamp({text}, '{ACTION_TIME_PATTERN}') AS TIMESTAMP_NTZ)"
+
+
 def seconds_between(later: Column, earlier: Column) -> Column:
     """Whole seconds ``later - earlier`` of two timestamp_ntz values (complete
     seconds, like integer division of milliseconds by 1000); NULL if either is NULL."""

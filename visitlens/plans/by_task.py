@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import task_param_columns
-from ..functions.timekeys import parse_time, seconds_between
-from ..operators.sessions import USER_FIELDS
+from ..functions.timekeys import parse_time_sql
 from ..operators.stats import bucket_count_columns, with_ratios
 
 # Upper bound of (date, task) pairs broadcast at once; each pair carries the
@@ -38,15 +37,14 @@ def session_days(actions: DataFrame) -> DataFrame:
     exactly the re-aggregation of these rows over its dates. Partial
     aggregation runs map-side, so a hot session costs one row per map task
     and date before the shuffle."""
-    t = parse_time(F.col("action_time"))
-    user, kw, cat = F.col("user_id"), F.col("search_keyword"), F.col("click_category_id")
+    t = parse_time_sql("action_time")
     return actions.groupBy("session_id", "date").agg(
-        F.max(F.when(user != 0, user)).alias("user_max"),
-        F.min(t).alias("t_min"),
-        F.max(t).alias("t_max"),
-        F.count(F.lit(1)).alias("steps"),
-        F.collect_set(F.when(kw != "", kw)).alias("keywords_seen"),
-        F.collect_set(F.when(cat != 0, cat.cast("string"))).alias("categories_seen"),
+        F.expr("max(CASE WHEN user_id <> 0 THEN user_id END) AS user_max"),
+        F.expr(f"min({t}) AS t_min"),
+        F.expr(f"max({t}) AS t_max"),
+        F.expr("count(1) AS steps"),
+        F.expr("collect_set(CASE WHEN search_keyword <> '' THEN search_keyword END) AS keywords_seen"),
+        F.expr("collect_set(CASE WHEN click_category_id <> 0 THEN CAST(click_category_id AS STRING) END) AS categories_seen"),
     )
 
 
@@ -58,46 +56,40 @@ def date_task_pairs(dates: DataFrame, tp: DataFrame) -> DataFrame:
     return dates.join(ranges, in_range, "inner").select("date", "task_id", "keywords", "category_ids")
 
 
+_SESSION_AGGS = (
+    "coalesce(max(user_max), 0L) AS user_id",
+    "min(t_min) AS _start",
+    "max(t_max) AS _end",
+    "sum(steps) AS step_length",
+    "bool_or(keywords IS NULL OR coalesce(arrays_overlap(keywords_seen, keywords), false)) AS kw_hit",
+    "bool_or(category_ids IS NULL OR coalesce(arrays_overlap(categories_seen, category_ids), false)) AS cat_hit",
+)
+
+# A task's filters as one predicate over a joined (session, user, task) row.
+_KEEP = (
+    "coalesce(NOT age_bad"
+    " AND (age_lo IS NULL OR age BETWEEN age_lo AND age_hi)"
+    " AND (professionals IS NULL OR array_contains(professionals, professional))"
+    " AND (cities IS NULL OR array_contains(cities, city))"
+    " AND (sex IS NULL OR sex = user_sex)"
+    " AND kw_hit AND cat_hit, false)"
+)
+
+
 def _stats_for_tasks(days: DataFrame, users: DataFrame, tp: DataFrame, pairs: DataFrame) -> DataFrame:
     td = days.join(F.broadcast(pairs), "date", "inner")
-
-    kw_hit = F.col("keywords").isNull() | F.coalesce(F.arrays_overlap("keywords_seen", "keywords"), F.lit(False))
-    cat_hit = F.col("category_ids").isNull() | F.coalesce(
-        F.arrays_overlap("categories_seen", "category_ids"), F.lit(False)
+    sessions = td.groupBy("task_id", "session_id").agg(*[F.expr(a) for a in _SESSION_AGGS]).selectExpr(
+        "task_id", "user_id", "step_length", "kw_hit", "cat_hit", "timestampdiff(SECOND, _start, _end) AS visit_length"
     )
-    sessions = td.groupBy("task_id", "session_id").agg(
-        F.coalesce(F.max("user_max"), F.lit(0).cast("bigint")).alias("user_id"),
-        F.min("t_min").alias("_start"),
-        F.max("t_max").alias("_end"),
-        F.sum("steps").alias("step_length"),
-        F.bool_or(kw_hit).alias("kw_hit"),
-        F.bool_or(cat_hit).alias("cat_hit"),
-    ).select(
-        "task_id", "user_id", "step_length", "kw_hit", "cat_hit",
-        seconds_between(F.col("_end"), F.col("_start")).alias("visit_length"),
-    )
-
-    user_cols = users.select("user_id", *USER_FIELDS).withColumnRenamed("sex", "user_sex")
+    user_cols = users.selectExpr("user_id", "age", "professional", "city", "sex AS user_sex")
     joined = sessions.join(user_cols, "user_id", "inner")
-    user_params = F.broadcast(
-        tp.select("task_id", "age_lo", "age_hi", "age_bad", "professionals", "cities", "sex")
-    )
-    keep = (
-        ~F.col("age_bad")
-        & (F.col("age_lo").isNull() | F.col("age").between(F.col("age_lo"), F.col("age_hi")))
-        & (F.col("professionals").isNull() | F.array_contains("professionals", F.col("professional")))
-        & (F.col("cities").isNull() | F.array_contains("cities", F.col("city")))
-        & (F.col("sex").isNull() | (F.col("sex") == F.col("user_sex")))
-        & F.col("kw_hit")
-        & F.col("cat_hit")
-    )
-    kept = joined.join(user_params, "task_id", "inner").where(F.coalesce(keep, F.lit(False)))
+    user_params = F.broadcast(tp.select("task_id", "age_lo", "age_hi", "age_bad", "professionals", "cities", "sex"))
+    kept = joined.join(user_params, "task_id", "inner").where(_KEEP)
     counts = kept.groupBy("task_id").agg(*bucket_count_columns())
 
     # Every task gets a row, even when it selected nothing.
-    all_tasks = tp.select("task_id")
-    filled = all_tasks.join(counts, "task_id", "left").select(
-        "task_id", *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in counts.columns if c != "task_id"]
+    filled = tp.select("task_id").join(counts, "task_id", "left").selectExpr(
+        "task_id", *[f"coalesce({c}, 0L) AS {c}" for c in counts.columns if c != "task_id"]
     )
     return with_ratios(filled, "task_id")
 
