@@ -10,11 +10,12 @@ the output asks for them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import TaskError
-from ..functions.timekeys import parse_time, seconds_between
+from ..functions.timekeys import parse_time_sql
+from ..session import sql_literal
 
 SESSION_COLUMNS = (
     "session_id", "user_id", "search_keywords", "click_category_ids", "visit_length", "step_length",
@@ -33,20 +34,23 @@ def scan_actions(actions: DataFrame, start_date: str | None, end_date: str | Non
     return actions.where((F.col("date") >= F.lit(start_date)) & (F.col("date") <= F.lit(end_date)))
 
 
-def keyword_hit(keywords: list[str]) -> Column:
-    """Per-action test for the keyword filter (exact word, any of the list)."""
+def _in_list(expr: str, items: list[str]) -> str:
+    return f"{expr} IN ({', '.join(sql_literal(x) for x in items)})"
+
+
+def keyword_hit(keywords: list[str]) -> str:
+    """Per-action SQL test for the keyword filter (exact word, any of the list)."""
     if not keywords:
-        return F.lit(False)
-    return F.coalesce(F.col("search_keyword").isin(keywords), F.lit(False))
+        return "false"
+    return f"coalesce({_in_list('search_keyword', keywords)}, false)"
 
 
-def category_hit(category_ids: list[str]) -> Column:
-    """Per-action test for the category filter. Ids compare as text, like the
-    original; category 0 and NULL never count as clicked."""
+def category_hit(category_ids: list[str]) -> str:
+    """Per-action SQL test for the category filter. Ids compare as text, like
+    the original; category 0 and NULL never count as clicked."""
     if not category_ids:
-        return F.lit(False)
-    cat = F.col("click_category_id")
-    return F.coalesce((cat != 0) & cat.cast("string").isin(category_ids), F.lit(False))
+        return "false"
+    return f"coalesce(click_category_id <> 0 AND {_in_list('CAST(click_category_id AS STRING)', category_ids)}, false)"
 
 
 def aggregate_sessions(
@@ -63,52 +67,39 @@ def aggregate_sessions(
     click_category_ids (sorted distinct values joined by ','; '' when none);
     ``kw_hit`` / ``cat_hit`` when a keyword / category filter is given.
     """
-    t = parse_time(F.col("action_time"))
-    user = F.col("user_id")
+    t = parse_time_sql("action_time")
     aggs = [
-        F.max(F.when(user != 0, user)).alias("_user"),
-        F.min(t).alias("_start"),
-        F.max(t).alias("_end"),
-        F.count(F.lit(1)).alias("step_length"),
+        "max(CASE WHEN user_id <> 0 THEN user_id END) AS _user",
+        f"min({t}) AS _start",
+        f"max({t}) AS _end",
+        "count(1) AS step_length",
     ]
+    cols = ["session_id", "coalesce(_user, 0L) AS user_id"]
     if with_lists:
-        kw = F.col("search_keyword")
-        cat = F.col("click_category_id")
         aggs += [
-            F.collect_set(F.when(kw != "", kw)).alias("_kw"),
-            F.collect_set(F.when(cat != 0, cat)).alias("_cat"),
+            "collect_set(CASE WHEN search_keyword <> '' THEN search_keyword END) AS _kw",
+            "collect_set(CASE WHEN click_category_id <> 0 THEN click_category_id END) AS _cat",
         ]
-    if keywords is not None:
-        aggs.append(F.bool_or(keyword_hit(keywords)).alias("kw_hit"))
-    if category_ids is not None:
-        aggs.append(F.bool_or(category_hit(category_ids)).alias("cat_hit"))
-
-    grouped = actions.groupBy("session_id").agg(*aggs)
-    cols = [
-        F.col("session_id"),
-        F.coalesce(F.col("_user"), F.lit(0).cast("bigint")).alias("user_id"),
-    ]
-    if with_lists:
         cols += [
-            F.array_join(F.array_sort("_kw"), ",").alias("search_keywords"),
-            F.array_join(F.transform(F.array_sort("_cat"), lambda x: x.cast("string")), ",").alias(
-                "click_category_ids"
-            ),
+            "array_join(array_sort(_kw), ',') AS search_keywords",
+            "array_join(transform(array_sort(_cat), x -> CAST(x AS STRING)), ',') AS click_category_ids",
         ]
-    cols += [seconds_between(F.col("_end"), F.col("_start")).alias("visit_length"), F.col("step_length")]
+    cols += ["timestampdiff(SECOND, _start, _end) AS visit_length", "step_length"]
     if keywords is not None:
-        cols.append(F.col("kw_hit"))
+        aggs.append(f"bool_or({keyword_hit(keywords)}) AS kw_hit")
+        cols.append("kw_hit")
     if category_ids is not None:
-        cols.append(F.col("cat_hit"))
-    return grouped.select(*cols)
+        aggs.append(f"bool_or({category_hit(category_ids)}) AS cat_hit")
+        cols.append("cat_hit")
+    return actions.groupBy("session_id").agg(*[F.expr(a) for a in aggs]).selectExpr(*cols)
 
 
 def join_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Inner equi-join of sessions and users on user_id (sessions without a
     user row vanish; a duplicated user id multiplies its sessions).
 
-    No broadcast hint: Spark/AQE broadcast the user side only when its
-    measured size is under the threshold, else sort-merge join, with AQE
-    splitting a hot user id (e.g. the 0 of anonymous sessions).
+    No broadcast hint: AQE broadcasts a side only when its measured size is
+    under the threshold (small inputs); otherwise it is a sort-merge join and
+    AQE splits a hot user id (e.g. the 0 of anonymous sessions).
     """
     return sessions.join(users.select("user_id", *USER_FIELDS), "user_id", "inner")

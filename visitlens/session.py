@@ -108,7 +108,8 @@ def local_cpus(default: int = 8) -> int:
         return default
 
 
-def _sql_literal(value) -> str:
+def sql_literal(value) -> str:
+    """A Python value as a Spark SQL literal (strings escaped)."""
     if value is None:
         return "NULL"
     if isinstance(value, bool):
@@ -130,5 +131,5 @@ def local_table(spark, rows, columns: list[tuple[str, str]]):
     if not rows:
         nulls = ", ".join(f"CAST(NULL AS {t}) AS {n}" for n, t in columns)
         return spark.sql(f"SELECT {nulls}").where("FALSE")
-    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    values = ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT {typed} FROM VALUES {values} AS t({', '.join(names)})")
