@@ -20,11 +20,11 @@ rows. A run of m identical (time, page) rows adds m-1 self pairs (page, page).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rounding import ratio
-from ..functions.timekeys import parse_time
+from ..functions.rounding import ratio_sql
+from ..functions.timekeys import parse_time_sql
 from ..session import local_table
 
 
@@ -32,47 +32,55 @@ def page_points(actions: DataFrame) -> DataFrame:
     """One row per distinct (session, time, page) with its multiplicity m and
     day; actions whose time does not parse are left out. Partial aggregation
     combines a hot session map-side."""
-    timed = actions.select("session_id", "page_id", parse_time(F.col("action_time")).alias("t")).where(
-        F.col("t").isNotNull()
+    timed = actions.selectExpr("session_id", "page_id", f"{parse_time_sql('action_time')} AS t").where(
+        "t IS NOT NULL"
     )
-    return timed.groupBy("session_id", "t", "page_id").agg(F.count(F.lit(1)).alias("m")).withColumn(
-        "day", F.to_date("t")
+    return timed.groupBy("session_id", "t", "page_id").agg(F.expr("count(1) AS m")).selectExpr(
+        "*", "to_date(t) AS day"
     )
 
 
+# An order-preserving numeric key of a point inside one day (second of the
+# day, then page id), so that the first / last point of a session-day is a
+# plain min / max and stays a hash aggregation (min / max of a struct sorts).
+_POINT_KEY = (
+    "CAST(hour(t) * 3600 + minute(t) * 60 + second(t) AS DECIMAL(6,0)) * CAST(1E20 AS DECIMAL(21,0))"
+    " + (CAST(page_id AS DECIMAL(20,0)) + 9223372036854775808BD)"
+)
+
+
+def _page_of(key: str) -> str:
+    return f"CAST(({key} % CAST(1E20 AS DECIMAL(21,0))) - 9223372036854775808BD AS BIGINT)"
+
+
 def adjacent_page_pairs(points: DataFrame) -> DataFrame:
     """(from_page, to_page, pairs): counts of adjacent page pairs over all
     sessions, from the rows of :func:`page_points`."""
-
-    in_day = Window.partitionBy("session_id", "day").orderBy("t", "page_id")
-    w = points.select("page_id", "m", F.lag("page_id").over(in_day).alias("prev_page"))
-    # per point: the pair (previous point -> this point) and m-1 self pairs
-    # inside a run of m identical points
-    none = F.array().cast("array<struct<from_page:bigint,to_page:bigint,n:bigint>>")
-    pair = lambda a, b, n: F.array(F.struct(a.alias("from_page"), b.alias("to_page"), n.alias("n")))
-    emitted = F.concat(
-        F.when(F.col("prev_page").isNotNull(), pair(F.col("prev_page"), F.col("page_id"), F.lit(1).cast("bigint")))
-        .otherwise(none),
-        F.when(F.col("m") > 1, pair(F.col("page_id"), F.col("page_id"), F.col("m") - 1)).otherwise(none),
+    # per point: the pair (previous point of the session-day -> this point)
+    # and m-1 self pairs inside a run of m identical points
+    w = points.selectExpr(
+        "page_id", "m", "lag(page_id) OVER (PARTITION BY session_id, day ORDER BY t, page_id) AS prev_page"
     )
-    within = w.select(F.explode(emitted).alias("p")).select("p.*")
-
-    # First and last point of each session-day as plain min / max of an
-    # order-preserving numeric key (second of the day, then page id), so the
-    # step stays a hash aggregation (a min / max of a struct would sort).
-    key = F.expr(
-        "CAST(hour(t) * 3600 + minute(t) * 60 + second(t) AS DECIMAL(6,0)) * CAST(1E20 AS DECIMAL(21,0)) "
-        "+ (CAST(page_id AS DECIMAL(20,0)) + 9223372036854775808BD)"
+    within = w.selectExpr(
+        "explode(concat("
+        "  CASE WHEN prev_page IS NOT NULL THEN array(named_struct('from_page', prev_page, 'to_page', page_id, 'n', 1L))"
+        "       ELSE array() END,"
+        "  CASE WHEN m > 1 THEN array(named_struct('from_page', page_id, 'to_page', page_id, 'n', m - 1))"
+        "       ELSE array() END)) AS p"
+    ).select("p.*")
+
+    # pairs across a day boundary: last point of a session-day -> first point
+    # of the session's next day with actions (one row per session-day)
+    edges = points.groupBy("session_id", "day").agg(
+        F.expr(f"min({_POINT_KEY}) AS first_key"), F.expr(f"max({_POINT_KEY}) AS last_key")
     )
-    edges = points.groupBy("session_id", "day").agg(F.min(key).alias("first_key"), F.max(key).alias("last_key"))
-    page_of = lambda k: F.expr(f"CAST(({k} % CAST(1E20 AS DECIMAL(21,0))) - 9223372036854775808BD AS BIGINT)")
-    by_day = Window.partitionBy("session_id").orderBy("day")
-    across = edges.select(
-        F.lag(page_of("last_key")).over(by_day).alias("from_page"), page_of("first_key").alias("to_page")
-    ).where(F.col("from_page").isNotNull()).withColumn("n", F.lit(1).cast("bigint"))
+    across = edges.selectExpr(
+        f"lag({_page_of('last_key')}) OVER (PARTITION BY session_id ORDER BY day) AS from_page",
+        f"{_page_of('first_key')} AS to_page",
+        "1L AS n",
+    ).where("from_page IS NOT NULL")
 
-    pairs = within.unionByName(across)
-    return pairs.groupBy("from_page", "to_page").agg(F.sum("n").alias("pairs"))
+    return within.unionByName(across).groupBy("from_page", "to_page").agg(F.expr("sum(n) AS pairs"))
 
 
 def one_step_convert_rate(spark: SparkSession, actions: DataFrame, flow: list[int]) -> DataFrame:
@@ -84,17 +92,17 @@ def one_step_convert_rate(spark: SparkSession, actions: DataFrame, flow: list[in
     hops = [(i + 1, flow[i], flow[i + 1]) for i in range(len(flow) - 1)]
     hop_df = local_table(spark, hops, [("hop_index", "INT"), ("from_page", "BIGINT"), ("to_page", "BIGINT")])
     points = page_points(actions)
-    pairs = adjacent_page_pairs(points)
-    counted = hop_df.join(pairs, ["from_page", "to_page"], "left").select(
-        "hop_index", "from_page", "to_page", F.coalesce(F.col("pairs"), F.lit(0).cast("bigint")).alias("hop_count")
+    counted = hop_df.join(adjacent_page_pairs(points), ["from_page", "to_page"], "left").selectExpr(
+        "hop_index", "from_page", "to_page", "coalesce(pairs, 0L) AS hop_count"
+    )
+    first_page = "NULL" if not flow else str(int(flow[0]))
+    views = points.where(f"page_id = {first_page}").agg(
+        F.expr("0 AS hop_index"),
+        F.expr("CAST(NULL AS BIGINT) AS from_page"),
+        F.expr(f"CAST({first_page} AS BIGINT) AS to_page"),
+        F.expr("CAST(coalesce(sum(m), 0) AS BIGINT) AS hop_count"),
     )
-    first_page = flow[0] if flow else None
-    views = points.where(F.col("page_id") == F.lit(first_page)).agg(
-        F.lit(0).alias("hop_index"),
-        F.lit(None).cast("bigint").alias("from_page"),
-        F.lit(first_page).cast("bigint").alias("to_page"),
-        F.coalesce(F.sum("m"), F.lit(0)).cast("bigint").alias("hop_count"),
+    chain = views.unionByName(counted).selectExpr("*", "lag(hop_count) OVER (ORDER BY hop_index) AS prev")
+    return chain.where("hop_index >= 1").selectExpr(
+        "hop_index", "from_page", "to_page", "hop_count", f"{ratio_sql('hop_count', 'prev')} AS rate"
     )
-    prev = F.lag("hop_count").over(Window.orderBy("hop_index"))
-    chain = views.unionByName(counted).select("*", ratio(F.col("hop_count"), prev).alias("rate"))
-    return chain.where(F.col("hop_index") >= 1)
