@@ -28,48 +28,42 @@ TOP_CATEGORIES = 10
 TOP_SESSIONS = 10
 
 
-def _id_list(text_col: str) -> F.Column:
-    return F.transform(F.split(F.col(text_col), ",", -1), lambda x: x.try_cast("bigint"))
-
-
 def category_counts_by_session(actions: DataFrame) -> DataFrame:
     """(session_id, category_id, click_count, order_count, pay_count), one row per
     pair that has any count."""
-    click = F.when(F.col("click_category_id").isNotNull(), F.array(F.col("click_category_id")))
-    events = F.concat(
-        F.transform(F.coalesce(click, F.array().cast("array<bigint>")), lambda c: F.struct(c.alias("c"), F.lit(0).alias("k"))),
-        F.transform(F.coalesce(_id_list("order_category_ids"), F.array().cast("array<bigint>")),
-                    lambda c: F.struct(c.alias("c"), F.lit(1).alias("k"))),
-        F.transform(F.coalesce(_id_list("pay_category_ids"), F.array().cast("array<bigint>")),
-                    lambda c: F.struct(c.alias("c"), F.lit(2).alias("k"))),
-    )
-    exploded = actions.select("session_id", F.explode(events).alias("e")).select(
-        "session_id", F.col("e.c").alias("category_id"), F.col("e.k").alias("kind")
-    )
-    valid = exploded.where(F.col("category_id").isNotNull() & (F.col("category_id") != 0))
-    return valid.groupBy("session_id", "category_id").agg(
-        F.count_if(F.col("kind") == 0).alias("click_count"),
-        F.count_if(F.col("kind") == 1).alias("order_count"),
-        F.count_if(F.col("kind") == 2).alias("pay_count"),
+    ids = "transform(split({col}, ',', -1), x -> TRY_CAST(x AS BIGINT))"
+    events = actions.selectExpr(
+        "session_id",
+        "inline(concat("
+        "  CASE WHEN click_category_id IS NULL THEN array()"
+        "       ELSE array(named_struct('category_id', click_category_id, 'kind', 0)) END,"
+        f"  transform(coalesce({ids.format(col='order_category_ids')}, array()), c -> named_struct('category_id', c, 'kind', 1)),"
+        f"  transform(coalesce({ids.format(col='pay_category_ids')}, array()), c -> named_struct('category_id', c, 'kind', 2))"
+        "))",
+    ).where("category_id IS NOT NULL AND category_id <> 0")
+    return events.groupBy("session_id", "category_id").agg(
+        F.expr("count_if(kind = 0) AS click_count"),
+        F.expr("count_if(kind = 1) AS order_count"),
+        F.expr("count_if(kind = 2) AS pay_count"),
     )
 
 
 def top_categories(per_session: DataFrame, taskid: int, k: int = TOP_CATEGORIES) -> DataFrame:
     """taskid, categoryid, clickCount, orderCount, payCount of the top k categories."""
     totals = per_session.groupBy("category_id").agg(
-        F.sum("click_count").alias("clickCount"),
-        F.sum("order_count").alias("orderCount"),
-        F.sum("pay_count").alias("payCount"),
+        F.expr("sum(click_count) AS clickCount"),
+        F.expr("sum(order_count) AS orderCount"),
+        F.expr("sum(pay_count) AS payCount"),
     )
     top = totals.orderBy(
         F.col("clickCount").desc(), F.col("orderCount").desc(), F.col("payCount").desc(), F.col("category_id").asc()
     ).limit(k)
-    return top.select(
-        F.lit(taskid).cast("bigint").alias("taskid"),
-        F.col("category_id").alias("categoryid"),
-        F.col("clickCount").cast("bigint").alias("clickCount"),
-        F.col("orderCount").cast("bigint").alias("orderCount"),
-        F.col("payCount").cast("bigint").alias("payCount"),
+    return top.selectExpr(
+        f"CAST({int(taskid)} AS BIGINT) AS taskid",
+        "category_id AS categoryid",
+        "CAST(clickCount AS BIGINT) AS clickCount",
+        "CAST(orderCount AS BIGINT) AS orderCount",
+        "CAST(payCount AS BIGINT) AS payCount",
     )
 
 
