@@ -8,31 +8,27 @@ Keyword and category tests are computed per session during aggregation
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from ..functions.params import TaskParams
+from ..session import sql_literal
 
 
-def age_between(lo: int, hi: int) -> Column:
-    return F.col("age").between(F.lit(lo), F.lit(hi))
+def age_between(lo: int, hi: int) -> str:
+    return f"age BETWEEN {int(lo)} AND {int(hi)}"
 
 
-def value_in(column: str, items: list[str]) -> Column:
+def value_in(column: str, items: list[str]) -> str:
     if not items:
-        return F.lit(False)
-    return F.col(column).isin(items)
+        return "false"
+    return f"{column} IN ({', '.join(sql_literal(x) for x in items)})"
 
 
-def value_equals(column: str, value: str) -> Column:
-    return F.col(column) == F.lit(value)
+def value_equals(column: str, value: str) -> str:
+    return f"{column} = {sql_literal(value)}"
 
 
-def session_predicate(params: TaskParams) -> Column | None:
-    """AND of every given filter; None when the task filters nothing."""
-    tests: list[Column] = []
+def session_predicate(params: TaskParams) -> str | None:
+    """SQL of the AND of every given filter; None when the task filters nothing."""
+    tests: list[str] = []
     ages = params.age_range()
     if ages is not None:
         tests.append(age_between(*ages))
@@ -46,9 +42,9 @@ def session_predicate(params: TaskParams) -> Column | None:
     if sex is not None:
         tests.append(value_equals("sex", sex))
     if params.keyword_list() is not None:
-        tests.append(F.col("kw_hit"))
+        tests.append("kw_hit")
     if params.category_list() is not None:
-        tests.append(F.col("cat_hit"))
+        tests.append("cat_hit")
     if not tests:
         return None
-    return F.coalesce(reduce(lambda a, b: a & b, tests), F.lit(False))
+    return "coalesce(" + " AND ".join(f"({t})" for t in tests) + ", false)"

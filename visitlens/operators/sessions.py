@@ -31,7 +31,7 @@ def scan_actions(actions: DataFrame, start_date: str | None, end_date: str | Non
     """
     if start_date is None or end_date is None:
         raise TaskError("startDate and endDate are required")
-    return actions.where((F.col("date") >= F.lit(start_date)) & (F.col("date") <= F.lit(end_date)))
+    return actions.where(f"date >= {sql_literal(start_date)} AND date <= {sql_literal(end_date)}")
 
 
 def _in_list(expr: str, items: list[str]) -> str:
@@ -102,4 +102,4 @@ def join_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
     under the threshold (small inputs); otherwise it is a sort-merge join and
     AQE splits a hot user id (e.g. the 0 of anonymous sessions).
     """
-    return sessions.join(users.select("user_id", *USER_FIELDS), "user_id", "inner")
+    return sessions.join(users.selectExpr("user_id", *USER_FIELDS), "user_id", "inner")

@@ -13,12 +13,11 @@ sort-merge with skew splitting), and the final single-row exchange of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..constants import LOCAL_SESSION_TASK_ID
 from ..functions.params import TaskParams
 from ..operators.filters import session_predicate
-from ..operators.sessions import aggregate_sessions, join_users, scan_actions
+from ..operators.sessions import SESSION_COLUMNS, USER_FIELDS, aggregate_sessions, join_users, scan_actions
 from ..operators.stats import bucket_counts, stat_row
 
 
@@ -62,6 +61,4 @@ def drop_flags(df: DataFrame) -> DataFrame:
 
 
 def order_session_columns(df: DataFrame) -> DataFrame:
-    from ..operators.sessions import SESSION_COLUMNS, USER_FIELDS
-
-    return df.select(*[F.col(c) for c in SESSION_COLUMNS + USER_FIELDS])
+    return df.select(*(SESSION_COLUMNS + USER_FIELDS))
