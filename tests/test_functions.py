@@ -106,3 +106,17 @@ def test_set_field_inserts_value_literally(spark):
     value = "x$1\\y"
     got = df.select(kv.set_field(F.col("r"), "a", F.lit(value))).first()[0]
     assert got == java_set_field("b=2|a=1", "a", value) == "b=2|a=x$1\\y"
+
+
+@pytest.mark.parametrize("record", RECORDS + ["a=1|b=2|a=3", "a|b=1", "x=1|a="])
+def test_sql_text_codec_equals_column_codec(spark, record):
+    df = spark.createDataFrame([(record, 7)], "r string, v bigint")
+    cols = df.select(
+        kv.get_field(F.col("r"), "a").alias("g"), kv.set_field(F.col("r"), "a", F.col("v") + 1).alias("s"),
+        kv.trim_comma(F.col("r")).alias("t"),
+    ).first()
+    sql = df.selectExpr(
+        f"{kv.get_field_sql('r', 'a')} AS g", f"{kv.set_field_sql('r', 'a', 'v + 1')} AS s", f"{kv.trim_comma_sql('r')} AS t"
+    ).first()
+    assert cols == sql
+    assert sql.s == java_set_field(record, "a", 8) and sql.g == java_get_field(record, "a")

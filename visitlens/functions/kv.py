@@ -22,6 +22,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..session import sql_literal
+
 
 def trim_comma(text: Column) -> Column:
     """``trimComma``: drop one leading and one trailing comma."""
@@ -60,3 +62,26 @@ def encode(fields: list[tuple[str, Column]]) -> Column:
     """``name=value`` pieces joined by ``|`` (a NULL value drops its piece)."""
     return F.concat_ws("|", *[F.concat(F.lit(name + "="), col.cast("string")) for name, col in fields])
 
+
+
+# --- the same rules as SQL text (one parse per projection instead of one
+# --- JVM call per function when a plan is built) ------------------------------
+
+
+def trim_comma_sql(expr: str) -> str:
+    return f"regexp_replace({expr}, {sql_literal('^,|,$')}, '')"
+
+
+def get_field_sql(expr: str, field: str) -> str:
+    return f"nullif(regexp_extract({expr}, {sql_literal(field_pattern(field))}, 1), '')"
+
+
+def set_field_sql(expr: str, field: str, value_expr: str) -> str:
+    trimmed = f"regexp_replace({expr}, {sql_literal(r'\|+$')}, '')"
+    pattern = sql_literal(r"^((?:[^|]*\|)*?)" + re.escape(field) + r"(?:=[^|]*)?(?=\||$)")
+    literal = f"regexp_replace(CAST({value_expr} AS STRING), {sql_literal(r'([\\$])')}, {sql_literal(r'\\$1')})"
+    return f"regexp_replace({trimmed}, {pattern}, concat({sql_literal('$1' + field + '=')}, {literal}))"
+
+
+def encode_sql(fields: list[tuple[str, str]]) -> str:
+    return "concat_ws('|', " + ", ".join(f"concat({sql_literal(n + '=')}, CAST({c} AS STRING))" for n, c in fields) + ")"

@@ -8,10 +8,9 @@ and decodes every field back. A narrow projection: no shuffle of its own.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.kv import encode, get_field, set_field, trim_comma
+from ..functions.kv import encode_sql, get_field_sql, set_field_sql, trim_comma_sql
 
 RECORD_FIELDS = (
     (C.FIELD_SESSION_ID, "session_id"),
@@ -31,24 +30,22 @@ def record_roundtrip(sessions: DataFrame) -> DataFrame:
     bumped record (search_keywords, click_category_ids, visit_length,
     step_length, age, professional, city, sex; NULL where the record has an
     empty value)."""
-    record = encode([(name, F.col(col)) for name, col in RECORD_FIELDS])
-    with_record = sessions.select("session_id", "step_length", record.alias("record"))
-    bumped = with_record.select(
+    bumped = sessions.selectExpr("session_id", "step_length", f"{encode_sql(list(RECORD_FIELDS))} AS record").selectExpr(
         "session_id",
         "record",
-        set_field(F.col("record"), C.FIELD_STEP_LENGTH, F.col("step_length") + 1).alias("bumped_record"),
+        f"{set_field_sql('record', C.FIELD_STEP_LENGTH, 'step_length + 1')} AS bumped_record",
     )
-    r = F.col("bumped_record")
-    return bumped.select(
+    r = "bumped_record"
+    return bumped.selectExpr(
         "session_id",
         "record",
         "bumped_record",
-        trim_comma(get_field(r, C.FIELD_SEARCH_KEYWORDS)).alias("search_keywords"),
-        trim_comma(get_field(r, C.FIELD_CLICK_CATEGORY_IDS)).alias("click_category_ids"),
-        get_field(r, C.FIELD_VISIT_LENGTH).cast("bigint").alias("visit_length"),
-        get_field(r, C.FIELD_STEP_LENGTH).cast("bigint").alias("step_length"),
-        get_field(r, C.FIELD_AGE).cast("int").alias("age"),
-        get_field(r, C.FIELD_PROFESSIONAL).alias("professional"),
-        get_field(r, C.FIELD_CITY).alias("city"),
-        get_field(r, C.FIELD_SEX).alias("sex"),
+        f"{trim_comma_sql(get_field_sql(r, C.FIELD_SEARCH_KEYWORDS))} AS search_keywords",
+        f"{trim_comma_sql(get_field_sql(r, C.FIELD_CLICK_CATEGORY_IDS))} AS click_category_ids",
+        f"CAST({get_field_sql(r, C.FIELD_VISIT_LENGTH)} AS BIGINT) AS visit_length",
+        f"CAST({get_field_sql(r, C.FIELD_STEP_LENGTH)} AS BIGINT) AS step_length",
+        f"CAST({get_field_sql(r, C.FIELD_AGE)} AS INT) AS age",
+        f"{get_field_sql(r, C.FIELD_PROFESSIONAL)} AS professional",
+        f"{get_field_sql(r, C.FIELD_CITY)} AS city",
+        f"{get_field_sql(r, C.FIELD_SEX)} AS sex",
     )
