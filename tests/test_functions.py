@@ -120,3 +120,14 @@ def test_sql_text_codec_equals_column_codec(spark, record):
     ).first()
     assert cols == sql
     assert sql.s == java_set_field(record, "a", 8) and sql.g == java_get_field(record, "a")
+
+
+def test_time_sql_text_equals_columns(spark):
+    df = spark.createDataFrame([("2024-01-01 7:05:09",), ("2024-01-01 17:05:09",), ("nospace",), (None,)], "a string")
+    cols = df.select(
+        timekeys.date_hour(F.col("a")), timekeys.fulfill(timekeys.hour_text(F.col("a"))), timekeys.parse_time(F.col("a"))
+    ).collect()
+    sql = df.selectExpr(
+        timekeys.date_hour_sql("a"), timekeys.fulfill_sql(timekeys.hour_text_sql("a")), timekeys.parse_time_sql("a")
+    ).collect()
+    assert [tuple(r) for r in cols] == [tuple(r) for r in sql]

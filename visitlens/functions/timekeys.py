@@ -98,3 +98,18 @@ def today(as_of: str) -> Column:
 def yesterday(as_of: str) -> Column:
     """``getYesterdayDate`` for a fixed run date, ``yyyy-MM-dd``."""
     return F.date_format(F.date_sub(F.to_date(F.lit(as_of)), 1), "yyyy-MM-dd")
+
+
+# --- the same rules as SQL text (used where a plan is built from SQL) -------
+
+
+def hour_text_sql(text: str) -> str:
+    return f"try_element_at(split(try_element_at(split({text}, ' ', -1), 2), ':', -1), 1)"
+
+
+def date_hour_sql(text: str) -> str:
+    return f"concat(try_element_at(split({text}, ' ', -1), 1), '_', {hour_text_sql(text)})"
+
+
+def fulfill_sql(expr: str) -> str:
+    return f"CASE WHEN length({expr}) = 2 THEN {expr} ELSE concat('0', {expr}) END"

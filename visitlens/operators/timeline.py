@@ -1,7 +1,8 @@
 """Per-action time keys and position of each action inside its session.
 
 Output per action: the hour key as written (``getDateHour``), the hour padded
-to two digits (``fulfuill``), date and minute keys, the whole seconds since
+to two digits (``fulfuill``), date and minute keys (``formatDateKey``,
+``formatTimeMinute``), the whole seconds since
 the latest *earlier* action time of the session (``minus``; NULL at the
 session's first instant) and whether the action lies strictly after the
 session's first / strictly before its last action time (``after`` /
@@ -15,33 +16,29 @@ many-to-one join whose hot keys AQE can split on the action side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ..functions.timekeys import date_hour, date_key, fulfill, hour_text, minute_key, parse_time, seconds_between
+from ..functions.timekeys import date_hour_sql, fulfill_sql, hour_text_sql, parse_time_sql
 
 
 def action_time_keys(actions: DataFrame) -> DataFrame:
-    timed = actions.select("session_id", "action_time", parse_time(F.col("action_time")).alias("t"))
-    instants = timed.where(F.col("t").isNotNull()).select("session_id", "t").distinct()
-    by_session = Window.partitionBy("session_id")
-    ordered = by_session.orderBy("t")
-    marks = instants.select(
+    timed = actions.selectExpr("session_id", "action_time", f"{parse_time_sql('action_time')} AS t")
+    instants = timed.where("t IS NOT NULL").select("session_id", "t").distinct()
+    marks = instants.selectExpr(
         "session_id",
         "t",
-        F.lag("t").over(ordered).alias("prev_t"),
-        F.min("t").over(by_session).alias("first_t"),
-        F.max("t").over(by_session).alias("last_t"),
+        "lag(t) OVER (PARTITION BY session_id ORDER BY t) AS prev_t",
+        "min(t) OVER (PARTITION BY session_id) AS first_t",
+        "max(t) OVER (PARTITION BY session_id) AS last_t",
     )
-    joined = timed.join(marks, ["session_id", "t"], "left")
-    return joined.select(
+    return timed.join(marks, ["session_id", "t"], "left").selectExpr(
         "session_id",
         "action_time",
-        date_hour(F.col("action_time")).alias("date_hour"),
-        fulfill(hour_text(F.col("action_time"))).alias("hour_padded"),
-        date_key(F.col("t")).alias("date_key"),
-        minute_key(F.col("t")).alias("minute_key"),
-        seconds_between(F.col("t"), F.col("prev_t")).alias("seconds_since_prev"),
-        F.coalesce(F.col("t") > F.col("first_t"), F.lit(False)).alias("after_session_start"),
-        F.coalesce(F.col("t") < F.col("last_t"), F.lit(False)).alias("before_session_end"),
+        f"{date_hour_sql('action_time')} AS date_hour",
+        f"{fulfill_sql(hour_text_sql('action_time'))} AS hour_padded",
+        "date_format(t, 'yyyyMMdd') AS date_key",
+        "date_format(t, 'yyyyMMddHHmm') AS minute_key",
+        "timestampdiff(SECOND, prev_t, t) AS seconds_since_prev",
+        "coalesce(t > first_t, false) AS after_session_start",
+        "coalesce(t < last_t, false) AS before_session_end",
     )
