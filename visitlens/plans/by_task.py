@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import task_param_columns
+from ..session import local_table
 from ..functions.timekeys import parse_time_sql
 from ..operators.stats import bucket_count_columns, with_ratios
 
 # Upper bound of (date, task) pairs broadcast at once; each pair carries the
 # task's keyword / category lists (~1 KB), so a batch stays in the tens of MB.
 MAX_PAIRS_PER_BATCH = 20000
+PAIR_COLUMNS = [("date", "STRING"), ("task_id", "BIGINT"), ("keywords", "ARRAY<STRING>"), ("category_ids", "ARRAY<STRING>")]
 
 
 def session_days(actions: DataFrame) -> DataFrame:
@@ -100,9 +102,14 @@ def session_aggr_stat_by_task(actions: DataFrame, users: DataFrame, tasks: DataF
     days = session_days(actions)
     dates = actions.select("date").distinct()
     pairs = date_task_pairs(dates, tp)
-    n_pairs = pairs.count()  # size check before broadcasting
-    if n_pairs <= MAX_PAIRS_PER_BATCH:
-        return _stats_for_tasks(days, users, tp, pairs)
+    # Size check before broadcasting: at most MAX+1 parameter rows come back.
+    # Under the bound they become a local relation, so the main job does not
+    # recompute them; above it the tasks run in batches.
+    head = pairs.limit(MAX_PAIRS_PER_BATCH + 1).collect()
+    if len(head) <= MAX_PAIRS_PER_BATCH:
+        local = local_table(tasks.sparkSession, [tuple(r) for r in head], PAIR_COLUMNS)
+        return _stats_for_tasks(days, users, tp, local)
+    n_pairs = pairs.count()
     n_batches = -(-n_pairs // MAX_PAIRS_PER_BATCH)
     batch = F.pmod(F.xxhash64("task_id"), F.lit(n_batches))
     parts = []

@@ -118,6 +118,8 @@ def sql_literal(value) -> str:
         return str(value)
     if isinstance(value, float):
         return repr(value) + "D"
+    if isinstance(value, (list, tuple)):
+        return "array(" + ", ".join(sql_literal(v) for v in value) + ")"
     text = str(value).replace("\\", "\\\\").replace("'", "\\'")
     return f"'{text}'"
 
