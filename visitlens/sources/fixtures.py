@@ -118,10 +118,12 @@ def user_visit_action(
     start_date: str | None = None,
     end_date: str | None = None,
 ) -> DataFrame:
-    """``user_visit_action`` (13 columns) from ``events``.
+    """``user_visit_action`` (13 columns) derived from ``events`` (lazy).
 
-    ``start_date``/``end_date`` only add a pushed-down timestamp pre-filter; the
-    caller still applies the date predicate itself (``scan_actions``).
+    ``start_date``/``end_date`` only add a pushed-down timestamp pre-filter
+    for callers that read the derived view directly (the CLI on a fixture
+    folder); the caller still applies the date predicate itself
+    (``scan_actions``). Registered queries read :func:`stored_actions`.
     """
     ev = _table(spark, sf_dir, "events")
     pre = ts_prefilter(start_date, end_date)
