@@ -8,28 +8,41 @@ session's first instant) and whether the action lies strictly after the
 session's first / strictly before its last action time (``after`` /
 ``before``).
 
-Skew: the window runs over the *distinct* (session, time) pairs, not over
-the actions, so a session holding a third of all rows costs at most one row
-per distinct second; the result is joined back on (session_id, time), a
-many-to-one join whose hot keys AQE can split on the action side.
+Skew: windows never run over raw actions. The distinct (session, time)
+pairs are windowed per session-day, so a window group holds at most 86,400
+instants however large a session is. Day boundaries come from one row per
+session-day. The result is joined back on (session_id, time), a many-to-one
+join whose hot keys AQE can split on the action side.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.timekeys import date_hour_sql, fulfill_sql, hour_text_sql, parse_time_sql
 
 
 def action_time_keys(actions: DataFrame) -> DataFrame:
     timed = actions.selectExpr("session_id", "action_time", f"{parse_time_sql('action_time')} AS t")
-    instants = timed.where("t IS NOT NULL").select("session_id", "t").distinct()
-    marks = instants.selectExpr(
+    instants = timed.where("t IS NOT NULL").select("session_id", "t").distinct().selectExpr("*", "to_date(t) AS day")
+    # previous instant inside the same session-day (window group <= 86,400 rows)
+    in_day = instants.selectExpr(
+        "session_id", "t", "day", "lag(t) OVER (PARTITION BY session_id, day ORDER BY t) AS prev_in_day"
+    )
+    # per session-day: first and last instant; the previous day's last instant
+    # (one row per session-day, so this window stays small) and the session's
+    # first and last instant
+    days = instants.groupBy("session_id", "day").agg(F.expr("min(t) AS day_first"), F.expr("max(t) AS day_last"))
+    day_marks = days.selectExpr(
         "session_id",
-        "t",
-        "lag(t) OVER (PARTITION BY session_id ORDER BY t) AS prev_t",
-        "min(t) OVER (PARTITION BY session_id) AS first_t",
-        "max(t) OVER (PARTITION BY session_id) AS last_t",
+        "day",
+        "lag(day_last) OVER (PARTITION BY session_id ORDER BY day) AS prev_day_last",
+        "min(day_first) OVER (PARTITION BY session_id) AS first_t",
+        "max(day_last) OVER (PARTITION BY session_id) AS last_t",
+    )
+    marks = in_day.join(day_marks, ["session_id", "day"], "inner").selectExpr(
+        "session_id", "t", "coalesce(prev_in_day, prev_day_last) AS prev_t", "first_t", "last_t"
     )
     return timed.join(marks, ["session_id", "t"], "left").selectExpr(
         "session_id",
