@@ -139,3 +139,18 @@ def test_job_cli_writes_stat_rows(spark):
         fixtures.user_visit_action(spark, SF_SMALL), fixtures.user_info(spark, SF_SMALL), TaskParams.from_json(task), 7
     ).first()
     assert len(rows) == 1 and rows[0].asDict() == expected.asDict()
+
+
+def test_by_task_without_list_filters_uses_fixed_width_aggregation(spark):
+    from visitlens.session import local_table
+
+    rows = [(1, '{"startDate":["2024-01-05"],"endDate":["2024-01-20"],"sex":["male"]}'),
+            (2, '{"startDate":["2024-01-01"],"endDate":["2024-01-31"],"startAge":["10"],"endAge":["40"]}')]
+    tasks = local_table(spark, rows, [("task_id", "BIGINT"), ("task_param", "STRING")])
+    actions = fixtures.stored_actions(spark, SF_SMALL)
+    users = fixtures.user_info(spark, SF_SMALL)
+    df = session_aggr_stat_by_task(actions, users, tasks)
+    got = {r.taskid: r.asDict() for r in df.collect()}
+    assert "ObjectHashAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+    for task_id, text in rows:
+        assert got[task_id] == session_aggr_stat(actions, users, TaskParams.from_json(text), task_id).first().asDict()

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import task_param_columns
-from ..session import local_table
+from ..session import local_table, sql_literal
 from ..functions.timekeys import parse_time_sql
 from ..operators.stats import bucket_count_columns, with_ratios
 
@@ -31,9 +31,31 @@ MAX_PAIRS_PER_BATCH = 20000
 PAIR_COLUMNS = [("date", "STRING"), ("task_id", "BIGINT"), ("keywords", "ARRAY<STRING>"), ("category_ids", "ARRAY<STRING>")]
 
 
-def session_days(actions: DataFrame) -> DataFrame:
+# Upper bound of distinct keyword / category values, over all tasks, that the
+# session-day sets are restricted to (parameter data, collected with a limit).
+MAX_FILTER_VALUES = 10000
+
+
+def _seen_set(column: str, values: list[str] | None, alias: str) -> str:
+    """Distinct values of ``column`` per group, restricted to the values some
+    task filters on: ``None`` = keep every value (too many to list); ``[]`` =
+    no task filters on it, so no set is built at all."""
+    text = column if column == "search_keyword" else f"CAST({column} AS STRING)"
+    valid = f"{column} <> ''" if column == "search_keyword" else f"{column} <> 0"
+    if values is None:
+        return f"collect_set(CASE WHEN {valid} THEN {text} END) AS {alias}"
+    if not values:
+        return f"CAST(array() AS ARRAY<STRING>) AS {alias}"
+    listed = ", ".join(sql_literal(v) for v in values)
+    return f"collect_set(CASE WHEN {valid} AND {text} IN ({listed}) THEN {text} END) AS {alias}"
+
+
+def session_days(
+    actions: DataFrame, keywords: list[str] | None = None, category_ids: list[str] | None = None
+) -> DataFrame:
     """One row per (session, date): the per-session aggregates of that day's
-    actions plus the distinct keywords and clicked categories.
+    actions plus the distinct searched keywords and clicked categories among
+    the values the tasks filter on (see :func:`_seen_set`).
 
     A task's date window selects whole dates, so any task's sessions are
     exactly the re-aggregation of these rows over its dates. Partial
@@ -45,11 +67,17 @@ def session_days(actions: DataFrame) -> DataFrame:
         F.expr(f"min({t}) AS t_min"),
         F.expr(f"max({t}) AS t_max"),
         F.expr("count(1) AS steps"),
-        F.expr("collect_set(CASE WHEN search_keyword <> '' THEN search_keyword END) AS keywords_seen"),
-        F.expr("collect_set(CASE WHEN click_category_id <> 0 THEN CAST(click_category_id AS STRING) END) AS categories_seen"),
+        F.expr(_seen_set("search_keyword", keywords, "keywords_seen")),
+        F.expr(_seen_set("click_category_id", category_ids, "categories_seen")),
     )
 
 
+def filter_values(tp: DataFrame, column: str, limit: int = MAX_FILTER_VALUES) -> list[str] | None:
+    """Distinct values of a task list column over all tasks; None above ``limit``."""
+    rows = tp.selectExpr(f"explode({column}) AS v").distinct().limit(limit + 1).collect()
+    return None if len(rows) > limit else sorted(r.v for r in rows)
+
+
 def date_task_pairs(dates: DataFrame, tp: DataFrame) -> DataFrame:
     """(date, task_id, keywords, category_ids) for every distinct action date
     inside a task's [start_date, end_date] (string compare, like the scan)."""
@@ -99,7 +127,7 @@ def _stats_for_tasks(days: DataFrame, users: DataFrame, tp: DataFrame, pairs: Da
 def session_aggr_stat_by_task(actions: DataFrame, users: DataFrame, tasks: DataFrame) -> DataFrame:
     """17-column stat rows, one per task of ``tasks`` (task_id, task_param)."""
     tp = task_param_columns(tasks)
-    days = session_days(actions)
+    days = session_days(actions, filter_values(tp, "keywords"), filter_values(tp, "category_ids"))
     dates = actions.select("date").distinct()
     pairs = date_task_pairs(dates, tp)
     # Size check before broadcasting: at most MAX+1 parameter rows come back.
