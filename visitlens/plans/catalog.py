@@ -111,13 +111,19 @@ def _category_counts(spark: SparkSession, sf_dir: str, params: TaskParams) -> Da
     return category_counts_by_session(scanned).join(kept, "session_id", "left_semi")
 
 
-def top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_categories(_category_counts(spark, sf_dir, P.FLAGSHIP), P.TASK_ID)
+def _top10_category(params: TaskParams) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return top_categories(_category_counts(spark, sf_dir, params), P.TASK_ID)
+
+    return run
 
 
-def top10_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per = _category_counts(spark, sf_dir, P.FLAGSHIP)
-    return top_sessions(per, top_categories(per, P.TASK_ID), P.TASK_ID)
+def _top10_session(params: TaskParams) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        per = _category_counts(spark, sf_dir, params)
+        return top_sessions(per, top_categories(per, P.TASK_ID), P.TASK_ID)
+
+    return run
 
 
 def page_one_step_convert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,8 +147,10 @@ def queries() -> dict[str, Query]:
         "product_status": product_status_query,
         "action_time_keys": action_time_keys_query,
         "kv_record_roundtrip": kv_record_roundtrip,
-        "top10_category": top10_category,
-        "top10_session": top10_session,
+        "top10_category": _top10_category(P.FLAGSHIP),
+        "top10_session": _top10_session(P.FLAGSHIP),
+        "top10_category_filtered": _top10_category(P.FILTERS["keyword"]),
+        "top10_session_filtered": _top10_session(P.FILTERS["keyword"]),
         "page_one_step_convert_rate": page_one_step_convert_rate,
     }
     for name, params in P.FILTERS.items():

@@ -395,6 +395,8 @@ def oracle_queries() -> dict[str, str]:
         "kv_record_roundtrip": kv_record_roundtrip_sql(P.FLAGSHIP),
         "top10_category": top10_category_sql(P.FLAGSHIP, P.TASK_ID),
         "top10_session": top10_session_sql(P.FLAGSHIP, P.TASK_ID),
+        "top10_category_filtered": top10_category_sql(P.FILTERS["keyword"], P.TASK_ID),
+        "top10_session_filtered": top10_session_sql(P.FILTERS["keyword"], P.TASK_ID),
         "page_one_step_convert_rate": page_convert_sql(P.TOP_PAGE_FLOW),
     }
     for name, params in P.FILTERS.items():
