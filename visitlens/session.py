@@ -6,7 +6,6 @@ fill in settings the job relies on when they are unset (tests, local runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -90,7 +89,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is an error, because a machine-local folder would not be shared. Only a
     ``local[...]`` session (tests, a laptop) falls back to a private folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext on the client
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        return configured
     configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
@@ -101,13 +106,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def local_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
-
-
 def sql_literal(value) -> str:
     """A Python value as a Spark SQL literal (strings escaped)."""
     if value is None:
