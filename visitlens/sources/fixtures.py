@@ -174,15 +174,21 @@ def stored_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     A task's date range then prunes whole partitions (exact string compare on
     the partition value) and the scan splits over the files, and the lineage
     of every query starts at this table instead of at the JSON-parsing
-    derivation. Each task of the writing stage writes the dates it holds, so
-    the write itself has no shuffle and no hot partition."""
+    derivation. Before writing, rows are range-partitioned on (date,
+    session_id). Each writing task then holds a contiguous slice of dates,
+    so there are about as many files as tasks, not tasks × dates. A hot date
+    is split over several tasks, and rows are sorted by session within a
+    date, so parquet statistics on session_id are tight."""
     from ..session import ensure_checkpoint_dir
 
     tables = _STORED.setdefault(spark, {})
     if sf_dir not in tables:
         base = ensure_checkpoint_dir(spark).rstrip("/")
         path = f"{base}/visitlens-tables/{uuid.uuid4().hex}/user_visit_action"
-        user_visit_action(spark, sf_dir).write.mode("error").partitionBy("date").parquet(path)
+        laid_out = user_visit_action(spark, sf_dir).repartitionByRange("date", "session_id").sortWithinPartitions(
+            "date", "session_id"
+        )
+        laid_out.write.mode("error").partitionBy("date").parquet(path)
         tables[sf_dir] = spark.read.schema(ACTION_SCHEMA).parquet(path).select(*ACTION_COLUMNS)
     return tables[sf_dir]
 
