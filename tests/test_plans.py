@@ -154,3 +154,21 @@ def test_by_task_without_list_filters_uses_fixed_width_aggregation(spark):
     assert "ObjectHashAggregate" not in df._jdf.queryExecution().executedPlan().toString()
     for task_id, text in rows:
         assert got[task_id] == session_aggr_stat(actions, users, TaskParams.from_json(text), task_id).first().asDict()
+
+
+def test_adjacent_pairs_random_against_brute_force(spark):
+    """2,000 random actions: 25 sessions over days 1, 2, 4 and 7, times drawn from
+    few values so instants tie often; compared with a plain sort per session."""
+    import random
+
+    rng = random.Random(5)
+    raw = []
+    for _ in range(2000):
+        day = rng.choice([1, 2, 4, 7])
+        hour, minute = rng.choice([0, 9, 23]), rng.choice([0, 59])
+        raw.append((f"s{rng.randint(0, 24)}", f"2024-01-0{day} {hour}:{minute:02d}:{rng.choice([0, 30]):02d}",
+                    rng.randint(0, 4)))
+    df = spark.createDataFrame(action_rows([(s, 1, t, None, None, p) for s, t, p in raw]), ACTION_SCHEMA)
+    got = {(r.from_page, r.to_page): r.pairs for r in adjacent_page_pairs(page_points(df)).collect()}
+    expected = _brute_pairs([(s, p, pd.to_datetime(t, format="%Y-%m-%d %H:%M:%S")) for s, t, p in raw])
+    assert got == expected
