@@ -1,16 +1,18 @@
 """Many analysis tasks in one Spark job (one result row per task).
 
-The original job answers one task per submission. Here the task table is
-joined to the actions on its date range, sessions are grouped by
-(task_id, session_id) and every task's filters are evaluated as columns, so
-N tasks cost one scan of the actions instead of N.
+The original job answers one task per submission. Here actions are first
+reduced to one row per (session, date), those rows are joined to the tasks
+whose date range holds the date, sessions are re-aggregated by
+(task_id, session_id), and every task's filters are evaluated as columns.
+N tasks cost one pass over the actions instead of N.
 
 Range join without comparing every row with every task: the date-range
 predicate is evaluated only on the *distinct* date values of the actions
-(dates × tasks, a few thousand rows), giving exact (date, task) pairs; the
-session-day rows then join those pairs on ``date`` by hash. The pairs table
-is counted before it is broadcast; a larger one is processed in task batches
-whose results are unioned (every task in exactly one batch).
+(dates × tasks, a few thousand rows), which gives exact (date, task) pairs.
+The session-day rows then join those pairs on ``date`` by hash. The pairs are
+brought back through ``limit(MAX + 1)`` as the size check. Under the bound
+they are broadcast as a local relation; above it, the tasks run in batches
+whose results are unioned, with every task in exactly one batch.
 """
 
 from __future__ import annotations
