@@ -1,13 +1,14 @@
 """The session-analysis job as one DataFrame plan.
 
-scan (date range, pushed to parquet) -> partial+final aggregation by session
--> inner join with users (user filters pushed below the join by Catalyst)
--> task filters -> one-row bucket counts -> ratios.
+scan (the date range prunes date partitions; three columns read) -> partial
+and final aggregation by session -> inner join with users (Catalyst pushes
+user filters below the join) -> task filters -> one-row bucket counts ->
+ratios.
 
-Shuffles: one on session_id (after map-side partial aggregation), the user
-join (broadcast when AQE measures the user side as small, otherwise
-sort-merge with skew splitting), and the final single-row exchange of
-17 partial counters per task.
+Shuffles: one on session_id, after map-side partial aggregation. Then the
+user join: sort-merge with AQE skew splitting, unless AQE measures a side
+under the broadcast threshold (small inputs only). Last, the single-row
+exchange of the 16 partial counters.
 """
 
 from __future__ import annotations

@@ -3,8 +3,10 @@
 The original job generates ``user_visit_action``, ``user_info`` and
 ``product_info`` with an unseeded random generator. We keep their schemas and
 derive them deterministically from ``events``, ``customer`` ⋈ ``nation`` and
-``part`` (FIXTURES.md §4). Every view is a lazy projection over the parquet
-scan, so Catalyst prunes columns and pushes filters into the reader.
+``part`` (FIXTURES.md §4). The views are lazy projections over the parquet
+scans, so Catalyst prunes columns and pushes filters into the reader. The
+registered queries read the action table through :func:`stored_actions`: a
+copy written once per session, partitioned by date as in production.
 """
 
 from __future__ import annotations
