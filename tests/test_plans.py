@@ -172,3 +172,18 @@ def test_adjacent_pairs_random_against_brute_force(spark):
     got = {(r.from_page, r.to_page): r.pairs for r in adjacent_page_pairs(page_points(df)).collect()}
     expected = _brute_pairs([(s, p, pd.to_datetime(t, format="%Y-%m-%d %H:%M:%S")) for s, t, p in raw])
     assert got == expected
+
+
+def test_job_cli_applies_partition_sizing(spark):
+    from visitlens import job
+    from visitlens.session import MB
+
+    out = os.path.join(tempfile.mkdtemp(prefix="visitlens-job-"), "stat")
+    task = '{"startDate":["2024-01-05"],"endDate":["2024-01-20"]}'
+    # 4 cores and a small input: 8 shuffle partitions, the test session's own value
+    args = ["--fixture-dir", SF_SMALL, "--task-json", task, "--out-path", out,
+            "--cluster-cores", "4", "--input-bytes", str(64 * MB)]
+    assert job.main(args) == 0
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") in (str(256 * MB), "256m", f"{256 * MB}b")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert spark.read.parquet(out).count() == 1
