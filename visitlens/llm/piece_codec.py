@@ -41,7 +41,7 @@ class PieceEncoder:
     ``max_words``: bound of the word cache; beyond it the cache starts anew.
     """
 
-    def __init__(self, model_file: str, max_words: int = 500_000):
+    def __init__(self, model_file: str, max_words: int = 600_000):
         import sentencepiece
 
         self.lib = sentencepiece.SentencePieceProcessor(model_file=model_file)

@@ -24,7 +24,6 @@ Spark's ascending order. Rows of one doc_id are ordered by their text.
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -142,7 +141,7 @@ class WordEncoder:
     """Texts to ids with the tokenizers library, which sees each blank-separated
     word once: its pre-tokenizer never joins characters across white space."""
 
-    def __init__(self, path: str, max_words: int = 500_000):
+    def __init__(self, path: str, max_words: int = 600_000):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -150,25 +149,53 @@ class WordEncoder:
         self.wide = self.lib.get_vocab_size() > 1 << 16
         self.cache = WordCache(self.words, max_words)
 
-    def words(self, words: list[str], joined: int = 500) -> tuple[np.ndarray, np.ndarray]:
-        """Encodes blank-joined runs of words; a token belongs to the word in
-        which it begins."""
-        runs = [words[i : i + joined] for i in range(0, len(words), joined)]
-        ids, counts = [], []
-        for run, e in zip(runs, self.lib.encode_batch([" ".join(r) for r in runs], add_special_tokens=False), strict=True):
-            starts = np.cumsum([0] + [len(w) + 1 for w in run[:-1]])
-            begun = np.array([a for a, _ in e.offsets], np.int64)
-            counts.append(np.bincount(np.searchsorted(starts, begun, side="right") - 1, minlength=len(run)))
-            ids.append(np.array(e.ids, np.int32))
-        return np.concatenate(ids), np.concatenate(counts).astype(np.int64)
+    def words(self, words: list[str], joined: int = 50) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes runs of words joined by a mark that no word holds and that is
+        one token wherever it stands alone."""
+        mark, mark_id = self._mark(words)
+        runs = [f" {mark} ".join([*words[i : i + joined], ""]) for i in range(0, len(words), joined)]
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in self.lib.encode_batch_fast(runs, add_special_tokens=False)])
+        marks = np.flatnonzero(ids == mark_id)
+        if len(marks) != len(words):  # a character that normalises to the mark
+            each = [e.ids for e in self.lib.encode_batch_fast(words, add_special_tokens=False)]
+            return np.array([i for e in each for i in e], np.int32), np.array([len(e) for e in each], np.int64)
+        return ids[ids != mark_id], np.diff(np.append(-1, marks)) - 1
+
+    def _mark(self, words: list[str]) -> tuple[str, int]:
+        held = set().union(*words)
+        for c in map(chr, range(0x21, 0x3000)):
+            if c not in held and not c.isalnum() and not c.isspace() and len(i := self.lib.encode(c, add_special_tokens=False).ids) == 1:
+                return c, i[0]
+        raise ValueError("these words leave no character to part them")
 
     def texts(self, texts: list[str], end: int) -> list[np.ndarray]:
-        out = self.cache.texts([re.sub(r"[\n\t\r]", " ", t).split(" ") for t in texts], 0, 1)
+        out = self.cache.split_texts([plain(t) for t in texts], 0, 1)
         for ids in out:
             ids[-1] = end
         return out
 
 
+#: Latin-1 bytes to classes: "." and "," D, other marks P, the rest (letters,
+#: digits, white space) a.
+_CLASS = bytes(
+    ord("D" if c in ".," else "a" if c.isalnum() or c in "\t\n\x0b\x0c\r \x85\xa0" else "P") for c in map(chr, range(256))
+)
+
+
+def plain(text: str) -> str:
+    """A text of the same ids with fewer different words: lower case (where no
+    character composes with another one), and a blank before "." and "," that
+    stand beside no other mark (the pre-tokenizer parts them from the word)."""
+    try:
+        classes = text.encode("latin-1").translate(_CLASS)
+    except UnicodeEncodeError:
+        return text
+    text = text.lower()
+    if b"DD" in classes or b"DP" in classes or b"PD" in classes:
+        return text
+    return text.replace(",", " ,").replace(".", " .")
+
+
 @lru_cache(maxsize=1)
 def word_encoder(path: str) -> WordEncoder:
     """One encoder for the tasks that a Python worker runs in turn."""
@@ -185,7 +212,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end: int = 2, segme
             part = int(pdf["part"].iloc[0]) if part is None and len(pdf) else part
             texts = pdf["text"].fillna("").tolist()
             keys = [None if pd.isna(x) else int(x) for x in pdf["doc_id"].astype("Int64")]
-            for a, b in slices(texts):
+            for a, b in slices(texts, 6_000_000):
                 for key, ids in zip(keys[a:b], encoder.texts(texts[a:b], end), strict=True):
                     if held and size + len(ids) > segment_ids:
                         yield one(part, k, names, held, size, encoder.wide)
@@ -201,7 +228,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end: int = 2, segme
 
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange("doc_id", "text")
+        .repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", "text")
         .select(F.spark_partition_id().alias("part"), "doc_id", "text")
     )
@@ -209,22 +236,20 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end: int = 2, segme
     ordered.mapInPandas(run, schema).write.parquet(path)
 
 
-def segments(spark: SparkSession, path: str) -> DataFrame:
-    """The written segments with ``base``: the ids of all segments before.
+def bases(spark: SparkSession, path: str) -> DataFrame:
+    """(part, segment, base): the ids of all segments before each one.
 
     The running sum is taken within each part, and over the parts' totals
     (one row for each partition written, however large the corpus is)."""
-    files = spark.read.schema("part int, segment int, n_docs long, n_ids long, payload binary").parquet(path)
-    sizes = files.select("part", "segment", "n_ids")
+    sizes = spark.read.schema("part int, segment int, n_ids long").parquet(path)
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("parts_before"))
     inside = Window.partitionBy("part").orderBy("segment")
-    base = (
+    return (
         sizes.withColumn("inside", F.sum("n_ids").over(inside) - F.col("n_ids"))
         .join(before, "part")
         .select("part", "segment", (F.col("parts_before") + F.col("inside")).alias("base"))
     )
-    return files.join(base, ["part", "segment"])
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -232,20 +257,20 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for base, payload in zip(pdf["base"], pdf["payload"], strict=True):
+            for part, segment, payload in zip(pdf["part"], pdf["segment"], pdf["payload"], strict=True):
                 s = Segment(payload)
-                off = s.offsets()
-                ids = s.ids.astype("<u4")
+                off, ids = s.offsets(), s.ids.astype("<u4")
+                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+                names = pd.array(s.doc_ids(), "Int64")
                 yield pd.DataFrame(
-                    {
-                        "doc_id": pd.array(s.doc_ids(), "Int64"),
-                        "start": base + off[:-1],
-                        "n_tokens": np.diff(off),
-                        "ids_crc32": [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)],
-                    }
+                    {"part": part, "segment": segment, "doc_id": names, "inside": off[:-1], "n_tokens": np.diff(off), "ids_crc32": crc}
                 )
 
-    return segments(spark, path).select("base", "payload").mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    files = spark.read.schema("part int, segment int, payload binary").parquet(path)
+    schema = "part int, segment int, doc_id long, inside long, n_tokens long, ids_crc32 long"
+    docs = files.mapInPandas(run, schema)  # the ids stay in their tasks; only these numbers are joined
+    start = (F.col("base") + F.col("inside")).alias("start")
+    return docs.join(bases(spark, path), ["part", "segment"]).select("doc_id", start, "n_tokens", "ids_crc32")
 
 
 def token_store(docs: DataFrame, tokenizer: str, path: str | None = None, end: int = 2) -> DataFrame:
