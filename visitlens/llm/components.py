@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
+ROWS_PER_TASK = 500_000
+
+
 def _state(links: DataFrame) -> tuple:
     total = F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
     return tuple(links.agg(F.count("*"), total).first())
@@ -29,9 +32,11 @@ def components(links: DataFrame) -> DataFrame:
     )
     was, state = None, _state(now)
     while state != was:
+        # as many tasks as the links need: a round has several exchanges
+        now = now.coalesce(1 + state[0] // ROWS_PER_TASK)
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         root = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(root, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = cut(small.union(root.select("a", F.col("m").alias("b"))).distinct())

@@ -9,10 +9,10 @@ more are nodes; shorter ones (headings, blank lines) are never judged and stay.
    two of them are equal, so each fingerprint is joined on ten block pairs.
 3. Lines whose fingerprints are equal or linked are verified: the edit
    similarity of the normalised lines (1 - word edits / words of the longer) must
-   be 0.8 or more. First each line against the first line of its fingerprint; then,
-   in two rounds, each fingerprint's first line against that of one linked
-   fingerprint of another component; at last all line pairs of equal or linked
-   fingerprints that are still in different components. So a large group of
+   be 0.8 or more. First each line against the first line of its fingerprint, and
+   each fingerprint's first line against those of the smallest and the largest
+   fingerprint with which it shares blocks; then all line pairs of equal or
+   linked fingerprints that are still in different components. So a large group of
    copies never meets itself pair by pair, and no link that joins two components
    is lost.
 4. Each connected group keeps its first occurrence in (doc_id, text hash, line
@@ -27,13 +27,16 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, saved
 from .components import components
 
-BLOCKS, MAX_BITS, MIN_WORDS, SIMILARITY, STEP = 5, 3, 5, 0.8, 16
+BLOCKS, MAX_BITS, MIN_WORDS, SIMILARITY = 5, 3, 5, 0.8
+
+#: Word hashes summed in one row: the generated code of more is too long to be compiled.
+STEP = 8
 
 
 def line_words(line: str) -> Column:
@@ -54,13 +57,10 @@ def simhashes(lines: DataFrame) -> DataFrame:
         *keys, *(F.expr(f"coalesce(get(hashes, step * {STEP} + {i}), 0L)").alias(f"h{i}") for i in range(STEP)),
         F.expr(f"least({STEP}, size(hashes) - step * {STEP})").alias("n"),
     )
-    narrow, wide = sum(1 << k for k in range(0, 56, 8)), (1 << 32) + 1
-    eighth = "{s}(shiftrightunsigned(h{i}, {k}) & {m}L)"
-    # seven lanes of bits k, k + 8, ..., k + 48; the eighth lane would touch the sign
-    lanes = [" + ".join(eighth.format(s="", i=i, k=k, m=narrow) for i in range(STEP)) for k in range(8)]
-    last = [" + ".join(eighth.format(s="", i=i, k=56 + k, m=1) for i in range(STEP)) for k in range(8)]
-    packed = words.select(*keys, "n", *(F.expr(x).alias(f"l{k}") for k, x in enumerate(lanes)), *(F.expr(x).alias(f"t{k}") for k, x in enumerate(last)))
-    byte = lambda bit: f"t{bit - 56}" if bit >= 56 else f"(shiftrightunsigned(l{bit % 8}, {bit - bit % 8}) & 255L)"
+    narrow, wide = sum(1 << k for k in range(0, 64, 8)), (1 << 32) + 1
+    lanes = [" + ".join(f"(shiftrightunsigned(h{i}, {k}) & {narrow}L)" for i in range(STEP)) for k in range(8)]
+    packed = words.select(*keys, "n", *(F.expr(x).alias(f"l{k}") for k, x in enumerate(lanes)))
+    byte = lambda bit: f"(shiftrightunsigned(l{bit % 8}, {bit - bit % 8}) & 255L)"
     sums = [F.sum(F.expr(f"{byte(k)} | shiftleft({byte(k + 32)}, 32)")).alias(f"c{k}") for k in range(32)]
     total = packed.groupBy(*keys).agg(F.sum("n").alias("n"), *sums)
     top, bits = 1 << 30, []
@@ -111,12 +111,16 @@ def block_keys(fp: Column) -> Column:
     )
 
 
-def fingerprint_links(fps: DataFrame) -> DataFrame:
-    """(a, b), a < b: distinct fingerprints (fp) at most MAX_BITS bits apart."""
+def near(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_BITS
+
+
+def shared_blocks(fps: DataFrame) -> DataFrame:
+    """(fp, key, low, high) of the fingerprints that are not alone with a key:
+    the smallest and the largest fingerprint of the key are low and high."""
     keyed = fps.select("fp", F.explode(block_keys(F.col("fp"))).alias("key"))
-    a, b = keyed.select(F.col("fp").alias("a"), "key"), keyed.select(F.col("fp").alias("b"), "key")
-    near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
-    return a.join(b, "key").where(near).select("a", "b").distinct()
+    w = Window.partitionBy("key")
+    return keyed.select("*", F.min("fp").over(w).alias("low"), F.max("fp").over(w).alias("high")).where("low < high")
 
 
 def similar(similarity: float) -> Column:
@@ -136,34 +140,37 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return found.where(similar(similarity)).select("a", "b")
 
 
-def line_groups(docs: DataFrame, nodes: DataFrame, similarity: float, rounds: int = 2) -> DataFrame:
+def line_groups(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """(id, root) of the lines in a group of two different lines or more."""
     fps = cut(nodes.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
-    near = cut(fingerprint_links(fps.select("fp")))
-    linked = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct()
+    block = saved(shared_blocks(fps))
+    other = block.select(F.col("fp").alias("b"), "key")
+    linked = cut(block.join(other, [block["key"] == other["key"], F.col("fp") != F.col("b"), near("fp", "b")], "left_semi").select("fp").distinct())
     several = fps.where("n > 1").select("fp").union(linked).distinct()
     member = saved(nodes.select("id", "fp").join(several, "fp", "left_semi").join(fps, "fp").select("id", "fp", "rep"))
     texts = saved(line_codes(docs, nodes.join(member.select("id"), "id", "left_semi").select("id", "first")))
 
+    block = saved(block.join(linked, "fp", "left_semi"))
     own = member.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    found = cut(verified(own, texts, similarity))
-    for _ in range(rounds):
-        placed = _placed(member, found)
-        root = placed.select("fp", "id", "root").join(fps.select(F.col("rep").alias("id")), "id")
-        ends = [root.select(F.col("fp").alias(x), F.col("id").alias(f"id_{x}"), F.col("root").alias(f"root_{x}")) for x in "ab"]
-        apart = near.join(ends[0], "a").join(ends[1], "b").where("root_a <> root_b")
-        one = apart.groupBy("b").agg(F.min_by(F.struct("id_a", "id_b"), "a").alias("p")).select(F.col("p.id_a").alias("a"), F.col("p.id_b").alias("b"))
-        found = cut(found.union(verified(one, texts, similarity)))
+    stars = [block.where(F.col(end) != F.col("fp")).where(near(end, "fp")).select(F.col(end).alias("fa"), F.col("fp").alias("fb")) for end in ("low", "high")]
+    ends = [fps.select(F.col("fp").alias(f"f{x}"), F.col("rep").alias(x)) for x in "ab"]
+    star = stars[0].union(stars[1]).distinct().join(ends[0], "fa").join(ends[1], "fb").select("a", "b")
+    found = cut(verified(own.union(star), texts, similarity))
 
     placed = cut(_placed(member, found))
     part = placed.select("fp", "root").distinct()
-    same = part.groupBy("fp").count().where("count > 1").select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    pa, pb = part.select(F.col("fp").alias("a"), F.col("root").alias("root_a")), part.select(F.col("fp").alias("b"), F.col("root").alias("root_b"))
-    apart = near.union(same).join(pa, "a").join(pb, "b").where("root_a <> root_b and (a <> b or root_a < root_b)")
-    ma = placed.select(F.col("fp").alias("a"), F.col("root").alias("root_a"), F.col("id").alias("id_a"))
-    mb = placed.select(F.col("fp").alias("b"), F.col("root").alias("root_b"), F.col("id").alias("id_b"))
-    open_pairs = apart.join(ma, ["a", "root_a"]).join(mb, ["b", "root_b"]).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    more = verified(open_pairs.distinct(), texts, similarity)
+    same = part.groupBy("fp").count().where("count > 1").select("fp", F.lit(None).cast("long").alias("key"))
+    keyed = block.select("fp", "key").union(same).join(part, "fp").select("fp", F.coalesce("key", "fp").alias("key"), F.col("key").isNull().alias("own"), "root")
+    ka, kb = (keyed.select("key", "own", *(F.col(c).alias(f"{c}_{x}") for c in ("fp", "root"))) for x in "ab")
+    open_ = (
+        ka.join(kb, ["key", "own"])
+        .where("root_a < root_b")
+        .where(near("fp_a", "fp_b"))
+        .select("fp_a", "root_a", "fp_b", "root_b")
+        .distinct()
+    )
+    ma, mb = (placed.select(*(F.col(c).alias(f"{c}_{x}") for c in ("fp", "root")), F.col("id").alias(x)) for x in "ab")
+    more = verified(open_.join(ma, ["fp_a", "root_a"]).join(mb, ["fp_b", "root_b"]).select("a", "b").distinct(), texts, similarity)
     return components(found.union(more)).select(F.col("node").alias("id"), "root")
 
 
