@@ -19,6 +19,8 @@ result each. Columns besides doc_id and text (item_id and text) are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,26 +55,35 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, broadcast_windows: int = 1_000_000) -> DataFrame:
-    """(doc_id, text_hash, pos, len, items) of every occurrence."""
+def scanned(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, broadcast_windows: int = 1_000_000) -> DataFrame:
+    """(doc_id, text_hash, n_words, pos, len, items, lead): every occurrence,
+    and one ``lead`` row for each row of ``docs`` (its first position; len and
+    items null if nothing occurs there), so that one pass gives both."""
     windows = saved(benchmark_windows(benchmark, size))
-    lengths = [r for r in windows.groupBy("len").count().collect()]  # at most ``size`` rows
+    lengths = windows.groupBy("len").count().collect()  # at most ``size`` rows
     small = sum(r["count"] for r in lengths) <= broadcast_windows
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_array(F.col("text")).alias("words"))
-    found = None
-    for length in sorted(r["len"] for r in lengths):
-        own = windows.where(F.col("len") == length).select(F.expr(key_of_win(length)).alias("key"), "win", "items")
-        own = F.broadcast(own) if small else own
-        scanned = windows_of(texts, length)
-        same = f"slice(words, pos + 1, {length}) = win"
-        if not small:  # a window's words travel, not its text's
-            scanned, same = scanned.withColumn("words", F.expr(f"slice(words, pos + 1, {length})")), "words = win"
-        hit = scanned.join(own, "key").where(same).select("doc_id", "text_hash", "pos", F.lit(length).alias("len"), "items")
-        found = hit if found is None else found.union(hit)
-    if found is None:
-        none = texts.select("doc_id", "text_hash", F.lit(0).alias("pos"), F.lit(0).alias("len"))
-        return none.withColumn("items", F.array().cast(windows.schema["items"].dataType)).where("false")
-    return found
+    parts = []
+    for length in sorted((r["len"] for r in lengths), reverse=True) or [size]:
+        last = F.greatest(F.size("words") - length, F.lit(0))
+        at = texts.select("*", F.size("words").cast("long").alias("n_words"), F.explode(F.sequence(F.lit(0), last)).alias("pos"))
+        at = at.select("*", F.expr(window_hash(length)).alias("key"))
+        own = windows.where(F.col("len") == length).select(F.expr(key_of_win(length)).alias("win_key"), "len", "win", "items")
+        same = F.expr(f"slice(words, pos + 1, {length}) = win")
+        if small:
+            own = F.broadcast(own)
+        else:  # a window's words travel, not its text's
+            at, same = at.withColumn("words", F.expr(f"slice(words, pos + 1, {length})")), F.expr("words = win")
+        hit = at.join(own, (F.col("key") == F.col("win_key")) & same, "inner" if parts else "left")
+        hit = hit if parts else hit.where("items is not null or pos = 0")
+        lead = F.lit(not parts) & (F.col("pos") == 0)
+        parts.append(hit.select("doc_id", "text_hash", "n_words", "pos", "len", "items", lead.alias("lead")))
+    return saved(reduce(DataFrame.union, parts))
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(doc_id, text_hash, pos, len, items) of every occurrence."""
+    return scanned(docs, benchmark, size).where("items is not null").select("doc_id", "text_hash", "pos", "len", "items")
 
 
 def key_of_win(size: int) -> str:
@@ -93,7 +104,9 @@ def hit_words(found: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, broadcast_windows: int = 1_000_000) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and the
     text's hash for each row of ``docs``."""
-    found = cut(hits(docs, benchmark, size, broadcast_windows).distinct())
+    scan = scanned(docs, benchmark, size, broadcast_windows)
+    # rows that repeat a (doc_id, text) have one set of occurrences
+    found = cut(scan.where("items is not null").select("doc_id", "text_hash", "pos", "len", "items").distinct())
     items = (
         found.select("doc_id", "text_hash", F.explode("items").alias("item"))
         .groupBy("doc_id", "text_hash")
@@ -101,7 +114,7 @@ def judged(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, broadcast_
     )
     per = _merge(hit_words(found), items)
     per = per.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "n_hit", "items")
-    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(word_array(F.col("text"))).cast("long").alias("n_words"))
+    base = scan.where("lead").select("doc_id", "text_hash", "n_words")
     out = base.join(per, base["doc_id"].eqNullSafe(per["_doc"]) & (base["text_hash"] == per["_hash"]), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     listed = F.coalesce(F.array_join(F.array_sort("items"), ","), F.lit(""))
