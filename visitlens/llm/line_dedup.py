@@ -10,8 +10,8 @@ more are nodes; shorter ones (headings, blank lines) are never judged and stay.
 3. Lines whose fingerprints are equal or linked are verified: the edit
    similarity of the normalised lines (1 - word edits / words of the longer) must
    be 0.8 or more. First each line against the first line of its fingerprint, and
-   each fingerprint's first line against those of the smallest and the largest
-   fingerprint with which it shares blocks; then all line pairs of equal or
+   each fingerprint's first line against those of the smallest and the two next
+   smaller fingerprints with which it shares blocks; then all line pairs of equal or
    linked fingerprints that are still in different components. So a large group of
    copies never meets itself pair by pair, and no link that joins two components
    is lost.
@@ -25,6 +25,7 @@ as one document and get the same result. Other columns stay as they are.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -116,11 +117,15 @@ def near(a: str, b: str) -> Column:
 
 
 def shared_blocks(fps: DataFrame) -> DataFrame:
-    """(fp, key, low, high) of the fingerprints that are not alone with a key:
-    the smallest and the largest fingerprint of the key are low and high."""
+    """(fp, key, low, last, last_but_one) of the fingerprints that are not alone
+    with a key: the smallest fingerprint of the key, the one and two before."""
     keyed = fps.select("fp", F.explode(block_keys(F.col("fp"))).alias("key"))
-    w = Window.partitionBy("key")
-    return keyed.select("*", F.min("fp").over(w).alias("low"), F.max("fp").over(w).alias("high")).where("low < high")
+    w = Window.partitionBy("key").orderBy("fp")
+    found = keyed.select(
+        "*", F.first("fp").over(w).alias("low"), F.lag("fp").over(w).alias("last"), F.lag("fp", 2).over(w).alias("last_but_one"),
+        F.lead("fp").over(w).alias("next"),
+    )
+    return found.where("last is not null or next is not null").drop("next")
 
 
 def similar(similarity: float) -> Column:
@@ -152,9 +157,12 @@ def line_groups(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFra
 
     block = saved(block.join(linked, "fp", "left_semi"))
     own = member.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    stars = [block.where(F.col(end) != F.col("fp")).where(near(end, "fp")).select(F.col(end).alias("fa"), F.col("fp").alias("fb")) for end in ("low", "high")]
+    star = [
+        block.where(F.col(end) != F.col("fp")).where(near(end, "fp")).select(F.col(end).alias("fa"), F.col("fp").alias("fb"))
+        for end in ("low", "last", "last_but_one")
+    ]
     ends = [fps.select(F.col("fp").alias(f"f{x}"), F.col("rep").alias(x)) for x in "ab"]
-    star = stars[0].union(stars[1]).distinct().join(ends[0], "fa").join(ends[1], "fb").select("a", "b")
+    star = reduce(DataFrame.union, star).distinct().join(ends[0], "fa").join(ends[1], "fb").select("a", "b")
     found = cut(verified(own.union(star), texts, similarity))
 
     placed = cut(_placed(member, found))
@@ -198,14 +206,14 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float
 def without(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` with n_lines, n_removed and the text without those lines."""
     gone = removed.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_gone"))
-    split = F.split("text", "\n")
-    index = F.sequence(F.lit(0), F.size(split) - 1)
-    keep = F.transform(F.array_except(index, F.col("_gone")), lambda i: F.get(split, i))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(keep, "\n"))
     joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc"]) & (F.xxhash64(docs["text"]) == gone["_hash"]), "left")
-    return joined.select(
-        *(text.alias("text") if c == "text" else docs[c] for c in docs.columns),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("long").alias("_n_lines"),
+    lines = joined.select(*docs.columns, "_gone", F.split("text", "\n").alias("_lines"))
+    index = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    kept = F.array_join(F.transform(index, lambda i: F.get(F.col("_lines"), i)), "\n")
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
+    return lines.select(
+        *(text.alias("text") if c == "text" else F.col(c) for c in docs.columns),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("_n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_n_removed"),
     )
 
