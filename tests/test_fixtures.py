@@ -41,14 +41,6 @@ def test_user_view_size(spark):
     assert fixtures.user_info(spark, "/root/testdata/sf0.01").count() == 1411
 
 
-def test_stored_table_equals_derived_view(spark):
-    d = "/root/testdata/sf0.001"
-    derived = fixtures.user_visit_action(spark, d)
-    stored = fixtures.stored_actions(spark, d)
-    assert stored.columns == derived.columns
-    assert stored.exceptAll(derived).count() == 0 and derived.exceptAll(stored).count() == 0
-
-
 def test_preview_and_views(spark):
     d = "/root/testdata/sf0.001"
     rows = fixtures.preview(spark, d)

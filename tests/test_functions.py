@@ -123,7 +123,7 @@ def test_sql_text_codec_equals_column_codec(spark, record):
 
 
 def test_time_sql_text_equals_columns(spark):
-    df = spark.createDataFrame([("2024-01-01 7:05:09",), ("2024-01-01 17:05:09",), ("nospace",), (None,)], "a string")
+    df = spark.createDataFrame([("2024-01-01 7:05:09",), ("2024-01-01 17:05:09",), ("nospace",), (None,), ("2024-1-1 7:5:9",)], "a string")
     cols = df.select(
         timekeys.date_hour(F.col("a")), timekeys.fulfill(timekeys.hour_text(F.col("a"))), timekeys.parse_time(F.col("a"))
     ).collect()
@@ -152,3 +152,15 @@ def test_codec_on_random_records_matches_java_rules(spark):
             continue  # pieces made only of '=' make the original throw
         assert r.g_sql == by_i[r.i].g == java_get_field(record, "a"), record
         assert r.s_sql == by_i[r.i].s == java_set_field(record, "a", 9), record
+
+
+def test_lenient_action_times(spark):
+    """Texts that the original's lenient parser reads too."""
+    want = {
+        "2024-01-01 10:00:00.0": "2024-01-01 10:00:00", "2024-1-1 7:5:9": "2024-01-01 07:05:09",
+        "2024-02-30 10:00:00": "2024-03-01 10:00:00", "2024-01-01 10:00:00 ": "2024-01-01 10:00:00",
+        "2024-01-01 25:61:61": "2024-01-02 02:02:01", "no time": None, "": None, "99999999-1-1 1:1:1": None,
+    }
+    df = spark.createDataFrame([(t,) for t in want], "a string")
+    got = {r.a: r.t for r in df.selectExpr("a", f"CAST({timekeys.parse_time_sql('a')} AS STRING) AS t").collect()}
+    assert got == want

@@ -7,8 +7,9 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_compare import compare, duck_connect
+from visitlens.plans import catalog
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

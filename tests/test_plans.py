@@ -13,7 +13,9 @@ import pytest
 from conftest import ACTION_SCHEMA, SF_MID, SF_SMALL, action_rows
 from visitlens.functions.params import TaskParams
 from visitlens.operators.funnel import adjacent_page_pairs, one_step_convert_rate, page_points
-from visitlens.operators.topn import top_sessions
+from visitlens.operators.sessions import aggregate_sessions
+from visitlens.operators.timeline import action_time_keys
+from visitlens.operators.topn import category_counts_by_session, top_sessions
 from visitlens.plans import catalog
 from visitlens.plans import params_catalog as P
 from visitlens.plans.by_task import session_aggr_stat_by_task
@@ -46,17 +48,36 @@ def test_by_task_equals_single_task(spark):
         assert single == by_task[task_id], task_id
 
 
-def test_by_task_batches(spark, monkeypatch):
-    """Above the broadcast batch size the tasks run as several batches with the same result."""
-    from visitlens.plans import by_task as bt
+def test_by_task_bad_age_bound_leaves_other_tasks(spark):
+    from visitlens.session import local_table
 
-    actions = fixtures.user_visit_action(spark, SF_SMALL)
-    users = fixtures.user_info(spark, SF_SMALL)
-    tasks = catalog.task_table(spark)
-    whole = sorted(session_aggr_stat_by_task(actions, users, tasks).collect())
-    monkeypatch.setattr(bt, "MAX_PAIRS_PER_BATCH", 40)
-    batched = sorted(session_aggr_stat_by_task(actions, users, tasks).collect())
-    assert whole == batched
+    dates = '"startDate":["2024-01-05"],"endDate":["2024-01-20"]'
+    rows = [(1, "{" + dates + ',"startAge":["99999999999999999999"],"endAge":["9"]}'), (2, "{" + dates + ',"startAge":["1"],"endAge":["99999999999"]}'), (2, "{" + dates + "}"), (3, "{" + dates + "}")]
+    tasks = local_table(spark, rows, [("task_id", "BIGINT"), ("task_param", "STRING")])
+    actions, users = fixtures.user_visit_action(spark, SF_SMALL), fixtures.user_info(spark, SF_SMALL)
+    got = [(r.taskid, r.session_count) for r in session_aggr_stat_by_task(actions, users, tasks).collect()]
+    whole = session_aggr_stat(actions, users, TaskParams.from_json(rows[3][1]), 3).first().session_count
+    old = session_aggr_stat(actions, users, TaskParams.from_json(rows[1][1]), 2).first().session_count
+    assert sorted(got) == sorted([(1, 0), (2, old), (2, whole), (3, whole)])  # one row per task row
+
+
+def test_null_session_is_a_session(spark):
+    d = "2024-01-01"
+    rows = [(None, 1, f"{d} 10:00:00", None, 7), (None, 1, f"{d} 10:00:09.0", None, 7), ("a", 1, f"{d} 9:0:00", None, 8)]
+    actions = spark.createDataFrame(action_rows(rows), ACTION_SCHEMA)
+    keys = {(r.session_id, r.action_time): r for r in action_time_keys(actions).collect()}
+    assert keys[None, f"{d} 10:00:09.0"].seconds_since_prev == 9 and keys[None, f"{d} 10:00:09.0"].after_session_start
+    counts = category_counts_by_session(actions)
+    kept = aggregate_sessions(actions).select("session_id")
+    assert counts.join(kept, counts["session_id"].eqNullSafe(kept["session_id"]), "left_semi").count() == 2
+
+
+def test_keyword_filter_tests_each_piece_of_the_data(spark):
+    d = "2024-01-01"
+    rows = [("a", 1, f"{d} 10:00:00", "x,y", None), ("b", 1, f"{d} 10:00:00", "xy", None), ("c", 1, f"{d} 10:00:00", None, 3)]
+    actions = spark.createDataFrame(action_rows(rows), ACTION_SCHEMA)
+    got = {r.session_id: r.kw_hit for r in aggregate_sessions(actions, keywords=["x"]).collect()}
+    assert got == {"a": True, "b": False, "c": False}
 
 
 def _brute_pairs(rows):
@@ -147,7 +168,7 @@ def test_by_task_without_list_filters_uses_fixed_width_aggregation(spark):
     rows = [(1, '{"startDate":["2024-01-05"],"endDate":["2024-01-20"],"sex":["male"]}'),
             (2, '{"startDate":["2024-01-01"],"endDate":["2024-01-31"],"startAge":["10"],"endAge":["40"]}')]
     tasks = local_table(spark, rows, [("task_id", "BIGINT"), ("task_param", "STRING")])
-    actions = fixtures.stored_actions(spark, SF_SMALL)
+    actions = fixtures.user_visit_action(spark, SF_SMALL)
     users = fixtures.user_info(spark, SF_SMALL)
     df = session_aggr_stat_by_task(actions, users, tasks)
     got = {r.taskid: r.asDict() for r in df.collect()}

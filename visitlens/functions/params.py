@@ -164,13 +164,16 @@ def task_param_columns(tasks: DataFrame, param_col: str = "task_param") -> DataF
 
     both = f"(coalesce({p(C.PARAM_START_AGE)}, '') <> '' AND coalesce({p(C.PARAM_END_AGE)}, '') <> '')"
     integer = "'^[+-]?[0-9]+$'"  # same rule as _INT, written without backslashes for SQL text
-    good = f"({p(C.PARAM_START_AGE)} RLIKE {integer} AND {p(C.PARAM_END_AGE)} RLIKE {integer})"
+    good = " AND ".join(
+        f"{p(key)} RLIKE {integer} AND TRY_CAST({p(key)} AS BIGINT) IS NOT NULL" for key in (C.PARAM_START_AGE, C.PARAM_END_AGE)
+    )
+    good = f"({good})"
     return tasks.selectExpr(
         "task_id",
         f"{p(C.PARAM_START_DATE)} AS start_date",
         f"{p(C.PARAM_END_DATE)} AS end_date",
-        f"CASE WHEN {both} AND {good} THEN CAST({p(C.PARAM_START_AGE)} AS INT) END AS age_lo",
-        f"CASE WHEN {both} AND {good} THEN CAST({p(C.PARAM_END_AGE)} AS INT) END AS age_hi",
+        f"CASE WHEN {both} AND {good} THEN TRY_CAST({p(C.PARAM_START_AGE)} AS BIGINT) END AS age_lo",
+        f"CASE WHEN {both} AND {good} THEN TRY_CAST({p(C.PARAM_END_AGE)} AS BIGINT) END AS age_hi",
         f"coalesce({both} AND NOT {good}, false) AS age_bad",
         f"{_list_sql(p(C.PARAM_PROFESSIONALS))} AS professionals",
         f"{_list_sql(p(C.PARAM_CITIES))} AS cities",

@@ -1,9 +1,8 @@
 """Time helpers of the original job, as column expressions.
 
 Action times are strings ``yyyy-MM-dd H:mm:ss`` whose hour may be written
-without a leading zero. They are parsed leniently on the hour (pattern ``H``
-reads ``7`` and ``17``); an unparseable text gives NULL instead of failing the
-job. Parsed values are ``timestamp_ntz`` so differences are wall-clock
+without a leading zero. A text that is not of that form is read by its leading
+numbers (``LENIENT``); one without them gives NULL instead of failing the job. Parsed values are ``timestamp_ntz`` so differences are wall-clock
 seconds whatever the session time zone.
 """
 
@@ -17,12 +16,31 @@ ACTION_TIME_PATTERN = "yyyy-MM-dd H:mm:ss"
 
 def parse_time(text: Column) -> Column:
     """``parseTime``: string -> timestamp_ntz, NULL when it does not parse."""
-    return F.try_to_timestamp(text, F.lit(ACTION_TIME_PATTERN)).cast("timestamp_ntz")
+    strict = F.try_to_timestamp(text, F.lit(ACTION_TIME_PATTERN)).cast("timestamp_ntz")
+    y, mo, d, h, mi, s = (F.regexp_extract(text, LENIENT, i).try_cast("int") for i in range(1, 7))
+    one, none = F.lit(1), F.lit(0)
+    found = F.try_make_timestamp_ntz(y, one, one, none, none, none)
+    for unit, n in (("MONTH", mo - 1), ("DAY", d - 1), ("HOUR", h), ("MINUTE", mi), ("SECOND", s)):
+        found = F.timestamp_add(unit, n, found)
+    return F.coalesce(strict, found)
 
 
 def parse_time_sql(text: str) -> str:
     """:func:`parse_time` as SQL text over the SQL expression ``text``."""
-    return f"CAST(try_to_timestamp({text}, '{ACTION_TIME_PATTERN}') AS TIMESTAMP_NTZ)"
+    strict = f"CAST(try_to_timestamp({text}, '{ACTION_TIME_PATTERN}') AS TIMESTAMP_NTZ)"
+    return f"coalesce({strict}, {_lenient_sql(text)})"
+
+
+LENIENT = "^([0-9]{1,4})-([0-9]{1,4})-([0-9]{1,5}) +([0-9]{1,5}):([0-9]{1,5}):([0-9]{1,7})"
+
+
+def _lenient_sql(text: str) -> str:
+    """The leading ``y-M-d H:m:s`` of a text that is not canonical: what follows
+    is ignored, and a field beyond its range runs over into the next one
+    (February 30 is March 1 or 2), as the original's lenient parser does."""
+    y, mo, d, h, mi, s = (f"TRY_CAST(regexp_extract({text}, '{LENIENT}', {i}) AS INT)" for i in range(1, 7))
+    day = f"timestampadd(DAY, {d} - 1, timestampadd(MONTH, {mo} - 1, try_make_timestamp_ntz({y}, 1, 1, 0, 0, 0)))"
+    return f"timestampadd(SECOND, {s}, timestampadd(MINUTE, {mi}, timestampadd(HOUR, {h}, {day})))"
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:

@@ -27,7 +27,10 @@ def value_equals(column: str, value: str) -> str:
 
 
 def session_predicate(params: TaskParams) -> str | None:
-    """SQL of the AND of every given filter; None when the task filters nothing."""
+    """SQL of the AND of every given filter; None when the task filters nothing.
+
+    A bare conjunction, so that Catalyst can push each test to its side; WHERE
+    takes a NULL test as not passed."""
     tests: list[str] = []
     ages = params.age_range()
     if ages is not None:
@@ -47,4 +50,4 @@ def session_predicate(params: TaskParams) -> str | None:
         tests.append("cat_hit")
     if not tests:
         return None
-    return "coalesce(" + " AND ".join(f"({t})" for t in tests) + ", false)"
+    return " AND ".join(f"({t})" for t in tests)

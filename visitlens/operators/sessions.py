@@ -39,10 +39,11 @@ def _in_list(expr: str, items: list[str]) -> str:
 
 
 def keyword_hit(keywords: list[str]) -> str:
-    """Per-action SQL test for the keyword filter (exact word, any of the list)."""
+    """Per-action SQL test for the keyword filter: any comma-separated piece of
+    the searched text is one of the list."""
     if not keywords:
         return "false"
-    return f"coalesce({_in_list('search_keyword', keywords)}, false)"
+    return f"coalesce(arrays_overlap(split(search_keyword, ',', -1), {sql_literal(keywords)}), false)"
 
 
 def category_hit(category_ids: list[str]) -> str:

@@ -41,10 +41,14 @@ def action_time_keys(actions: DataFrame) -> DataFrame:
         "min(day_first) OVER (PARTITION BY session_id) AS first_t",
         "max(day_last) OVER (PARTITION BY session_id) AS last_t",
     )
-    marks = in_day.join(day_marks, ["session_id", "day"], "inner").selectExpr(
-        "session_id", "t", "coalesce(prev_in_day, prev_day_last) AS prev_t", "first_t", "last_t"
+    # the NULL session is a session too
+    day_marks = day_marks.withColumnsRenamed({"session_id": "_session", "day": "_day"})
+    same_day = in_day["session_id"].eqNullSafe(day_marks["_session"]) & (in_day["day"] == day_marks["_day"])
+    marks = in_day.join(day_marks, same_day).selectExpr(
+        "session_id AS _session", "t AS _t", "coalesce(prev_in_day, prev_day_last) AS prev_t", "first_t", "last_t"
     )
-    return timed.join(marks, ["session_id", "t"], "left").selectExpr(
+    same = timed["session_id"].eqNullSafe(marks["_session"]) & (timed["t"] == marks["_t"])
+    return timed.join(marks, same, "left").selectExpr(
         "session_id",
         "action_time",
         f"{date_hour_sql('action_time')} AS date_hour",

@@ -1,149 +1,130 @@
 """Many analysis tasks in one Spark job (one result row per task).
 
-The original job answers one task per submission. Here actions are first
-reduced to one row per (session, date), those rows are joined to the tasks
-whose date range holds the date, sessions are re-aggregated by
-(task_id, session_id), and every task's filters are evaluated as columns.
-N tasks cost one pass over the actions instead of N.
-
-Range join without comparing every row with every task: the date-range
-predicate is evaluated only on the *distinct* date values of the actions
-(dates × tasks, a few thousand rows), which gives exact (date, task) pairs.
-The session-day rows then join those pairs on ``date`` by hash. The pairs are
-brought back through ``limit(MAX + 1)`` as the size check. Under the bound
-they are broadcast as a local relation; above it, the tasks run in batches
-whose results are unioned, with every task in exactly one batch.
+The original job answers one task per submission. Here every step is a lazy
+join or aggregation, whatever the number of tasks:
+
+1. the distinct (start, end) windows of the tasks are turned into (window,
+   date) rows by their places in the sorted list of dates, windows' starts and
+   ends (no range join);
+2. actions of those dates only are reduced to one fixed-width row per
+   (session, date), and re-aggregated once per distinct *window* and session;
+3. sessions join their user once, then the tasks of their window; keyword and
+   category filters are the (task, session) pairs found by joining each
+   action's values with the tasks' values, so no list is gathered;
+4. the conditions of a task are one predicate, the counts one ``groupBy``.
+
+No join carries a hint: AQE measures the sides at run time.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import task_param_columns
-from ..session import local_table, sql_literal
 from ..functions.timekeys import parse_time_sql
 from ..operators.stats import bucket_count_columns, with_ratios
 
-# Upper bound of (date, task) pairs broadcast at once; each pair carries the
-# task's keyword / category lists (~1 KB), so a batch stays in the tens of MB.
-MAX_PAIRS_PER_BATCH = 20000
-PAIR_COLUMNS = [("date", "STRING"), ("task_id", "BIGINT"), ("keywords", "ARRAY<STRING>"), ("category_ids", "ARRAY<STRING>")]
-
-
-# Upper bound of distinct keyword / category values, over all tasks, that the
-# session-day sets are restricted to (parameter data, collected with a limit).
-MAX_FILTER_VALUES = 10000
-
-
-def _seen_set(column: str, values: list[str] | None, alias: str) -> str:
-    """Distinct values of ``column`` per group, restricted to the values some
-    task filters on: ``None`` = keep every value (too many to list); ``[]`` =
-    no task filters on it, so no set is built at all."""
-    text = column if column == "search_keyword" else f"CAST({column} AS STRING)"
-    valid = f"{column} <> ''" if column == "search_keyword" else f"{column} <> 0"
-    if values is None:
-        return f"collect_set(CASE WHEN {valid} THEN {text} END) AS {alias}"
-    if not values:
-        return f"CAST(array() AS ARRAY<STRING>) AS {alias}"
-    listed = ", ".join(sql_literal(v) for v in values)
-    return f"collect_set(CASE WHEN {valid} AND {text} IN ({listed}) THEN {text} END) AS {alias}"
-
-
-def session_days(
-    actions: DataFrame, keywords: list[str] | None = None, category_ids: list[str] | None = None
-) -> DataFrame:
-    """One row per (session, date): the per-session aggregates of that day's
-    actions plus the distinct searched keywords and clicked categories among
-    the values the tasks filter on (see :func:`_seen_set`).
-
-    A task's date window selects whole dates, so any task's sessions are
-    exactly the re-aggregation of these rows over its dates. Partial
-    aggregation runs map-side, so a hot session costs one row per map task
-    and date before the shuffle."""
+WINDOW = ["start_date", "end_date"]
+
+
+def window_dates(dates: DataFrame, windows: DataFrame) -> DataFrame:
+    """(start_date, end_date, date): each distinct ``date`` inside each window
+    (string compare, both ends included).
+
+    Starts, dates and ends are sorted together; the running number of dates
+    gives each window a first and a last place, and places are joined by
+    equality. The sorted list has a row per distinct date and window."""
+    # at equal text a start sorts before the date and an end after it
+    marks = (
+        windows.selectExpr("start_date AS text", "0 AS kind")
+        .union(windows.selectExpr("end_date", "2"))
+        .distinct()
+        .union(dates.selectExpr("date", "1"))
+    )
+    placed = marks.selectExpr("text", "kind", "count_if(kind = 1) OVER (ORDER BY text, kind) AS place")
+    first = placed.where("kind = 0").selectExpr("text AS start_date", "place + 1 AS lo")
+    last = placed.where("kind = 2").selectExpr("text AS end_date", "place AS hi")
+    at = placed.where("kind = 1").selectExpr("text AS date", "place")
+    places = windows.join(first, "start_date").join(last, "end_date").where("lo <= hi")
+    return places.selectExpr(*WINDOW, "explode(sequence(lo, hi)) AS place").join(at, "place").select(*WINDOW, "date")
+
+
+def session_days(actions: DataFrame) -> DataFrame:
+    """One fixed-width row per (session, date). A task's window selects whole
+    dates, so its sessions are the re-aggregation of these rows."""
     t = parse_time_sql("action_time")
     return actions.groupBy("session_id", "date").agg(
         F.expr("max(CASE WHEN user_id <> 0 THEN user_id END) AS user_max"),
         F.expr(f"min({t}) AS t_min"),
         F.expr(f"max({t}) AS t_max"),
         F.expr("count(1) AS steps"),
-        F.expr(_seen_set("search_keyword", keywords, "keywords_seen")),
-        F.expr(_seen_set("click_category_id", category_ids, "categories_seen")),
     )
 
 
-def filter_values(tp: DataFrame, column: str, limit: int = MAX_FILTER_VALUES) -> list[str] | None:
-    """Distinct values of a task list column over all tasks; None above ``limit``."""
-    rows = tp.selectExpr(f"explode({column}) AS v").distinct().limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(r.v for r in rows)
-
-
-def date_task_pairs(dates: DataFrame, tp: DataFrame) -> DataFrame:
-    """(date, task_id, keywords, category_ids) for every distinct action date
-    inside a task's [start_date, end_date] (string compare, like the scan)."""
-    ranges = F.broadcast(tp.select("task_id", "start_date", "end_date", "keywords", "category_ids"))
-    in_range = (dates.date >= ranges.start_date) & (dates.date <= ranges.end_date)
-    return dates.join(ranges, in_range, "inner").select("date", "task_id", "keywords", "category_ids")
-
-
 _SESSION_AGGS = (
     "coalesce(max(user_max), 0L) AS user_id",
     "min(t_min) AS _start",
     "max(t_max) AS _end",
     "sum(steps) AS step_length",
-    "bool_or(keywords IS NULL OR coalesce(arrays_overlap(keywords_seen, keywords), false)) AS kw_hit",
-    "bool_or(category_ids IS NULL OR coalesce(arrays_overlap(categories_seen, category_ids), false)) AS cat_hit",
 )
 
-# A task's filters as one predicate over a joined (session, user, task) row.
+# A task's user filters as one predicate over a joined (session, user, task) row.
 _KEEP = (
-    "coalesce(NOT age_bad"
+    "NOT age_bad"
     " AND (age_lo IS NULL OR age BETWEEN age_lo AND age_hi)"
     " AND (professionals IS NULL OR array_contains(professionals, professional))"
     " AND (cities IS NULL OR array_contains(cities, city))"
     " AND (sex IS NULL OR sex = user_sex)"
-    " AND kw_hit AND cat_hit, false)"
 )
 
+#: Filter kind: the task's list column, the values of an action as an array.
+_VALUES = {
+    "keywords": "split(search_keyword, ',', -1)",
+    "category_ids": "CASE WHEN click_category_id <> 0 THEN array(CAST(click_category_id AS STRING)) END",
+}
+
 
-def _stats_for_tasks(days: DataFrame, users: DataFrame, tp: DataFrame, pairs: DataFrame) -> DataFrame:
-    td = days.join(F.broadcast(pairs), "date", "inner")
-    sessions = td.groupBy("task_id", "session_id").agg(*[F.expr(a) for a in _SESSION_AGGS]).selectExpr(
-        "task_id", "user_id", "step_length", "kw_hit", "cat_hit", "timestampdiff(SECOND, _start, _end) AS visit_length"
+def value_hits(actions: DataFrame, dates: DataFrame, tasks: DataFrame) -> DataFrame:
+    """(kind, task_key, session_id): the tasks' values that the session's
+    actions of the window have."""
+    values = [f"transform({sql}, x -> struct('{kind}' AS kind, x AS value))" for kind, sql in _VALUES.items()]
+    found = actions.selectExpr("session_id", "date", f"explode(concat({', '.join(f'coalesce({v}, array())' for v in values)})) AS v")
+    found = found.select("session_id", "date", "v.kind", "v.value").distinct()
+    asked = [tasks.selectExpr(*WINDOW, "task_key", f"'{kind}' AS kind", f"explode({kind}) AS value") for kind in _VALUES]
+    asked = asked[0].union(asked[1]).join(dates, WINDOW)  # the dates on which a task asks for a value
+    return found.join(asked, ["date", "kind", "value"]).select("kind", "task_key", "session_id").distinct()
+
+
+def session_aggr_stat_by_task(actions: DataFrame, users: DataFrame, tasks: DataFrame) -> DataFrame:
+    """17-column stat rows, one per row of ``tasks`` (task_id, task_param)."""
+    every = task_param_columns(tasks).withColumn("task_key", F.xxhash64("task_id", "start_date", "end_date", *_PARAMS))
+    asked = every.drop("task_id").distinct()
+    windows = asked.select(*WINDOW).distinct()
+    dates = window_dates(actions.select("date").distinct(), windows)
+    wanted = actions.join(dates.select("date").distinct(), "date", "left_semi")
+
+    sessions = (
+        session_days(wanted)
+        .join(dates, "date")
+        .groupBy(*WINDOW, "session_id")
+        .agg(*[F.expr(a) for a in _SESSION_AGGS])
+        .selectExpr(*WINDOW, "session_id", "user_id", "step_length", "timestampdiff(SECOND, _start, _end) AS visit_length")
     )
-    user_cols = users.selectExpr("user_id", "age", "professional", "city", "sex AS user_sex")
-    joined = sessions.join(user_cols, "user_id", "inner")
-    user_params = F.broadcast(tp.select("task_id", "age_lo", "age_hi", "age_bad", "professionals", "cities", "sex"))
-    kept = joined.join(user_params, "task_id", "inner").where(_KEEP)
-    counts = kept.groupBy("task_id").agg(*bucket_count_columns())
+    of_user = sessions.join(users.selectExpr("user_id", "age", "professional", "city", "sex AS user_sex"), "user_id")
+    kept = of_user.join(asked, WINDOW).where(_KEEP)
+    hits = value_hits(wanted, dates, asked)
+    for kind in _VALUES:
+        hit = hits.where(f"kind = '{kind}'").selectExpr("task_key AS hit_key", "session_id AS hit_session")
+        same = (F.col("task_key") == F.col("hit_key")) & F.col("session_id").eqNullSafe(F.col("hit_session"))
+        kept = kept.join(hit, same, "left").where(f"{kind} IS NULL OR hit_key IS NOT NULL").drop("hit_key", "hit_session")
+    counts = kept.groupBy("task_key").agg(*bucket_count_columns())
 
     # Every task gets a row, even when it selected nothing.
-    filled = tp.select("task_id").join(counts, "task_id", "left").selectExpr(
-        "task_id", *[f"coalesce({c}, 0L) AS {c}" for c in counts.columns if c != "task_id"]
+    filled = every.select("task_id", "task_key").join(counts, "task_key", "left").selectExpr(
+        "task_id", *[f"coalesce({c}, 0L) AS {c}" for c in counts.columns if c != "task_key"]
     )
     return with_ratios(filled, "task_id")
 
 
-def session_aggr_stat_by_task(actions: DataFrame, users: DataFrame, tasks: DataFrame) -> DataFrame:
-    """17-column stat rows, one per task of ``tasks`` (task_id, task_param)."""
-    tp = task_param_columns(tasks)
-    days = session_days(actions, filter_values(tp, "keywords"), filter_values(tp, "category_ids"))
-    dates = actions.select("date").distinct()
-    pairs = date_task_pairs(dates, tp)
-    # Size check before broadcasting: at most MAX+1 parameter rows come back.
-    # Under the bound they become a local relation, so the main job does not
-    # recompute them; above it the tasks run in batches.
-    head = pairs.limit(MAX_PAIRS_PER_BATCH + 1).collect()
-    if len(head) <= MAX_PAIRS_PER_BATCH:
-        local = local_table(tasks.sparkSession, [tuple(r) for r in head], PAIR_COLUMNS)
-        return _stats_for_tasks(days, users, tp, local)
-    n_pairs = pairs.count()
-    n_batches = -(-n_pairs // MAX_PAIRS_PER_BATCH)
-    batch = F.pmod(F.xxhash64("task_id"), F.lit(n_batches))
-    parts = []
-    for i in range(n_batches):
-        tasks_i = tp.where(batch == i)
-        parts.append(_stats_for_tasks(days, users, tasks_i, pairs.where(batch == i)))
-    return reduce(DataFrame.unionByName, parts)
+_PARAMS = ("age_lo", "age_hi", "age_bad", "professionals", "cities", "sex", "keywords", "category_ids")

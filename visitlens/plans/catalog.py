@@ -1,8 +1,7 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
-Each query reads the driver's parquet tables (the action table through its
-date-partitioned stored copy, users and products through lazy views), so its
-work grows with the tables. Parameters live in ``params_catalog`` and are
+Each query reads the driver's parquet tables through lazy views, so its work
+grows with the tables and no job runs while a query is built. Parameters live in ``params_catalog`` and are
 shared with the SQL oracle (``oracle.py``).
 """
 
@@ -29,10 +28,11 @@ from .session_stat import drop_flags, order_session_columns, session_aggr_stat,
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The action table (stored once per session, partitioned by date); the
-    task's date range is applied by the plans and prunes partitions."""
-    return fixtures.stored_actions(spark, sf_dir)
+def _actions(spark: SparkSession, sf_dir: str, params: TaskParams | None = None) -> DataFrame:
+    """The action view over ``events``; a task's dates become a timestamp range
+    that the parquet reader sees."""
+    start, end = params.date_range() if params else (None, None)
+    return fixtures.user_visit_action(spark, sf_dir, start, end)
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,23 +41,23 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def action_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = P.FLAGSHIP
-    return scan_actions(_actions(spark, sf_dir), p.start_date, p.end_date)
+    return scan_actions(_actions(spark, sf_dir, p), p.start_date, p.end_date)
 
 
 def session_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = P.FLAGSHIP
-    return aggregate_sessions(scan_actions(_actions(spark, sf_dir), p.start_date, p.end_date), with_lists=True)
+    return aggregate_sessions(scan_actions(_actions(spark, sf_dir, p), p.start_date, p.end_date), with_lists=True)
 
 
 def session_user_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = P.FLAGSHIP
-    kept = sessions_for_task(_actions(spark, sf_dir), _users(spark, sf_dir), p, with_lists=True, apply_filters=False)
+    kept = sessions_for_task(_actions(spark, sf_dir, p), _users(spark, sf_dir), p, with_lists=True, apply_filters=False)
     return order_session_columns(kept)
 
 
 def _session_filter(params: TaskParams) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        kept = sessions_for_task(_actions(spark, sf_dir), _users(spark, sf_dir), params, with_lists=True)
+        kept = sessions_for_task(_actions(spark, sf_dir, params), _users(spark, sf_dir), params, with_lists=True)
         return order_session_columns(drop_flags(kept))
 
     return run
@@ -66,7 +66,7 @@ def _session_filter(params: TaskParams) -> Query:
 def _histogram(kind: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         p = P.FLAGSHIP
-        kept = sessions_for_task(_actions(spark, sf_dir), _users(spark, sf_dir), p, apply_filters=False)
+        kept = sessions_for_task(_actions(spark, sf_dir, p), _users(spark, sf_dir), p, apply_filters=False)
         return histogram(bucket_counts(kept.select("visit_length", "step_length")), kind)
 
     return run
@@ -74,7 +74,7 @@ def _histogram(kind: str) -> Query:
 
 def _stat(params: TaskParams) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return session_aggr_stat(_actions(spark, sf_dir), _users(spark, sf_dir), params)
+        return session_aggr_stat(_actions(spark, sf_dir, params), _users(spark, sf_dir), params)
 
     return run
 
@@ -105,10 +105,11 @@ def kv_record_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _category_counts(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
     """(session, category) counts over the actions of the sessions that pass the task."""
-    actions = _actions(spark, sf_dir)
+    actions = _actions(spark, sf_dir, params)
     kept = sessions_for_task(actions, _users(spark, sf_dir), params).select("session_id")
     scanned = scan_actions(actions, params.start_date, params.end_date)
-    return category_counts_by_session(scanned).join(kept, "session_id", "left_semi")
+    counts = category_counts_by_session(scanned)
+    return counts.join(kept, counts["session_id"].eqNullSafe(kept["session_id"]), "left_semi")
 
 
 def _top10_category(params: TaskParams) -> Query:
@@ -128,7 +129,7 @@ def _top10_session(params: TaskParams) -> Query:
 
 def page_one_step_convert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = P.TOP_PAGE_FLOW
-    scanned = scan_actions(_actions(spark, sf_dir), p.start_date, p.end_date)
+    scanned = scan_actions(_actions(spark, sf_dir, p), p.start_date, p.end_date)
     return one_step_convert_rate(spark, scanned, p.page_flow())
 
 

@@ -98,7 +98,7 @@ def _kw_hit(params: TaskParams) -> str:
         return "TRUE"
     if not items:
         return "FALSE"
-    return f"COALESCE(bool_or(COALESCE(search_keyword IN ({sql_list(items)}), FALSE)), FALSE)"
+    return f"COALESCE(bool_or(COALESCE(list_has_any(string_split(search_keyword, ','), [{sql_list(items)}]), FALSE)), FALSE)"
 
 
 def _cat_hit(params: TaskParams) -> str:
@@ -265,7 +265,7 @@ SELECT a.session_id, a.action_time,
        CAST(date_sub('second', d.prev_t, a.t) AS BIGINT) AS seconds_since_prev,
        COALESCE(a.t > d.first_t, FALSE) AS after_session_start,
        COALESCE(a.t < d.last_t, FALSE) AS before_session_end
-FROM a LEFT JOIN d ON a.session_id = d.session_id AND a.t = d.t"""
+FROM a LEFT JOIN d ON a.session_id IS NOT DISTINCT FROM d.session_id AND a.t = d.t"""
 
 
 def _kv_get(record: str, field: str) -> str:
@@ -312,7 +312,7 @@ FROM bump"""
 
 def _category_ctes(params: TaskParams) -> str:
     return f"""{ACTIONS_CTE},{USERS_CTE},{kept_sessions_cte(params)},
-act AS (SELECT * FROM uva WHERE {_date_where(params)} AND session_id IN (SELECT session_id FROM kept)),
+act AS (SELECT * FROM uva WHERE {_date_where(params)} AND EXISTS (SELECT 1 FROM kept k WHERE k.session_id IS NOT DISTINCT FROM uva.session_id)),
 cev AS (
   SELECT session_id, click_category_id AS cid, 1 AS c, 0 AS o, 0 AS p FROM act WHERE click_category_id IS NOT NULL
   UNION ALL

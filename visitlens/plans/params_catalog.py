@@ -30,7 +30,8 @@ FILTERS = {
     ),
 }
 
-EMPTY = TaskParams(start_date=START, end_date=END, sex="x")
+# Ages end at 59, which only the data tell: the scans are not folded away.
+EMPTY = TaskParams(start_date=START, end_date=END, start_age="60", end_age="99")
 
 TOP_PAGE_FLOW = TaskParams(start_date=START, end_date=END, target_page_flow="1,2,3,4,5,6")
 

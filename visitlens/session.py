@@ -6,8 +6,6 @@ fill in settings the job relies on when they are unset (tests, local runs).
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the plans are written for. AQE re-plans joins from the real
@@ -50,7 +48,6 @@ def build_session(
         builder = builder.enableHiveSupport()
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -81,31 +78,6 @@ def scale_conf(total_cores: int, input_bytes: int, shuffle_fraction: float = 0.2
     }
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster that setting must point at storage every executor sees
-    (HDFS, an object store) and is used as is; a cluster session without it
-    is an error, because a machine-local folder would not be shared. Only a
-    ``local[...]`` session (tests, a laptop) falls back to a private folder.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a Spark Connect session has no SparkContext on the client
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured:
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        return configured
-    configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="visitlens-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
 def sql_literal(value) -> str:
     """A Python value as a Spark SQL literal (strings escaped)."""
     if value is None:

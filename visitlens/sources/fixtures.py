@@ -4,16 +4,13 @@ The original job generates ``user_visit_action``, ``user_info`` and
 ``product_info`` with an unseeded random generator. We keep their schemas and
 derive them deterministically from ``events``, ``customer`` ⋈ ``nation`` and
 ``part`` (FIXTURES.md §4). The views are lazy projections over the parquet
-scans, so Catalyst prunes columns and pushes filters into the reader. The
-registered queries read the action table through :func:`stored_actions`: a
-copy written once per session, partitioned by date as in production.
+scans, so Catalyst prunes columns and pushes filters into the reader.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import re
-import uuid
 import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,7 +49,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def forget(spark: SparkSession) -> None:
     """Drop the cached table handles of ``spark`` (files changed on disk)."""
     _HANDLES.pop(spark, None)
-    _STORED.pop(spark, None)
 
 
 def _canonical_day(text: str | None) -> _dt.date | None:
@@ -125,7 +121,7 @@ def user_visit_action(
     ``start_date``/``end_date`` only add a pushed-down timestamp pre-filter
     for callers that read the derived view directly (the CLI on a fixture
     folder); the caller still applies the date predicate itself
-    (``scan_actions``). Registered queries read :func:`stored_actions`.
+    (``scan_actions``).
     """
     ev = _table(spark, sf_dir, "events")
     pre = ts_prefilter(start_date, end_date)
@@ -159,42 +155,6 @@ def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ACTION_SCHEMA = (
-    "user_id bigint, session_id string, page_id bigint, action_time string, search_keyword string, "
-    "click_category_id bigint, click_product_id bigint, order_category_ids string, order_product_ids string, "
-    "pay_category_ids string, pay_product_ids string, city_id bigint, date string"
-)
-
-_STORED: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
-def stored_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``user_visit_action`` as the production layout has it: a parquet table
-    partitioned by ``date``, written once per session from ``events`` into the
-    shared checkpoint folder (``spark.checkpoint.dir``) and read back from there.
-
-    A task's date range then prunes whole partitions (exact string compare on
-    the partition value) and the scan splits over the files, and the lineage
-    of every query starts at this table instead of at the JSON-parsing
-    derivation. Before writing, rows are range-partitioned on (date,
-    session_id). Each writing task then holds a contiguous slice of dates,
-    so there are about as many files as tasks, not tasks × dates. A hot date
-    is split over several tasks, and rows are sorted by session within a
-    date, so parquet statistics on session_id are tight."""
-    from ..session import ensure_checkpoint_dir
-
-    tables = _STORED.setdefault(spark, {})
-    if sf_dir not in tables:
-        base = ensure_checkpoint_dir(spark).rstrip("/")
-        path = f"{base}/visitlens-tables/{uuid.uuid4().hex}/user_visit_action"
-        laid_out = user_visit_action(spark, sf_dir).repartitionByRange("date", "session_id").sortWithinPartitions(
-            "date", "session_id"
-        )
-        laid_out.write.mode("error").partitionBy("date").parquet(path)
-        tables[sf_dir] = spark.read.schema(ACTION_SCHEMA).parquet(path).select(*ACTION_COLUMNS)
-    return tables[sf_dir]
-
-
 def preview(spark: SparkSession, sf_dir: str, n: int = 1) -> dict[str, list]:
     """First ``n`` rows of each input table, as a smoke check of the adapter
     (``take`` stops after the first rows it needs; nothing else is read)."""
