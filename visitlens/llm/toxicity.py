@@ -19,6 +19,7 @@ rows are scored row by row; other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 sentences_of = re.compile(r"[^.!?\n]+").findall
 words_of = re.compile(r"[^\W\d_]+").findall
 
-MAX_DOCS, MIN_DOCS, THRESHOLD = 6000, 6, 0.7
+MAX_DOCS, MIN_DOCS, THRESHOLD = 4000, 6, 0.7
 STEMS = (4, 6)
 
 
@@ -67,27 +68,28 @@ def _sigmoid(z: float) -> float:
     return float(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
 
 
-def train(texts: list[str], labels: list[int], min_docs: int = MIN_DOCS, epochs: int = 100, rate: float = 1.0, l2: float = 1e-4, toxic_weight: float = 2.0) -> Model:
+def train(texts: list[str], labels: list[int], min_docs: int = MIN_DOCS, epochs: int = 100, rate: float = 1.0, l2: float = 1e-4, toxic_weight: float = 1.4) -> Model:
     """Adagrad ascent of the noisy-or likelihood over whole documents, in which
     a toxic one counts ``toxic_weight`` times."""
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.5
         return Model(bias=float(np.log((share + 1e-3) / (1 - share + 1e-3))))
-    bags = [[features(s.lower()) for s in sentences_of(t)] or [set()] for t in texts]
     seen = Counter()
-    for bag in bags:
-        seen.update(set().union(*bag))
+    for t in texts:
+        seen.update(set().union(*(features(s.lower()) for s in sentences_of(t))))
     vocab = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= min_docs))}
-    word, sent, doc, s = [], [], [], 0
-    for d, bag in enumerate(bags):
-        for words in bag:
-            ids = [vocab[w] for w in words if w in vocab]
-            word += ids
-            sent += [s] * len(ids)
+    del seen
+    word, size, doc = array("i"), array("i"), array("i")
+    for d, t in enumerate(texts):
+        for sentence in sentences_of(t) or [""]:
+            ids = [vocab[w] for w in features(sentence.lower()) if w in vocab]
+            word.extend(ids)
+            size.append(len(ids))
             doc.append(d)
-            s += 1
-    word, sent, doc = np.array(word, np.int64), np.array(sent, np.int64), np.array(doc, np.int64)
+    s = len(doc)
+    word, doc = np.array(word, np.int64), np.array(doc, np.int64)
+    sent = np.repeat(np.arange(s), size)
     counts = np.bincount(doc, minlength=len(y))
     w, b = np.zeros(len(vocab)), -np.log(np.maximum(counts.mean(), 1.0)) - 2.0
     gw, gb = np.full(len(vocab), 1e-6), 1e-6
