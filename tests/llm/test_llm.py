@@ -88,7 +88,7 @@ def lines_brute(rows):
             words = tuple(w for w in re.split(r"[^\w]+|_", line.lower()) if w)
             if len(words) >= 5:
                 at.append((d, n, words))
-                nodes.setdefault(words, simhash(words))
+                nodes.setdefault(words, simhash(set(words)))
     keys, group = list(nodes), {w: w for w in nodes}
 
     def find(x):

@@ -4,7 +4,8 @@ Lines (split at "\\n") are normalised: lower case, each run of characters other
 than letters and digits one blank. Normalised lines of ``min_words`` words or
 more are nodes; shorter ones (headings, blank lines) are never judged and stay.
 
-1. A 64-bit SimHash of the words of each line, computed where the line is read.
+1. A 64-bit SimHash of each line's distinct words (the frequent ones would
+   outvote the others), computed where the line is read.
 2. Distinct fingerprints that differ in at most 3 bits: cut into five blocks,
    two of them are equal, so each fingerprint is joined on ten block pairs.
 3. Lines whose fingerprints are equal or linked are verified: the edit
@@ -80,7 +81,7 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
         .where(F.size("words") >= max(1, min_words))
     )
     hashed = words.select(
-        "doc_id", "text_hash", "row", "line_no", F.xxhash64("words").alias("id"), F.expr("transform(words, w -> xxhash64(w))").alias("hashes")
+        "doc_id", "text_hash", "row", "line_no", F.xxhash64("words").alias("id"), F.expr("transform(array_distinct(words), w -> xxhash64(w))").alias("hashes")
     )
     return simhashes(hashed).drop("row")
 
