@@ -208,3 +208,45 @@ def test_job_cli_applies_partition_sizing(spark):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") in (str(256 * MB), "256m", f"{256 * MB}b")
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     assert spark.read.parquet(out).count() == 1
+
+
+@pytest.mark.parametrize("name, query", [
+    ("top10-category", "top10_category"), ("top10-session", "top10_session"), ("page", "page_one_step_convert_rate"),
+])
+def test_job_cli_runs_each_job(spark, name, query):
+    from visitlens import job
+    from visitlens.plans import catalog
+
+    out = os.path.join(tempfile.mkdtemp(prefix="visitlens-job-"), "rows")
+    task = '{"startDate":["2024-01-05"],"endDate":["2024-01-20"],"targetPageFlow":["1,2,3,4,5,6"]}'
+    assert job.main(["--job", name, "--fixture-dir", SF_SMALL, "--task-json", task, "--out-path", out]) == 0
+    expected = catalog.queries()[query](spark, SF_SMALL)
+    got = spark.read.parquet(out)
+    assert got.columns == expected.columns and got.count() > 0
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_job_cli_passes_jdbc_properties(spark, monkeypatch):
+    """Reader and writer get the properties and the job's table; no database is involved."""
+    from visitlens import job
+    from visitlens.session import local_table
+
+    task = '{"startDate":["2024-01-05"],"endDate":["2024-01-20"],"targetPageFlow":["1,2"]}'
+    tasks = local_table(spark, [(3, task)], [("task_id", "BIGINT"), ("task_param", "STRING")])
+    seen = []
+    monkeypatch.setattr(job.tables, "jdbc_task_table", lambda spark, *args: seen.append(args) or tasks)
+    monkeypatch.setattr(job.sinks, "append_jdbc", lambda df, *args: seen.append(args))
+    properties = {"user": "u", "password": "a=b"}
+    args = ["--job", "page", "--task-id", "3", "--fixture-dir", SF_SMALL, "--task-jdbc-url", "jdbc:x", "--out-jdbc-url", "jdbc:y"]
+    assert job.main([*args, "--jdbc-property", "user=u", "--jdbc-property", "password=a=b"]) == 0
+    assert seen == [("jdbc:x", "task", properties), ("jdbc:y", "page_one_step_convert_rate", properties)]
+
+
+@pytest.mark.parametrize("args", [
+    ["--cluster-cores", "4"], ["--input-bytes", "1"], ["--all-tasks", "--job", "page"], ["--jdbc-property", "user"],
+])
+def test_job_cli_rejects_half_given_options(args):
+    from visitlens import job
+
+    with pytest.raises(SystemExit):
+        job.parse_args(args)

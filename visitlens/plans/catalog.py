@@ -18,12 +18,12 @@ from ..operators.products import click_share_by_user, product_status
 from ..operators.sessions import aggregate_sessions, scan_actions
 from ..operators.stats import bucket_counts, histogram
 from ..operators.timeline import action_time_keys
-from ..operators.topn import category_counts_by_session, top_categories, top_sessions
+from ..operators.topn import top_categories, top_sessions
 from ..session import local_table
 from ..sources import fixtures
 from . import params_catalog as P
 from .by_task import session_aggr_stat_by_task
-from .session_stat import drop_flags, order_session_columns, session_aggr_stat, sessions_for_task
+from .session_stat import category_counts_for_task, drop_flags, order_session_columns, session_aggr_stat, sessions_for_task
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,12 +104,7 @@ def kv_record_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _category_counts(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
-    """(session, category) counts over the actions of the sessions that pass the task."""
-    actions = _actions(spark, sf_dir, params)
-    kept = sessions_for_task(actions, _users(spark, sf_dir), params).select("session_id")
-    scanned = scan_actions(actions, params.start_date, params.end_date)
-    counts = category_counts_by_session(scanned)
-    return counts.join(kept, counts["session_id"].eqNullSafe(kept["session_id"]), "left_semi")
+    return category_counts_for_task(_actions(spark, sf_dir, params), _users(spark, sf_dir), params)
 
 
 def _top10_category(params: TaskParams) -> Query:

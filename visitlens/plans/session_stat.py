@@ -20,6 +20,7 @@ from ..functions.params import TaskParams
 from ..operators.filters import session_predicate
 from ..operators.sessions import SESSION_COLUMNS, USER_FIELDS, aggregate_sessions, join_users, scan_actions
 from ..operators.stats import bucket_counts, stat_row
+from ..operators.topn import category_counts_by_session
 
 
 def sessions_for_task(
@@ -57,6 +58,13 @@ def session_aggr_stat(
     return stat_row(bucket_counts(kept.select("visit_length", "step_length")), taskid)
 
 
+def category_counts_for_task(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """(session, category) counts over the actions of the sessions that pass the task."""
+    kept = sessions_for_task(actions, users, params).select("session_id")
+    counts = category_counts_by_session(scan_actions(actions, *params.date_range()))
+    return counts.join(kept, counts["session_id"].eqNullSafe(kept["session_id"]), "left_semi")
+
+
 def drop_flags(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in ("kw_hit", "cat_hit") if c in df.columns])
 

@@ -20,9 +20,10 @@ def append_jdbc(
     batchsize: int = 1000,
     partitions: int | None = None,
 ) -> None:
-    """Append ``df`` to a database table. ``partitions`` caps the number of
-    concurrent connections (each partition writes over its own)."""
-    out = df.coalesce(partitions) if partitions else df
+    """Append ``df`` to a database table. ``partitions`` sets the number of
+    connections (each partition writes over its own); the rows are dealt out
+    anew, so that the job before keeps its own tasks."""
+    out = df.repartition(partitions) if partitions else df
     out.write.option("batchsize", str(batchsize)).jdbc(url, table, mode="append", properties=dict(properties or {}))
 
 
