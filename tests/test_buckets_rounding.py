@@ -43,6 +43,7 @@ def test_half_up_matches_decimal_rule(spark):
     rng = random.Random(7)
     values = [n / d for d in range(1, 201) for n in range(0, d + 1)]
     values += [rng.random() * 4 for _ in range(3000)] + [3 / 40, 0.125, 0.005, 0.015, 201 / 40, 1e-12, 123.455]
+    values += [-v for v in values[-3007:]]
     df = spark.createDataFrame([(float(v),) for v in values], "d double")
     got = df.select(half_up(F.col("d")).alias("c"), F.expr(half_up_sql("d")).alias("s")).collect()
     expected = [half_up_reference(v) for v in values]
@@ -51,5 +52,5 @@ def test_half_up_matches_decimal_rule(spark):
 
 
 def test_known_rounding_cases(spark):
-    df = spark.createDataFrame([(3 / 40,), (0.125,), (None,)], "d double")
-    assert [r[0] for r in df.select(half_up(F.col("d"))).collect()] == [0.07, 0.13, None]
+    df = spark.createDataFrame([(3 / 40,), (0.125,), (-0.125,), (-3 / 40,), (-0.001,), (None,)], "d double")
+    assert [r[0] for r in df.select(half_up(F.col("d"))).collect()] == [0.07, 0.13, -0.13, -0.07, 0.0, None]

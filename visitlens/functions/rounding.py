@@ -6,6 +6,7 @@ the *exact* binary value of ``d`` is rounded, so 3/40 (stored as
 shortest decimal text and give 0.08. We reproduce the exact rule with integer
 arithmetic on Spark columns:
 
+    d     = |value|                       the sign comes back at the end: half away from 0
     f     = d - floor(d)                  exact for d >= 0
     m     = f * 2^61 as bigint            exact whenever f >= 2^-8; below
                                           that the result is 0 either way
@@ -27,28 +28,32 @@ _LOW31 = (1 << 31) - 1
 
 
 def half_up(d: Column, scale: int = 2) -> Column:
-    """Round a non-negative double column half-up at ``scale`` decimals."""
+    """Round a double column half-up (a half away from zero) at ``scale`` decimals."""
     unit = 10 ** scale
     if 2 * unit * (1 << 30) >= 1 << 62:
         raise ValueError("scale too large for exact half-up")
-    whole = F.floor(d)
-    m = ((d - whole) * F.lit(float(TWO_61))).cast("bigint")
+    size = F.abs(d)
+    whole = F.floor(size)
+    m = ((size - whole) * F.lit(float(TWO_61))).cast("bigint")
     hi = F.shiftright(m, 31)
     lo = m.bitwiseAND(F.lit(_LOW31))
     a = hi * (2 * unit)
     b = lo * (2 * unit) + F.lit(TWO_61)
     units = F.shiftright(a + F.shiftright(b, 31), 31)
-    return (whole.cast("bigint") * unit + units).cast("double") / F.lit(float(unit))
+    out = (whole.cast("bigint") * unit + units).cast("double") / F.lit(float(unit))
+    return F.signum(d) * out + F.lit(0.0)  # no -0.0
 
 
 def half_up_sql(d: str, scale: int = 2) -> str:
     """Spark SQL text of :func:`half_up` for the SQL expression ``d``."""
     unit = 10 ** scale
-    m = f"CAST(({d} - floor({d})) * {float(TWO_61)!r}D AS BIGINT)"
+    size = f"abs({d})"
+    m = f"CAST(({size} - floor({size})) * {float(TWO_61)!r}D AS BIGINT)"
     a = f"shiftright({m}, 31) * {2 * unit}"
     b = f"(({m} & {_LOW31}) * {2 * unit} + {TWO_61}L)"
     units = f"shiftright({a} + shiftright({b}, 31), 31)"
-    return f"CAST(CAST(floor({d}) AS BIGINT) * {unit} + {units} AS DOUBLE) / {float(unit)!r}D"
+    out = f"CAST(CAST(floor({size}) AS BIGINT) * {unit} + {units} AS DOUBLE) / {float(unit)!r}D"
+    return f"(signum({d}) * {out} + 0.0D)"
 
 
 def ratio_sql(numerator: str, denominator: str, scale: int = 2) -> str:

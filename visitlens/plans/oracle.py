@@ -2,8 +2,9 @@
 
 Only the raw driver tables are registered as views in DuckDB, so each
 statement inlines the fixture views as CTEs. The SQL states the semantics
-directly (CASE, GROUP BY, window functions) and shares nothing with the Spark
-plans except the parameter values.
+directly (CASE, GROUP BY, window functions). It shares with the Spark plans the
+parameter values and their parsing (``TaskParams``) and the fixed names and
+bucket bounds of ``constants``; ``tests/`` checks those by hand-made rows.
 """
 
 from __future__ import annotations
@@ -269,10 +270,10 @@ FROM a LEFT JOIN d ON a.session_id IS NOT DISTINCT FROM d.session_id AND a.t = d
 
 
 def _kv_get(record: str, field: str) -> str:
-    import re
-
-    pattern = r"(?:^|\|)" + re.escape(field) + r"=([^|=]+)=*(?:\||$)"
-    return f"NULLIF(regexp_extract({record}, {q(pattern)}, 1), '')"
+    """First piece that is the name, ``=``, a value and nothing but ``=`` after it."""
+    value = "split_part(p, '=', 2)"
+    valid = f"{value} <> '' AND rtrim(p, '=') = {q(field + '=')} || {value}"
+    return f"split_part(list_filter(string_split({record}, '|'), lambda p: {valid})[1], '=', 2)"
 
 
 def _trim_comma(x: str) -> str:
