@@ -129,6 +129,60 @@ def test_line_dedup_against_all_pairs(spark):
     assert sum(r["n_removed"] for r in out) > 30
 
 
+def edited(rng, words, edits, kinds):
+    out = list(words)
+    for _ in range(edits):
+        kind, at = rng.choice(kinds), rng.randrange(len(out))
+        if kind == "swap":
+            out[at] = f"x{rng.getrandbits(40):x}"
+        elif kind == "put":
+            out.insert(at, f"x{rng.getrandbits(40):x}")
+        else:
+            del out[at]
+    return out
+
+
+def test_line_dedup_recall_by_edit_similarity(spark):
+    """Pairs of lines that edit similarity alone accepts: how many are found."""
+    rng, rows, kind_of = random.Random(7), [], {}
+    for kinds in (("swap",), ("swap", "put", "take")):
+        for n in (5, 8, 10, 15, 20, 30, 50, 100):
+            for edits in sorted({1, n // 10 or 1, n // 5}):
+                for _ in range(20):
+                    a = [f"x{rng.getrandbits(40):x}" for _ in range(n)]
+                    b = edited(rng, a, edits, kinds)
+                    if len(b) >= 5 and 0 < word_edits(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9):
+                        kind_of[len(rows) + 1] = (kinds[-1], n, edits)
+                        rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), segments=True).collect()
+    gone = {r["doc_id"] for r in out if r["n_removed"]}
+    assert gone <= set(kind_of)
+    for last, least in (("swap", 1.0), ("take", 0.9)):
+        pairs = [d for d, kind in kind_of.items() if kind[0] == last]
+        share = len(gone.intersection(pairs)) / len(pairs)
+        print(f"recall, edits up to {last}: {share:.3f} of {len(pairs)} pairs")
+        assert share >= least
+
+
+def test_line_runs_join_all_that_is_apart(spark):
+    """Lines of one beginning, unlike and alike, against all pairs."""
+    rng, rows = random.Random(3), []
+    head = [f"h{k}" for k in range(4)]
+    tails = [[f"x{rng.getrandbits(40):x}" for _ in range(8)] for _ in range(6)]
+    for d in range(40):
+        tail = edited(rng, rng.choice(tails), rng.randint(0, 2), ("swap",))
+        rows.append((d, " ".join(head + tail)))
+    lines = [tuple(t.split()) for _, t in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(lines):
+        for j in range(i):
+            if word_edits(a, lines[j]) <= int(0.2 * 12 + 1e-9):
+                group = [group[j] if g == group[i] else g for g in group]
+    want = {d for d in range(len(rows)) if group[d] in group[:d]}
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), segments=True).collect()
+    assert {r["doc_id"] for r in out if r["n_removed"]} == want and len(want) > 20
+
+
 def test_line_simhash_of_long_lines(spark):
     random.seed(2)
     rows = [(n, [random.getrandbits(63) - (1 << 62) for _ in range(n)]) for n in (1, 7, 8, 9, 127, 128, 129, 5000)]

@@ -16,7 +16,14 @@ more are nodes; shorter ones (headings, blank lines) are never judged and stay.
    linked fingerprints that are still in different components. So a large group of
    copies never meets itself pair by pair, and no link that joins two components
    is lost.
-4. Each connected group keeps its first occurrence in (doc_id, text hash, line
+4. With ``segments`` (the queries and the pipeline), lines that share a run of
+   words at the same place are candidates too: runs of 4 words counted from the
+   line's start and from its end (of 3 as well up to 16 words, of 2 up to 6).
+   ``similarity`` 0.8 leaves floor(0.2 n) edits to n words, fewer than a line
+   has runs: replaced words always leave one in place. Words put in and taken
+   out in the middle of a line, both ends edited, can be missed. Again two lines
+   of each run are tried first, then all pairs that are still apart.
+5. Each connected group keeps its first occurrence in (doc_id, text hash, line
    number) order; the others are taken out of their documents.
 
 Null and empty texts have no lines to judge and come back as they are. Null
@@ -37,6 +44,9 @@ from .components import components
 
 BLOCKS, MAX_BITS, MIN_WORDS, SIMILARITY = 5, 3, 5, 0.8
 
+#: Words of a run, and the longest line for which such runs are taken (None: any).
+RUNS = ((4, None), (3, 16), (2, 6))
+
 #: Word hashes summed in one row: the generated code of more is too long to be compiled.
 STEP = 8
 
@@ -146,7 +156,58 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return found.where(similar(similarity)).select("a", "b")
 
 
-def line_groups(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+def line_runs(texts: DataFrame) -> DataFrame:
+    """(key, id, n): the runs of words of each line by place, from its start and
+    from its end; n is the line's number of words."""
+    chars = texts.select("id", F.char_length("code").alias("n"), F.split("code", "").alias("c"))
+    out = []
+    for q, most in RUNS:
+        some = chars.where(F.col("n") >= q) if most is None else chars.where(F.col("n").between(q, most))
+        at = some.select("id", "n", "c", F.explode(F.expr(f"sequence(0, n div {q} - 1)")).alias("i"))
+        start = ", ".join(f"get(c, i * {q} + {k})" for k in range(q))
+        end = ", ".join(f"get(c, n - i * {q} - {q - k})" for k in range(q))
+        keys = F.expr(f"array(xxhash64({q}, 0, i, {start}), xxhash64({q}, 1, i, {end}))")
+        out.append(at.select("id", "n", keys.alias("keys")).select(F.explode("keys").alias("key"), "id", "n"))
+    return reduce(DataFrame.union, out)
+
+
+def close(a: str, b: str, similarity: float) -> Column:
+    """Line lengths that leave room for ``similarity``."""
+    longer = F.greatest(F.col(a), F.col(b))
+    return F.abs(F.col(a) - F.col(b)) <= F.floor((1 - similarity) * longer + 1e-9)
+
+
+def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
+    """The (a, b) of similar lines that share a run and that ``links`` leaves apart."""
+    w = Window.partitionBy("key").orderBy("n", "id")
+    columns = [f(F.struct("id", "n")).over(w).alias(c) for f, c in ((F.first, "low"), (F.lag, "last"), (F.lead, "next"))]
+    found = line_runs(texts).select("key", "id", "n", *columns)
+    shared = saved(found.where("last is not null or next is not null").drop("next"))
+    groups = cut(components(links))
+
+    def rooted(pairs: DataFrame, x: str) -> DataFrame:
+        named = groups.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+        return pairs.join(named, x, "left").withColumn(f"root_{x}", F.coalesce(f"root_{x}", x))
+
+    star = [
+        shared.where(F.col(f"{end}.id") != F.col("id")).where(close(f"{end}.n", "n", similarity))
+        .select(F.least(f"{end}.id", "id").alias("a"), F.greatest(f"{end}.id", "id").alias("b"))
+        for end in ("low", "last")
+    ]
+    star = reduce(DataFrame.union, star).distinct()
+    tried = cut(rooted(rooted(star, "a"), "b").where("root_a <> root_b").select("a", "b"))
+    first = cut(verified(tried, texts, similarity))
+
+    groups = cut(components(links.union(first)))
+    placed = saved(rooted(shared.select("key", F.col("id").alias("a"), "n"), "a"))
+    several = placed.groupBy("key").agg(F.min("root_a").alias("x"), F.max("root_a").alias("y"), F.count("*").alias("m"))
+    apart = placed.join(several.where("x < y and m > 2").select("key"), "key", "left_semi")  # a pair alone was tried
+    other = apart.select("key", F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("root_a").alias("root_b"))
+    open_ = apart.join(other, "key").where("a < b and root_a <> root_b").where(close("n", "n_b", similarity)).select("a", "b").distinct()
+    return first.union(verified(open_.join(tried, ["a", "b"], "left_anti"), texts, similarity))
+
+
+def line_groups(docs: DataFrame, nodes: DataFrame, similarity: float, segments: bool) -> DataFrame:
     """(id, root) of the lines in a group of two different lines or more."""
     fps = cut(nodes.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
     block = saved(shared_blocks(fps))
@@ -154,7 +215,8 @@ def line_groups(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFra
     linked = cut(block.join(other, [block["key"] == other["key"], F.col("fp") != F.col("b"), near("fp", "b")], "left_semi").select("fp").distinct())
     several = fps.where("n > 1").select("fp").union(linked).distinct()
     member = saved(nodes.select("id", "fp").join(several, "fp", "left_semi").join(fps, "fp").select("id", "fp", "rep"))
-    texts = saved(line_codes(docs, nodes.join(member.select("id"), "id", "left_semi").select("id", "first")))
+    asked = nodes if segments else nodes.join(member.select("id"), "id", "left_semi")
+    texts = saved(line_codes(docs, asked.select("id", "first")))
 
     block = saved(block.join(linked, "fp", "left_semi"))
     own = member.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
@@ -180,7 +242,10 @@ def line_groups(docs: DataFrame, nodes: DataFrame, similarity: float) -> DataFra
     )
     ma, mb = (placed.select(*(F.col(c).alias(f"{c}_{x}") for c in ("fp", "root")), F.col("id").alias(x)) for x in "ab")
     more = verified(open_.join(ma, ["fp_a", "root_a"]).join(mb, ["fp_b", "root_b"]).select("a", "b").distinct(), texts, similarity)
-    return components(found.union(more)).select(F.col("node").alias("id"), "root")
+    links = cut(found.union(more))
+    if segments:
+        links = links.union(run_links(texts, links, similarity))
+    return components(links).select(F.col("node").alias("id"), "root")
 
 
 def _placed(member: DataFrame, links: DataFrame) -> DataFrame:
@@ -188,12 +253,12 @@ def _placed(member: DataFrame, links: DataFrame) -> DataFrame:
     return member.join(groups, member["id"] == groups["node"], "left").select("id", "fp", F.coalesce("root", "id").alias("root"))
 
 
-def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, segments: bool = False) -> DataFrame:
     """(doc_id, text_hash, removed): the line numbers that go, by document."""
     judged = saved(line_table(docs, min_words))
     at = F.struct("doc_id", "text_hash", "line_no")
     nodes = saved(judged.groupBy("id").agg(F.min(at).alias("first"), F.first("fp").alias("fp"), F.count("*").alias("n")))
-    groups = line_groups(docs, nodes, similarity)
+    groups = line_groups(docs, nodes, similarity, segments)
     rooted = groups.select("id", "root").union(groups.select("root", "root").distinct())
     exact = nodes.where("n > 1").join(rooted, "id", "left_anti").select("id", "first")
     grouped = nodes.join(rooted, "id").select("id", "root", "first")
@@ -219,14 +284,14 @@ def without(docs: DataFrame, removed: DataFrame) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, segments: bool = False) -> DataFrame:
     """doc_id, text (without the repeated lines), n_lines, n_removed."""
     own = docs.select("doc_id", "text")
-    out = without(own, removed_lines(own, min_words, similarity))
+    out = without(own, removed_lines(own, min_words, similarity, segments))
     return out.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
 
 
-def clean_documents(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def clean_documents(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, segments: bool = False) -> DataFrame:
     """``docs`` with the repeated lines taken out of the texts; all rows stay."""
-    removed = removed_lines(docs.select("doc_id", "text"), min_words, similarity)
+    removed = removed_lines(docs.select("doc_id", "text"), min_words, similarity, segments)
     return without(docs, removed).drop("_n_lines", "_n_removed")

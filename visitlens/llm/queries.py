@@ -36,7 +36,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), segments=True)
 
 
 def op2_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
