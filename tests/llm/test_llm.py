@@ -183,6 +183,21 @@ def test_line_runs_join_all_that_is_apart(spark):
     assert {r["doc_id"] for r in out if r["n_removed"]} == want and len(want) > 20
 
 
+def test_line_dedup_short_lines_and_scripts_without_blanks(spark):
+    han = "我们今天在北京的一个小公园里看到了很多不同的花和鸟"
+    rows = [
+        (1, "Share this article\nown one\n***\n" + han),
+        (2, "share this ARTICLE!\nown two\n***\n" + han[:-1] + "鱼"),
+        (3, "กิน\nกุน\nShare this"),
+        (4, "กิน\nこんにちは\n42"),
+        (5, "こんにちは\n42\n" + han),
+    ]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), segments=True).collect()
+    assert {r["doc_id"]: r["text"] for r in out} == {
+        1: rows[0][1], 2: "own two\n***", 3: rows[2][1], 4: "こんにちは\n42", 5: "",
+    }
+
+
 def test_line_simhash_of_long_lines(spark):
     random.seed(2)
     rows = [(n, [random.getrandbits(63) - (1 << 62) for _ in range(n)]) for n in (1, 7, 8, 9, 127, 128, 129, 5000)]

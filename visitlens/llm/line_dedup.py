@@ -1,8 +1,10 @@
 """Fuzzy line dedup with DataFrame operations only.
 
 Lines (split at "\\n") are normalised: lower case, each run of characters other
-than letters and digits one blank. Normalised lines of ``min_words`` words or
-more are nodes; shorter ones (headings, blank lines) are never judged and stay.
+than letters and digits one blank. In scripts without blanks between words (Chinese,
+Japanese, Thai, Lao, Khmer, Burmese) each character is a word. Normalised lines of
+``min_words`` words or more are nodes; of shorter ones only exact repeats go, and
+lines without a letter or digit stay.
 
 1. A 64-bit SimHash of each line's distinct words (the frequent ones would
    outvote the others), computed where the line is read.
@@ -51,9 +53,18 @@ RUNS = ((4, None), (3, 16), (2, 6))
 STEP = 8
 
 
+#: Scripts whose marks are kept as characters, and all scripts without blanks, by
+#: code ranges, which are cheaper to test than the script of each character.
+MARKED = r"\u0E01-\u0E3A\u0E40-\u0E4E\u0E50-\u0E59\u0E80-\u0EFF\u1000-\u1049\u1050-\u109F\u1780-\u17D3\u17E0-\u17E9"
+NO_BLANKS = rf"[\u3005-\u3007\u3041-\u3096\u30A1-\u30FA\u30FC-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\x{{20000}}-\x{{3FFFD}}{MARKED}]"
+BREAK = r"[^\p{L}\p{N}]+"
+
+
 def line_words(line: str) -> Column:
     """The words of a normalised line."""
-    return F.array_remove(F.split(F.lower(F.col(line)), r"[^\p{L}\p{N}]+"), "")
+    low = F.lower(F.col(line))
+    single = F.split(F.regexp_replace(low, NO_BLANKS, " $0 "), BREAK.replace("]", MARKED + "]"))
+    return F.array_remove(F.when(low.rlike(NO_BLANKS), single).otherwise(F.split(low, BREAK)), "")
 
 
 def simhashes(lines: DataFrame) -> DataFrame:
@@ -82,33 +93,44 @@ def simhashes(lines: DataFrame) -> DataFrame:
     return total.select(*keys, F.expr(" | ".join(bits)).alias("fp"))
 
 
-def line_table(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, text_hash, line_no, id, fp) of the lines that are judged."""
+def line_table(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, line_no, id, n_words, fp) of the lines that have words."""
     row = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"), "text")
     words = (
         row.select("doc_id", "text_hash", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .select("doc_id", "text_hash", "row", "line_no", line_words("line").alias("words"))
-        .where(F.size("words") >= max(1, min_words))
+        .where(F.size("words") > 0)
     )
     hashed = words.select(
-        "doc_id", "text_hash", "row", "line_no", F.xxhash64("words").alias("id"), F.expr("transform(array_distinct(words), w -> xxhash64(w))").alias("hashes")
+        "doc_id", "text_hash", "row", "line_no", F.xxhash64("words").alias("id"), F.size("words").alias("n_words"),
+        F.expr("transform(array_distinct(words), w -> xxhash64(w))").alias("hashes")
     )
     return simhashes(hashed).drop("row")
 
 
+def coded(lines: DataFrame) -> DataFrame:
+    """(id, code) from (id, words): a line as a string of one character a word,
+    so that edit distance counts words. Two different words share a character
+    once in 53,248 cases."""
+    letter = "lpad(hex(pmod(xxhash64(w), 53248) + 2048), 4, '0')"
+    code = F.expr(f"decode(unhex(array_join(transform(words, w -> {letter}), '')), 'UTF-16BE')")
+    return lines.select("id", code.alias("code")).groupBy("id").agg(F.max("code").alias("code"))
+
+
 def line_codes(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(id, code) of the lines ``firsts`` (id, first: their place): a line as a
-    string of one character a word, so that edit distance counts words. Two
-    different words share a character once in 53,248 cases."""
+    """(id, code) of the lines ``firsts`` (id, first: their place)."""
     asked = firsts.select("first.*", "id").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "id")).alias("asked"))
     asked = asked.select(F.col("doc_id").alias("_doc"), "text_hash", "asked")
     found = docs.select("doc_id", "text")
     hit = found.join(asked, found["doc_id"].eqNullSafe(asked["_doc"]) & (F.xxhash64(found["text"]) == asked["text_hash"]))
     line = hit.select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a")).select("a.id", F.expr("get(lines, a.line_no)").alias("line"))
-    letter = "lpad(hex(pmod(xxhash64(w), 53248) + 2048), 4, '0')"
-    code = F.expr(f"decode(unhex(array_join(transform(words, w -> {letter}), '')), 'UTF-16BE')")
-    coded = line.select("id", line_words("line").alias("words")).select("id", code.alias("code"))
-    return coded.groupBy("id").agg(F.max("code").alias("code"))
+    return coded(line.select("id", line_words("line").alias("words")))
+
+
+def all_codes(docs: DataFrame, min_words: int) -> DataFrame:
+    """(id, code) of all lines of ``min_words`` words or more, read without a join."""
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(line_words("line").alias("words"))
+    return coded(lines.where(F.size("words") >= min_words).select(F.xxhash64("words").alias("id"), "words"))
 
 
 def block_keys(fp: Column) -> Column:
@@ -207,7 +229,7 @@ def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFram
     return first.union(verified(open_.join(tried, ["a", "b"], "left_anti"), texts, similarity))
 
 
-def line_groups(docs: DataFrame, nodes: DataFrame, similarity: float, segments: bool) -> DataFrame:
+def line_groups(docs: DataFrame, nodes: DataFrame, min_words: int, similarity: float, segments: bool) -> DataFrame:
     """(id, root) of the lines in a group of two different lines or more."""
     fps = cut(nodes.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
     block = saved(shared_blocks(fps))
@@ -215,8 +237,10 @@ def line_groups(docs: DataFrame, nodes: DataFrame, similarity: float, segments:
     linked = cut(block.join(other, [block["key"] == other["key"], F.col("fp") != F.col("b"), near("fp", "b")], "left_semi").select("fp").distinct())
     several = fps.where("n > 1").select("fp").union(linked).distinct()
     member = saved(nodes.select("id", "fp").join(several, "fp", "left_semi").join(fps, "fp").select("id", "fp", "rep"))
-    asked = nodes if segments else nodes.join(member.select("id"), "id", "left_semi")
-    texts = saved(line_codes(docs, asked.select("id", "first")))
+    if segments:
+        texts = saved(all_codes(docs, min_words))
+    else:
+        texts = saved(line_codes(docs, nodes.join(member.select("id"), "id", "left_semi").select("id", "first")))
 
     block = saved(block.join(linked, "fp", "left_semi"))
     own = member.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
@@ -255,10 +279,10 @@ def _placed(member: DataFrame, links: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, segments: bool = False) -> DataFrame:
     """(doc_id, text_hash, removed): the line numbers that go, by document."""
-    judged = saved(line_table(docs, min_words))
+    judged = saved(line_table(docs))
     at = F.struct("doc_id", "text_hash", "line_no")
-    nodes = saved(judged.groupBy("id").agg(F.min(at).alias("first"), F.first("fp").alias("fp"), F.count("*").alias("n")))
-    groups = line_groups(docs, nodes, similarity, segments)
+    nodes = saved(judged.groupBy("id").agg(F.min(at).alias("first"), F.first("fp").alias("fp"), F.first("n_words").alias("n_words"), F.count("*").alias("n")))
+    groups = line_groups(docs, nodes.where(F.col("n_words") >= min_words).drop("n_words"), max(1, min_words), similarity, segments)
     rooted = groups.select("id", "root").union(groups.select("root", "root").distinct())
     exact = nodes.where("n > 1").join(rooted, "id", "left_anti").select("id", "first")
     grouped = nodes.join(rooted, "id").select("id", "root", "first")
