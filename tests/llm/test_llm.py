@@ -483,6 +483,22 @@ def test_word_encoder_equals_the_library():
     assert [g.tolist() for g in got] == [[*e.ids, 2] for e in encoder.lib.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_special_tokens_in_texts_equal_the_library(spark):
+    from tokenizers import Tokenizer
+
+    lib, marks = Tokenizer.from_file(WORDS), ["<|endoftext|>", "<|startoftext|>"]
+    rng, bits = random.Random(4), [*marks, *marks, "<|ENDOFTEXT|>", "<|endoftext", "|>", "a", "Be", " ", ".", ",", "é", "日", "\u0301", "\n", "ª"]
+    texts = ["the end <|endoftext|> next", *marks, "A,<|ENDOFTEXT|>.", "<|endoftext|><|endoftext|>"]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    got = token_store.WordEncoder(WORDS).texts(texts, 2)
+    want = [[*lib.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert [g.tolist() for g in got] == want
+    importable(spark)
+    rows = token_store.token_store(spark.createDataFrame(list(enumerate(texts[:20])), "doc_id long, text string"), WORDS).collect()
+    crc = [zlib.crc32(np.array(w, "<u4").tobytes()) for w in want[:20]]
+    assert [(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in sorted(rows)] == [(i, len(w), crc[i]) for i, w in enumerate(want[:20])]
+
+
 # 10 personal data -------------------------------------------------------------
 
 PATTERNS = {

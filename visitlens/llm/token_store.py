@@ -24,6 +24,7 @@ Spark's ascending order. Rows of one doc_id are ordered by their text.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -139,13 +140,18 @@ class Segment:
 
 class WordEncoder:
     """Texts to ids with the tokenizers library, which sees each blank-separated
-    word once: its pre-tokenizer never joins characters across white space."""
+    word once: its pre-tokenizer never joins characters across white space. Special
+    tokens in a text, in their exact case, give their own ids, as the library does."""
 
     def __init__(self, path: str, max_words: int = 600_000):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
+        added = self.lib.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("only added tokens that stand for their exact characters are known here")
+        self.special = {t.content: np.array([i], np.int32) for i, t in added.items()}
+        self.part = re.compile(f"({'|'.join(map(re.escape, self.special))})") if added else None
         self.wide = self.lib.get_vocab_size() > 1 << 16
         self.cache = WordCache(self.words, max_words)
 
@@ -169,11 +175,22 @@ class WordEncoder:
         raise ValueError("these words leave no character to part them")
 
     def texts(self, texts: list[str], end: int) -> list[np.ndarray]:
-        out = self.cache.split_texts([plain(t) for t in texts], 0, 1)
+        parts = {i: self.part.split(t) for i, t in enumerate(texts) if self.part and self.part.search(t)}
+        out = self.cache.split_texts([self.plain(t) if i not in parts else "" for i, t in enumerate(texts)], 0, 1)
+        if parts:  # text, special token, text and so on
+            flat = iter(self.cache.split_texts([self.plain(t) for p in parts.values() for t in p[::2]]))
+            for i, p in parts.items():
+                ids = [self.special[t] if k % 2 else next(flat) for k, t in enumerate(p)]
+                out[i] = np.concatenate([*ids, np.zeros(1, np.int32)])
         for ids in out:
             ids[-1] = end
         return out
 
+    def plain(self, text: str) -> str:
+        """plain(text), unless its lower case would make a special token."""
+        low = plain(text)
+        return text if self.part and low is not text and self.part.search(low) else low
+
 
 #: Latin-1 bytes to classes: "." and "," D, other marks P, the rest (letters,
 #: digits, white space) a.
