@@ -281,6 +281,45 @@ def test_license_base_words_and_suppression(spark, docs, none):
     assert license_scan.scan(docs, LICENSE_PHRASES).count() == len(TEXTS) and license_scan.scan(none, LICENSE_PHRASES).count() == 0
 
 
+def test_license_alternatives_open_their_rules():
+    s = license_scan.Scanner(LICENSE_PHRASES)
+    for text, label in (
+        ("under agpl terms", "agpl"), ("gnu library general public license", "lgpl"), ("the expat license", "mit"),
+        ("creative commons zero", "cc0"), ("gnu affero general public licence", "agpl"), ("two-clause bsd license", "bsd-2-clause"),
+        ("GPLv3", "gpl"), ("sil open font license", "ofl"), ("modified bsd license", "bsd-3-clause"),
+    ):
+        assert [f[2].label for f in s.detections(text)] == [label], text
+    every = [rule for rule in license_scan.rules() if rule.priority == 30 and rule.confidence == 0.75]
+    assert len(every) == len(license_scan.NAMES)
+    for rule in every:  # each alternative holds a keyword of its rule
+        for one in re.split(r"\|(?![^(\[]*[)\]])", rule.pattern[3:-1]):
+            plain = re.sub(r"\(\?:([^()|]*)[^()]*\)\??", r"\1", one).replace("[sc]", "s").replace("[- ]", " ").replace("\\b", "").replace("v?[23]", "2")
+            assert any(k in plain for k in rule.keywords), (one, rule.keywords)
+            assert label_of(s, plain) == rule.label or rule.label in ("cc-by-nc", "cc-by-nd", "cc-by-sa"), plain
+
+
+def label_of(scanner, text):
+    found = scanner.detections(text)
+    return found[0][2].label if found else None
+
+
+def test_license_wrapped_over_comment_lines():
+    s = license_scan.Scanner(LICENSE_PHRASES)
+    for text, label in (
+        ("/*\n * Subject to the Mozilla Public\n * License, v. 2.0\n */", "mpl"),
+        ("# Permission to use, copy, modify, and/or distribute this software for any\n# purpose", "isc"),
+        ("// gnu general\r\n// public  license", "gpl"), ("-- apache\n--\tlicense", "apache"), ("x\n<!-- mit\n  license -->", "mit"),
+        ("spdx-license-identifier:\tMIT", "mit"),
+    ):
+        found = s.detections(text)
+        assert [f[2].label for f in found] == [label], text
+    text = "a  b\n\n * released under\n * the  Mozilla Public\n * License, version 2.0 end"
+    assert [text[a:b] for a, b, _ in s.detections(text)] == [
+        "released under\n * the  Mozilla Public\n * License", "Mozilla Public\n * License, version 2.0",
+    ]
+    assert s.detections(" " * 300_000 + "*" * 300_000 + "-" * 300_000 + "\n" * 300_000) == []
+
+
 # 5 simhash --------------------------------------------------------------------
 
 

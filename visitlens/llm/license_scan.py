@@ -2,8 +2,11 @@
 
 A rule is a hand-written pattern with a label, a priority, a confidence and the
 keywords of which one must occur in the text, or the rule is not run. A text is
-lower-cased (A-Z); its keywords are found by one pass of a multi-string
-automaton, then the rules they open run over the whole text. Of the detections,
+lower-cased (A-Z) and each run of white space, with the comment marks around a line
+break, becomes one blank, so that a name or grant wrapped over the lines of a comment
+is found. Its keywords are found by one pass of a multi-string automaton, then the
+rules they open run over the whole text; spans are places in the given text. Of the
+detections,
 one inside a longer one or of equal extent with a higher priority is suppressed
 (the text of a named license inside "licensed under ..." is one detection); the
 rest are kept in order. Base phrases (a parameter) are counted word by word and
@@ -16,6 +19,7 @@ are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -28,6 +32,10 @@ from .common import WORD_BYTES
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
+#: White space other than one blank; around a line break with its comment marks.
+#: Possessive throughout, so that long runs take linear time.
+GAP = re.compile(r"[^\S\n]*+(?:(?:(?<!\*)\*++/|-->)[^\S\n]*+)?\n(?:\s|[*#/;%!|>]|--++|<!--)*+|[^\S\n]{2,}+|[^\S\n ]")
+
 
 class Rule(NamedTuple):
     label: str
@@ -37,16 +45,17 @@ class Rule(NamedTuple):
     pattern: str
 
 
-#: label, keyword, pattern of the license's name, SPDX identifiers.
+#: label, keywords (one for each alternative of the pattern), pattern of the
+#: license's name, SPDX identifiers.
 NAMES = (
-    ("agpl", "affero", r"(?:gnu )?affero general public licen[sc]e|\bagpl\b", "agpl-1.0 agpl-3.0"),
-    ("lgpl", "lesser", r"(?:gnu )?(?:lesser|library) general public licen[sc]e", "lgpl-2.0 lgpl-2.1 lgpl-3.0"),
+    ("agpl", "affero|agpl", r"(?:gnu )?affero general public licen[sc]e|\bagpl\b", "agpl-1.0 agpl-3.0"),
+    ("lgpl", "lesser|library general", r"(?:gnu )?(?:lesser|library) general public licen[sc]e", "lgpl-2.0 lgpl-2.1 lgpl-3.0"),
     ("lgpl", "lgpl", r"\blgpl\b", ""),
     ("gpl", "general public", r"gnu general public licen[sc]e", "gpl-1.0 gpl-2.0 gpl-3.0"),
     ("gpl", "gpl", r"\bgnu gpl\b|\bgplv?[23]\b", ""),
     ("gfdl", "free documentation", r"gnu free documentation licen[sc]e", "gfdl-1.1 gfdl-1.2 gfdl-1.3"),
     ("apache", "apache", r"apache (?:software )?licen[sc]e", "apache-1.0 apache-1.1 apache-2.0"),
-    ("mit", "mit", r"\bmit licen[sc]e|\bexpat licen[sc]e", "mit mit-0"),
+    ("mit", "mit|expat", r"\bmit licen[sc]e|\bexpat licen[sc]e", "mit mit-0"),
     ("bsd-2-clause", "bsd", r"(?:2|two)[- ]clause bsd licen[sc]e|simplified bsd licen[sc]e", "bsd-2-clause"),
     ("bsd-3-clause", "bsd", r"(?:3|three)[- ]clause bsd licen[sc]e|(?:new|modified|revised) bsd licen[sc]e", "bsd-3-clause"),
     ("bsd-4-clause", "bsd", r"(?:4|four)[- ]clause bsd licen[sc]e|original bsd licen[sc]e", "bsd-4-clause"),
@@ -62,7 +71,7 @@ NAMES = (
     ("boost", "boost", r"boost software licen[sc]e", "bsl-1.0"),
     ("unlicense", "unlicense", r"\bthe unlicense\b", "unlicense"),
     ("wtfpl", "want to public", r"do what the fuck you want to public licen[sc]e", "wtfpl"),
-    ("cc0", "cc0", r"\bcc0\b|creative commons zero", "cc0-1.0"),
+    ("cc0", "cc0|commons zero", r"\bcc0\b|creative commons zero", "cc0-1.0"),
     ("cc-by-nc-nd", "cc", r"\bcc[- ]by-nc-nd\b", "cc-by-nc-nd-3.0 cc-by-nc-nd-4.0"),
     ("cc-by-nc-sa", "cc", r"\bcc[- ]by-nc-sa\b", "cc-by-nc-sa-3.0 cc-by-nc-sa-4.0"),
     ("cc-by-nc", "cc", r"\bcc[- ]by-nc\b", "cc-by-nc-3.0 cc-by-nc-4.0"),
@@ -91,7 +100,7 @@ NAMES = (
     ("x11", "x11", r"\bx11 licen[sc]e", "x11"),
 )
 
-#: Whole phrases that are no license name: priority, confidence, keyword, pattern.
+#: Whole phrases that are no license name: label, priority, confidence, keyword, pattern.
 PHRASES = (
     ("mit", 20, 0.95, "permission is hereby", r"permission is hereby granted, free of charge, to any person obtaining a copy"),
     ("isc", 20, 0.9, "permission to use", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose"),
@@ -122,7 +131,7 @@ def rules() -> tuple[Rule, ...]:
     out = []
     for label, keyword, name, spdx in NAMES:
         for priority, confidence, before, after in FRAMES:
-            out.append(Rule(label, priority, confidence, (keyword,), f"{before}(?:{name}){after}"))
+            out.append(Rule(label, priority, confidence, tuple(keyword.split("|")), f"{before}(?:{name}){after}"))
         for one in spdx.split():
             marked = rf"spdx-license-identifier: ?{re.escape(one)}(?:-only|-or-later|\+)?(?![\w.-])"
             out.append(Rule(label, 0, 1.0, ("spdx-license-identifier",), marked))
@@ -130,6 +139,20 @@ def rules() -> tuple[Rule, ...]:
     return tuple(out)
 
 
+def blanked(text: str) -> tuple[str, list[int], list[int]]:
+    """The text with each gap one blank, the places after each gap in it, and how
+    many characters the text has lost up to there."""
+    out, at, lost, done = [], [], [], 0
+    for m in GAP.finditer(text):
+        out.append(text[done : m.start()])
+        done = m.end()
+        if m.end() - m.start() > 1:
+            lost.append((lost[-1] if lost else 0) + m.end() - m.start() - 1)
+            at.append(m.end() - lost[-1])
+    out.append(text[done:])
+    return " ".join(out), at, lost
+
+
 class Scanner:
     """The rules behind their keywords, and the base phrases."""
 
@@ -139,8 +162,9 @@ class Scanner:
         self.base = [(b" " + p.encode().translate(WORD_BYTES) + b" ", label) for p, label in base.items()]
         self.opens: dict[str, list[tuple[Rule, re.Pattern]]] = {}
         for rule in ruleset if ruleset is not None else rules():
+            pattern = re.compile(rule.pattern)
             for k in rule.keywords:
-                self.opens.setdefault(k, []).append((rule, re.compile(rule.pattern)))
+                self.opens.setdefault(k, []).append((rule, pattern))
         self.automaton = ahocorasick.Automaton()
         for k in self.opens:
             self.automaton.add_word(k, k)
@@ -149,12 +173,13 @@ class Scanner:
 
     def detections(self, text: str) -> list[tuple[int, int, Rule]]:
         """(start, end, rule) after suppression, in order of the text."""
-        low = text.translate(LOWER)
+        low, at, lost = blanked(text.translate(LOWER))
         keys = {k for _, k in self.automaton.iter(low)} if self.opens else set()
+        opened = {id(pattern): (rule, pattern) for k in sorted(keys) for rule, pattern in self.opens[k]}
+        place = lambda i: i + (lost[n - 1] if (n := bisect_right(at, i)) else 0)
         found = []
-        for k in sorted(keys):
-            for rule, pattern in self.opens[k]:
-                found += [(m.start(), m.end(), rule) for m in pattern.finditer(low) if m.end() > m.start()]
+        for rule, pattern in opened.values():
+            found += [(place(m.start()), place(m.end() - 1) + 1, rule) for m in pattern.finditer(low) if m.end() > m.start()]
         found.sort(key=lambda f: (f[0], -f[1], f[2].priority, -f[2].confidence, f[2].label))
         kept, reach = [], -1
         for start, end, rule in found:  # an earlier one that ends no sooner contains it
