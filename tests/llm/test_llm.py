@@ -16,7 +16,7 @@ import public_tokenizers
 import __spark_entry__ as entry
 import corpus_pipeline
 from visitlens.llm import (
-    components, decontaminate, host_reputation, license_scan, line_dedup, mtree, pii, piece_codec, simhash_dedup, token_store, toxicity,
+    components, decontaminate, host_reputation, license_scan, line_dedup, mtree, page_quality, pii, piece_codec, simhash_dedup, token_store, toxicity,
 )
 from visitlens.llm.common import importable
 from visitlens.llm.queries import LICENSE_PHRASES, URL_RULES
@@ -248,6 +248,39 @@ def test_host_reputation_shrinks_and_blocks(spark):
     assert all(0 < r["mean"] < 1 for r in got.values())
 
 
+def test_hosts_are_judged_by_the_text_of_their_pages(spark, tmp_path):
+    from visitlens.llm.queries import op2_host_reputation
+
+    importable(spark)
+    rng = random.Random(8)
+
+    def prose(n=60):
+        return " ".join("".join(rng.choice("aeinorst") for _ in range(rng.randint(2, 9))) for _ in range(n)) + "."
+
+    def junk():
+        return " ".join(rng.choice(["win!!!", "$$$", "%%%", "bet***"]) for _ in range(60))
+
+    docs = [(i, junk() if i % 4 == 0 else prose()) for i in range(200)]
+    labels = [(i, int(i % 4 != 0), 0) for i in range(200)]
+    html = "<html><head><title>{0}</title></head><body><nav>a</nav><!-- {1} --><p>{0}</p><script>x='{1}'</script></body></html>"
+    # the documents of the same numbers say nothing: page i's text is of the other kind as often
+    pages = [(i, f"http://www.casino-win.test.net/{i}", html.format(junk(), prose())) for i in range(40)]
+    pages += [(40 + i, f"http://blog.fine.test.net/{i}", html.format(prose(), junk())) for i in range(40)]
+    pages += [(80, "http://new.test.net/", None), (None, "http://blog.fine.test.net/x", html.format(prose(), ""))]
+    for name, rows, schema in (
+        ("documents", docs, "doc_id long, text string"), ("labels", labels, "doc_id long, quality int, toxic int"),
+        ("pages", pages, "page_id long, url string, html string"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = op2_host_reputation(spark, str(tmp_path)).collect()
+    assert len(out) == len(pages)
+    assert {(r["host"], r["verdict"], r["n_labelled"]) for r in out if r["page_id"] != 80} == {
+        ("www.casino-win.test.net", "block", 40), ("blog.fine.test.net", "allow", 41),
+    }
+    no_labels = page_quality.outcomes(spark.read.parquet(f"{tmp_path}/pages.parquet"), None)
+    assert no_labels.where("good is not null").count() == 0
+
+
 # 3 pieces ---------------------------------------------------------------------
 
 

@@ -30,13 +30,14 @@ TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au",
 Rule = tuple[str, str, str]  # host, path, verdict
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, host, path of each page."""
+def parsed(pages: DataFrame, *more: Column) -> DataFrame:
+    """page_id, host, path of each page, and the columns ``more``."""
     after = F.coalesce(F.regexp_extract("url", r"(?s)^.*?://(.*)$", 1), F.lit(""))
-    return pages.select("page_id", after.alias("after")).select(
+    return pages.select("page_id", after.alias("after"), *more).select(
         "page_id",
         lower_ascii(F.regexp_extract("after", r"(?s)^([^/?#]*)", 1)).alias("host"),
         F.regexp_extract("after", r"(?s)^[^/?#]*([^?#]*)", 1).alias("path"),
+        *pages.select("page_id", *more).columns[1:],
     )
 
 
@@ -102,7 +103,19 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], threshold: f
     ``outcomes``: (page_id, good 0/1)."""
     read = parsed(pages)
     known = outcomes.where("page_id is not null and good is not null").select("page_id", F.col("good").cast("double").alias("good"))
-    labelled = read.select("page_id", "host").join(known, "page_id").groupBy("host").agg(F.count("*").alias("n"), F.sum("good").alias("k"))
+    labelled = read.select("page_id", "host").join(known, "page_id")
+    return _judged(read, labelled, rules, threshold, z)
+
+
+def judge_rows(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], threshold: float, z: float = 2.0) -> DataFrame:
+    """The same with ``outcomes`` (page_id, url, good 0/1) of each row of ``pages``."""
+    known = outcomes.where("good is not null")
+    labelled = parsed(known, F.col("good").cast("double").alias("good")).select("host", "good")
+    return _judged(parsed(pages), labelled, rules, threshold, z)
+
+
+def _judged(read: DataFrame, outcomes: DataFrame, rules: list[Rule], threshold: float, z: float) -> DataFrame:
+    labelled = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("good").alias("k"))
     seen = read.select("host", F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("k")).distinct()
     hosts = labelled.union(seen).groupBy("host").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     scored = cut(reputations(hosts, z))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, host_reputation, license_scan, line_dedup, mtree, pii, piece_codec, simhash_dedup, token_store, toxicity
+from . import decontaminate, host_reputation, license_scan, line_dedup, mtree, page_quality, pii, piece_codec, simhash_dedup, token_store, toxicity
 from .common import importable, table
 
 #: Fixed by the contract of op2: host, path, verdict.
@@ -40,9 +40,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's outcome is the quality label of the document of its number."""
-    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
-    return host_reputation.judge(table(spark, sf_dir, "pages"), outcomes, URL_RULES, GOOD_SHARE)
+    """A page's outcome is the quality of its own text, learned from the labelled documents."""
+    pages = table(spark, sf_dir, "pages")
+    model = page_quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return host_reputation.judge_rows(pages, page_quality.outcomes(pages, model), URL_RULES, GOOD_SHARE)
 
 
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
