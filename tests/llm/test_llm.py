@@ -390,6 +390,15 @@ def test_near_duplicates_by_definition(spark, docs, none):
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted({c for _, c in of.values()})
 
 
+def test_one_row_of_each_group_stays(spark):
+    importable(spark)
+    one, two, three = ("alpha beta gamma delta", "one two three four five", "red green blue white black")
+    rows = [(None, one), (None, one), (None, one), (3, two), (3, three), (1, three), (None, two), (8, two), (8, two), (9, None), (None, "")]
+    kept = simhash_dedup.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted(((r["doc_id"], r["text"]) for r in kept), key=str)
+    assert got == [(1, three), (3, two), (9, None), (None, one)]
+
+
 def test_components(spark):
     random.seed(9)
     links = [(random.randrange(300), random.randrange(300)) for _ in range(260)] + [(i, i + 1) for i in range(400, 480)] + [(5, 5), (None, 3)]

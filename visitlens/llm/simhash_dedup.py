@@ -54,14 +54,15 @@ def fingerprint(text: str, shingle: int = 3, block: int = 1 << 16) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) with fp as a signed long."""
+    """(doc_id, text_hash, fp) with fp as a signed long."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fp = np.array([fingerprint(t, shingle) for t in pdf["text"].fillna("")], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": fp})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_hash": pdf["text_hash"], "fp": fp})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInPandas(run, "doc_id long, text_hash long, fp long")
 
 
 def segment(fp: Column, i: int) -> Column:
@@ -95,8 +96,8 @@ def links(fps: DataFrame) -> DataFrame:
     return left.join(right, "key").where(near).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id for each row."""
+def grouped(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, text_hash, fp), and their fingerprints (fp, root, component_id)."""
     found = saved(fingerprints(docs, shingle))
     nodes = cut(found.groupBy("fp").agg(F.min("doc_id").alias("least")))
     groups = components(links(nodes.select("fp")))
@@ -104,16 +105,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = cut(named.join(ids, "root").select("fp", "component_id"))
+    return found, cut(named.join(ids, "root").select("fp", "root", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id for each row."""
+    found, by_fp = grouped(docs, shingle)
     return found.join(by_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def first_of_groups(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``docs`` with one document of each group: that of the smallest doc_id,
-    once if its row is repeated. Rows without a doc_id cannot be told apart
-    and stay."""
-    keep = near_duplicates(docs, shingle).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """``docs`` with one row of each group: that of the smallest doc_id (null
+    ids last), of its texts the one of the smallest hash, once if it is repeated."""
+    found, by_fp = grouped(docs, shingle)
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    first = found.join(by_fp, "fp").groupBy("root").agg(F.min(place).alias("first"))
+    keep = first.select(F.col("first.doc_id").alias("_doc"), F.col("first.text_hash").alias("_hash"))
+    same = docs["doc_id"].cast("long").eqNullSafe(keep["_doc"]) & (F.xxhash64(docs["text"]) == keep["_hash"])
+    return docs.join(keep, same, "left_semi").dropDuplicates(["doc_id", "text"])
