@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, host_reputation, license_scan, line_dedup, mtree, page_quality, pii, piece_codec, simhash_dedup, token_store, toxicity
-from .common import importable, table
+from . import (
+    decontaminate, host_reputation, license_scan, line_dedup, merkle, mtree, page_quality, pii, piece_codec, simhash_dedup, spelling, token_store,
+    toxicity,
+)
+from .common import importable, saved, table
 
 #: Fixed by the contract of op2: host, path, verdict.
 URL_RULES = [
@@ -81,10 +84,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = saved(spelling.vocabulary(spelling.altered_runs(table(spark, sf_dir, "documents"))))
+    return spelling.spelling_variants(words)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 7 divides the hash of the doc_id, the checked copy has one more in n_chars."""
+    tampered = F.crc32(F.col("doc_id").cast("long").cast("string")) % 7 == 0
+    n_chars = F.col("n_chars").cast("decimal(20,0)")
+    return merkle.verified(table(spark, sf_dir, "documents"), n_chars=F.when(tampered, n_chars + 1).otherwise(n_chars))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_line_dedup, op2_host_reputation, op3_piece_codec, op4_license_scan, op5_simhash_dedup,
-        op6_toxicity, op7_decontamination, op8_mtree_topk, op9_token_store, op10_pii,
+        op6_toxicity, op7_decontamination, op8_mtree_topk, op9_token_store, op10_pii, op11_spelling_variants, op13_merkle_manifest,
     ]
 
     def ready(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
