@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate, host_reputation, license_scan, line_dedup, merkle, mtree, page_quality, pii, piece_codec, simhash_dedup, spelling, token_store,
-    toxicity,
+    toxicity, vector_tree,
 )
 from .common import importable, saved, table
 
@@ -89,6 +89,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(words)
 
 
+def op12_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_tree.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where 7 divides the hash of the doc_id, the checked copy has one more in n_chars."""
     tampered = F.crc32(F.col("doc_id").cast("long").cast("string")) % 7 == 0
@@ -99,7 +103,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_line_dedup, op2_host_reputation, op3_piece_codec, op4_license_scan, op5_simhash_dedup,
-        op6_toxicity, op7_decontamination, op8_mtree_topk, op9_token_store, op10_pii, op11_spelling_variants, op13_merkle_manifest,
+        op6_toxicity, op7_decontamination, op8_mtree_topk, op9_token_store, op10_pii, op11_spelling_variants, op12_vector_tree,
+        op13_merkle_manifest,
     ]
 
     def ready(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
