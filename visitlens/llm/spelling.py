@@ -41,8 +41,8 @@ from .common import lower_ascii, saved
 LETTERS = "A-Za-zÀ-ÿ"
 MIN_CHARS = 7
 BIN_CHARS = 200_000  # code points of a bin, in the mean
-HOT_CHARS = 2_000_000  # of a key that is dealt out further
-WIDE = 200_000  # states that are branched at once
+HOT_CHARS = 500_000  # of a key that is dealt out further
+ASKED = 4096  # words of a bin that are searched side by side
 
 
 def altered_runs(docs: DataFrame, every: int = 31, least: int = MIN_CHARS) -> DataFrame:
@@ -124,6 +124,7 @@ class Index:
         order = suffix_ranks(text)
         self.before = text[order - 1]
         self.rows = np.sort(self.before * self.size + np.arange(self.size))
+        self.letters = np.unique(text[text > 1])
         # suffixes that begin with a delimiter and a word: the word's number
         of = np.full(self.size, -1)
         of[start[:-1] - 1] = np.arange(len(words))
@@ -133,14 +134,27 @@ class Index:
         """The intervals with symbol ``c`` in front."""
         return np.searchsorted(self.rows, c * self.size + lo), np.searchsorted(self.rows, c * self.size + hi)
 
-    def branches(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(interval's number, symbol) of the letters that stand in front."""
+    def branches(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(interval's number, symbol, its interval) of the letters that stand in
+        front. Equal intervals are looked up once: the rows of a small one, all
+        letters for a large one."""
+        pair, of = np.unique(lo * (self.size + 1) + hi, return_inverse=True)
+        lo, hi = pair // (self.size + 1), pair % (self.size + 1)
         many = hi - lo
-        of = np.repeat(np.arange(len(lo)), many)
-        row = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)
-        c = self.before[row]
-        found = np.unique((of << 32 | c)[c > 1])
-        return found >> 32, found & 0xFFFFFFFF
+        small, large = np.flatnonzero(many <= len(self.letters)), np.flatnonzero(many > len(self.letters))
+        sizes = many[small]
+        row = np.arange(sizes.sum()) + np.repeat(lo[small] - np.cumsum(sizes) + sizes, sizes)
+        each = np.concatenate((np.repeat(small, sizes) << 32 | self.before[row], np.repeat(large, len(self.letters)) << 32 | np.tile(self.letters, len(large))))
+        each = np.unique(each)
+        own, c = each >> 32, each & 0xFFFFFFFF
+        lo, hi = self.step(c, lo[own], hi[own])
+        there = (c > 1) & (lo < hi)
+        own, c, lo, hi = own[there], c[there], lo[there], hi[there]
+        # from the distinct intervals back to all
+        first, last = np.searchsorted(own, np.arange(len(pair))), np.searchsorted(own, np.arange(len(pair)), "right")
+        sizes = (last - first)[of]
+        at = np.arange(sizes.sum()) + np.repeat(first[of] - np.cumsum(sizes) + sizes, sizes)
+        return np.repeat(np.arange(len(of)), sizes), c[at], lo[at], hi[at]
 
 
 def _fewer(index: Index, flat_at: np.ndarray, state: tuple) -> tuple:
@@ -176,14 +190,12 @@ def one_error(index: Index, words: list[np.ndarray], asked: np.ndarray, exact: n
         on = ~end & (nlo < nhi) & (err | (nhi - nlo > 1))
         states = [(q[on], pos[on] + 1, nlo[on], nhi[on], err[on])]  # the same symbol
         free = np.flatnonzero(~err)
-        for part in np.array_split(free, 1 + len(free) // WIDE):
-            of, letter = index.branches(lo[part], hi[part])
-            of = part[of]
-            blo, bhi = index.step(letter, lo[of], hi[of])
-            put = np.ones(len(of), bool)
-            states.append((q[of], pos[of], blo, bhi, put))  # one put in
-            other = ~end[of] & (letter != c[of])
-            states.append((q[of][other], pos[of][other] + 1, blo[other], bhi[other], put[other]))  # another one
+        of, letter, blo, bhi = index.branches(lo[free], hi[free])
+        of = free[of]
+        put = np.ones(len(of), bool)
+        states.append((q[of], pos[of], blo, bhi, put))  # one put in
+        other = ~end[of] & (letter != c[of])
+        states.append((q[of][other], pos[of][other] + 1, blo[other], bhi[other], put[other]))  # another one
         q, pos, lo, hi, err = (np.concatenate(x) for x in zip(*states, strict=True))
         if len(q) > 4 * len(keep):  # repeated symbols lead to the same words
             q, pos, lo, hi, err = _fewer(index, base[q] + pos, (q, pos, lo, hi, err))
@@ -205,7 +217,9 @@ def near_in(words: list[str], ahead: np.ndarray, behind: np.ndarray) -> tuple[np
         asked = np.flatnonzero(mark)
         if len(asked):
             texts = [c[::-1] for c in codes] if turned else codes
-            out.append(one_error(Index(texts), texts, asked, exact[asked]))
+            index = Index(texts)
+            for block in np.array_split(asked, -(-len(asked) // ASKED)):
+                out.append(one_error(index, texts, block, exact[block]))
     a, b = (np.concatenate(x) for x in zip(*out, strict=True))
     longer = lens[a] != lens[b]
     return np.concatenate((a, b[longer])), np.concatenate((b, a[longer]))
