@@ -150,3 +150,19 @@ def test_hot_user_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def shape(spark, name):
+    """(scans of the events, shuffles, reused shuffles) of a query's executed plan."""
+    df = catalog.queries()[name](spark, SF_SMALL)
+    df.collect()
+    text = plan_text(df).split("+- == Initial Plan ==")[0]
+    nodes = [line for line in text.splitlines() if "Exchange" in line and "ReusedExchange" not in line and "BroadcastExchange" not in line]
+    return len(re.findall(r"FileScan parquet[^\n]*events\.parquet", text)), len(nodes), text.count("ReusedExchange")
+
+
+def test_page_conversion_reads_the_actions_once_and_joins_nothing(spark):
+    scans, shuffles, _ = shape(spark, "page_one_step_convert_rate")
+    assert scans == 1 and shuffles <= 4
+    text = plan_text(catalog.queries()["page_one_step_convert_rate"](spark, SF_SMALL))
+    assert "Join" not in text

@@ -9,10 +9,11 @@ import tempfile
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import ACTION_SCHEMA, SF_MID, SF_SMALL, action_rows
 from visitlens.functions.params import TaskParams
-from visitlens.operators.funnel import adjacent_page_pairs, one_step_convert_rate, page_points
+from visitlens.operators.funnel import bucket_hops, hop_counts, one_step_convert_rate, page_points
 from visitlens.operators.sessions import aggregate_sessions
 from visitlens.operators.timeline import action_time_keys
 from visitlens.operators.topn import category_counts_by_session, top_sessions
@@ -90,6 +91,13 @@ def _brute_pairs(rows):
     return out
 
 
+def _pairs(df, pages, **sizes):
+    """(from, to) -> pairs over all of ``pages``, zeros left out."""
+    hops = list(itertools.product(pages, pages))
+    row = hop_counts(df, hops, pages[0], **sizes).first()
+    return {hop: row[f"hop_{i}"] for i, hop in enumerate(hops) if row[f"hop_{i}"]}
+
+
 def test_adjacent_pairs_across_days_and_ties(spark):
     raw = [
         ("s1", "2024-01-01 23:59:58", 1), ("s1", "2024-01-01 23:59:59", 2), ("s1", "2024-01-02 0:00:00", 3),
@@ -98,7 +106,7 @@ def test_adjacent_pairs_across_days_and_ties(spark):
         ("s2", "2024-01-03 1:00:00", 3), ("s3", "2024-01-05 1:00:00", 1),
     ]
     df = spark.createDataFrame(action_rows([(s, 1, t, None, None, p) for s, t, p in raw]), ACTION_SCHEMA)
-    got = {(r.from_page, r.to_page): r.pairs for r in adjacent_page_pairs(page_points(df)).collect()}
+    got = _pairs(df, [1, 2, 3])
     expected = _brute_pairs([(s, p, pd.Timestamp(t.replace(" 0:", " 00:").replace(" 5:", " 05:").replace(" 1:", " 01:")))
                              for s, t, p in raw])
     assert got == expected
@@ -190,9 +198,42 @@ def test_adjacent_pairs_random_against_brute_force(spark):
         raw.append((f"s{rng.randint(0, 24)}", f"2024-01-0{day} {hour}:{minute:02d}:{rng.choice([0, 30]):02d}",
                     rng.randint(0, 4)))
     df = spark.createDataFrame(action_rows([(s, 1, t, None, None, p) for s, t, p in raw]), ACTION_SCHEMA)
-    got = {(r.from_page, r.to_page): r.pairs for r in adjacent_page_pairs(page_points(df)).collect()}
     expected = _brute_pairs([(s, p, pd.to_datetime(t, format="%Y-%m-%d %H:%M:%S")) for s, t, p in raw])
-    assert got == expected
+    assert _pairs(df, range(5)) == expected
+    # pages outside the flow only part the others, whatever they sort between
+    assert _pairs(df, [1, 3]) == {k: n for k, n in expected.items() if set(k) <= {1, 3}}
+    assert _pairs(df, range(5), bucket_seconds=1) == _pairs(df, range(5), bucket_seconds=1 << 30) == expected
+
+
+def test_page_flow_edge_cases(spark):
+    d = "2024-01-01"
+    raw = [(None, f"{d} 1:00:00", 1), (None, f"{d} 1:00:01", 2), ("a", f"{d} 1:00:00", 1), ("a", f"{d} 1:00:00", None), ("a", f"{d} 1:00:01", 2),
+           ("b", f"{d} 1:00:00", 1), ("b", f"{d} 1:00:01", None), ("b", f"{d} 1:00:02", 2), ("c", "1969-12-31 23:59:59", 1),
+           ("c", "1970-01-01 0:00:00", 2), ("d", f"{d} never", 1)]
+    df = spark.createDataFrame(action_rows([(s, 1, t, None, None, p) for s, t, p in raw]), ACTION_SCHEMA)
+    # the NULL page parts b's actions and stands before a's first one
+    assert one_step_convert_rate(spark, df, [1, 2]).first()[:] == (1, 1, 2, 3, 0.75)
+    none = df.where("false")
+    assert [r[3:] for r in one_step_convert_rate(spark, none, [1, 2, 1]).collect()] == [(0, None), (0, None)]
+    assert one_step_convert_rate(spark, df, [1]).collect() == [] == one_step_convert_rate(spark, df, []).collect()
+
+
+def test_hot_session_day_is_spread_over_tasks(spark):
+    """One session, one day: its hours are window groups of their own."""
+    actions = spark.range(0, 50_000, numPartitions=8).selectExpr(
+        "'hot' AS session_id", "id % 7 AS page_id",
+        "concat('2024-01-01 ', CAST(id % 24 AS STRING), ':', lpad(CAST(id % 60 AS STRING), 2, '0'), ':', lpad(CAST(id % 59 AS STRING), 2, '0')) AS action_time",
+    )
+    pages, hops = [1, 2, 3], [(1, 2), (2, 3)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = bucket_hops(page_points(actions, pages), pages, hops, 1)
+        tasks = rows.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r[1] for r in tasks) == 24 and len(tasks) >= 5
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    points = page_points(actions, pages)
+    assert points.groupBy("session_id", "bucket").count().agg({"count": "max"}).first()[0] <= 3600 * 7
 
 
 def test_job_cli_applies_partition_sizing(spark):

@@ -10,12 +10,16 @@ id (actions whose time does not parse are left out):
   hop i > 1 its count over the count of hop i-1 (half-up, 2 decimals; NULL
   when that denominator is 0).
 
-Plan, without one task per session: actions collapse to distinct
-(session, time, page) rows with a multiplicity; adjacency is found by a
-window partitioned by (session, day), which bounds a window group by one
-day of one session whatever the session's size; pairs that cross a day
-boundary come from a second, tiny window over per-(session, day) first/last
-rows. A run of m identical (time, page) rows adds m-1 self pairs (page, page).
+Plan, one scan and no join. Before anything is shuffled, pages become places in
+the flow: a page of the flow its own place, any other one the gap between two
+places that it sorts into, where it only parts what stands beside it. Actions
+collapse to distinct (session, time, place) rows with a multiplicity. Adjacency
+is found by a window over one hour of one session, and each hour leaves one row:
+its counts of the hops, its first and its last place. A window over a session's
+hours adds the pairs across them, and the sums are one row. So a session that
+holds a third of all actions is spread over its hours, and none of its window
+groups has more than 3,600 times the places' number of rows. A run of m identical
+(time, page) rows adds m-1 self pairs (page, page).
 """
 
 from __future__ import annotations
@@ -25,84 +29,75 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import ratio_sql
 from ..functions.timekeys import parse_time_sql
-from ..session import local_table
 
-
-def page_points(actions: DataFrame) -> DataFrame:
-    """One row per distinct (session, time, page) with its multiplicity m and
-    day; actions whose time does not parse are left out. Partial aggregation
-    combines a hot session map-side."""
-    timed = actions.selectExpr("session_id", "page_id", f"{parse_time_sql('action_time')} AS t").where(
-        "t IS NOT NULL"
-    )
-    return timed.groupBy("session_id", "t", "page_id").agg(F.expr("count(1) AS m")).selectExpr(
-        "*", "to_date(t) AS day"
-    )
-
-
-# An order-preserving numeric key of a point inside one day (second of the
-# day, then page id), so that the first / last point of a session-day is a
-# plain min / max and stays a hash aggregation (min / max of a struct sorts).
-_POINT_KEY = (
-    "CAST(hour(t) * 3600 + minute(t) * 60 + second(t) AS DECIMAL(6,0)) * CAST(1E20 AS DECIMAL(21,0))"
-    " + (CAST(page_id AS DECIMAL(20,0)) + 9223372036854775808BD)"
-)
-
-
-def _page_of(key: str) -> str:
-    return f"CAST(({key} % CAST(1E20 AS DECIMAL(21,0))) - 9223372036854775808BD AS BIGINT)"
-
-
-def adjacent_page_pairs(points: DataFrame) -> DataFrame:
-    """(from_page, to_page, pairs): counts of adjacent page pairs over all
-    sessions, from the rows of :func:`page_points`."""
-    # per point: the pair (previous point of the session-day -> this point)
-    # and m-1 self pairs inside a run of m identical points
-    w = points.selectExpr(
-        "page_id", "m", "lag(page_id) OVER (PARTITION BY session_id, day ORDER BY t, page_id) AS prev_page"
-    )
-    within = w.selectExpr(
-        "explode(concat("
-        "  CASE WHEN prev_page IS NOT NULL THEN array(named_struct('from_page', prev_page, 'to_page', page_id, 'n', 1L))"
-        "       ELSE array() END,"
-        "  CASE WHEN m > 1 THEN array(named_struct('from_page', page_id, 'to_page', page_id, 'n', m - 1))"
-        "       ELSE array() END)) AS p"
-    ).select("p.*")
-
-    # pairs across a day boundary: last point of a session-day -> first point
-    # of the session's next day with actions (one row per session-day)
-    edges = points.groupBy("session_id", "day").agg(
-        F.expr(f"min({_POINT_KEY}) AS first_key"), F.expr(f"max({_POINT_KEY}) AS last_key")
-    )
-    across = edges.selectExpr(
-        f"lag({_page_of('last_key')}) OVER (PARTITION BY session_id ORDER BY day) AS from_page",
-        f"{_page_of('first_key')} AS to_page",
-        "1L AS n",
-    ).where("from_page IS NOT NULL")
-
-    return within.unionByName(across).groupBy("from_page", "to_page").agg(F.expr("sum(n) AS pairs"))
+BUCKET_SECONDS = 3600
+
+
+def place_sql(pages: list[int], column: str = "page_id") -> str:
+    """The place of a page among the sorted ``pages``: 2i + 1 for the i-th one,
+    2i for one between them; NULL sorts first, as in a window's order."""
+    gaps = " ".join(f"WHEN {column} = {p} THEN {2 * i + 1} WHEN {column} < {p} THEN {2 * i}" for i, p in enumerate(pages))
+    return f"CASE WHEN {column} IS NULL THEN 0 {gaps} ELSE {2 * len(pages)} END"
+
+
+def page_points(actions: DataFrame, pages: list[int], bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """One row per distinct (session, time, place) with its multiplicity ``m``;
+    the time is a bucket and the second ``at`` in it. Actions whose time does not
+    parse are left out. Partial aggregation combines a hot session map-side."""
+    second = f"timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {parse_time_sql('action_time')})"
+    timed = actions.selectExpr("session_id", f"{second} AS s", f"{place_sql(pages)} AS place").where("s IS NOT NULL")
+    timed = timed.selectExpr("session_id", "place", f"pmod(s, {bucket_seconds}) AS at", f"floor(s / {bucket_seconds}) AS bucket")
+    return timed.groupBy("session_id", "bucket", "at", "place").agg(F.expr("count(1) AS m"))
+
+
+def bucket_hops(points: DataFrame, pages: list[int], hops: list[tuple[int, int]], first: int) -> DataFrame:
+    """One row per (session, bucket): hop_0, hop_1, ... pairs inside it, the views
+    of ``first``, and the first and last place."""
+    place = {p: 2 * i + 1 for i, p in enumerate(pages)}
+    width = 2 * len(pages) + 1
+    beside = points.selectExpr("*", "lag(place) OVER (PARTITION BY session_id, bucket ORDER BY at, place) AS prev")
+    counts = [f"count_if(prev = {place[a]} AND place = {place[b]})" for a, b in hops]
+    runs = [f" + sum(CASE WHEN place = {place[a]} THEN m - 1 ELSE 0L END)" if a == b else "" for a, b in hops]
+    aggs = [f"{count}{run} AS hop_{i}" for i, (count, run) in enumerate(zip(counts, runs, strict=True))]
+    # the first and last point by one number each, so that aggregation stays hashed
+    aggs += [
+        f"sum(CASE WHEN place = {place[first]} THEN m ELSE 0L END) AS views",
+        f"min(at * {width} + place) AS low", f"max(at * {width} + place) AS high",
+    ]
+    ends = [f"low % {width} AS first_place", f"high % {width} AS last_place"]
+    return beside.groupBy("session_id", "bucket").agg(*map(F.expr, aggs)).selectExpr("*", *ends).drop("low", "high")
+
+
+def hop_counts(
+    actions: DataFrame, hops: list[tuple[int, int]], first: int, bucket_seconds: int = BUCKET_SECONDS
+) -> DataFrame:
+    """One row: hop_0, hop_1, ... the adjacent pairs of each of ``hops``, and the
+    views of page ``first``."""
+    pages = sorted({first, *(p for hop in hops for p in hop)})
+    place = {p: 2 * i + 1 for i, p in enumerate(pages)}
+    buckets = bucket_hops(page_points(actions, pages, bucket_seconds), pages, hops, first)
+    stitched = buckets.selectExpr("*", "lag(last_place) OVER (PARTITION BY session_id ORDER BY bucket) AS before")
+    sums = [
+        f"coalesce(sum(hop_{i}), 0L) + count_if(before = {place[a]} AND first_place = {place[b]}) AS hop_{i}"
+        for i, (a, b) in enumerate(hops)
+    ]
+    return stitched.agg(*map(F.expr, [*sums, "coalesce(sum(views), 0L) AS views"]))
 
 
 def one_step_convert_rate(spark: SparkSession, actions: DataFrame, flow: list[int]) -> DataFrame:
-    """hop_index, from_page, to_page, hop_count, rate for each hop of ``flow``.
-
-    The views of p1 enter as hop 0, so every rate is "this count over the
-    previous row's count" in one small window over the n hops of the flow
-    (a parameter-sized table)."""
-    hops = [(i + 1, flow[i], flow[i + 1]) for i in range(len(flow) - 1)]
-    hop_df = local_table(spark, hops, [("hop_index", "INT"), ("from_page", "BIGINT"), ("to_page", "BIGINT")])
-    points = page_points(actions)
-    counted = hop_df.join(adjacent_page_pairs(points), ["from_page", "to_page"], "left").selectExpr(
-        "hop_index", "from_page", "to_page", "coalesce(pairs, 0L) AS hop_count"
-    )
-    first_page = "NULL" if not flow else str(int(flow[0]))
-    views = points.where(f"page_id = {first_page}").agg(
-        F.expr("0 AS hop_index"),
-        F.expr("CAST(NULL AS BIGINT) AS from_page"),
-        F.expr(f"CAST({first_page} AS BIGINT) AS to_page"),
-        F.expr("CAST(coalesce(sum(m), 0) AS BIGINT) AS hop_count"),
-    )
-    chain = views.unionByName(counted).selectExpr("*", "lag(hop_count) OVER (ORDER BY hop_index) AS prev")
-    return chain.where("hop_index >= 1").selectExpr(
-        "hop_index", "from_page", "to_page", "hop_count", f"{ratio_sql('hop_count', 'prev')} AS rate"
+    """hop_index, from_page, to_page, hop_count, rate for each hop of ``flow``
+    (none for a flow of fewer than two pages)."""
+    flow = [int(p) for p in flow]
+    hops = list(zip(flow, flow[1:], strict=False))
+    if not hops:
+        return spark.sql(
+            "SELECT CAST(NULL AS INT) AS hop_index, CAST(NULL AS BIGINT) AS from_page, CAST(NULL AS BIGINT) AS to_page, "
+            "CAST(NULL AS BIGINT) AS hop_count, CAST(NULL AS DOUBLE) AS rate"
+        ).where("false")
+    rows = ", ".join(
+        f"named_struct('hop_index', {i + 1}, 'from_page', {a}L, 'to_page', {b}L, 'hop_count', hop_{i}, "
+        f"'prev', {'views' if i == 0 else f'hop_{i - 1}'})"
+        for i, (a, b) in enumerate(hops)
     )
+    chain = hop_counts(actions, hops, flow[0]).selectExpr(f"inline(array({rows}))")
+    return chain.selectExpr("hop_index", "from_page", "to_page", "hop_count", f"{ratio_sql('hop_count', 'prev')} AS rate")
