@@ -16,9 +16,12 @@ Search: a priority queue holds nodes by their centroids' distances; the best one
 is taken, a leaf is visited, an inner node puts its children in. How many leaves
 are visited is calibrated: of ``CALIBRATION`` queries the exact neighbours are
 found in one pass over all rows, and the visits widen until the share of those
-that lie in pages of visited leaves reaches ``recall``. Pages and queries then
-meet sorted by page: a task holds one page and streams its queries past it. The
-best k of each query and page are shuffled once more and the best k taken.
+that lie in visited leaves reaches ``recall``. A query goes once to each page that
+holds leaves it visits, with their numbers. Pages and queries meet sorted by page:
+a task holds one page and streams its queries past it, each over the rows of its
+leaves. The best k of each query and page are shuffled once more and the best k
+taken. Leaves next to each other in the tree are often visited together, so a
+query has far fewer pages than leaves.
 
 Rows whose vector is null, empty, zero or holds null or non-finite components
 take no part, nor do rows without an id. Shorter vectors count as filled up with
@@ -164,9 +167,13 @@ class Pages:
                 self.parts[leaf] = -(-n // page_rows)
                 page, filled = page + int(self.parts[leaf]), 0
 
-    def of(self, leaves: list[int]) -> list[int]:
-        """The distinct pages of visited leaves, in order."""
-        return list(dict.fromkeys(p for x in leaves for p in range(self.first[x], self.first[x] + self.parts[x])))
+    def of(self, leaves: list[int]) -> dict[int, list[int]]:
+        """The pages of visited leaves, each with its leaves."""
+        found: dict[int, list[int]] = {}
+        for x in leaves:
+            for p in range(self.first[x], self.first[x] + self.parts[x]):
+                found.setdefault(p, []).append(x)
+        return found
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -177,15 +184,22 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))[:k]]
 
 
-def score_rows(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query's place, ids, scores) of the best k of x for each query; a rough
-    product leaves few candidates, whose scores are then summed one by one."""
+def score_rows(
+    q: np.ndarray, q_ids: np.ndarray, q_leaves: list, x: np.ndarray, ids: np.ndarray, leaf: np.ndarray, k: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query's place, ids, scores) of the best k rows of its leaves for each
+    query; a rough product leaves few candidates, whose scores are then summed one
+    by one."""
+    low = int(leaf.min(initial=0))
+    seen = np.zeros(int(leaf.max(initial=0)) - low + 1, bool)
     slack = 1e-9 * np.sqrt((q * q).sum(1)) * np.sqrt((x * x).sum(1).max(initial=0.0))
     part = max(1, PART // max(1, len(x)))
     for start in range(0, len(q), part):
         rough = q[start : start + part] @ x.T
         for j, row in enumerate(rough, start):
-            row = np.where(ids == q_ids[j], -np.inf, row)
+            seen[:] = False
+            seen[np.asarray(q_leaves[j], np.int64) - low] = True
+            row = np.where((ids == q_ids[j]) | ~seen[leaf - low], -np.inf, row)
             at = np.flatnonzero(np.isfinite(row) if len(row) <= k else row >= max(np.partition(row, -k)[-k] - slack[j], -1.7e308))
             if len(at):
                 scores = np.cumsum(x[at] * q[j], axis=1)[:, -1]
@@ -196,7 +210,7 @@ def score_rows(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray,
 class Index:
     """The fitted tree, the table's rows with leaf and page, and the visits."""
 
-    def __init__(self, vectors: DataFrame, k: int, every: int, leaf_rows: int = 128, page_rows: int = 1024, recall: float = 0.95):
+    def __init__(self, vectors: DataFrame, k: int, every: int, leaf_rows: int = 128, page_rows: int = 8192, recall: float = 0.95):
         self.k, self.every = k, every
         rows = participants(vectors)
         norm2 = F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
@@ -256,12 +270,10 @@ class Index:
         want: dict[int, list[int]] = {}
         for query, leaf in near:  # at most CALIBRATION * k rows
             want.setdefault(query, []).append(leaf)
-        needed = []  # visits until a neighbour's leaf, or another one in all of its pages, is visited
+        needed = []  # visits until a neighbour's leaf is reached
         for query, leaves in zip(q_ids.tolist(), self.tree.visits(q, self.tree.leaves), strict=True):
-            place: dict[tuple[int, int], int] = {}
-            for v, leaf in enumerate(leaves, 1):
-                place.setdefault((int(self.pages.first[leaf]), int(self.pages.parts[leaf])), v)
-            needed += [place[int(self.pages.first[x]), int(self.pages.parts[x])] for x in want.get(query, ())]
+            place = {leaf: v for v, leaf in enumerate(leaves, 1)}
+            needed += [place[x] for x in want.get(query, ())]
         needed = np.array(needed)
         visits = 1
         while len(needed) and (needed <= visits).mean() < recall:
@@ -279,35 +291,38 @@ class Index:
                     some = b.slice(start, 512)
                     to = [pages.of(leaves) for leaves in tree.visits(matrix(some.column("v"), width), visits)]
                     copies = some.take(pa.array(np.repeat(np.arange(some.num_rows), [len(x) for x in to])))
-                    flat = pa.array(np.array([p for x in to for p in x], np.int64))
-                    yield pa.RecordBatch.from_arrays([flat, *copies.columns], ["page", *copies.schema.names])
+                    page = pa.array([p for x in to for p in x], pa.int64())
+                    leaves = pa.array([y for x in to for y in x.values()], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([page, leaves, *copies.columns], ["page", "leaves", *copies.schema.names])
 
         first, parts = (F.array(*map(F.lit, x.tolist())) for x in (pages.first, pages.parts))
         if len(pages.first) > 64:  # too long for a literal in a plan that is read
             first, parts = (F.from_json(F.lit(str(x.tolist())), "array<long>") for x in (pages.first, pages.parts))
         page = F.get(first, F.col("leaf").cast("int")) + F.pmod(F.xxhash64("vec_id", "v"), F.get(parts, F.col("leaf").cast("int")))
-        stored = self.rows.select(page.alias("page"), F.lit(False).alias("asks"), "vec_id", "v")
-        asked = self.queries.mapInArrow(ask, f"page long, vec_id long, v {kind}").select("page", F.lit(True).alias("asks"), "vec_id", "v")
+        stored = self.rows.select(page.alias("page"), F.lit(False).alias("asks"), F.array("leaf").alias("leaves"), "vec_id", "v")
+        asked = self.queries.mapInArrow(ask, f"page long, leaves array<long>, vec_id long, v {kind}")
+        asked = asked.select("page", F.lit(True).alias("asks"), "leaves", "vec_id", "v")
         met = stored.union(asked).repartition("page").sortWithinPartitions("page", "asks")
 
         def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            at, held, x, ids = None, [], np.zeros((0, width)), np.zeros(0, np.int64)
+            none = [np.zeros((0, width)), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+            at, held, (x, ids, leaf) = None, [], none
             for b in batches:
                 page, asks, vec_id = (b.column(c).to_numpy(zero_copy_only=False) for c in ("page", "asks", "vec_id"))
-                vec = matrix(b.column("v"), width)
+                vec, leaves = matrix(b.column("v"), width), b.column("leaves")
                 turn = np.flatnonzero((page[1:] != page[:-1]) | (asks[1:] != asks[:-1])) + 1
                 for s, e in zip([0, *turn.tolist()], [*turn.tolist(), len(page)], strict=True):
                     if s == e:
                         continue
                     if page[s] != at:  # the page before goes
-                        at, held, x, ids = page[s], [], np.zeros((0, width)), np.zeros(0, np.int64)
+                        at, held, (x, ids, leaf) = page[s], [], none
                     if not asks[s]:
-                        held.append((vec[s:e], vec_id[s:e]))
+                        held.append((vec[s:e], vec_id[s:e], leaves[s:e].flatten().to_numpy()))
                         continue
                     if held:
-                        x, ids = (np.concatenate([a, *b]) for a, b in zip((x, ids), zip(*held, strict=True), strict=True))
+                        x, ids, leaf = (np.concatenate([a, *b]) for a, b in zip((x, ids, leaf), zip(*held, strict=True), strict=True))
                         held = []
-                    found = list(score_rows(vec[s:e], vec_id[s:e], x, ids, k)) if len(x) else []
+                    found = list(score_rows(vec[s:e], vec_id[s:e], leaves[s:e].to_pylist(), x, ids, leaf, k)) if len(x) else []
                     if found:
                         by = np.repeat([vec_id[s + j] for j, _, _ in found], [len(i) for _, i, _ in found])
                         cols = [by, np.concatenate([i for _, i, _ in found]), np.concatenate([p for _, _, p in found])]
