@@ -27,6 +27,20 @@ def bucket_count_columns(visit: str = "visit_length", step: str = "step_length")
     return cols
 
 
+def bucket_number_sql(value: str, buckets: tuple) -> str:
+    """The bucket of ``value`` as its number in ``buckets``; NULL outside all."""
+    return f"CASE {' '.join(f'WHEN {_bucket_sql(value, lo, hi)} THEN {i}' for i, (_, lo, hi) in enumerate(buckets))} END"
+
+
+def bucket_sum_columns(n: str, visit_bucket: str, step_bucket: str) -> list[Column]:
+    """The columns of :func:`bucket_count_columns` over rows that stand for ``n``
+    sessions each, whose buckets are numbers."""
+    cols = [F.expr(f"sum({n}) AS {C.SESSION_COUNT}")]
+    for kind, bucket, names in (("visit", visit_bucket, C.VISIT_LENGTH_BUCKETS), ("step", step_bucket, C.STEP_LENGTH_BUCKETS)):
+        cols += [F.expr(f"sum(CASE WHEN {bucket} = {i} THEN {n} ELSE 0L END) AS {kind}_{name}") for i, (name, _, _) in enumerate(names)]
+    return cols
+
+
 def bucket_counts(sessions: DataFrame) -> DataFrame:
     """One row of counts over all sessions (0 counts when there are none)."""
     return sessions.agg(*bucket_count_columns())

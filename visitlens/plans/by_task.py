@@ -7,11 +7,18 @@ join or aggregation, whatever the number of tasks:
    date) rows by their places in the sorted list of dates, windows' starts and
    ends (no range join);
 2. actions of those dates only are reduced to one fixed-width row per
-   (session, date), and re-aggregated once per distinct *window* and session;
-3. sessions join their user once, then the tasks of their window; keyword and
-   category filters are the (task, session) pairs found by joining each
-   action's values with the tasks' values, so no list is gathered;
-4. the conditions of a task are one predicate, the counts one ``groupBy``.
+   (session, date), and re-aggregated once per distinct *window* and session.
+   On a table partitioned by date the dates prune partitions: first to those
+   between the tasks' earliest start and latest end, then to the windows' own;
+3. sessions join their user once and are counted into *attribute cells*: window,
+   age, profession, city, sex, duration bucket, step bucket. Their number is
+   bounded by the attributes' values, not by sessions or tasks;
+4. a task with keywords or categories looks at the sessions that have one of
+   them. Tasks of one window with the same two lists share a *list set*; the
+   (set, session) pairs are found by joining each action's values with the sets'
+   values, and counted into cells of the set. All sessions are the empty set;
+5. tasks join the cells of their set, never sessions. The conditions of a task
+   are one predicate over a cell, the counts one ``groupBy``.
 
 No join carries a hint: AQE measures the sides at run time.
 """
@@ -21,9 +28,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..functions.params import task_param_columns
 from ..functions.timekeys import parse_time_sql
-from ..operators.stats import bucket_count_columns, with_ratios
+from ..operators.stats import bucket_number_sql, bucket_sum_columns, with_ratios
 
 WINDOW = ["start_date", "end_date"]
 
@@ -36,29 +44,29 @@ def window_dates(dates: DataFrame, windows: DataFrame) -> DataFrame:
     gives each window a first and a last place, and places are joined by
     equality. The sorted list has a row per distinct date and window."""
     # at equal text a start sorts before the date and an end after it
-    marks = (
-        windows.selectExpr("start_date AS text", "0 AS kind")
-        .union(windows.selectExpr("end_date", "2"))
-        .distinct()
-        .union(dates.selectExpr("date", "1"))
-    )
-    placed = marks.selectExpr("text", "kind", "count_if(kind = 1) OVER (ORDER BY text, kind) AS place")
-    first = placed.where("kind = 0").selectExpr("text AS start_date", "place + 1 AS lo")
-    last = placed.where("kind = 2").selectExpr("text AS end_date", "place AS hi")
+    ends = "inline(array(struct(start_date AS text, 0 AS kind), struct(end_date AS text, 2 AS kind)))"
+    marks = windows.where("start_date IS NOT NULL AND end_date IS NOT NULL").selectExpr(*WINDOW, ends)
+    marks = marks.unionByName(dates.selectExpr("date AS text", "1 AS kind"), allowMissingColumns=True)
+    placed = marks.selectExpr("*", "count_if(kind = 1) OVER (ORDER BY text, kind) AS place")
     at = placed.where("kind = 1").selectExpr("text AS date", "place")
-    places = windows.join(first, "start_date").join(last, "end_date").where("lo <= hi")
-    return places.selectExpr(*WINDOW, "explode(sequence(lo, hi)) AS place").join(at, "place").select(*WINDOW, "date")
+    places = placed.where("kind <> 1").groupBy(*WINDOW).agg(
+        F.expr("min(CASE WHEN kind = 0 THEN place + 1 END) AS lo"), F.expr("min(CASE WHEN kind = 2 THEN place END) AS hi")
+    )
+    places = places.where("lo <= hi").selectExpr(*WINDOW, "explode(sequence(lo, hi)) AS place")
+    return places.join(at, "place").select(*WINDOW, "date")
+
+
+#: The session as a text that is never NULL, for groups and joins; the NULL
+#: session is a session too.
+_SESSION_KEY = "CASE WHEN session_id IS NULL THEN '' ELSE concat('_', session_id) END AS session_key"
 
 
 def session_days(actions: DataFrame) -> DataFrame:
     """One fixed-width row per (session, date). A task's window selects whole
     dates, so its sessions are the re-aggregation of these rows."""
-    t = parse_time_sql("action_time")
-    return actions.groupBy("session_id", "date").agg(
-        F.expr("max(CASE WHEN user_id <> 0 THEN user_id END) AS user_max"),
-        F.expr(f"min({t}) AS t_min"),
-        F.expr(f"max({t}) AS t_max"),
-        F.expr("count(1) AS steps"),
+    rows = actions.selectExpr(_SESSION_KEY, "date", "CASE WHEN user_id <> 0 THEN user_id END AS user", f"{parse_time_sql('action_time')} AS t")
+    return rows.groupBy("session_key", "date").agg(
+        F.expr("max(user) AS user_max"), F.expr("min(t) AS t_min"), F.expr("max(t) AS t_max"), F.expr("count(1) AS steps")
     )
 
 
@@ -69,7 +77,10 @@ _SESSION_AGGS = (
     "sum(steps) AS step_length",
 )
 
-# A task's user filters as one predicate over a joined (session, user, task) row.
+USER_ATTRIBUTES = ("age", "professional", "city", "user_sex")
+CELL = (*USER_ATTRIBUTES, "visit_bucket", "step_bucket")
+
+# A task's user filters as one predicate over a joined (cell, task) row.
 _KEEP = (
     "NOT age_bad"
     " AND (age_lo IS NULL OR age BETWEEN age_lo AND age_hi)"
@@ -78,47 +89,76 @@ _KEEP = (
     " AND (sex IS NULL OR sex = user_sex)"
 )
 
-#: Filter kind: the task's list column, the values of an action as an array.
+#: List parameter of a task: the values of an action as an array.
 _VALUES = {
     "keywords": "split(search_keyword, ',', -1)",
     "category_ids": "CASE WHEN click_category_id <> 0 THEN array(CAST(click_category_id AS STRING)) END",
 }
 
 
-def value_hits(actions: DataFrame, dates: DataFrame, tasks: DataFrame) -> DataFrame:
-    """(kind, task_key, session_id): the tasks' values that the session's
-    actions of the window have."""
+def window_sessions(actions: DataFrame, dates: DataFrame) -> DataFrame:
+    """(start_date, end_date, session_key, user_id, visit_bucket, step_bucket)."""
+    return (
+        session_days(actions)
+        .join(dates, "date")
+        .groupBy(*WINDOW, "session_key")
+        .agg(*[F.expr(a) for a in _SESSION_AGGS])
+        .selectExpr(*WINDOW, "session_key", "user_id", "step_length", "timestampdiff(SECOND, _start, _end) AS visit_length")
+        .selectExpr(
+            *WINDOW, "session_key", "user_id",
+            f"{bucket_number_sql('visit_length', C.VISIT_LENGTH_BUCKETS)} AS visit_bucket",
+            f"{bucket_number_sql('step_length', C.STEP_LENGTH_BUCKETS)} AS step_bucket",
+        )
+    )
+
+
+def set_hits(actions: DataFrame, dates: DataFrame, sets: DataFrame) -> DataFrame:
+    """(start_date, end_date, session_key, set_key, nth): the sessions whose
+    actions in the window have a value of each list that the set has; ``nth``
+    numbers a session's sets."""
     values = [f"transform({sql}, x -> struct('{kind}' AS kind, x AS value))" for kind, sql in _VALUES.items()]
-    found = actions.selectExpr("session_id", "date", f"explode(concat({', '.join(f'coalesce({v}, array())' for v in values)})) AS v")
-    found = found.select("session_id", "date", "v.kind", "v.value").distinct()
-    asked = [tasks.selectExpr(*WINDOW, "task_key", f"'{kind}' AS kind", f"explode({kind}) AS value") for kind in _VALUES]
-    asked = asked[0].union(asked[1]).join(dates, WINDOW)  # the dates on which a task asks for a value
-    return found.join(asked, ["date", "kind", "value"]).select("kind", "task_key", "session_id").distinct()
+    found = actions.selectExpr(_SESSION_KEY, "date", f"explode(concat({', '.join(f'coalesce({v}, array())' for v in values)})) AS v")
+    found = found.select("session_key", "date", "v.kind", "v.value").distinct()
+    pairs = ", ".join(f"transform(coalesce({k}, array()), x -> struct('{k}' AS kind, x AS value))" for k in _VALUES)
+    lists = " + ".join(f"CAST({k} IS NOT NULL AS INT)" for k in _VALUES)
+    wanted = sets.where("set_key IS NOT NULL").selectExpr(*WINDOW, "set_key", f"{lists} AS lists", f"inline(concat({pairs}))")
+    on_date = wanted.join(dates, WINDOW)  # the dates on which a set has a value
+    by_set = found.join(on_date, ["date", "kind", "value"]).groupBy(*WINDOW, "session_key", "set_key", "lists")
+    both = by_set.agg(F.expr("min(kind)").alias("a"), F.expr("max(kind)").alias("b")).where("lists = 1 OR a <> b")
+    nth = f"row_number() OVER (PARTITION BY {', '.join(WINDOW)}, session_key ORDER BY set_key) AS nth"
+    return both.selectExpr(*WINDOW, "session_key", "set_key", nth)
+
+
+def attribute_cells(sessions: DataFrame, hits: DataFrame, users: DataFrame) -> DataFrame:
+    """(start_date, end_date, set_key, CELL, n): how many sessions of each list
+    set share attributes; the empty set (NULL) has all sessions."""
+    of_user = users.selectExpr("user_id", "age", "professional", "city", "sex AS user_sex")
+    rows = sessions.join(hits, [*WINDOW, "session_key"], "left").join(of_user, "user_id")
+    counts = rows.groupBy(*WINDOW, "set_key", *CELL).agg(F.expr("count(1) AS n"), F.expr("count_if(coalesce(nth, 1) = 1) AS once"))
+    # a session's rows are its sets; the first of them counts it for the empty set
+    both = "inline(array(struct(set_key, CASE WHEN set_key IS NOT NULL THEN n ELSE 0L END AS n), struct(CAST(NULL AS BIGINT) AS set_key, once AS n)))"
+    return counts.selectExpr(*WINDOW, *CELL, both).where("n > 0")
 
 
 def session_aggr_stat_by_task(actions: DataFrame, users: DataFrame, tasks: DataFrame) -> DataFrame:
     """17-column stat rows, one per row of ``tasks`` (task_id, task_param)."""
     every = task_param_columns(tasks).withColumn("task_key", F.xxhash64("task_id", "start_date", "end_date", *_PARAMS))
     asked = every.drop("task_id").distinct()
+    none = " AND ".join(f"{k} IS NULL" for k in _VALUES)
+    asked = asked.withColumn("set_key", F.expr(f"CASE WHEN NOT ({none}) THEN xxhash64({', '.join(f'to_json(struct({k}))' for k in _VALUES)}) END"))
     windows = asked.select(*WINDOW).distinct()
-    dates = window_dates(actions.select("date").distinct(), windows)
-    wanted = actions.join(dates.select("date").distinct(), "date", "left_semi")
-
-    sessions = (
-        session_days(wanted)
-        .join(dates, "date")
-        .groupBy(*WINDOW, "session_id")
-        .agg(*[F.expr(a) for a in _SESSION_AGGS])
-        .selectExpr(*WINDOW, "session_id", "user_id", "step_length", "timestampdiff(SECOND, _start, _end) AS visit_length")
-    )
-    of_user = sessions.join(users.selectExpr("user_id", "age", "professional", "city", "sex AS user_sex"), "user_id")
-    kept = of_user.join(asked, WINDOW).where(_KEEP)
-    hits = value_hits(wanted, dates, asked)
-    for kind in _VALUES:
-        hit = hits.where(f"kind = '{kind}'").selectExpr("task_key AS hit_key", "session_id AS hit_session")
-        same = (F.col("task_key") == F.col("hit_key")) & F.col("session_id").eqNullSafe(F.col("hit_session"))
-        kept = kept.join(hit, same, "left").where(f"{kind} IS NULL OR hit_key IS NOT NULL").drop("hit_key", "hit_session")
-    counts = kept.groupBy("task_key").agg(*bucket_count_columns())
+    # one-row bounds reach the scan as literals before it starts
+    bounds = windows.agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi"))
+    near = actions.where(F.col("date").between(bounds.select("lo").scalar(), bounds.select("hi").scalar()))
+    dates = window_dates(near.select("date").distinct(), windows)
+
+    hits = set_hits(near, dates, asked.select(*WINDOW, *_VALUES, "set_key").distinct())
+    cells = attribute_cells(window_sessions(near, dates), hits, users)
+    # the empty set is NULL on both sides
+    set_of = cells.withColumnsRenamed({c: f"cell_{c}" for c in (*WINDOW, "set_key")})
+    same = [*[F.col(c) == F.col(f"cell_{c}") for c in WINDOW], F.col("set_key").eqNullSafe(F.col("cell_set_key"))]
+    kept = asked.join(set_of, same).where(_KEEP)
+    counts = kept.groupBy("task_key").agg(*bucket_sum_columns("n", "visit_bucket", "step_bucket"))
 
     # Every task gets a row, even when it selected nothing.
     filled = every.select("task_id", "task_key").join(counts, "task_key", "left").selectExpr(
