@@ -166,3 +166,46 @@ def test_page_conversion_reads_the_actions_once_and_joins_nothing(spark):
     assert scans == 1 and shuffles <= 4
     text = plan_text(catalog.queries()["page_one_step_convert_rate"](spark, SF_SMALL))
     assert "Join" not in text
+
+
+def scan_metrics(plan, found=None):
+    """Partitions read by each file scan of an executed plan (None: not partitioned)."""
+    found = [] if found is None else found
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return scan_metrics(plan.executedPlan(), found)
+    if kind.endswith("QueryStageExec"):
+        return scan_metrics(plan.plan(), found)
+    if kind == "FileSourceScanExec":
+        parts = plan.metrics().get("numPartitions")
+        found.append(parts.get().value() if parts.isDefined() else None)
+    children = plan.children()
+    for i in range(children.size()):
+        scan_metrics(children.apply(i), found)
+    return found
+
+
+def test_by_task_reads_the_partitions_of_its_windows_only(spark, tmp_path):
+    """A table partitioned by date, three tasks in two windows of five days together."""
+    from visitlens.plans.by_task import session_aggr_stat_by_task
+    from visitlens.session import local_table
+    from visitlens.sources import fixtures, tables
+
+    path = str(tmp_path / "actions_by_date")
+    fixtures.user_visit_action(spark, SF_SMALL).write.partitionBy("date").option("path", path).saveAsTable("actions_by_date")
+    try:
+        rows = [(1, '{"startDate":["2024-01-05"],"endDate":["2024-01-06"]}'), (2, '{"startDate":["2024-01-06"],"endDate":["2024-01-07"],"sex":["male"]}'),
+                (3, '{"startDate":["2024-01-12"],"endDate":["2024-01-13"],"keywords":["火锅"]}'), (4, '{"startDate":["2024-01-20"],"endDate":["2024-01-02"]}')]
+        tasks = local_table(spark, rows, [("task_id", "BIGINT"), ("task_param", "STRING")])
+        users = fixtures.user_info(spark, SF_SMALL)
+        df = session_aggr_stat_by_task(tables.action_table(spark, "actions_by_date"), users, tasks)
+        got = {r.taskid: r.asDict() for r in df.collect()}
+        plan = df._jdf.queryExecution().executedPlan()
+        scans = [parts for parts in scan_metrics(plan) if parts is not None]
+        assert scans and set(scans) == {5}
+        assert "dynamicpruning" in plan.toString()
+        plain = session_aggr_stat_by_task(fixtures.user_visit_action(spark, SF_SMALL), users, tasks)
+        assert got == {r.taskid: r.asDict() for r in plain.collect()}
+        assert got[1]["session_count"] > 0 and got[4]["session_count"] == 0
+    finally:
+        spark.sql("DROP TABLE actions_by_date")

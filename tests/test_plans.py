@@ -49,6 +49,35 @@ def test_by_task_equals_single_task(spark):
         assert single == by_task[task_id], task_id
 
 
+def test_a_thousand_tasks_of_a_window_share_its_cells(spark):
+    """The cells depend on the window's sessions and the distinct lists, not on the tasks."""
+    from visitlens.plans import by_task
+    from visitlens.session import local_table
+
+    dates = '"startDate":["2024-01-05"],"endDate":["2024-01-20"]'
+    actions, users = fixtures.user_visit_action(spark, SF_SMALL), fixtures.user_info(spark, SF_SMALL)
+    texts = {}
+    for i in range(1000):
+        lists = ['', ',"keywords":["火锅,蛋糕"]', ',"categoryIds":["3,17,42"]', ',"keywords":["火锅"],"categoryIds":["3,17,42,5,8,9,64"]'][i % 4]
+        texts[i] = "{" + dates + f',"startAge":["{i % 40}"],"endAge":["{20 + i % 41}"]' + lists + ("" if i % 3 else ',"sex":["male"]') + "}"
+    columns = [("task_id", "BIGINT"), ("task_param", "STRING")]
+    seen = []
+    real = by_task.attribute_cells
+    try:
+        by_task.attribute_cells = lambda *args: seen.append(real(*args)) or seen[-1]
+        got = {r.taskid: r.asDict() for r in session_aggr_stat_by_task(actions, users, local_table(spark, list(texts.items()), columns)).collect()}
+        few = session_aggr_stat_by_task(actions, users, local_table(spark, [(i, texts[i]) for i in range(4)], columns))
+        assert len(few.collect()) == 4
+        many_cells, few_cells = (cells.count() for cells in seen)
+    finally:
+        by_task.attribute_cells = real
+    assert many_cells == few_cells and len(got) == 1000
+    for i in (0, 1, 2, 3, 7, 500, 998):
+        params = TaskParams.from_json(texts[i])
+        assert got[i] == session_aggr_stat(actions, users, params, i).first().asDict(), texts[i]
+    assert sum(r["session_count"] > 0 for r in got.values()) > 500
+
+
 def test_by_task_bad_age_bound_leaves_other_tasks(spark):
     from visitlens.session import local_table
 
@@ -180,7 +209,9 @@ def test_by_task_without_list_filters_uses_fixed_width_aggregation(spark):
     users = fixtures.user_info(spark, SF_SMALL)
     df = session_aggr_stat_by_task(actions, users, tasks)
     got = {r.taskid: r.asDict() for r in df.collect()}
-    assert "ObjectHashAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+    # but for the one-row subquery of the tasks' date intervals
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert all("collect_list(struct(lo, " in line for line in lines if "ObjectHashAggregate" in line)
     for task_id, text in rows:
         assert got[task_id] == session_aggr_stat(actions, users, TaskParams.from_json(text), task_id).first().asDict()
 

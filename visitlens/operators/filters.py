@@ -26,11 +26,11 @@ def value_equals(column: str, value: str) -> str:
     return f"{column} = {sql_literal(value)}"
 
 
-def session_predicate(params: TaskParams) -> str | None:
-    """SQL of the AND of every given filter; None when the task filters nothing.
+def _all(tests: list[str]) -> str | None:
+    return " AND ".join(f"({t})" for t in tests) or None
 
-    A bare conjunction, so that Catalyst can push each test to its side; WHERE
-    takes a NULL test as not passed."""
+
+def _user_tests(params: TaskParams) -> list[str]:
     tests: list[str] = []
     ages = params.age_range()
     if ages is not None:
@@ -44,10 +44,27 @@ def session_predicate(params: TaskParams) -> str | None:
     sex = params.sex_value()
     if sex is not None:
         tests.append(value_equals("sex", sex))
-    if params.keyword_list() is not None:
-        tests.append("kw_hit")
-    if params.category_list() is not None:
-        tests.append("cat_hit")
-    if not tests:
-        return None
-    return " AND ".join(f"({t})" for t in tests)
+    return tests
+
+
+def _hit_tests(params: TaskParams) -> list[str]:
+    given = {"kw_hit": params.keyword_list(), "cat_hit": params.category_list()}
+    return [flag for flag, items in given.items() if items is not None]
+
+
+def user_predicate(params: TaskParams) -> str | None:
+    """The filters on the user's fields alone."""
+    return _all(_user_tests(params))
+
+
+def hit_predicate(params: TaskParams) -> str | None:
+    """The filters on a session's keywords and categories alone."""
+    return _all(_hit_tests(params))
+
+
+def session_predicate(params: TaskParams) -> str | None:
+    """SQL of the AND of every given filter; None when the task filters nothing.
+
+    A bare conjunction, so that Catalyst can push each test to its side; WHERE
+    takes a NULL test as not passed."""
+    return _all(_user_tests(params) + _hit_tests(params))

@@ -4,8 +4,9 @@ One ``groupBy("session_id")`` replaces the original ``groupByKey`` plus a
 per-session loop. All per-session values are fixed-width aggregates (min,
 max, count, bool_or), so Spark aggregates partially on the map side before
 the shuffle: a session holding a third of all rows still leaves each map task
-as one row. Keyword / category *lists* (``collect_set``) are only built when
-the output asks for them.
+as one row. Keyword / category *lists* are only built when the output asks for
+them: actions are first reduced to distinct (session, value) rows, which carry
+the fixed-width values too, so that no duplicate ever enters a list's buffer.
 """
 
 from __future__ import annotations
@@ -68,31 +69,52 @@ def aggregate_sessions(
     click_category_ids (sorted distinct values joined by ','; '' when none);
     ``kw_hit`` / ``cat_hit`` when a keyword / category filter is given.
     """
-    t = parse_time_sql("action_time")
-    aggs = [
-        "max(CASE WHEN user_id <> 0 THEN user_id END) AS _user",
-        f"min({t}) AS _start",
-        f"max({t}) AS _end",
-        "count(1) AS step_length",
-    ]
-    cols = ["session_id", "coalesce(_user, 0L) AS user_id"]
+    flags = {}
+    if keywords is not None:
+        flags["kw_hit"] = keyword_hit(keywords)
+    if category_ids is not None:
+        flags["cat_hit"] = category_hit(category_ids)
     if with_lists:
-        aggs += [
-            "collect_set(CASE WHEN search_keyword <> '' THEN search_keyword END) AS _kw",
-            "collect_set(CASE WHEN click_category_id <> 0 THEN click_category_id END) AS _cat",
+        rows = _distinct_values(actions, flags)
+        aggs = [
+            "max(_user) AS _user", "min(_start) AS _start", "max(_end) AS _end", "sum(step_length) AS step_length",
+            "collect_list(_kw) AS _kws", "collect_list(_cat) AS _cats", *[f"bool_or({flag}) AS {flag}" for flag in flags],
+        ]
+    else:
+        t = parse_time_sql("action_time")
+        rows = actions
+        aggs = [
+            "max(CASE WHEN user_id <> 0 THEN user_id END) AS _user", f"min({t}) AS _start", f"max({t}) AS _end", "count(1) AS step_length",
+            *[f"bool_or({test}) AS {flag}" for flag, test in flags.items()],
         ]
+    cols = ["session_id", "coalesce(_user, 0L) AS user_id"]
+    if with_lists:
         cols += [
-            "array_join(array_sort(_kw), ',') AS search_keywords",
-            "array_join(transform(array_sort(_cat), x -> CAST(x AS STRING)), ',') AS click_category_ids",
+            "array_join(array_sort(_kws), ',') AS search_keywords",
+            "array_join(transform(array_sort(_cats), x -> CAST(x AS STRING)), ',') AS click_category_ids",
         ]
-    cols += ["timestampdiff(SECOND, _start, _end) AS visit_length", "step_length"]
-    if keywords is not None:
-        aggs.append(f"bool_or({keyword_hit(keywords)}) AS kw_hit")
-        cols.append("kw_hit")
-    if category_ids is not None:
-        aggs.append(f"bool_or({category_hit(category_ids)}) AS cat_hit")
-        cols.append("cat_hit")
-    return actions.groupBy("session_id").agg(*[F.expr(a) for a in aggs]).selectExpr(*cols)
+    cols += ["timestampdiff(SECOND, _start, _end) AS visit_length", "step_length", *flags]
+    return rows.groupBy("session_id").agg(*[F.expr(a) for a in aggs]).selectExpr(*cols)
+
+
+def _distinct_values(actions: DataFrame, flags: dict[str, str]) -> DataFrame:
+    """One row per session and value: a keyword ``_kw``, a category ``_cat``, or
+    neither; with the actions that it stands for as fixed-width values. An action
+    that has both is counted as a step in the keyword's row only."""
+    kw = "CASE WHEN search_keyword <> '' THEN search_keyword END"
+    cat = "CASE WHEN click_category_id <> 0 THEN click_category_id END"
+    one = "named_struct('_kw', _k, '_cat', CASE WHEN _k IS NULL THEN _c END, '_step', 1L)"
+    two = "named_struct('_kw', CAST(NULL AS STRING), '_cat', _c, '_step', 0L)"
+    rows = actions.selectExpr(
+        "session_id", "CASE WHEN user_id <> 0 THEN user_id END AS _user", f"{parse_time_sql('action_time')} AS _t", f"{kw} AS _k", f"{cat} AS _c",
+        *[f"{test} AS {flag}" for flag, test in flags.items()],
+    )
+    values = f"inline(CASE WHEN _k IS NOT NULL AND _c IS NOT NULL THEN array({one}, {two}) ELSE array({one}) END)"
+    rows = rows.selectExpr("session_id", "_user", "_t", *flags, values)
+    return rows.groupBy("session_id", "_kw", "_cat").agg(*map(F.expr, [
+        "max(_user) AS _user", "min(_t) AS _start", "max(_t) AS _end", "sum(_step) AS step_length",
+        *[f"bool_or({flag}) AS {flag}" for flag in flags],
+    ]))
 
 
 def join_users(sessions: DataFrame, users: DataFrame) -> DataFrame:

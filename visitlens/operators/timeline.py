@@ -2,17 +2,24 @@
 
 Output per action: the hour key as written (``getDateHour``), the hour padded
 to two digits (``fulfuill``), date and minute keys (``formatDateKey``,
-``formatTimeMinute``), the whole seconds since
+``formatTimeMinute``) and the key's date read back (``parseDateKey``), the
+formatted date and time (``formatDate``, ``formatTime``), the whole seconds since
 the latest *earlier* action time of the session (``minus``; NULL at the
-session's first instant) and whether the action lies strictly after the
-session's first / strictly before its last action time (``after`` /
-``before``).
-
-Skew: windows never run over raw actions. The distinct (session, time)
-pairs are windowed per session-day, so a window group holds at most 86,400
-instants however large a session is. Day boundaries come from one row per
-session-day. The result is joined back on (session_id, time), a many-to-one
-join whose hot keys AQE can split on the action side.
+session's first instant), whether the action lies strictly after the session's
+first / strictly before its last action time (``after`` / ``before``), and its
+place against a fixed run time: ``before``, ``after``, ``minus`` (0 for a text that
+does not parse), today and yesterday of that run.
+
+Plan: one scan and one shuffle of the actions, by session and ten minutes. The
+shuffled rows are read twice: each ten minutes leave one row with their first and
+last instant, which a window over a session's rows turns into the instant carried
+over from the ten minutes before and the session's ends; and a window over ten
+minutes of a session finds the earlier instant inside. The two meet on the key by
+which the actions lie already. So no window group is larger than one session's
+actions of ten minutes, however long the session is; the NULL session is a
+session too. (A range shuffle by session and time with a carry-over from
+partition to partition would scan twice, once for its sample.) Actions whose time
+does not parse are dealt out evenly, as they have no neighbours.
 """
 
 from __future__ import annotations
@@ -20,42 +27,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timekeys import date_hour_sql, fulfill_sql, hour_text_sql, parse_time_sql
+from ..functions.timekeys import (
+    date_hour_sql, date_key, format_date, format_time, fulfill_sql, hour_text_sql, minute_key, parse_date_key, parse_time_sql, today, yesterday,
+)
+from ..session import sql_literal
 
+BUCKET_SECONDS = 600
+AS_OF = "2024-01-15 12:00:00"
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+_KEY = ["session_key", "bucket"]
 
-def action_time_keys(actions: DataFrame) -> DataFrame:
-    timed = actions.selectExpr("session_id", "action_time", f"{parse_time_sql('action_time')} AS t")
-    instants = timed.where("t IS NOT NULL").select("session_id", "t").distinct().selectExpr("*", "to_date(t) AS day")
-    # previous instant inside the same session-day (window group <= 86,400 rows)
-    in_day = instants.selectExpr(
-        "session_id", "t", "day", "lag(t) OVER (PARTITION BY session_id, day ORDER BY t) AS prev_in_day"
-    )
-    # per session-day: first and last instant; the previous day's last instant
-    # (one row per session-day, so this window stays small) and the session's
-    # first and last instant
-    days = instants.groupBy("session_id", "day").agg(F.expr("min(t) AS day_first"), F.expr("max(t) AS day_last"))
-    day_marks = days.selectExpr(
-        "session_id",
-        "day",
-        "lag(day_last) OVER (PARTITION BY session_id ORDER BY day) AS prev_day_last",
-        "min(day_first) OVER (PARTITION BY session_id) AS first_t",
-        "max(day_last) OVER (PARTITION BY session_id) AS last_t",
+
+def bucketed_actions(actions: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """(session_key, bucket, at, s, action_time) dealt out by session and bucket:
+    ``s`` seconds since 1970, ``at`` of them inside the bucket."""
+    spread = "pmod(monotonically_increasing_id(), 997) - 9000000000000000"
+    rows = actions.selectExpr(
+        "CASE WHEN session_id IS NULL THEN '' ELSE concat('_', session_id) END AS session_key",
+        "action_time",
+        f"timestampdiff(SECOND, {_EPOCH}, {parse_time_sql('action_time')}) AS s",
     )
-    # the NULL session is a session too
-    day_marks = day_marks.withColumnsRenamed({"session_id": "_session", "day": "_day"})
-    same_day = in_day["session_id"].eqNullSafe(day_marks["_session"]) & (in_day["day"] == day_marks["_day"])
-    marks = in_day.join(day_marks, same_day).selectExpr(
-        "session_id AS _session", "t AS _t", "coalesce(prev_in_day, prev_day_last) AS prev_t", "first_t", "last_t"
+    rows = rows.selectExpr("*", f"pmod(s, {bucket_seconds}) AS at", f"coalesce(floor(s / {bucket_seconds}), {spread}) AS bucket")
+    return rows.repartition(*_KEY)
+
+
+def action_time_keys(actions: DataFrame, as_of: str = AS_OF, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    rows = bucketed_actions(actions, bucket_seconds)
+    inside = "max(at) OVER (PARTITION BY session_key, bucket ORDER BY at RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    rows = rows.selectExpr("*", f"s - at + {inside} AS near")
+    # the rows' shape is the same as above, so that the shuffle is read again
+    ends = bucketed_actions(actions, bucket_seconds).where("length(action_time) >= 0").groupBy(*_KEY).agg(F.min("s").alias("low"), F.max("s").alias("high"))
+    ends = ends.where("low IS NOT NULL").selectExpr(
+        *_KEY,
+        "lag(high) OVER (PARTITION BY session_key ORDER BY bucket) AS carried",
+        "min(low) OVER (PARTITION BY session_key) AS first_s",
+        "max(high) OVER (PARTITION BY session_key) AS last_s",
     )
-    same = timed["session_id"].eqNullSafe(marks["_session"]) & (timed["t"] == marks["_t"])
-    return timed.join(marks, same, "left").selectExpr(
-        "session_id",
+    now = f"timestampdiff(SECOND, {_EPOCH}, {parse_time_sql(sql_literal(as_of))})"
+    met = rows.join(ends, _KEY, "left").selectExpr(
+        "CASE WHEN session_key <> '' THEN substring(session_key, 2) END AS session_id",
         "action_time",
+        f"timestampadd(SECOND, s, {_EPOCH}) AS t",
         f"{date_hour_sql('action_time')} AS date_hour",
         f"{fulfill_sql(hour_text_sql('action_time'))} AS hour_padded",
-        "date_format(t, 'yyyyMMdd') AS date_key",
-        "date_format(t, 'yyyyMMddHHmm') AS minute_key",
-        "timestampdiff(SECOND, prev_t, t) AS seconds_since_prev",
-        "coalesce(t > first_t, false) AS after_session_start",
-        "coalesce(t < last_t, false) AS before_session_end",
+        "s - coalesce(near, carried) AS seconds_since_prev",
+        "coalesce(s > first_s, false) AS after_session_start",
+        "coalesce(s < last_s, false) AS before_session_end",
+        f"coalesce(s < {now}, false) AS before_run",
+        f"coalesce(s > {now}, false) AS after_run",
+        f"coalesce(s - {now}, 0L) AS seconds_after_run",
     )
+    day = as_of.split(" ")[0]
+    return met.withColumns({
+        "date_key": date_key(F.col("t")), "minute_key": minute_key(F.col("t")),
+        "date_text": format_date(F.col("t")), "time_text": format_time(F.col("t")),
+        "date_of_key": format_date(parse_date_key(date_key(F.col("t")))),
+        "run_date": today(day), "day_before_run": yesterday(day),
+    }).drop("t")

@@ -11,12 +11,14 @@ sessionid, clickCount); the ranking rules are ours:
 * per top category, sessions with at least one click on it rank by clicks
   descending, then session id.
 
-Plan: actions are first reduced to one row per (session, category) with
-partial aggregation, so the semi-join with the kept sessions and everything
-after it touch at most (sessions × categories) rows whatever the skew of the
-raw actions. The top-k per category is limited per map task before the
-shuffle (Spark's partial window group limit), so a category clicked in most
-sessions never lands in one window task whole.
+Plan: one scan. Actions are reduced to one row per (session, category) with
+partial aggregation, which also carries what the task's filters need of the
+session (its user, its keyword and category hits); a window over a session's rows,
+as many as it has categories, gives them to each row, and a semi-join keeps the
+rows of sessions whose user passes. The top-10 sessions read this table twice in
+the same shape, so that its shuffles are reused. The top-k per category is limited
+per map task before the shuffle (Spark's partial window group limit), so a
+category clicked in most sessions never lands in one window task whole.
 """
 
 from __future__ import annotations
@@ -24,28 +26,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.params import TaskParams
+from .filters import hit_predicate
+from .sessions import category_hit, keyword_hit
+
 TOP_CATEGORIES = 10
 TOP_SESSIONS = 10
 
 
-def category_counts_by_session(actions: DataFrame) -> DataFrame:
-    """(session_id, category_id, click_count, order_count, pay_count), one row per
-    pair that has any count."""
+def category_counts_by_session(actions: DataFrame, params: TaskParams | None = None) -> DataFrame:
+    """(session_id, user_id, category_id, click_count, order_count, pay_count), one
+    row per pair that has any count; with keyword or category filters in
+    ``params`` only those of sessions that pass them."""
     ids = "transform(split({col}, ',', -1), x -> TRY_CAST(x AS BIGINT))"
+    flags = {}
+    if params is not None and params.keyword_list() is not None:
+        flags["kw_hit"] = keyword_hit(params.keyword_list())
+    if params is not None and params.category_list() is not None:
+        flags["cat_hit"] = category_hit(params.category_list())
+    # an action without a category leaves a row of no category: it may name the user
     events = actions.selectExpr(
         "session_id",
-        "inline(concat("
-        "  CASE WHEN click_category_id IS NULL THEN array()"
-        "       ELSE array(named_struct('category_id', click_category_id, 'kind', 0)) END,"
+        "CASE WHEN user_id <> 0 THEN user_id END AS user",
+        *[f"{test} AS {flag}" for flag, test in flags.items()],
+        "inline_outer(filter(concat("
+        "  array(named_struct('category_id', click_category_id, 'kind', 0)),"
         f"  transform(coalesce({ids.format(col='order_category_ids')}, array()), c -> named_struct('category_id', c, 'kind', 1)),"
         f"  transform(coalesce({ids.format(col='pay_category_ids')}, array()), c -> named_struct('category_id', c, 'kind', 2))"
-        "))",
-    ).where("category_id IS NOT NULL AND category_id <> 0")
-    return events.groupBy("session_id", "category_id").agg(
+        "), e -> e.category_id <> 0))",
+    )
+    pairs = events.groupBy("session_id", "category_id").agg(
+        F.max("user").alias("user"),
+        *[F.expr(f"bool_or({flag}) AS {flag}") for flag in flags],
         F.expr("count_if(kind = 0) AS click_count"),
         F.expr("count_if(kind = 1) AS order_count"),
         F.expr("count_if(kind = 2) AS pay_count"),
     )
+    whole = pairs.selectExpr(
+        "session_id", "category_id", "click_count", "order_count", "pay_count",
+        "coalesce(max(user) OVER (PARTITION BY session_id), 0L) AS user_id",
+        *[f"bool_or({flag}) OVER (PARTITION BY session_id) AS {flag}" for flag in flags],
+    )
+    kept = whole.where("category_id IS NOT NULL")
+    passed = hit_predicate(params) if params is not None else None
+    if passed is not None:
+        kept = kept.where(passed)
+    return kept.select("session_id", "user_id", "category_id", "click_count", "order_count", "pay_count")
 
 
 def top_categories(per_session: DataFrame, taskid: int, k: int = TOP_CATEGORIES) -> DataFrame:
@@ -54,9 +80,12 @@ def top_categories(per_session: DataFrame, taskid: int, k: int = TOP_CATEGORIES)
         F.expr("sum(click_count) AS clickCount"),
         F.expr("sum(order_count) AS orderCount"),
         F.expr("sum(pay_count) AS payCount"),
+        F.expr("count(session_id) AS sessions"),
     )
+    # ids are unique: what follows them decides nothing, but keeps session_id in
+    # the table as top_sessions reads it
     top = totals.orderBy(
-        F.col("clickCount").desc(), F.col("orderCount").desc(), F.col("payCount").desc(), F.col("category_id").asc()
+        F.col("clickCount").desc(), F.col("orderCount").desc(), F.col("payCount").desc(), F.col("category_id").asc(), "sessions"
     ).limit(k)
     return top.selectExpr(
         f"CAST({int(taskid)} AS BIGINT) AS taskid",
@@ -82,10 +111,13 @@ def top_sessions(
     rows per category and a category clicked in most sessions never lands in
     one window task whole."""
     cats = F.broadcast(categories.select(F.col("categoryid").alias("category_id")))
-    clicked = per_session.where(F.col("click_count") > 0).join(cats, "category_id", "left_semi")
-    order = [F.col("click_count").desc(), F.col("session_id").asc()]
-    ranked = clicked.withColumn("_rn", F.row_number().over(Window.partitionBy("category_id").orderBy(*order)))
-    return ranked.where(F.col("_rn") <= k).select(
+    rows = per_session.join(cats, "category_id", "left_semi")
+    # a category's sessions are unique: the counts behind them decide nothing, but
+    # keep this table in the shape in which top_categories reads it; sessions
+    # without a click come last and go after the ranking for the same reason
+    order = [F.col("click_count").desc(), F.col("session_id").asc(), F.col("order_count"), F.col("pay_count")]
+    ranked = rows.withColumn("_rn", F.row_number().over(Window.partitionBy("category_id").orderBy(*order)))
+    return ranked.where((F.col("_rn") <= k) & (F.col("click_count") > 0)).select(
         F.lit(taskid).cast("bigint").alias("taskid"),
         F.col("category_id").alias("categoryid"),
         F.col("session_id").alias("sessionid"),

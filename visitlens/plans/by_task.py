@@ -8,8 +8,7 @@ join or aggregation, whatever the number of tasks:
    ends (no range join);
 2. actions of those dates only are reduced to one fixed-width row per
    (session, date), and re-aggregated once per distinct *window* and session.
-   On a table partitioned by date the dates prune partitions: first to those
-   between the tasks' earliest start and latest end, then to the windows' own;
+   On a table partitioned by date only the windows' partitions are read;
 3. sessions join their user once and are counted into *attribute cells*: window,
    age, profession, city, sex, duration bucket, step bucket. Their number is
    bounded by the attributes' values, not by sessions or tasks;
@@ -56,6 +55,32 @@ def window_dates(dates: DataFrame, windows: DataFrame) -> DataFrame:
     return places.join(at, "place").select(*WINDOW, "date")
 
 
+def date_intervals(windows: DataFrame) -> DataFrame:
+    """One row (lo, hi, intervals): the outermost bounds, and the windows merged
+    into intervals apart from each other, no more than the distinct windows or
+    dates are. One sort of the distinct windows."""
+    both = windows.where("start_date <= end_date")
+    order = "ORDER BY start_date, end_date"
+    earlier = f"max(end_date) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    apart = both.selectExpr(*WINDOW, f"CASE WHEN start_date > {earlier} THEN 1 ELSE 0 END AS later")
+    apart = apart.selectExpr(*WINDOW, f"sum(later) OVER ({order}) AS island")
+    apart = apart.groupBy("island").agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi"))
+    return apart.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list(F.struct("lo", "hi")).alias("intervals"))
+
+
+def inside_windows(actions: DataFrame, windows: DataFrame) -> DataFrame:
+    """``actions`` without those whose date lies in no window. The test is made of
+    one-row subqueries that run before the scan: partitions of a table partitioned
+    by date are chosen by it, and the reader skips row groups by the outermost
+    bounds. (Dynamic pruning by a join needs the dates broadcast, whatever their
+    number.)"""
+    found = date_intervals(windows)
+    lo, hi, intervals = (found.select(c).scalar() for c in ("lo", "hi", "intervals"))
+    # a lambda may not hold a subquery, but a column of one
+    within = F.exists("_intervals", lambda w: F.col("date").between(w["lo"], w["hi"]))
+    return actions.where(F.col("date").between(lo, hi)).withColumn("_intervals", intervals).where(within).drop("_intervals")
+
+
 #: The session as a text that is never NULL, for groups and joins; the NULL
 #: session is a session too.
 _SESSION_KEY = "CASE WHEN session_id IS NULL THEN '' ELSE concat('_', session_id) END AS session_key"
@@ -147,9 +172,7 @@ def session_aggr_stat_by_task(actions: DataFrame, users: DataFrame, tasks: DataF
     none = " AND ".join(f"{k} IS NULL" for k in _VALUES)
     asked = asked.withColumn("set_key", F.expr(f"CASE WHEN NOT ({none}) THEN xxhash64({', '.join(f'to_json(struct({k}))' for k in _VALUES)}) END"))
     windows = asked.select(*WINDOW).distinct()
-    # one-row bounds reach the scan as literals before it starts
-    bounds = windows.agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi"))
-    near = actions.where(F.col("date").between(bounds.select("lo").scalar(), bounds.select("hi").scalar()))
+    near = inside_windows(actions, windows)
     dates = window_dates(near.select("date").distinct(), windows)
 
     hits = set_hits(near, dates, asked.select(*WINDOW, *_VALUES, "set_key").distinct())

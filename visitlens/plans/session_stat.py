@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from ..constants import LOCAL_SESSION_TASK_ID
 from ..functions.params import TaskParams
-from ..operators.filters import session_predicate
+from ..operators.filters import session_predicate, user_predicate
 from ..operators.sessions import SESSION_COLUMNS, USER_FIELDS, aggregate_sessions, join_users, scan_actions
 from ..operators.stats import bucket_counts, stat_row
 from ..operators.topn import category_counts_by_session
@@ -60,9 +60,10 @@ def session_aggr_stat(
 
 def category_counts_for_task(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
     """(session, category) counts over the actions of the sessions that pass the task."""
-    kept = sessions_for_task(actions, users, params).select("session_id")
-    counts = category_counts_by_session(scan_actions(actions, *params.date_range()))
-    return counts.join(kept, counts["session_id"].eqNullSafe(kept["session_id"]), "left_semi")
+    counts = category_counts_by_session(scan_actions(actions, *params.date_range()), params)
+    passed = user_predicate(params)
+    kept = users.where(passed) if passed is not None else users
+    return counts.join(kept.select("user_id"), "user_id", "left_semi")
 
 
 def drop_flags(df: DataFrame) -> DataFrame:
