@@ -49,6 +49,21 @@ def test_by_task_equals_single_task(spark):
         assert single == by_task[task_id], task_id
 
 
+def test_windows_are_merged_into_intervals(spark):
+    from visitlens.plans.by_task import date_intervals, window_dates
+    from visitlens.session import local_table
+
+    def found(windows, days=()):
+        df = local_table(spark, windows, [("start_date", "STRING"), ("end_date", "STRING")])
+        dates = local_table(spark, [(d,) for d in days], [("date", "STRING")])
+        return date_intervals(df).first(), sorted(tuple(r) for r in window_dates(dates, df).collect())
+
+    row, inside = found([("05", "07"), ("06", "06"), ("07", "09"), ("12", "13"), ("14", "14"), ("3", "1"), (None, "99"), ("00", None)], ["05", "08", "12", "2"])
+    assert (row.lo, row.hi, [tuple(i) for i in row.intervals]) == ("05", "14", [("05", "09"), ("12", "13"), ("14", "14")])
+    assert inside == [("05", "07", "05"), ("07", "09", "08"), ("12", "13", "12")]
+    assert found([("3", "1")], ["2"]) == ((None, None, []), [])
+
+
 def test_a_thousand_tasks_of_a_window_share_its_cells(spark):
     """The cells depend on the window's sessions and the distinct lists, not on the tasks."""
     from visitlens.plans import by_task

@@ -39,25 +39,28 @@ _KEY = ["session_key", "bucket"]
 
 
 def bucketed_actions(actions: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """(session_key, bucket, at, s, action_time) dealt out by session and bucket:
-    ``s`` seconds since 1970, ``at`` of them inside the bucket."""
+    """(session_key, bucket, at, action_time) dealt out by session and bucket:
+    ``at`` is the second inside the bucket, NULL for a time that does not parse."""
     spread = "pmod(monotonically_increasing_id(), 997) - 9000000000000000"
     rows = actions.selectExpr(
-        "CASE WHEN session_id IS NULL THEN '' ELSE concat('_', session_id) END AS session_key",
+        "coalesce(concat('_', session_id), '') AS session_key",  # never NULL: nothing is filtered on one side only
         "action_time",
         f"timestampdiff(SECOND, {_EPOCH}, {parse_time_sql('action_time')}) AS s",
     )
-    rows = rows.selectExpr("*", f"pmod(s, {bucket_seconds}) AS at", f"coalesce(floor(s / {bucket_seconds}), {spread}) AS bucket")
+    rows = rows.selectExpr(
+        "session_key", f"coalesce(floor(s / {bucket_seconds}), {spread}) AS bucket", f"pmod(s, {bucket_seconds}) AS at", "action_time"
+    )
     return rows.repartition(*_KEY)
 
 
 def action_time_keys(actions: DataFrame, as_of: str = AS_OF, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     rows = bucketed_actions(actions, bucket_seconds)
+    second = f"bucket * {bucket_seconds} + at"
     inside = "max(at) OVER (PARTITION BY session_key, bucket ORDER BY at RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    rows = rows.selectExpr("*", f"s - at + {inside} AS near")
-    # the rows' shape is the same as above, so that the shuffle is read again
-    ends = bucketed_actions(actions, bucket_seconds).where("length(action_time) >= 0").groupBy(*_KEY).agg(F.min("s").alias("low"), F.max("s").alias("high"))
-    ends = ends.where("low IS NOT NULL").selectExpr(
+    # all four columns are read here too, so that the shuffle is the same one
+    ends = rows.groupBy(*_KEY).agg(F.expr(f"min({second}) AS low"), F.expr(f"max({second}) AS high"), F.expr("count(action_time) AS texts"))
+    rows = rows.selectExpr(*_KEY, "action_time", f"{second} AS s", f"bucket * {bucket_seconds} + {inside} AS near")
+    ends = ends.where("low IS NOT NULL AND texts > 0").selectExpr(
         *_KEY,
         "lag(high) OVER (PARTITION BY session_key ORDER BY bucket) AS carried",
         "min(low) OVER (PARTITION BY session_key) AS first_s",

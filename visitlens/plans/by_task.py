@@ -59,13 +59,18 @@ def date_intervals(windows: DataFrame) -> DataFrame:
     """One row (lo, hi, intervals): the outermost bounds, and the windows merged
     into intervals apart from each other, no more than the distinct windows or
     dates are. One sort of the distinct windows."""
-    both = windows.where("start_date <= end_date")
     order = "ORDER BY start_date, end_date"
-    earlier = f"max(end_date) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    apart = both.selectExpr(*WINDOW, f"CASE WHEN start_date > {earlier} THEN 1 ELSE 0 END AS later")
-    apart = apart.selectExpr(*WINDOW, f"sum(later) OVER ({order}) AS island")
-    apart = apart.groupBy("island").agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi"))
-    return apart.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list(F.struct("lo", "hi")).alias("intervals"))
+    rows = windows.where("start_date <= end_date").selectExpr(
+        *WINDOW,
+        f"max(end_date) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier",
+        f"max(end_date) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi",
+        f"lead(start_date) OVER ({order}) AS next_start",
+    )
+    first = "CASE WHEN earlier IS NULL OR start_date > earlier THEN start_date END"
+    lo = f"last_value({first}) IGNORE NULLS OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lo"
+    apart = rows.selectExpr("hi", "next_start", lo).where("next_start IS NULL OR next_start > hi")
+    found = apart.agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("intervals"))
+    return found.selectExpr("get(intervals, 0).lo AS lo", "try_element_at(intervals, -1).hi AS hi", "intervals")
 
 
 def inside_windows(actions: DataFrame, windows: DataFrame) -> DataFrame:
@@ -83,7 +88,7 @@ def inside_windows(actions: DataFrame, windows: DataFrame) -> DataFrame:
 
 #: The session as a text that is never NULL, for groups and joins; the NULL
 #: session is a session too.
-_SESSION_KEY = "CASE WHEN session_id IS NULL THEN '' ELSE concat('_', session_id) END AS session_key"
+_SESSION_KEY = "coalesce(concat('_', session_id), '') AS session_key"
 
 
 def session_days(actions: DataFrame) -> DataFrame:
@@ -114,7 +119,8 @@ _KEEP = (
     " AND (sex IS NULL OR sex = user_sex)"
 )
 
-#: List parameter of a task: the values of an action as an array.
+#: List parameter of a task: the values of an action as an array. A list is
+#: known by its number here.
 _VALUES = {
     "keywords": "split(search_keyword, ',', -1)",
     "category_ids": "CASE WHEN click_category_id <> 0 THEN array(CAST(click_category_id AS STRING)) END",
@@ -141,10 +147,10 @@ def set_hits(actions: DataFrame, dates: DataFrame, sets: DataFrame) -> DataFrame
     """(start_date, end_date, session_key, set_key, nth): the sessions whose
     actions in the window have a value of each list that the set has; ``nth``
     numbers a session's sets."""
-    values = [f"transform({sql}, x -> struct('{kind}' AS kind, x AS value))" for kind, sql in _VALUES.items()]
+    values = [f"transform({sql}, x -> struct({kind} AS kind, x AS value))" for kind, sql in enumerate(_VALUES.values())]
     found = actions.selectExpr(_SESSION_KEY, "date", f"explode(concat({', '.join(f'coalesce({v}, array())' for v in values)})) AS v")
     found = found.select("session_key", "date", "v.kind", "v.value").distinct()
-    pairs = ", ".join(f"transform(coalesce({k}, array()), x -> struct('{k}' AS kind, x AS value))" for k in _VALUES)
+    pairs = ", ".join(f"transform(coalesce({k}, array()), x -> struct({kind} AS kind, x AS value))" for kind, k in enumerate(_VALUES))
     lists = " + ".join(f"CAST({k} IS NOT NULL AS INT)" for k in _VALUES)
     wanted = sets.where("set_key IS NOT NULL").selectExpr(*WINDOW, "set_key", f"{lists} AS lists", f"inline(concat({pairs}))")
     on_date = wanted.join(dates, WINDOW)  # the dates on which a set has a value
