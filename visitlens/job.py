@@ -47,6 +47,14 @@ def key_value(text: str) -> tuple[str, str]:
     return key, value
 
 
+def id_range(text: str) -> tables.KeyRange:
+    try:
+        low, high, parts = map(int, text.split(":"))
+        return tables.KeyRange("task_id", low, high, parts)
+    except ValueError as bad:
+        raise argparse.ArgumentTypeError(f"not LOW:HIGH:PARTS: {text!r}") from bad
+
+
 def parse_args(argv: list[str]) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="visitlens.job")
     ap.add_argument("--job", choices=list(JOBS), default="session")
@@ -62,6 +70,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--jdbc-property", action="append", type=key_value, default=[], metavar="KEY=VALUE",
                     help="connection property of both databases (user, password, driver); may be repeated")
     ap.add_argument("--out-path", help="append the result to a parquet table at this path")
+    ap.add_argument("--replace", action="store_true", help="the rows of a task at --out-path are replaced (a table partitioned by taskid)")
+    ap.add_argument("--task-ids", type=id_range, metavar="LOW:HIGH:PARTS", help="read the task table by ranges of its id over PARTS connections")
     ap.add_argument("--cluster-cores", type=int, help="total executor cores (sizes partitions with --input-bytes)")
     ap.add_argument("--input-bytes", type=int, help="bytes of the action columns the job scans")
     ap.add_argument("--show", action="store_true")
@@ -71,6 +81,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
         ap.error("--cluster-cores and --input-bytes go together")
     if args.all_tasks and args.job != "session":
         ap.error("--all-tasks runs the session statistics only")
+    if args.replace and not args.out_path:
+        ap.error("--replace needs --out-path")
+    if args.replace and args.job == "page":
+        ap.error("the page job's rows have no taskid to be replaced by")
     return args
 
 
@@ -103,7 +117,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.all_tasks:
         if not args.task_jdbc_url:
             raise SystemExit("--all-tasks needs --task-jdbc-url")
-        task_df = tables.jdbc_task_table(spark, args.task_jdbc_url, args.task_table, properties)
+        task_df = tables.jdbc_task_table(spark, args.task_jdbc_url, args.task_table, properties, args.task_ids)
         result = sinks.stat_columns_in_order(session_aggr_stat_by_task(actions, users, task_df))
     else:
         if args.task_json is not None:
@@ -120,7 +134,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.out_jdbc_url:
         sinks.append_jdbc(result, args.out_jdbc_url, args.out_table or JOBS[args.job], properties)
     if args.out_path:
-        sinks.append_files(result, args.out_path)
+        (sinks.replace_files if args.replace else sinks.append_files)(result, args.out_path)
     if args.show or not (args.out_jdbc_url or args.out_path):
         result.show(truncate=False)
     return 0

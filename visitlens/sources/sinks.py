@@ -1,8 +1,15 @@
-"""Result sinks: append the stat rows to a JDBC table or to a file table.
+"""Result sinks: write the result rows to a JDBC table or to a file table.
 
 The original inserted its single row with a prepared statement and offered a
 batched insert helper; Spark's JDBC writer does both (one prepared INSERT,
 ``batchsize`` rows per round trip, one transaction per partition).
+
+``append_*`` add rows, so a repeated run adds them again, as the original's did.
+``replace_files`` can be run again: the table is partitioned by task, and the rows
+of a task that is written take the place of those that it had (Spark's dynamic
+partition overwrite; the new files are committed as a whole when the job ends, so
+that a run that fails leaves the old rows). Spark's JDBC writer has no such mode:
+a database needs a key on the task and a merge of its own.
 """
 
 from __future__ import annotations
@@ -35,6 +42,17 @@ def append_files(df: DataFrame, path: str, fmt: str = "parquet", partition_by: l
     writer.save(path)
 
 
+def replace_files(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ("taskid",)) -> None:
+    """Write ``df`` to a directory table partitioned by ``partition_by``; the
+    partitions that ``df`` has rows of are replaced, all others stay. A partition
+    column of ``df`` must not be NULL in rows that are to be found by it."""
+    missing = [c for c in partition_by if c not in df.columns]
+    if missing or not partition_by:
+        raise ValueError(f"no column to replace rows by: {missing or partition_by}")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt)
+    writer.partitionBy(*partition_by).save(path)
+
+
 def stat_columns_in_order(df: DataFrame) -> DataFrame:
     """The 17 result columns in the order of the session_aggr_stat table."""
     return df.select(*C.STAT_COLUMNS)

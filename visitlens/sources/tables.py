@@ -9,6 +9,9 @@ into the database query.
 
 from __future__ import annotations
 
+import dataclasses
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,26 +33,92 @@ def user_table(spark: SparkSession, name: str = "user_info") -> DataFrame:
     return spark.table(name).select(*USER_COLUMNS)
 
 
+@dataclasses.dataclass(frozen=True)
+class KeyRange:
+    """An integer key column whose values lie between ``low`` and ``high`` (both
+    included; rows beyond them are read too), read over ``parts`` connections."""
+
+    column: str
+    low: int
+    high: int
+    parts: int
+
+    def __post_init__(self) -> None:
+        if self.parts < 1 or self.low > self.high:
+            raise ValueError(f"not a range of keys: {self}")
+
+    def options(self) -> dict[str, str]:
+        """Reader options that split the range evenly. The upper bound of Spark's
+        splits is exclusive."""
+        return {
+            "partitionColumn": self.column, "lowerBound": str(self.low), "upperBound": str(self.high + 1),
+            "numPartitions": str(min(self.parts, self.high - self.low + 1)),
+        }
+
+    def predicates(self, quantiles: list[int] | None = None) -> list[str]:
+        """One condition for each connection, which together take every row once:
+        NULL keys and those below go to the first, those above to the last.
+        ``quantiles`` are keys to split at instead of even ones, where keys are
+        dense in places (they may come from a ``percentile_approx`` of the key)."""
+        if quantiles is None:
+            n = min(self.parts, self.high - self.low + 1)
+            quantiles = [self.low + (self.high + 1 - self.low) * i // n for i in range(1, n)]
+        cuts = sorted(set(quantiles))
+        if not cuts:
+            return ["1 = 1"]
+        first = f"{self.column} < {cuts[0]} OR {self.column} IS NULL"
+        between = [f"{self.column} >= {a} AND {self.column} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [first, *between, f"{self.column} >= {cuts[-1]}"]
+
+
+def jdbc_options(url: str, properties: dict[str, str] | None = None, fetchsize: int = 1000, keys: KeyRange | None = None) -> dict[str, str]:
+    """Options of a JDBC read; those of ``keys`` split it over connections."""
+    return {**(properties or {}), "url": url, "fetchsize": str(fetchsize), **(keys.options() if keys else {})}
+
+
 def jdbc_task_table(
-    spark: SparkSession, url: str, table: str = "task", properties: dict[str, str] | None = None
+    spark: SparkSession, url: str, table: str = "task", properties: dict[str, str] | None = None, keys: KeyRange | None = None
 ) -> DataFrame:
-    """The task table over JDBC (lazy; filters on it are pushed to the database)."""
-    return spark.read.jdbc(url, table, properties=dict(properties or {}))
+    """The task table over JDBC (lazy; filters on it are pushed to the database),
+    by ranges of its id where ``keys`` are given, else over one connection."""
+    return spark.read.format("jdbc").options(**jdbc_options(url, properties, keys=keys)).option("dbtable", table).load()
+
+
+def parameterised(query: str, params: tuple = ()) -> str:
+    """``query`` with its ``?`` marks replaced by ``params`` as SQL literals, in
+    order; marks inside quotes stay. Texts are quoted by doubling their quotes."""
+    marks = re.split(r"""('(?:[^']|'')*'|"(?:[^"]|"")*")""", query)
+    left = list(params)
+
+    def literal(_: re.Match) -> str:
+        if not left:
+            raise ValueError("more marks than parameters")
+        value = left.pop(0)
+        if value is None:
+            return "NULL"
+        if isinstance(value, bool):
+            return "TRUE" if value else "FALSE"
+        if isinstance(value, (int, float)):
+            return repr(value)
+        return "'" + str(value).replace("'", "''") + "'"
+
+    out = "".join(part if i % 2 else re.sub(r"\?", literal, part) for i, part in enumerate(marks))
+    if left:
+        raise ValueError("more parameters than marks")
+    return out
 
 
 def jdbc_query(
-    spark: SparkSession,
-    url: str,
-    query: str,
-    properties: dict[str, str] | None = None,
-    fetchsize: int = 1000,
+    spark: SparkSession, url: str, query: str, params: tuple = (), properties: dict[str, str] | None = None, fetchsize: int = 1000,
+    keys: KeyRange | None = None,
 ) -> DataFrame:
     """Any SELECT run by the database, as a lazy DataFrame (the original's
-    query-with-row-callback helper; rows stream in ``fetchsize`` batches and
-    further filters are pushed into the database query)."""
-    reader = spark.read.format("jdbc").option("url", url).option("query", query).option("fetchsize", str(fetchsize))
-    for key, value in (properties or {}).items():
-        reader = reader.option(key, value)
+    parameterised query with a row callback): rows stream in ``fetchsize`` batches,
+    further filters are pushed into the query, and ``keys`` split it over
+    connections. A split query is read as a derived table, as Spark wants it."""
+    text = parameterised(query, params)
+    reader = spark.read.format("jdbc").options(**jdbc_options(url, properties, fetchsize, keys))
+    reader = reader.option("dbtable", f"({text}) q") if keys else reader.option("query", text)
     return reader.load()
 
 
