@@ -33,6 +33,17 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join(x for x in (root, env.get("PYTHONPATH")) if x)
 
 
+def id_text(name: str = "doc_id") -> Column:
+    """An integer id as text for a Python worker: pandas would turn a batch of ids
+    with a null into doubles, which hold no more than 53 bits."""
+    return F.col(name).cast("long").cast("string").alias(name)
+
+
+def with_id(rows: DataFrame, name: str = "doc_id") -> DataFrame:
+    """``rows`` of a Python worker with the id as an integer again."""
+    return rows.withColumn(name, F.col(name).cast("long"))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, all other characters as they are."""
     return F.translate(text, UPPER, UPPER.lower())

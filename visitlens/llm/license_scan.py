@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES
+from .common import WORD_BYTES, id_text, with_id
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -220,11 +220,11 @@ def scan(docs: DataFrame, base: dict[str, str]) -> DataFrame:
         for pdf in batches:
             out = pd.DataFrame([scanner.scan(t) for t in pdf["text"].fillna("")], columns=names)
             out["first_word"], out["last_word"] = out["first_word"].astype("Int64"), out["last_word"].astype("Int64")
-            out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").array)
+            out.insert(0, "doc_id", pdf["doc_id"].array)
             yield out
 
     schema = (
-        "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
+        "doc_id string, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
         "score double, spans array<struct<start:int,end:int,label:string,confidence:double>>"
     )
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)
+    return with_id(docs.select(id_text(), "text").mapInPandas(run, schema))

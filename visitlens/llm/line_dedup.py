@@ -293,29 +293,39 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float
     return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("removed"))
 
 
-def without(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """``docs`` with n_lines, n_removed and the text without those lines."""
-    gone = removed.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_gone"))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc"]) & (F.xxhash64(docs["text"]) == gone["_hash"]), "left")
-    lines = joined.select(*docs.columns, "_gone", F.split("text", "\n").alias("_lines"))
-    index = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    kept = F.array_join(F.transform(index, lambda i: F.get(F.col("_lines"), i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
-    return lines.select(
+def without(docs: DataFrame, removed: DataFrame, n_lines: str, n_removed: str) -> DataFrame:
+    """``docs`` with the text without those lines, and how many there were and
+    are gone in columns of the given names, which ``docs`` must not have."""
+    held = {*docs.columns, n_lines, n_removed}
+    doc, hash_, gone, lines = (fresh(name, held) for name in ("_doc", "_hash", "_gone", "_lines"))
+    found = removed.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(hash_), F.col("removed").alias(gone))
+    joined = docs.join(found, docs["doc_id"].eqNullSafe(found[doc]) & (F.xxhash64(docs["text"]) == found[hash_]), "left")
+    split = joined.select(*docs.columns, gone, F.split("text", "\n").alias(lines))
+    index = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    kept = F.array_join(F.transform(index, lambda i: F.get(F.col(lines), i)), "\n")
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept)
+    return split.select(
         *(text.alias("text") if c == "text" else F.col(c) for c in docs.columns),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("_n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_n_removed"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias(n_lines),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(n_removed),
     )
 
 
+def fresh(name: str, held: set[str]) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    while name.lower() in {h.lower() for h in held}:
+        name = "_" + name
+    return name
+
+
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, segments: bool = False) -> DataFrame:
     """doc_id, text (without the repeated lines), n_lines, n_removed."""
     own = docs.select("doc_id", "text")
-    out = without(own, removed_lines(own, min_words, similarity, segments))
-    return out.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
+    return without(own, removed_lines(own, min_words, similarity, segments), "n_lines", "n_removed")
 
 
 def clean_documents(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, segments: bool = False) -> DataFrame:
     """``docs`` with the repeated lines taken out of the texts; all rows stay."""
     removed = removed_lines(docs.select("doc_id", "text"), min_words, similarity, segments)
-    return without(docs, removed).drop("_n_lines", "_n_removed")
+    counts = [fresh(name, {*docs.columns}) for name in ("_n_lines", "_n_removed")]
+    return without(docs, removed, *counts).drop(*counts)

@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import id_text, with_id
 from .word_cache import WordCache
 
 SPACE = "▁"
@@ -189,9 +190,9 @@ def encoded(docs: DataFrame, model_file: str, with_ids: bool = True) -> DataFram
                     rows.append([*row, hashlib.sha256(encoder.decode(ids).encode("utf-8")).hexdigest()])
                 names = ["ids"] * with_ids + ["n_tokens", "ids_sha256", "decoded_sha256"]
                 out = pd.DataFrame(rows, columns=names)
-                out.insert(0, "doc_id", pdf["doc_id"].iloc[a:b].astype("Int64").array)
+                out.insert(0, "doc_id", pdf["doc_id"].iloc[a:b].array)
                 yield out
 
     ids = "ids array<int>, " if with_ids else ""
-    schema = f"doc_id long, {ids}n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    schema = f"doc_id string, {ids}n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return with_id(docs.select(id_text(), "text").mapInPandas(run, schema))

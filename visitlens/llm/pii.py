@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import id_text, with_id
+
 KINDS = ("email", "ip", "card", "phone")
 TYPES = (*KINDS, "key")
 MAX_TOKENS, MAX_DOCS = 14, 1500
@@ -304,8 +306,8 @@ def find(docs: DataFrame, model: SemiCRF) -> DataFrame:
                 counts = [sum(k == kind for k, _, _ in base) for kind in KINDS]
                 rows.append([*counts, hashlib.sha256(text_of(base).encode()).hexdigest(), text_of(every), len(every)])
             out = pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"])
-            out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").array)
+            out.insert(0, "doc_id", pdf["doc_id"].array)
             yield out
 
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)
+    schema = "doc_id string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
+    return with_id(docs.select(id_text(), "text").mapInPandas(run, schema))

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, saved
+from .common import cut, id_text, saved, with_id
 from .components import components
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -59,10 +59,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fp = np.array([fingerprint(t, shingle) for t in pdf["text"].fillna("")], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_hash": pdf["text_hash"], "fp": fp})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text_hash": pdf["text_hash"], "fp": fp})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInPandas(run, "doc_id long, text_hash long, fp long")
+    rows = docs.select(id_text(), F.xxhash64("text").alias("text_hash"), "text")
+    return with_id(rows.mapInPandas(run, "doc_id string, text_hash long, fp long"))
 
 
 def segment(fp: Column, i: int) -> Column:

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import id_text, shared_dir, with_id
 from .piece_codec import slices
 from .word_cache import WordCache
 
@@ -132,7 +132,7 @@ class Segment:
         return self.ids[self.bounds.select(i - 1) if i else 0 : self.bounds.select(i)]
 
     def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + [self.least + int(v) for v in self.names.all()]
+        return [None] * self.nulls + [self.least + int(v) % (1 << 64) for v in self.names.all()]  # gaps of up to 64 bits
 
     def offsets(self) -> np.ndarray:
         return np.concatenate([[0], self.bounds.all()])
@@ -228,7 +228,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end: int = 2, segme
         for pdf in batches:
             part = int(pdf["part"].iloc[0]) if part is None and len(pdf) else part
             texts = pdf["text"].fillna("").tolist()
-            keys = [None if pd.isna(x) else int(x) for x in pdf["doc_id"].astype("Int64")]
+            keys = [None if x is None else int(x) for x in pdf["doc_id"]]
             for a, b in slices(texts, 6_000_000):
                 for key, ids in zip(keys[a:b], encoder.texts(texts[a:b], end), strict=True):
                     if held and size + len(ids) > segment_ids:
@@ -247,7 +247,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end: int = 2, segme
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", "text")
-        .select(F.spark_partition_id().alias("part"), "doc_id", "text")
+        .select(F.spark_partition_id().alias("part"), id_text(), "text")
     )
     schema = "part int, segment int, n_docs long, n_ids long, payload binary"
     ordered.mapInPandas(run, schema).write.parquet(path)
@@ -278,14 +278,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 s = Segment(payload)
                 off, ids = s.offsets(), s.ids.astype("<u4")
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-                names = pd.array(s.doc_ids(), "Int64")
+                names = [None if x is None else str(x) for x in s.doc_ids()]
                 yield pd.DataFrame(
                     {"part": part, "segment": segment, "doc_id": names, "inside": off[:-1], "n_tokens": np.diff(off), "ids_crc32": crc}
                 )
 
     files = spark.read.schema("part int, segment int, payload binary").parquet(path)
-    schema = "part int, segment int, doc_id long, inside long, n_tokens long, ids_crc32 long"
-    docs = files.mapInPandas(run, schema)  # the ids stay in their tasks; only these numbers are joined
+    schema = "part int, segment int, doc_id string, inside long, n_tokens long, ids_crc32 long"
+    docs = with_id(files.mapInPandas(run, schema))  # the ids stay in their tasks; only these numbers are joined
     start = (F.col("base") + F.col("inside")).alias("start")
     return docs.join(bases(spark, path), ["part", "segment"]).select("doc_id", start, "n_tokens", "ids_crc32")
 

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import id_text, with_id
+
 sentences_of = re.compile(r"[^.!?\n]+").findall
 words_of = re.compile(r"[^\W\d_]+").findall
 
@@ -132,20 +134,20 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
             score = [x[0] for x in out]
             spans = [[{"start": a, "end": b, "score": p} for a, b, p in x[1]] for x in out]
             yield pd.DataFrame(
-                {"doc_id": pdf["doc_id"].astype("Int64"), "score": score, "predicted": [int(x >= threshold) for x in score], "spans": spans}
+                {"doc_id": pdf["doc_id"], "score": score, "predicted": [int(x >= threshold) for x in score], "spans": spans}
             )
 
-    schema = "doc_id long, score double, predicted int, spans array<struct<start:int,end:int,score:double>>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)
+    schema = "doc_id string, score double, predicted int, spans array<struct<start:int,end:int,score:double>>"
+    return with_id(docs.select(id_text(), "text").mapInPandas(run, schema))
 
 
 def clean_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those that score ``threshold`` or more."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("boolean")
+    def passes(texts: pd.Series) -> pd.Series:
         own = shared.value
-        for pdf in batches:
-            yield pdf[[own.score(t)[0] < threshold for t in pdf["text"].fillna("")]]
+        return pd.Series([own.score(t)[0] < threshold for t in texts.fillna("")], dtype=bool)
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.where(passes("text"))  # the other columns stay where they are
