@@ -1,0 +1,62 @@
+"""Ids that doubles can't hold, beside a null one in the same batch, through
+every operator that has Python workers; extra columns of any type and name."""
+
+from __future__ import annotations
+
+import datetime
+
+import pytest
+
+pytest.importorskip("visitlens.llm")
+import public_tokenizers
+from pyspark.sql import functions as F
+from visitlens.llm import license_scan, line_dedup, pii, piece_codec, simhash_dedup, token_store, toxicity
+from visitlens.llm.common import importable
+from visitlens.llm.queries import LICENSE_PHRASES
+
+IDS = [None, 2**53 + 1, 2**53 + 3, -(2**63), 2**63 - 1]
+TEXTS = [f"one text of its own number {w} and some more words {w * 3}" for w in ("alpha", "beta", "gamma", "delta", "epsilon")]
+LATE = datetime.datetime(2500, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    importable(spark)
+    schema = "doc_id long, text string, _gone string, _lines int, _n_lines long, _n_removed long, _doc long, _hash long, at timestamp_ntz, n int, list array<int>"
+    rows = [(i, t, "g", None, 1, 2, 3, 4, LATE, None if k else 7, [k]) for k, (i, t) in enumerate(zip(IDS, TEXTS, strict=True))]
+    return spark.createDataFrame(rows, schema).coalesce(1)
+
+
+def ids(rows):
+    return sorted((r.doc_id for r in rows.collect()), key=str)
+
+
+WANT = sorted(IDS, key=str)
+
+
+def test_ids_pass_whole_through_workers(docs, tmp_path):
+    model = toxicity.train(["vile vile", "good"] * 4, [1, 0] * 4)
+    assert ids(piece_codec.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))) == WANT
+    assert ids(license_scan.scan(docs, LICENSE_PHRASES)) == WANT
+    assert ids(simhash_dedup.near_duplicates(docs)) == WANT
+    assert ids(toxicity.scored(docs, model)) == WANT
+    assert ids(pii.find(docs, pii.fit(docs))) == WANT
+    assert ids(token_store.token_store(docs, public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "tokens"))) == WANT
+
+
+def test_components_have_whole_ids(docs):
+    twice = docs.unionByName(docs.where("doc_id > 0").withColumn("doc_id", F.col("doc_id") - 1))
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_duplicates(twice).where("doc_id > 0").collect()}
+    assert got == {i - d: i - 1 for i in IDS if i and i > 0 for d in (0, 1)}
+
+
+def test_stages_keep_rows_and_columns(docs):
+    model = toxicity.train(["vile vile", "good"] * 4, [1, 0] * 4)
+    stages = [
+        (lambda d: toxicity.clean_documents(d, model), []), (simhash_dedup.first_of_groups, []),
+        (lambda d: line_dedup.clean_documents(d, segments=True), ["text"]),  # the texts' lines are alike
+    ]
+    for stage, changes in stages:
+        out = stage(docs)
+        assert out.schema.simpleString() == docs.schema.simpleString()
+        assert sorted(map(str, out.drop(*changes).collect())) == sorted(map(str, docs.drop(*changes).collect()))
