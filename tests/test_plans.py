@@ -125,6 +125,29 @@ def test_keyword_filter_tests_each_piece_of_the_data(spark):
     assert got == {"a": True, "b": False, "c": False}
 
 
+def test_profession_and_city_filters_test_each_piece_of_the_data(spark):
+    from visitlens.plans.session_stat import sessions_for_task
+    from visitlens.session import local_table
+
+    d = "2024-01-01"
+    jobs = ["teacher", "teacher,doctor", "doctor", "doctors,x", ",teacher,", None, ""]
+    actions = spark.createDataFrame(action_rows([(f"s{i}", i + 1, f"{d} 10:00:00", None, None) for i in range(len(jobs))]), ACTION_SCHEMA)
+    users = spark.createDataFrame(
+        [(i + 1, "u", "n", 30, job, "b,a" if i % 2 else "c", "male") for i, job in enumerate(jobs)],
+        "user_id bigint, username string, name string, age int, professional string, city string, sex string",
+    )
+    dates = f'"startDate":["{d}"],"endDate":["{d}"]'
+    for extra, want in (
+        (',"professionals":["teacher"]', {"s0", "s1", "s4"}), (',"professionals":["x,doctor"]', {"s1", "s2", "s3"}), (',"cities":["a"]', {"s1", "s3", "s5"}),
+        (',"professionals":["teacher"],"cities":["a,z"]', {"s1"}), (',"cities":[","]', set()),
+    ):
+        text = "{" + dates + extra + "}"
+        kept = sessions_for_task(actions, users, TaskParams.from_json(text))
+        assert {r.session_id for r in kept.collect()} == want, extra
+        tasks = local_table(spark, [(1, text)], [("task_id", "BIGINT"), ("task_param", "STRING")])
+        assert session_aggr_stat_by_task(actions, users, tasks).first().session_count == len(want), extra
+
+
 def _brute_pairs(rows):
     df = pd.DataFrame(rows, columns=["session_id", "page_id", "t"]).sort_values(["session_id", "t", "page_id"])
     out = {}

@@ -17,9 +17,13 @@ def age_between(lo: int, hi: int) -> str:
 
 
 def value_in(column: str, items: list[str]) -> str:
+    """Whether a comma-separated piece of the value is one of ``items``. The first
+    half is what a reader can test; the second decides on values that hold a comma."""
     if not items:
         return "false"
-    return f"{column} IN ({', '.join(sql_literal(x) for x in items)})"
+    whole = f"{column} IN ({', '.join(sql_literal(x) for x in items)})"
+    piece = f"arrays_overlap(split({column}, ',', -1), {sql_literal(items)})"
+    return f"({whole} OR contains({column}, ',')) AND (NOT contains({column}, ',') OR {piece})"
 
 
 def value_equals(column: str, value: str) -> str:

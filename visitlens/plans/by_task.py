@@ -114,8 +114,8 @@ CELL = (*USER_ATTRIBUTES, "visit_bucket", "step_bucket")
 _KEEP = (
     "NOT age_bad"
     " AND (age_lo IS NULL OR age BETWEEN age_lo AND age_hi)"
-    " AND (professionals IS NULL OR array_contains(professionals, professional))"
-    " AND (cities IS NULL OR array_contains(cities, city))"
+    " AND (professionals IS NULL OR arrays_overlap(professionals, split(professional, ',', -1)))"
+    " AND (cities IS NULL OR arrays_overlap(cities, split(city, ',', -1)))"
     " AND (sex IS NULL OR sex = user_sex)"
 )
 

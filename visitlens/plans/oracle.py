@@ -140,7 +140,7 @@ def user_filter_sql(params: TaskParams) -> str:
         tests.append(f"age BETWEEN {ages[0]} AND {ages[1]}")
     for column, items in (("professional", params.professional_list()), ("city", params.city_list())):
         if items is not None:
-            tests.append(f"{column} IN ({sql_list(items)})" if items else "FALSE")
+            tests.append(f"list_has_any(string_split({column}, ','), [{sql_list(items)}])" if items else "FALSE")
     sex = params.sex_value()
     if sex is not None:
         tests.append(f"sex = {q(sex)}")
