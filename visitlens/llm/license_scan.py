@@ -5,11 +5,11 @@ keywords of which one must occur in the text, or the rule is not run. A text is
 lower-cased (A-Z) and each run of white space, with the comment marks around a line
 break, becomes one blank, so that a name or grant wrapped over the lines of a comment
 is found. Its keywords are found by one pass of a multi-string automaton, then the
-rules they open run over the whole text; spans are places in the given text. Of the
-detections,
-one inside a longer one or of equal extent with a higher priority is suppressed
-(the text of a named license inside "licensed under ..." is one detection); the
-rest are kept in order. Base phrases (a parameter) are counted word by word and
+rules they open run over the whole text; spans are places in the given text. Detections
+are taken by priority, then longest and leftmost first; one that lies in or contains
+a detection taken before is suppressed (the name inside "licensed under ...", the
+bare form inside a license field); those that only overlap stay both. An identifier in an SPDX expression or
+a license field is a detection of its own, so that ``MIT OR Apache-2.0`` has two. Base phrases (a parameter) are counted word by word and
 never suppressed.
 
 Null texts count as empty; repeated rows are scanned row by row; other columns
@@ -18,8 +18,9 @@ are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -41,7 +42,7 @@ class Rule(NamedTuple):
     label: str
     priority: int  # a smaller one wins
     confidence: float
-    keywords: tuple[str, ...]
+    keywords: tuple[str, ...]  # with "<" in front: only at the start of a word
     pattern: str
 
 
@@ -100,6 +101,66 @@ NAMES = (
     ("x11", "x11", r"\bx11 licen[sc]e", "x11"),
 )
 
+#: Short names and other ways to say it: label, keywords at the start of a word
+#: (one for each alternative), pattern. ``{v}`` stands
+#: for what may follow a version.
+LATER = r"(?:[- ]only|[- ]or[- ](?:any )?later|\+)?(?![\w-])"
+SHORT = (
+    ("gpl", "gpl", r"\b(?:gnu )?gpl[- ]?v?[123](?:\.0)?{v}"),
+    ("gpl", "gpl", r"\b(?:gnu )?gpl,? (?:licen[sc]e,? )?(?:version|ver\.?) ?[123](?:\.0)?{v}"),
+    ("gpl", "gpl", r"\bgpl[- ]licen[sc]ed\b|\bgpl licen[sc]e"),
+    ("lgpl", "lgpl", r"\b(?:gnu )?lgpl[- ]?v?[23](?:\.[01])?{v}"),
+    ("lgpl", "lgpl", r"\b(?:gnu )?lgpl,? (?:licen[sc]e,? )?(?:version|ver\.?) ?[23](?:\.[01])?{v}"),
+    ("lgpl", "lgpl", r"\blgpl[- ]licen[sc]ed\b"),
+    ("agpl", "agpl", r"\b(?:gnu )?agpl[- ]?v?[13](?:\.0)?{v}"),
+    ("agpl", "agpl", r"\b(?:gnu )?agpl,? (?:version|ver\.?) ?[13](?:\.0)?{v}"),
+    ("apache", "apache", r"\bapache[- ]?(?:v|version )?[12](?:\.[01])?{v}"),
+    ("apache", "apache", r"\bapache[- ]licen[sc]ed\b"),
+    ("apache", "asl", r"\basl[- ]?2(?:\.0)?{v}"),
+    ("mit", "mit licen|mit-licen|mit style|mit-style", r"\bmit[- ]licen[sc]ed\b|\bmit[- ]style licen[sc]e"),
+    ("mit", "mit/", r"\bmit/x11\b|\bmit/expat\b"),
+    ("bsd-2-clause", "bsd", r"\bbsd[- ](?:2|two)[- ]clause\b"),
+    ("bsd-3-clause", "bsd", r"\bbsd[- ](?:3|three)[- ]clause\b"),
+    ("bsd-4-clause", "bsd", r"\bbsd[- ](?:4|four)[- ]clause\b"),
+    ("bsd", "bsd|0bsd", r"\bbsd[- ]licen[sc]ed\b|\bbsd[- ](?:style|like|type) licen[sc]e|\b0bsd\b"),
+    ("isc", "isc", r"\bisc[- ]licen[sc]ed\b"),
+    ("mpl", "mpl", r"\bmpl[- ]?v?[12](?:\.[01])?{v}"),
+    ("mpl", "mpl", r"\bmpl[- ]licen[sc]ed\b"),
+    ("eupl", "eupl", r"\beupl(?:[- ]?v?\.? ?1(?:\.[012])?)?{v}"),
+    ("epl", "epl", r"\bepl[- ]?v?[12]\.0{v}"),
+    ("cddl", "cddl", r"\bcddl(?:[- ]?v?1\.[01])?{v}"),
+    ("cecill", "cecill", r"\bcecill(?:-[bc])?(?:[- ]?v?[12]\.[01])?{v}"),
+    ("wtfpl", "wtfpl", r"\bwtfpl\b"),
+    ("ofl", "ofl", r"\b(?:sil )?ofl[- ]?v?1\.[01]{v}"),
+    ("unlicense", "unlicense", r"\bunlicense\b"),
+    ("zlib", "zlib", r"\bzlib[- ]licen[sc]ed\b"),
+    ("boost", "bsl", r"\bbsl-1\.0\b"),
+    ("boost", "boost", r"\bboost[- ]licen[sc]ed\b"),
+    ("busl", "busl", r"\bbusl-?1\.1\b"),
+    ("sspl", "sspl", r"\bsspl(?:[- ]?v?1(?:\.0)?)?{v}"),
+    ("artistic", "artistic", r"\bartistic[- ]?v?[12]\.0\b"),
+    ("psf", "psf", r"\bpsf[- ](?:2\.0|licen[sc]e)"),
+    ("ncsa", "ncsa", r"\bncsa(?: open source)? licen[sc]e"),
+    ("odbl", "odbl", r"\bodbl(?:[- ]?v?1\.0)?{v}"),
+    ("cc0", "cc0|cc zero|cc-zero|cczero", r"\bcc[- ]?zero\b|\bcc0[- ]?1\.0\b"),
+    ("gfdl", "gfdl", r"\bgfdl(?:[- ]?v?1\.[123])?{v}"),
+    ("beerware", "beer", r"\bbeer-?ware licen[sc]e|\bbeerware\b"),
+    ("proprietary", "eula|end user licen|end-user licen", r"\bend[- ]user licen[sc]e agreement\b|\beula\b"),
+)
+
+#: Names that a license field or an SPDX expression may hold beside the versioned
+#: identifiers: label, pattern.
+FIELD_NAMES = (
+    ("gpl", r"(?:gnu )?gpl"), ("lgpl", r"(?:gnu )?lgpl"), ("agpl", r"(?:gnu )?agpl"), ("apache", r"apache(?: licen[sc]e)?(?:,? (?:version )?2(?:\.0)?)?"),
+    ("mit", r"mit"), ("bsd", r"bsd"), ("isc", r"isc"), ("mpl", r"mpl"), ("zlib", r"zlib"), ("unlicense", r"unlicense"), ("proprietary", r"proprietary"),
+    ("proprietary", r"unlicensed"), ("public-domain", r"public[- ]domain"), ("cc0", r"cc0"), ("cc-by", r"cc[- ]by"), ("cc-by-sa", r"cc[- ]by[- ]sa"),
+)
+
+#: What opens a field, and an SPDX expression with the identifiers before ours.
+FIELD_KEYWORDS = tuple(map("".join, itertools.product(["licen"], "sc", ["e", "es"], ["", '"', "'"], ["", " "], ":=")))
+FIELD = r"""\blicen[sc]es?["']? ?[:=] ?[\[({]? ?["']?(?:the )?"""
+EXPRESSION = r"spdx-license-identifier: ?(?:\(*[\w.+-]++\)* (?:or|and|with) )*\(*"
+
 #: Whole phrases that are no license name: label, priority, confidence, keyword, pattern.
 PHRASES = (
     ("mit", 20, 0.95, "permission is hereby", r"permission is hereby granted, free of charge, to any person obtaining a copy"),
@@ -132,9 +193,15 @@ def rules() -> tuple[Rule, ...]:
     for label, keyword, name, spdx in NAMES:
         for priority, confidence, before, after in FRAMES:
             out.append(Rule(label, priority, confidence, tuple(keyword.split("|")), f"{before}(?:{name}){after}"))
-        for one in spdx.split():
-            marked = rf"spdx-license-identifier: ?{re.escape(one)}(?:-only|-or-later|\+)?(?![\w.-])"
-            out.append(Rule(label, 0, 1.0, ("spdx-license-identifier",), marked))
+        for one in map(re.escape, spdx.split()):
+            out.append(Rule(label, 0, 1.0, ("spdx-license-identifier",), rf"{EXPRESSION}(?P<at>{one}(?:-only|-or-later|\+)?)(?![\w.-])"))
+            out.append(Rule(label, 2, 0.95, FIELD_KEYWORDS, rf"{FIELD}(?P<at>{one}(?:-only|-or-later|\+)?)(?![\w.-])"))
+    for label, name in FIELD_NAMES:
+        out.append(Rule(label, 3, 0.9, FIELD_KEYWORDS, rf"{FIELD}(?P<at>{name})(?![\w.-]*\w)"))
+    frames = ((25, 0.8, ""), (10, 0.95, r"licen[sc]ed under (?:the )?"), (10, 0.95, r"(?:released|distributed|available|published) under (?:the )?"))
+    for label, keywords, pattern in SHORT:
+        at_start = tuple("<" + k for k in keywords.split("|"))
+        out += [Rule(label, p, c, at_start, f"{before}(?:{pattern.replace('{v}', LATER)})") for p, c, before in frames]
     out += [Rule(label, p, c, (keyword,), pattern) for label, p, c, keyword, pattern in PHRASES]
     return tuple(out)
 
@@ -166,7 +233,7 @@ class Scanner:
             for k in rule.keywords:
                 self.opens.setdefault(k, []).append((rule, pattern))
         self.automaton = ahocorasick.Automaton()
-        for k in self.opens:
+        for k in {k.removeprefix("<") for k in self.opens}:
             self.automaton.add_word(k, k)
         if self.opens:
             self.automaton.make_automaton()
@@ -174,18 +241,24 @@ class Scanner:
     def detections(self, text: str) -> list[tuple[int, int, Rule]]:
         """(start, end, rule) after suppression, in order of the text."""
         low, at, lost = blanked(text.translate(LOWER))
-        keys = {k for _, k in self.automaton.iter(low)} if self.opens else set()
-        opened = {id(pattern): (rule, pattern) for k in sorted(keys) for rule, pattern in self.opens[k]}
+        keys = set()
+        for end, k in self.automaton.iter(low) if self.opens else ():
+            keys.add(k)
+            start = end - len(k) + 1
+            if start == 0 or not low[start - 1].isalnum():
+                keys.add("<" + k)
+        opened = {id(pattern): (rule, pattern) for k in sorted(keys) for rule, pattern in self.opens.get(k, ())}
         place = lambda i: i + (lost[n - 1] if (n := bisect_right(at, i)) else 0)
         found = []
         for rule, pattern in opened.values():
-            found += [(place(m.start()), place(m.end() - 1) + 1, rule) for m in pattern.finditer(low) if m.end() > m.start()]
-        found.sort(key=lambda f: (f[0], -f[1], f[2].priority, -f[2].confidence, f[2].label))
-        kept, reach = [], -1
-        for start, end, rule in found:  # an earlier one that ends no sooner contains it
-            if end > reach:
-                kept.append((start, end, rule))
-                reach = end
+            which = "at" if "at" in pattern.groupindex else 0
+            found += [(place(m.start(which)), place(m.end(which) - 1) + 1, rule) for m in pattern.finditer(low) if m.end(which) > m.start(which)]
+        found.sort(key=lambda f: (f[2].priority, f[0] - f[1], f[0], -f[2].confidence, f[2].label))
+        kept: list[tuple[int, int, Rule]] = []  # none in another one: by start, and so by end
+        for one in found:
+            within, around = (b(kept, one[0], key=lambda k: k[0]) for b in (bisect_right, bisect_left))
+            if not (within and kept[within - 1][1] >= one[1] or around < len(kept) and kept[around][1] <= one[1]):
+                kept.insert(within, one)
         return kept
 
     def scan(self, text: str) -> tuple:
