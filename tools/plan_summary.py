@@ -1,4 +1,4 @@
-"""Summarise the final (adaptive) physical plan of every registered query.
+"""Summarise the final (adaptive) physical plan of every session-analytics query.
 
     python tools/plan_summary.py [sf_dir] > docs/PLANS.md
 
@@ -17,7 +17,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as entry  # noqa: E402
+from visitlens.plans import catalog  # noqa: E402
 from visitlens.session import build_session  # noqa: E402
 
 _ID = re.compile(r"#\d+L?")
@@ -80,7 +80,7 @@ def main(argv: list[str]) -> int:
     print(f"Generated by `tools/plan_summary.py` on `{sf_dir}`, local[8], 16 shuffle partitions, AQE on.")
     print("Lines are operators from the root down; ids removed. At this size AQE turns joins with a")
     print("small side into broadcasts; on large inputs the same plans keep their sort-merge joins.\n")
-    for name, query in entry.queries().items():
+    for name, query in catalog.queries().items():
         df = query(spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
