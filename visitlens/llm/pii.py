@@ -14,12 +14,17 @@ same programme).
 Only a segment that holds a digit or "@" can be an entity, so outside of the
 neighbourhoods of such tokens the best segmentation is known, and the programme
 runs over these neighbourhoods, cut where ``MAX_TOKENS`` tokens in a row hold
-neither. It is the same optimum as over the whole text.
-
-Training: neighbourhoods of at most ``MAX_DOCS`` documents (smallest
-xxhash64(doc_id)), labelled by the patterns, some with a character of the
-pattern altered (the "+" of a phone dropped, "@" and "." spelled out) while the
-label stays. Null texts count as empty; other columns are ignored.
+neither. A neighbourhood reaches 160 characters to either side of such a token: the
+optimum is that of the whole text but for spans or single tokens longer than that.
+The features of a span are made when the programme reaches its end and kept no
+longer, so that a text of digits alone takes memory for its tokens only.
+
+Training: neighbourhoods of at most ``MAX_DOCS`` texts with a digit or "@"
+(smallest xxhash64(doc_id, text)), labelled by the patterns, once as they are and
+once with the "+" of their phones dropped while the label stays. In the texts' order,
+neighbourhoods of 400 tokens or more are left out, and so are those beyond the first
+3,000 (parameter ``most`` of ``train``): training is bounded, finding is not. Null texts
+count as empty; repeated texts train once; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -163,12 +168,11 @@ class SemiCRF:
     def __init__(self, weights: dict[tuple[str, str], float] | None = None):
         self.weights = weights or {}
 
-    def candidates(self, text: str, toks: list[tuple[int, int]]) -> list[list[tuple[int, tuple[str, ...]]]]:
+    def candidates(self, text: str, toks: list[tuple[int, int]]) -> Iterator[list[tuple[int, tuple[str, ...]]]]:
         """By end token j: (start token i, features) of the spans i..j that may
         be entities: with a digit or "@", no white space at either end."""
         live = np.concatenate([[0], np.cumsum([bool(_LIVE.search(text, a, b)) for a, b in toks])])
         blank = [text[a].isspace() for a, _ in toks]
-        out: list[list[tuple[int, tuple[str, ...]]]] = []
         for j in range(len(toks)):
             own = []
             if not blank[j] and text[toks[j][0]] not in ".,;:":
@@ -177,8 +181,7 @@ class SemiCRF:
                         break
                     if not blank[i] and live[j + 1] > live[i]:
                         own.append((i, span_features(text, toks[i][0], toks[j][1])))
-            out.append(own)
-        return out
+            yield own
 
     def _score(self, kind: str, feats: tuple[str, ...]) -> float:
         return sum(self.weights.get((kind, f), 0.0) for f in feats) + self.weights.get((kind, "bias"), -8.0)
@@ -206,7 +209,7 @@ class SemiCRF:
 
     def gradient(self, text: str, toks: list[tuple[int, int]], gold: set[tuple[str, int, int]]) -> dict[tuple[str, str], float]:
         """Observed minus expected features (forward-backward over segments)."""
-        cands = self.candidates(text, toks)
+        cands = list(self.candidates(text, toks))  # of a training example
         n = len(toks)
         scored = [[(i, feats, [self._score(k, feats) for k in TYPES]) for i, feats in own] for own in cands]
         ahead, behind = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
@@ -273,7 +276,7 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS) -> SemiCRF:
     """Trained on the documents with a digit or "@" among ``max_docs``."""
     some = docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("doc_id", "text").alias("h"))
     chosen = some.select("h").orderBy("h").limit(max_docs)  # numbers only: the texts of these alone travel
-    rows = some.join(F.broadcast(chosen.distinct()), "h").limit(2 * max_docs).collect()
+    rows = some.join(F.broadcast(chosen.distinct()), "h").dropDuplicates(["h"]).collect()
     return train(sorted({r["text"] for r in rows}))
 
 
