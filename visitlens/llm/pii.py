@@ -168,7 +168,11 @@ class SemiCRF:
     def __init__(self, weights: dict[tuple[str, str], float] | None = None):
         self.weights = weights or {}
 
-    def candidates(self, text: str, toks: list[tuple[int, int]]) -> Iterator[list[tuple[int, tuple[str, ...]]]]:
+    def candidates(self, text: str, toks: list[tuple[int, int]]) -> list[list[tuple[int, tuple[str, ...]]]]:
+        """All that ``ends`` gives, held at once."""
+        return list(self.ends(text, toks))
+
+    def ends(self, text: str, toks: list[tuple[int, int]]) -> Iterator[list[tuple[int, tuple[str, ...]]]]:
         """By end token j: (start token i, features) of the spans i..j that may
         be entities: with a digit or "@", no white space at either end."""
         live = np.concatenate([[0], np.cumsum([bool(_LIVE.search(text, a, b)) for a, b in toks])])
@@ -188,7 +192,7 @@ class SemiCRF:
 
     def decode(self, text: str, toks: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
         best, back = [0.0], [None]
-        for j, own in enumerate(self.candidates(text, toks)):
+        for j, own in enumerate(self.ends(text, toks)):
             value, how = best[j], None
             for i, feats in own:
                 for kind in TYPES:
@@ -209,7 +213,7 @@ class SemiCRF:
 
     def gradient(self, text: str, toks: list[tuple[int, int]], gold: set[tuple[str, int, int]]) -> dict[tuple[str, str], float]:
         """Observed minus expected features (forward-backward over segments)."""
-        cands = list(self.candidates(text, toks))  # of a training example
+        cands = self.candidates(text, toks)
         n = len(toks)
         scored = [[(i, feats, [self._score(k, feats) for k in TYPES]) for i, feats in own] for own in cands]
         ahead, behind = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
