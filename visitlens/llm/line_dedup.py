@@ -6,25 +6,29 @@ Japanese, Thai, Lao, Khmer, Burmese) each character is a word. Normalised lines
 ``min_words`` words or more are nodes; of shorter ones only exact repeats go, and
 lines without a letter or digit stay.
 
-1. A 64-bit SimHash of each line's distinct words (the frequent ones would
-   outvote the others), computed where the line is read.
+1. Different lines are counted first, then cut into words once, and get a 64-bit
+   SimHash of their distinct words (the frequent ones would outvote the others).
 2. Distinct fingerprints that differ in at most 3 bits: cut into five blocks,
    two of them are equal, so each fingerprint is joined on ten block pairs.
 3. Lines whose fingerprints are equal or linked are verified: the edit
    similarity of the normalised lines (1 - word edits / words of the longer) must
-   be 0.8 or more. First each line against the first line of its fingerprint, and
+   be 0.8 or more; words are compared by a letter, which two different words share
+   once in 53,248 cases. First each line against the first line of its fingerprint, and
    each fingerprint's first line against those of the smallest and the two next
    smaller fingerprints with which it shares blocks; then all line pairs of equal or
    linked fingerprints that are still in different components. So a large group of
    copies never meets itself pair by pair, and no link that joins two components
    is lost.
 4. With ``segments`` (the queries and the pipeline), lines that share a run of
-   words at the same place are candidates too: runs of 4 words counted from the
-   line's start and from its end (of 3 as well up to 16 words, of 2 up to 6).
-   ``similarity`` 0.8 leaves floor(0.2 n) edits to n words, fewer than a line
-   has runs: replaced words always leave one in place. Words put in and taken
-   out in the middle of a line, both ends edited, can be missed. Again two lines
-   of each run are tried first, then all pairs that are still apart.
+   words at the same place and whose SimHashes differ in at most RUN_BITS bits are
+   candidates too: runs of 4 words (of 3 as well in lines of 6 to 16 words, of 2 up
+   to 6 words), floor(0.2 n) + 1 of them counted from the line's start and ENDS from
+   its end. ``similarity`` 0.8 leaves floor(0.2 n) edits to n words: replaced words
+   always leave one run in place. Words put in and taken out in the middle of a
+   line, both ends edited, can be missed. A fifth of the distinct words replaced
+   changes 13 bits on average with a deviation of 3.2, so the radius loses about one
+   such pair in 2,000, more of lines that repeat few words often. Again two
+   lines of each run are tried first, then all pairs that are still apart.
 5. Each connected group keeps its first occurrence in (doc_id, text hash, line
    number) order; the others are taken out of their documents.
 
@@ -46,8 +50,17 @@ from .components import components
 
 BLOCKS, MAX_BITS, MIN_WORDS, SIMILARITY = 5, 3, 5, 0.8
 
-#: Words of a run, and the longest line for which such runs are taken (None: any).
-RUNS = ((4, None), (3, 16), (2, 6))
+#: Words of a run, the shortest and the longest line for which such runs are taken (None: any).
+RUNS = ((4, 8, None), (3, 6, 16), (2, 2, 6))
+
+#: Runs taken from a line's end.
+ENDS = 3
+
+#: Most bits by which lines that share a run may differ to be verified.
+RUN_BITS = 24
+
+#: The letters that stand for words where word edits are counted.
+LETTERS = "".join(map(chr, range(0x800, 0xD800)))
 
 #: Word hashes summed in one row: the generated code of more is too long to be compiled.
 STEP = 8
@@ -93,44 +106,22 @@ def simhashes(lines: DataFrame) -> DataFrame:
     return total.select(*keys, F.expr(" | ".join(bits)).alias("fp"))
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, line_no, id, n_words, fp) of the lines that have words."""
-    row = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"), "text")
-    words = (
-        row.select("doc_id", "text_hash", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .select("doc_id", "text_hash", "row", "line_no", line_words("line").alias("words"))
-        .where(F.size("words") > 0)
-    )
+def line_nodes(docs: DataFrame) -> DataFrame:
+    """(id, line, norm, times, n_words, code, fp) of the different lines that have
+    words: a number, the hashes of the line and of its words, how often the line
+    is there, its words as letters, its SimHash.
+
+    Lines are counted as they stand and then cut into words, each once. The
+    SimHash's sums need no shuffle of their own: they group by the line, too."""
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("raw")).groupBy("raw").agg(F.count("*").alias("times"))
+    words = lines.select("raw", "times", line_words("raw").alias("words")).where(F.size("words") > 0)
+    letter = F.transform("words", lambda w: F.get(F.split(F.lit(LETTERS), ""), F.pmod(F.xxhash64(w), F.lit(len(LETTERS))).cast("int")))
     hashed = words.select(
-        "doc_id", "text_hash", "row", "line_no", F.xxhash64("words").alias("id"), F.size("words").alias("n_words"),
-        F.expr("transform(array_distinct(words), w -> xxhash64(w))").alias("hashes")
+        "raw", "times", F.xxhash64("words").alias("norm"), F.size("words").alias("n_words"), F.array_join(letter, "").alias("code"),
+        F.expr("transform(array_distinct(words), w -> xxhash64(w))").alias("hashes"),
     )
-    return simhashes(hashed).drop("row")
-
-
-def coded(lines: DataFrame) -> DataFrame:
-    """(id, code) from (id, words): a line as a string of one character a word,
-    so that edit distance counts words. Two different words share a character
-    once in 53,248 cases."""
-    letter = "lpad(hex(pmod(xxhash64(w), 53248) + 2048), 4, '0')"
-    code = F.expr(f"decode(unhex(array_join(transform(words, w -> {letter}), '')), 'UTF-16BE')")
-    return lines.select("id", code.alias("code")).groupBy("id").agg(F.max("code").alias("code"))
-
-
-def line_codes(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(id, code) of the lines ``firsts`` (id, first: their place)."""
-    asked = firsts.select("first.*", "id").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "id")).alias("asked"))
-    asked = asked.select(F.col("doc_id").alias("_doc"), "text_hash", "asked")
-    found = docs.select("doc_id", "text")
-    hit = found.join(asked, found["doc_id"].eqNullSafe(asked["_doc"]) & (F.xxhash64(found["text"]) == asked["text_hash"]))
-    line = hit.select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a")).select("a.id", F.expr("get(lines, a.line_no)").alias("line"))
-    return coded(line.select("id", line_words("line").alias("words")))
-
-
-def all_codes(docs: DataFrame, min_words: int) -> DataFrame:
-    """(id, code) of all lines of ``min_words`` words or more, read without a join."""
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(line_words("line").alias("words"))
-    return coded(lines.where(F.size("words") >= min_words).select(F.xxhash64("words").alias("id"), "words"))
+    made = simhashes(hashed).withColumn("line", F.xxhash64("raw")).drop("raw")
+    return saved(made.withColumn("id", F.monotonically_increasing_id()))
 
 
 def block_keys(fp: Column) -> Column:
@@ -178,70 +169,65 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return found.where(similar(similarity)).select("a", "b")
 
 
-def line_runs(texts: DataFrame) -> DataFrame:
-    """(key, id, n): the runs of words of each line by place, from its start and
-    from its end; n is the line's number of words."""
-    chars = texts.select("id", F.char_length("code").alias("n"), F.split("code", "").alias("c"))
+def line_runs(texts: DataFrame, similarity: float) -> DataFrame:
+    """(key, id): the runs of words of each line by place, from its start one more
+    than it may have edits, and the last few from its end."""
+    edits = F.floor((1 - similarity) * F.col("n_words") + 1e-9).cast("int")
+    chars = texts.select("id", F.col("n_words").alias("n"), edits.alias("edits"), F.split("code", "").alias("c"))
     out = []
-    for q, most in RUNS:
-        some = chars.where(F.col("n") >= q) if most is None else chars.where(F.col("n").between(q, most))
-        at = some.select("id", "n", "c", F.explode(F.expr(f"sequence(0, n div {q} - 1)")).alias("i"))
-        start = ", ".join(f"get(c, i * {q} + {k})" for k in range(q))
-        end = ", ".join(f"get(c, n - i * {q} - {q - k})" for k in range(q))
-        keys = F.expr(f"array(xxhash64({q}, 0, i, {start}), xxhash64({q}, 1, i, {end}))")
-        out.append(at.select("id", "n", keys.alias("keys")).select(F.explode("keys").alias("key"), "id", "n"))
+    for q, least, most in RUNS:
+        some = chars.where(F.col("n") >= least) if most is None else chars.where(F.col("n").between(least, most))
+        for side, runs in ((0, f"least(n div {q}, edits + 1)"), (1, f"least(n div {q}, {ENDS})")):
+            at = some.select("id", "n", "c", F.explode(F.expr(f"sequence(0, {runs} - 1)")).alias("i"))
+            word = [f"get(c, i * {q} + {k})" if side == 0 else f"get(c, n - i * {q} - {q - k})" for k in range(q)]
+            out.append(at.select(F.expr(f"xxhash64({q}, {side}, i, {', '.join(word)})").alias("key"), "id"))
     return reduce(DataFrame.union, out)
 
 
-def close(a: str, b: str, similarity: float) -> Column:
-    """Line lengths that leave room for ``similarity``."""
-    longer = F.greatest(F.col(a), F.col(b))
-    return F.abs(F.col(a) - F.col(b)) <= F.floor((1 - similarity) * longer + 1e-9)
+def close(similarity: float) -> Column:
+    """Line lengths that leave room for ``similarity``, SimHashes within the radius of runs."""
+    longer = F.greatest("n_a", "n_b")
+    fits = F.abs(F.col("n_a") - F.col("n_b")) <= F.floor((1 - similarity) * longer + 1e-9)
+    return fits & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= RUN_BITS)
 
 
 def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) of similar lines that share a run and that ``links`` leaves apart."""
-    w = Window.partitionBy("key").orderBy("n", "id")
-    columns = [f(F.struct("id", "n")).over(w).alias(c) for f, c in ((F.first, "low"), (F.lag, "last"), (F.lead, "next"))]
-    found = line_runs(texts).select("key", "id", "n", *columns)
+    w = Window.partitionBy("key").orderBy("id")
+    columns = [f("id").over(w).alias(c) for f, c in ((F.first, "low"), (F.lag, "last"), (F.lead, "next"))]
+    found = line_runs(texts, similarity).select("key", "id", *columns)
     shared = saved(found.where("last is not null or next is not null").drop("next"))
     groups = cut(components(links))
 
-    def rooted(pairs: DataFrame, x: str) -> DataFrame:
-        named = groups.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
-        return pairs.join(named, x, "left").withColumn(f"root_{x}", F.coalesce(f"root_{x}", x))
+    def side(x: str) -> DataFrame:
+        named = texts.select("id", "n_words", "fp").join(groups.withColumnRenamed("node", "id"), "id", "left")
+        return named.select(F.col("id").alias(x), F.col("n_words").alias(f"n_{x}"), F.col("fp").alias(f"fp_{x}"), F.coalesce("root", "id").alias(f"root_{x}"))
 
     star = [
-        shared.where(F.col(f"{end}.id") != F.col("id")).where(close(f"{end}.n", "n", similarity))
-        .select(F.least(f"{end}.id", "id").alias("a"), F.greatest(f"{end}.id", "id").alias("b"))
+        shared.where(F.col(end) != F.col("id")).select(F.least(end, "id").alias("a"), F.greatest(end, "id").alias("b"))
         for end in ("low", "last")
     ]
     star = reduce(DataFrame.union, star).distinct()
-    tried = cut(rooted(rooted(star, "a"), "b").where("root_a <> root_b").select("a", "b"))
+    tried = cut(star.join(side("a"), "a").join(side("b"), "b").where("root_a <> root_b").where(close(similarity)).select("a", "b"))
     first = cut(verified(tried, texts, similarity))
 
     groups = cut(components(links.union(first)))
-    placed = saved(rooted(shared.select("key", F.col("id").alias("a"), "n"), "a"))
+    placed = saved(shared.select("key", F.col("id").alias("a")).join(side("a"), "a"))
     several = placed.groupBy("key").agg(F.min("root_a").alias("x"), F.max("root_a").alias("y"), F.count("*").alias("m"))
     apart = placed.join(several.where("x < y and m > 2").select("key"), "key", "left_semi")  # a pair alone was tried
-    other = apart.select("key", F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("root_a").alias("root_b"))
-    open_ = apart.join(other, "key").where("a < b and root_a <> root_b").where(close("n", "n_b", similarity)).select("a", "b").distinct()
+    other = apart.select("key", *(F.col(f"{c}a").alias(f"{c}b") for c in ("", "n_", "fp_", "root_")))
+    open_ = apart.join(other, "key").where("a < b and root_a <> root_b").where(close(similarity)).select("a", "b").distinct()
     return first.union(verified(open_.join(tried, ["a", "b"], "left_anti"), texts, similarity))
 
 
-def line_groups(docs: DataFrame, nodes: DataFrame, min_words: int, similarity: float, segments: bool) -> DataFrame:
-    """(id, root) of the lines in a group of two different lines or more."""
+def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame:
+    """(a, b) of lines that are similar, one path at least between any two of a group."""
     fps = cut(nodes.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
     block = saved(shared_blocks(fps))
     other = block.select(F.col("fp").alias("b"), "key")
     linked = cut(block.join(other, [block["key"] == other["key"], F.col("fp") != F.col("b"), near("fp", "b")], "left_semi").select("fp").distinct())
     several = fps.where("n > 1").select("fp").union(linked).distinct()
     member = saved(nodes.select("id", "fp").join(several, "fp", "left_semi").join(fps, "fp").select("id", "fp", "rep"))
-    if segments:
-        texts = saved(all_codes(docs, min_words))
-    else:
-        texts = saved(line_codes(docs, nodes.join(member.select("id"), "id", "left_semi").select("id", "first")))
-
     block = saved(block.join(linked, "fp", "left_semi"))
     own = member.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     star = [
@@ -250,7 +236,7 @@ def line_groups(docs: DataFrame, nodes: DataFrame, min_words: int, similarity: f
     ]
     ends = [fps.select(F.col("fp").alias(f"f{x}"), F.col("rep").alias(x)) for x in "ab"]
     star = reduce(DataFrame.union, star).distinct().join(ends[0], "fa").join(ends[1], "fb").select("a", "b")
-    found = cut(verified(own.union(star), texts, similarity))
+    found = cut(verified(own.union(star), nodes, similarity))
 
     placed = cut(_placed(member, found))
     part = placed.select("fp", "root").distinct()
@@ -265,11 +251,11 @@ def line_groups(docs: DataFrame, nodes: DataFrame, min_words: int, similarity: f
         .distinct()
     )
     ma, mb = (placed.select(*(F.col(c).alias(f"{c}_{x}") for c in ("fp", "root")), F.col("id").alias(x)) for x in "ab")
-    more = verified(open_.join(ma, ["fp_a", "root_a"]).join(mb, ["fp_b", "root_b"]).select("a", "b").distinct(), texts, similarity)
+    more = verified(open_.join(ma, ["fp_a", "root_a"]).join(mb, ["fp_b", "root_b"]).select("a", "b").distinct(), nodes, similarity)
     links = cut(found.union(more))
     if segments:
-        links = links.union(run_links(texts, links, similarity))
-    return components(links).select(F.col("node").alias("id"), "root")
+        links = links.union(run_links(nodes, links, similarity))
+    return links
 
 
 def _placed(member: DataFrame, links: DataFrame) -> DataFrame:
@@ -279,17 +265,18 @@ def _placed(member: DataFrame, links: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, segments: bool = False) -> DataFrame:
     """(doc_id, text_hash, removed): the line numbers that go, by document."""
-    judged = saved(line_table(docs))
-    at = F.struct("doc_id", "text_hash", "line_no")
-    nodes = saved(judged.groupBy("id").agg(F.min(at).alias("first"), F.first("fp").alias("fp"), F.first("n_words").alias("n_words"), F.count("*").alias("n")))
-    groups = line_groups(docs, nodes.where(F.col("n_words") >= min_words).drop("n_words"), max(1, min_words), similarity, segments)
-    rooted = groups.select("id", "root").union(groups.select("root", "root").distinct())
-    exact = nodes.where("n > 1").join(rooted, "id", "left_anti").select("id", "first")
-    grouped = nodes.join(rooted, "id").select("id", "root", "first")
-    firsts = grouped.groupBy("root").agg(F.min("first").alias("kept"))
-    fuzzy = grouped.join(firsts, "root").select("id", "kept")
-    kept = saved(fuzzy.union(exact.select("id", F.col("first").alias("kept"))))
-    gone = judged.join(kept, "id").where(~at.eqNullSafe(F.col("kept")))
+    nodes = line_nodes(docs)
+    alike = nodes.groupBy("norm").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1")
+    equal = cut(nodes.select("norm", F.col("id").alias("b")).join(alike, "norm").where("a <> b").select("a", "b"))
+    judged = nodes.where(F.col("n_words") >= max(1, min_words))
+    groups = components(equal.union(line_links(judged, similarity, segments)))
+    rooted = groups.select(F.col("node").alias("id"), "root").union(groups.select("root", "root").distinct())
+    repeated = nodes.select("id", "line", "times").join(rooted, "id", "left").where("root is not null or times > 1")
+    repeated = saved(repeated.select("line", F.coalesce("root", "id").alias("root")))
+    at = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    found = saved(at.select("doc_id", "text_hash", "line_no", F.xxhash64("raw").alias("line")).join(repeated, "line").drop("line"))
+    place = F.struct("doc_id", "text_hash", "line_no")
+    gone = found.join(found.groupBy("root").agg(F.min(place).alias("kept")), "root").where(~place.eqNullSafe(F.col("kept")))
     return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("removed"))
 
 
