@@ -17,7 +17,7 @@ from .common import importable, saved, table
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
-    ("example.org", "/en/1", "allow"),
+    ("example.org", "/en/1", "block"),
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
