@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("visitlens.llm")
 import public_tokenizers
@@ -18,7 +20,7 @@ import corpus_pipeline
 from visitlens.llm import (
     components, decontaminate, host_reputation, license_scan, line_dedup, mtree, page_quality, pii, piece_codec, simhash_dedup, token_store, toxicity,
 )
-from visitlens.llm.common import importable
+from visitlens.llm.common import SHUFFLES_GO, cut, importable, saved
 from visitlens.llm.queries import LICENSE_PHRASES, URL_RULES
 
 SF = "/root/testdata/sf0.001"
@@ -220,6 +222,36 @@ def test_line_dedup_edge_rows(spark, docs, none):
     assert line_dedup.clean_documents(none).count() == 0
 
 
+def test_steps_leave_no_shuffle_files(spark):
+    """Files of finished steps took line dedup, alone and in the pipeline, over its disk."""
+
+    def shuffle_files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [blocks.apply(i).getName() for i in range(blocks.size())]
+        return {n for n in names if n.startswith("shuffle_")}
+
+    rows = spark.createDataFrame([(i % 7, f"line {i}") for i in range(200)], "k long, text string").repartition(4)
+    held = spark.conf.get(SHUFFLES_GO)
+    before = shuffle_files()
+    for step in (saved, cut):
+        counted = step(rows.groupBy("k").agg(F.count("*").alias("n")).join(rows, "k"))
+        for _ in range(100):  # executors delete them in the background
+            left = shuffle_files() - before
+            if not left:
+                break
+            time.sleep(0.1)
+        assert not left, step
+        assert counted.count() == 200 and counted.agg(F.sum("n")).first()[0] == sum(len(range(k, 200, 7)) ** 2 for k in range(7))
+        before |= shuffle_files()
+    assert spark.conf.get(SHUFFLES_GO) == held
+
+
+def test_lines_have_words_where_words_are_cut(spark):
+    lines = ["", " ", "...!", "a", "\u0130", "7", "_", "\u0301", "\u0e31", "\u0e31 -", "\u1038", "\u4e2d", "\u24b6", "\u2160", "\u00e9?", "\U00020000", "\u3005", "\u09be", "\ud55c", "\u00b2", "- \u17e0"]
+    found = spark.createDataFrame([(x,) for x in lines], "raw string").select("raw", (F.size(line_dedup.line_words("raw")) > 0).alias("cut"), line_dedup.has_words("raw").alias("has"))
+    assert [(r["raw"], r["cut"]) for r in found.collect()] == [(r["raw"], r["has"]) for r in found.collect()]
+
+
 # 2 host reputation ------------------------------------------------------------
 
 

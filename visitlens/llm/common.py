@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,15 +74,37 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Spark's own setting (4.1 on): the shuffle files of an execution go when it has ended.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files. Else they stay until the driver
+    happens to collect its garbage, and a query of many steps holds those of
+    several steps at once; the files that a step writes are all that is read again."""
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder as a table and read back: the
     lineage ends there and each later read of the table costs one scan."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_go(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint (files that go when the DataFrame is collected)."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_go(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # the setting holds for DataFrames made under it

@@ -80,6 +80,11 @@ def line_words(line: str) -> Column:
     return F.array_remove(F.when(low.rlike(NO_BLANKS), single).otherwise(F.split(low, BREAK)), "")
 
 
+def has_words(line: str) -> Column:
+    """Whether ``line_words`` finds any, without cutting the line."""
+    return F.lower(F.col(line)).rlike(rf"[\p{{L}}\p{{N}}{MARKED}]")
+
+
 def simhashes(lines: DataFrame) -> DataFrame:
     """``lines`` (keys, hashes: array of word hashes, not empty) with fp in
     place of hashes.
@@ -111,10 +116,11 @@ def line_nodes(docs: DataFrame) -> DataFrame:
     words: a number, the hashes of the line and of its words, how often the line
     is there, its words as letters, its SimHash.
 
-    Lines are counted as they stand and then cut into words, each once. The
+    Lines are counted as they stand and then cut into words, each once: a filter on
+    the words would be moved before the count and cut each line twice more. The
     SimHash's sums need no shuffle of their own: they group by the line, too."""
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("raw")).groupBy("raw").agg(F.count("*").alias("times"))
-    words = lines.select("raw", "times", line_words("raw").alias("words")).where(F.size("words") > 0)
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("raw")).where(has_words("raw")).groupBy("raw").agg(F.count("*").alias("times"))
+    words = lines.select("raw", "times", line_words("raw").alias("words"))
     letter = F.transform("words", lambda w: F.get(F.split(F.lit(LETTERS), ""), F.pmod(F.xxhash64(w), F.lit(len(LETTERS))).cast("int")))
     hashed = words.select(
         "raw", "times", F.xxhash64("words").alias("norm"), F.size("words").alias("n_words"), F.array_join(letter, "").alias("code"),
