@@ -185,6 +185,46 @@ def test_line_runs_join_all_that_is_apart(spark):
     assert {r["doc_id"] for r in out if r["n_removed"]} == want and len(want) > 20
 
 
+def test_line_runs_of_a_common_passage(spark, monkeypatch):
+    """Lines that begin alike and go on otherwise are not verified pair by pair; similar ones among them are found."""
+    rng, rows, want = random.Random(4), [], set()
+    passage = [f"p{k}" for k in range(24)]
+    for _ in range(60):
+        rows.append((len(rows), " ".join(passage + [f"x{rng.getrandbits(40):x}" for _ in range(36)])))
+    for d, kinds in ((3, ("swap",)), (11, ("swap", "put", "take")), (40, ("swap",))):
+        want.add(len(rows))
+        tail = edited(rng, rows[d][1].split()[24:], 10, kinds)
+        rows.append((len(rows), " ".join(passage + tail)))
+    counts, verified = [], line_dedup.verified
+    monkeypatch.setattr(line_dedup, "verified", lambda pairs, *rest: counts.append(pairs.count()) or verified(pairs, *rest))
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), segments=True).collect()
+    assert {r["doc_id"] for r in out if r["n_removed"]} == want
+    assert counts[-1] <= len(rows)
+
+
+def test_line_pairs_of_rare_words_and_parities_lose_none(spark):
+    """Every similar pair of lines of one run is a candidate, whatever the edits, with words that repeat."""
+    rng, lines = random.Random(6), []
+    for n in (5, 6, 9, 10, 14, 15, 40):
+        for _ in range(12):
+            base = [f"w{min(rng.randrange(30), rng.randrange(30))}" for _ in range(n)]
+            lines += [base, *(edited(rng, base, rng.randint(0, n // 5), ("swap", "put", "take")) for _ in range(2))]
+    code = ["".join(chr(0x800 + zlib.crc32(w.encode()) % 50_000) for w in line) for line in lines]
+    texts = spark.createDataFrame([(i, c, len(c)) for i, c in enumerate(code)], "id long, code string, n_words int")
+    letters = line_dedup.line_letters(texts)
+    marks = [f"p{k}" for k in range(line_dedup.PARITY)]
+    rows = texts.join(line_dedup.parities(letters), "id").join(line_dedup.rare_words(letters, 0.8), "id").select(
+        F.col("id").alias("a"), F.col("n_words").alias("n_a"), F.lit(0).cast("long").alias("fp_a"), F.col("id").alias("root_a"),
+        *(F.col(p).alias(f"{p}_a") for p in marks), "word", "nth",
+    )
+    found = {(r["a"], r["b"]) for r in line_dedup.pairs_apart(rows, ["word", "nth"], 0.8).collect()}
+    similar = {
+        (i, j) for j, b in enumerate(code) for i, a in enumerate(code[:j])
+        if abs(len(a) - len(b)) <= 8 and word_edits(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9)
+    }
+    assert similar <= found and len(similar) > 100
+
+
 def test_line_dedup_short_lines_and_scripts_without_blanks(spark):
     han = "我们今天在北京的一个小公园里看到了很多不同的花和鸟"
     rows = [

@@ -28,7 +28,13 @@ lines without a letter or digit stay.
    line, both ends edited, can be missed. A fifth of the distinct words replaced
    changes 13 bits on average with a deviation of 3.2, so the radius loses about one
    such pair in 2,000, more of lines that repeat few words often. Again two
-   lines of each run are tried first, then all pairs that are still apart.
+   lines of each run are tried first, then all pairs that are still apart. Of a run
+   that more than HOT lines share, those pairs must also share one of their rarest
+   words: e edits leave all but e words of the longer line, so a line's rarest
+   floor(0.2 n) + 1 and the other's always have one in common. And their PARITY bits,
+   each the parity of how many words fall to it, may differ in 2 e places only, two for
+   each replaced word. No similar pair is lost by that, and a passage that thousands of
+   lines begin with does not pair them all.
 5. Each connected group keeps its first occurrence in (doc_id, text hash, line
    number) order; the others are taken out of their documents.
 
@@ -59,6 +65,10 @@ ENDS = 3
 #: Most bits by which lines that share a run may differ to be verified.
 RUN_BITS = 24
 
+#: Lines that share a run from which on their pairs must share a rare word too; the
+#: longs that hold a line's word parities.
+HOT, PARITY = 16, 4
+
 #: The letters that stand for words where word edits are counted.
 LETTERS = "".join(map(chr, range(0x800, 0xD800)))
 
@@ -175,11 +185,15 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return found.where(similar(similarity)).select("a", "b")
 
 
+def edits(n: str | Column, similarity: float) -> Column:
+    """Most word edits between similar lines the longer of which has ``n`` words."""
+    return F.floor((1 - similarity) * (F.col(n) if isinstance(n, str) else n) + 1e-9).cast("int")
+
+
 def line_runs(texts: DataFrame, similarity: float) -> DataFrame:
     """(key, id): the runs of words of each line by place, from its start one more
     than it may have edits, and the last few from its end."""
-    edits = F.floor((1 - similarity) * F.col("n_words") + 1e-9).cast("int")
-    chars = texts.select("id", F.col("n_words").alias("n"), edits.alias("edits"), F.split("code", "").alias("c"))
+    chars = texts.select("id", F.col("n_words").alias("n"), edits("n_words", similarity).alias("edits"), F.split("code", "").alias("c"))
     out = []
     for q, least, most in RUNS:
         some = chars.where(F.col("n") >= least) if most is None else chars.where(F.col("n").between(least, most))
@@ -192,11 +206,41 @@ def line_runs(texts: DataFrame, similarity: float) -> DataFrame:
 
 def close(similarity: float) -> Column:
     """Line lengths that leave room for ``similarity``, SimHashes within the radius of runs."""
-    longer = F.greatest("n_a", "n_b")
-    fits = F.abs(F.col("n_a") - F.col("n_b")) <= F.floor((1 - similarity) * longer + 1e-9)
+    fits = F.abs(F.col("n_a") - F.col("n_b")) <= edits(F.greatest("n_a", "n_b"), similarity)
     return fits & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= RUN_BITS)
 
 
+def line_letters(texts: DataFrame) -> DataFrame:
+    """(id, n_words, word, nth) of each word of a line: its letter, and its how many-eth there."""
+    at = texts.select("id", "code", "n_words", F.explode(F.expr("sequence(1, n_words)")).alias("place"))
+    one = at.select("id", "n_words", "place", F.expr("ascii(substring(code, place, 1))").alias("word"))
+    return one.select("id", "n_words", "word", F.row_number().over(Window.partitionBy("id", "word").orderBy("place")).alias("nth"))
+
+
+def parities(letters: DataFrame) -> DataFrame:
+    """(id, p0, p1, ...): 64 PARITY bits of a line, each the parity of the words that fall to it."""
+    bit = [F.expr(f"if(word div 64 % {PARITY} = {k}, shiftleft(1L, word % 64), 0L)") for k in range(PARITY)]
+    return letters.groupBy("id").agg(*(F.bit_xor(b).alias(f"p{k}") for k, b in enumerate(bit)))
+
+
+def rare_words(letters: DataFrame, similarity: float) -> DataFrame:
+    """(id, word, nth): each line's floor((1 - similarity) n) + 1 rarest words, without those no other line has."""
+    lines = letters.groupBy("word", "nth").agg(F.count("*").alias("lines"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("lines", "word", "nth"))
+    ranked = letters.join(lines, ["word", "nth"]).withColumn("rank", rank)
+    return ranked.where((F.col("rank") <= edits("n_words", similarity) + 1) & (F.col("lines") > 1)).select("id", "word", "nth")
+
+
+def pairs_apart(rows: DataFrame, on: list[str], similarity: float) -> DataFrame:
+    """The (a, b) of ``rows`` (a, n_a, ...) that agree in ``on``, are apart and may be similar."""
+    columns = [c for c in rows.columns if c.endswith("a")]
+    other = rows.select(*on, *(F.col(c).alias(f"{c[:-1]}b") for c in columns))
+    flips = sum(F.bit_count(F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b"))) for k in range(PARITY))
+    alike = close(similarity) & (flips <= 2 * edits(F.greatest("n_a", "n_b"), similarity))
+    found = rows.select(*on, *columns).join(other, on).where("a < b and root_a <> root_b").where(alike)
+    return found.select("a", "b").distinct()
+
+
 def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) of similar lines that share a run and that ``links`` leaves apart."""
     w = Window.partitionBy("key").orderBy("id")
@@ -219,10 +263,20 @@ def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFram
 
     groups = cut(components(links.union(first)))
     placed = saved(shared.select("key", F.col("id").alias("a")).join(side("a"), "a"))
-    several = placed.groupBy("key").agg(F.min("root_a").alias("x"), F.max("root_a").alias("y"), F.count("*").alias("m"))
-    apart = placed.join(several.where("x < y and m > 2").select("key"), "key", "left_semi")  # a pair alone was tried
-    other = apart.select("key", *(F.col(f"{c}a").alias(f"{c}b") for c in ("", "n_", "fp_", "root_")))
-    open_ = apart.join(other, "key").where("a < b and root_a <> root_b").where(close(similarity)).select("a", "b").distinct()
+    several = placed.groupBy("key").agg(
+        F.min("root_a").alias("x"), F.max("root_a").alias("y"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("a")).alias("ids")
+    )
+    once = several.where("x < y and m > 2").groupBy("m", "ids").agg(F.min("key").alias("key"))  # runs of the same lines; a pair alone was tried
+    apart = placed.join(once.select("key", "m"), "key")
+    lines = texts.join(apart.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+    letters = saved(line_letters(lines))
+    marks = parities(letters).select(F.col("id").alias("a"), *(F.col(f"p{k}").alias(f"p{k}_a") for k in range(PARITY)))
+    apart = saved(apart.join(marks, "a"))
+    hot = apart.where(F.col("m") > HOT)
+    rare = rare_words(letters.join(hot.select(F.col("a").alias("id")).distinct(), "id", "left_semi"), similarity)
+    few = pairs_apart(apart.where(F.col("m") <= HOT), ["key"], similarity)
+    many = pairs_apart(hot.join(rare.withColumnRenamed("id", "a"), "a"), ["key", "word", "nth"], similarity)
+    open_ = few.union(many).distinct()
     return first.union(verified(open_.join(tried, ["a", "b"], "left_anti"), texts, similarity))
 
 
