@@ -531,6 +531,24 @@ def test_toxicity_learns_from_documents(spark, none):
     assert toxicity.scored(none, toxicity.train([], [])).count() == 0
 
 
+def test_toxicity_is_fitted_without_texts_on_the_driver(spark, monkeypatch):
+    rows = [(i, None if i % 5 == 4 else ('vile words.' if i % 2 else 'good words.')) for i in range(60)]
+    docs = spark.createDataFrame(rows + rows[:9], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    used = [(i, t or "") for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    want = toxicity.train([t for _, t in used], [i % 2 for i, _ in used])
+    collect = type(docs).collect
+
+    def watched(self):
+        assert "text" not in self.columns
+        return collect(self)
+
+    monkeypatch.setattr(type(docs), "collect", watched)
+    assert toxicity.fit(docs, labels) == want and want.weights
+    assert toxicity.fit(docs.where("false"), labels) == toxicity.train([], [])
+    assert toxicity.fit(docs, labels.where("toxic = 0")).weights == {}
+
+
 def test_toxicity_held_out_accuracy(spark):
     rows = entry.queries()["op6_toxicity"](spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

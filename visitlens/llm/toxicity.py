@@ -7,9 +7,9 @@ labels, which gives the blame to the sentences that explain them; scoring
 returns those sentences too.
 
 Training reads at most ``max_docs`` labelled documents (those of the smallest
-xxhash64(doc_id); that bound is a parameter of the model, fitted on the driver)
-and words that occur in ``min_docs`` of them or more; a word is counted over
-whole texts. Scoring runs over all rows, whole texts, in tasks.
+xxhash64(doc_id); that bound is a parameter of the model, fitted in one task: the
+driver holds the weights only) and words that occur in ``min_docs`` of them or more;
+a word is counted over whole texts. Scoring runs over all rows, whole texts, in tasks.
 
 Null and empty texts have one empty sentence. Labels with null doc_id or label
 are ignored. Without both labels the score is the share of label 1. Repeated
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, with_id
+from .common import id_text, importable, with_id
 
 sentences_of = re.compile(r"[^.!?\n]+").findall
 words_of = re.compile(r"[^\W\d_]+").findall
@@ -117,9 +117,20 @@ def held_out() -> object:
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model:
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out()).select("doc_id", "toxic")
     chosen = known.orderBy(F.xxhash64("doc_id"), "toxic").limit(max_docs)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(2 * max_docs).collect()
-    rows = sorted({(r["doc_id"], r["text"] or "", r["toxic"]) for r in rows})
-    return train([r[1] for r in rows], [int(r[2]) for r in rows])
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(2 * max_docs)  # one partition
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[tuple] = set()
+        for pdf in batches:
+            seen.update(zip(*(pdf[c].tolist() for c in ("doc_id", "toxic")), pdf["text"].fillna("").tolist(), strict=True))
+        used = sorted((d, text, toxic) for d, toxic, text in seen)
+        model = train([x[1] for x in used], [int(x[2]) for x in used])
+        yield pd.DataFrame({"word": [None, *model.weights], "weight": [model.bias, *model.weights.values()]})
+
+    importable(docs.sparkSession)
+    found = rows.mapInPandas(run, "word string, weight double").collect()
+    weights = {r["word"]: r["weight"] for r in found} or {None: train([], []).bias}  # no task for no rows
+    return Model(weights.pop(None), weights)
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
