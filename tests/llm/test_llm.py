@@ -225,6 +225,29 @@ def test_line_pairs_of_rare_words_and_parities_lose_none(spark):
     assert similar <= found and len(similar) > 100
 
 
+def test_line_letters_are_not_shuffled(spark):
+    """A row for each word of a line went through four exchanges; codes go through one, by id."""
+    lines = [[f"w{(7 * i + k * k) % 90}" for k in range(30)] for i in range(60)]
+    code = ["".join(chr(0x800 + zlib.crc32(w.encode()) % 50_000) for w in line) for line in lines]
+    texts = spark.createDataFrame([(i, c, len(c)) for i, c in enumerate(code)], "id long, code string, n_words int")
+    rare = line_dedup.rare_words(line_dedup.line_letters(texts), 0.8)
+    assert rare.groupBy("id").count().agg(F.max("count")).first()[0] == 7
+    plan = rare._jdf.queryExecution().executedPlan().toString().split("\n")
+    dealt = [x for x in plan if "Exchange hashpartitioning(" in x]
+    assert sorted({x.split("hashpartitioning(")[1].split("#")[0] for x in dealt}) == ["id", "word"]
+    assert not [x for x in plan if "SortMergeJoin" in x] and not [x for x in dealt if "hashpartitioning(word" in x and "nth" in x]
+
+
+def test_line_pairs_are_written_before_their_lines_are_joined(spark, monkeypatch):
+    """The files of the last pairs' joins stayed beside those of all lines, twice the disk of any other step."""
+    rng, plans, verified = random.Random(8), [], line_dedup.verified
+    heads = [[f"h{i}x{k}" for k in range(12)] for i in range(3)]
+    rows = [(d, " ".join(heads[d % 3] + [f"x{rng.getrandbits(40):x}" for _ in range(18)])) for d in range(60)]
+    monkeypatch.setattr(line_dedup, "verified", lambda pairs, *rest: plans.append(pairs._jdf.queryExecution().optimizedPlan().toString()) or verified(pairs, *rest))
+    assert line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), segments=True).count() == 60
+    assert len(plans) == 4 and not any("Join" in p for p in plans[2:])
+
+
 def test_line_dedup_short_lines_and_scripts_without_blanks(spark):
     han = "我们今天在北京的一个小公园里看到了很多不同的花和鸟"
     rows = [
@@ -286,6 +309,12 @@ def test_steps_leave_no_shuffle_files(spark):
     assert spark.conf.get(SHUFFLES_GO) == held
 
 
+def test_steps_are_written_small(spark):
+    """A query's steps stay until it ends."""
+    kept = saved(spark.range(100))
+    assert kept.count() == 100 and all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
+
+
 def test_lines_have_words_where_words_are_cut(spark):
     lines = ["", " ", "...!", "a", "\u0130", "7", "_", "\u0301", "\u0e31", "\u0e31 -", "\u1038", "\u4e2d", "\u24b6", "\u2160", "\u00e9?", "\U00020000", "\u3005", "\u09be", "\ud55c", "\u00b2", "- \u17e0"]
     found = spark.createDataFrame([(x,) for x in lines], "raw string").select("raw", (F.size(line_dedup.line_words("raw")) > 0).alias("cut"), line_dedup.has_words("raw").alias("has"))

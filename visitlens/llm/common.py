@@ -99,7 +99,7 @@ def saved(df: DataFrame) -> DataFrame:
     lineage ends there and each later read of the table costs one scan."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/step-{uuid.uuid4().hex}"
     with shuffles_go(df.sparkSession):
-        df.write.parquet(path)
+        df.write.parquet(path, compression="zstd")  # a query's steps stay until it ends
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -211,8 +211,11 @@ def close(similarity: float) -> Column:
 
 
 def line_letters(texts: DataFrame) -> DataFrame:
-    """(id, n_words, word, nth) of each word of a line: its letter, and its how many-eth there."""
-    at = texts.select("id", "code", "n_words", F.explode(F.expr("sequence(1, n_words)")).alias("place"))
+    """(id, n_words, word, nth) of each word of a line: its letter, and its how many-eth there.
+
+    Lines are dealt out by id before they are cut: their letters then are where all
+    that is asked by line needs them, and only the short codes are shuffled."""
+    at = texts.select("id", "code", "n_words").repartition("id").select("*", F.explode(F.expr("sequence(1, n_words)")).alias("place"))
     one = at.select("id", "n_words", "place", F.expr("ascii(substring(code, place, 1))").alias("word"))
     return one.select("id", "n_words", "word", F.row_number().over(Window.partitionBy("id", "word").orderBy("place")).alias("nth"))
 
@@ -224,11 +227,14 @@ def parities(letters: DataFrame) -> DataFrame:
 
 
 def rare_words(letters: DataFrame, similarity: float) -> DataFrame:
-    """(id, word, nth): each line's floor((1 - similarity) n) + 1 rarest words, without those no other line has."""
-    lines = letters.groupBy("word", "nth").agg(F.count("*").alias("lines"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("lines", "word", "nth"))
-    ranked = letters.join(lines, ["word", "nth"]).withColumn("rank", rank)
-    return ranked.where((F.col("rank") <= edits("n_words", similarity) + 1) & (F.col("lines") > 1)).select("id", "word", "nth")
+    """(id, word, nth): each line's floor((1 - similarity) n) + 1 rarest words, without those that are there once.
+
+    Any one order of the words will do, so they are ranked by how often they are there
+    in all: that is a row for each letter, no more than LETTERS has, and is broadcast."""
+    often = letters.groupBy("word").agg(F.count("*").alias("often"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("often", "word", "nth"))
+    ranked = letters.join(F.broadcast(often), "word").withColumn("rank", rank)
+    return ranked.where((F.col("rank") <= edits("n_words", similarity) + 1) & (F.col("often") > 1)).select("id", "word", "nth")
 
 
 def pairs_apart(rows: DataFrame, on: list[str], similarity: float) -> DataFrame:
@@ -268,16 +274,15 @@ def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFram
     )
     once = several.where("x < y and m > 2").groupBy("m", "ids").agg(F.min("key").alias("key"))  # runs of the same lines; a pair alone was tried
     apart = placed.join(once.select("key", "m"), "key")
-    lines = texts.join(apart.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
-    letters = saved(line_letters(lines))
-    marks = parities(letters).select(F.col("id").alias("a"), *(F.col(f"p{k}").alias(f"p{k}_a") for k in range(PARITY)))
+    lines = saved(texts.select("id", "n_words", "code").join(apart.select(F.col("a").alias("id")).distinct(), "id", "left_semi"))
+    marks = parities(line_letters(lines)).select(F.col("id").alias("a"), *(F.col(f"p{k}").alias(f"p{k}_a") for k in range(PARITY)))
     apart = saved(apart.join(marks, "a"))
     hot = apart.where(F.col("m") > HOT)
-    rare = rare_words(letters.join(hot.select(F.col("a").alias("id")).distinct(), "id", "left_semi"), similarity)
+    rare = saved(rare_words(line_letters(lines.join(hot.select(F.col("a").alias("id")).distinct(), "id", "left_semi")), similarity))
     few = pairs_apart(apart.where(F.col("m") <= HOT), ["key"], similarity)
     many = pairs_apart(hot.join(rare.withColumnRenamed("id", "a"), "a"), ["key", "word", "nth"], similarity)
-    open_ = few.union(many).distinct()
-    return first.union(verified(open_.join(tried, ["a", "b"], "left_anti"), texts, similarity))
+    open_ = cut(few.union(many).distinct().join(tried, ["a", "b"], "left_anti"))  # the joins' files go before the lines' are made
+    return first.union(cut(verified(open_, texts, similarity)))
 
 
 def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame:
