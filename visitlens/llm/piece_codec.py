@@ -42,7 +42,7 @@ class PieceEncoder:
     ``max_words``: bound of the word cache; beyond it the cache starts anew.
     """
 
-    def __init__(self, model_file: str, max_words: int = 600_000):
+    def __init__(self, model_file: str, max_words: int = 250_000):
         import sentencepiece
 
         self.lib = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -162,7 +162,7 @@ def piece_encoder(model_file: str) -> PieceEncoder:
     return PieceEncoder(model_file)
 
 
-def slices(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: list[str], most: int = 500_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` characters (one text at least)."""
     start = size = 0
     for i, t in enumerate(texts):
