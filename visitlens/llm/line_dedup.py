@@ -69,6 +69,9 @@ RUN_BITS = 24
 #: longs that hold a line's word parities.
 HOT, PARITY = 16, 4
 
+#: Up to which occurrence in a line a word's occurrences are counted apart.
+NTH = 4
+
 #: The letters that stand for words where word edits are counted.
 LETTERS = "".join(map(chr, range(0x800, 0xD800)))
 
@@ -204,10 +207,10 @@ def line_runs(texts: DataFrame, similarity: float) -> DataFrame:
     return reduce(DataFrame.union, out)
 
 
-def close(similarity: float) -> Column:
+def close(similarity: float, a: str = "a", b: str = "b") -> Column:
     """Line lengths that leave room for ``similarity``, SimHashes within the radius of runs."""
-    fits = F.abs(F.col("n_a") - F.col("n_b")) <= edits(F.greatest("n_a", "n_b"), similarity)
-    return fits & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= RUN_BITS)
+    fits = F.abs(F.col(f"n_{a}") - F.col(f"n_{b}")) <= edits(F.greatest(f"n_{a}", f"n_{b}"), similarity)
+    return fits & (F.bit_count(F.col(f"fp_{a}").bitwiseXOR(F.col(f"fp_{b}"))) <= RUN_BITS)
 
 
 def line_letters(texts: DataFrame) -> DataFrame:
@@ -229,22 +232,24 @@ def parities(letters: DataFrame) -> DataFrame:
 def rare_words(letters: DataFrame, similarity: float) -> DataFrame:
     """(id, word, nth): each line's floor((1 - similarity) n) + 1 rarest words, without those that are there once.
 
-    Any one order of the words will do, so they are ranked by how often they are there
-    in all: that is a row for each letter, no more than LETTERS has, and is broadcast."""
-    often = letters.groupBy("word").agg(F.count("*").alias("often"))
+    Any one order of the words will do, so they are ranked by how often they are there,
+    those beyond the NTH of a line together: NTH rows for each of LETTERS at most, which
+    are broadcast."""
+    counted = letters.withColumn("nth_to", F.least("nth", F.lit(NTH)))
+    often = counted.groupBy("word", "nth_to").agg(F.count("*").alias("often"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("often", "word", "nth"))
-    ranked = letters.join(F.broadcast(often), "word").withColumn("rank", rank)
+    ranked = counted.join(F.broadcast(often), ["word", "nth_to"]).withColumn("rank", rank)
     return ranked.where((F.col("rank") <= edits("n_words", similarity) + 1) & (F.col("often") > 1)).select("id", "word", "nth")
 
 
 def pairs_apart(rows: DataFrame, on: list[str], similarity: float) -> DataFrame:
     """The (a, b) of ``rows`` (a, n_a, ...) that agree in ``on``, are apart and may be similar."""
     columns = [c for c in rows.columns if c.endswith("a")]
-    other = rows.select(*on, *(F.col(c).alias(f"{c[:-1]}b") for c in columns))
-    flips = sum(F.bit_count(F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b"))) for k in range(PARITY))
-    alike = close(similarity) & (flips <= 2 * edits(F.greatest("n_a", "n_b"), similarity))
-    found = rows.select(*on, *columns).join(other, on).where("a < b and root_a <> root_b").where(alike)
-    return found.select("a", "b").distinct()
+    x, y = (rows.select(*on, *(F.col(c).alias(f"{c[:-1]}{end}") for c in columns)) for end in "xy")  # both renamed: one shuffle serves both
+    flips = sum(F.bit_count(F.col(f"p{k}_x").bitwiseXOR(F.col(f"p{k}_y"))) for k in range(PARITY))
+    alike = close(similarity, "x", "y") & (flips <= 2 * edits(F.greatest("n_x", "n_y"), similarity))
+    found = x.join(y, on).where("x < y and root_x <> root_y").where(alike)
+    return found.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
 
 def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
@@ -280,7 +285,8 @@ def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFram
     hot = apart.where(F.col("m") > HOT)
     rare = saved(rare_words(line_letters(lines.join(hot.select(F.col("a").alias("id")).distinct(), "id", "left_semi")), similarity))
     few = pairs_apart(apart.where(F.col("m") <= HOT), ["key"], similarity)
-    many = pairs_apart(hot.join(rare.withColumnRenamed("id", "a"), "a"), ["key", "word", "nth"], similarity)
+    both = hot.join(rare.withColumnRenamed("id", "a"), "a").withColumn("at", F.xxhash64("key", "word", "nth"))
+    many = pairs_apart(both, ["at"], similarity)
     open_ = cut(few.union(many).distinct().join(tried, ["a", "b"], "left_anti"))  # the joins' files go before the lines' are made
     return first.union(cut(verified(open_, texts, similarity)))
 
