@@ -7,6 +7,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -248,6 +249,69 @@ def test_line_pairs_are_written_before_their_lines_are_joined(spark, monkeypatch
     assert len(plans) == 4 and not any("Join" in p for p in plans[2:])
 
 
+def test_line_runs_are_cut_in_one_pass(spark):
+    """Codes were read and cut six times, each run's words looked up one by one."""
+    rng = random.Random(9)
+    code = ["".join(chr(0x800 + rng.randrange(3)) for _ in range(n)) for n in (1, 2, 3, 5, 6, 7, 8, 9, 12, 16, 17, 23, 40) for _ in range(6)]
+    texts = spark.createDataFrame([(i, c, len(c)) for i, c in enumerate(code)], "id long, code string, n_words int")
+    want = defaultdict(set)
+    for i, c in enumerate(code):
+        n = len(c)
+        for q, least, most in line_dedup.RUNS:
+            if least <= n <= (most or n):
+                for k in range(min(n // q, int(0.2 * n + 1e-9) + 1)):
+                    want[q, 0, k, c[k * q : k * q + q]].add(i)
+                for k in range(min(n // q, line_dedup.ENDS)):
+                    want[q, 1, k, c[n - k * q - q : n - k * q]].add(i)
+    runs, found = line_dedup.line_runs(texts, 0.8), defaultdict(set)
+    for r in runs.collect():
+        found[r["key"]].add(r["id"])
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+    assert runs.count() == sum(map(len, want.values()))
+    plan = runs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "Union" not in plan
+
+
+def test_line_words_are_counted_and_keys_found_without_sorts_by_more(spark):
+    """The how many-eth of a word came from a sort of all words of all lines; keys that are there once were sorted with their ids."""
+    texts = spark.createDataFrame([(1, "\u0900\u0901\u0900\u0900"), (2, "\u0901")], "id long, code string").withColumn("n_words", F.length("code"))
+    letters = line_dedup.line_letters(texts)
+    assert Counter((r["id"], r["nth"]) for r in letters.collect()) == {(1, 1): 2, (1, 2): 1, (1, 3): 1, (2, 1): 1}
+    assert "Window" not in letters._jdf.queryExecution().optimizedPlan().toString()
+    keyed = spark.createDataFrame([(7, 1), (8, 2), (7, 3), (None, 4), (9, 5)], "key long, id long")
+    held = line_dedup.not_alone(keyed)
+    assert {(r["key"], r["id"], r["m"]) for r in held.collect()} == {(7, 1, 2), (7, 3, 2)}
+    runs = line_dedup.shared_blocks(spark.createDataFrame([(k,) for k in range(9)], "fp long"))
+    assert runs.where("key is null").count() == 0 and runs.select("fp").distinct().count() == 9
+    plan = runs._jdf.queryExecution().executedPlan().toString().split("\n")
+    sorts = [re.sub(r"#\d+L?", "", x.split("Sort ")[1].split("], ")[0]) for x in plan if " Sort [" in x]
+    assert sorts == ["[key ASC NULLS FIRST, fp ASC NULLS FIRST", "[key ASC NULLS FIRST"]
+
+
+def test_line_runs_of_hot_keys_join_all_that_is_apart(spark, monkeypatch):
+    """Whether the pairs of a run are tried each or must share a rare word, the same lines go."""
+    rng, rows = random.Random(13), []
+    heads = [[f"h{i}x{k}" for k in range(8)] for i in range(2)]
+    tails = [[f"x{rng.getrandbits(40):x}" for _ in range(22)] for _ in range(8)]
+    for d in range(60):
+        rows.append((d, " ".join(heads[d % 2] + edited(rng, rng.choice(tails), rng.randint(0, 3), ("swap",)))))
+    gone = []
+    for hot in (2, 1000):
+        monkeypatch.setattr(line_dedup, "HOT", hot)
+        out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), segments=True).collect()
+        gone.append({r["doc_id"] for r in out if r["n_removed"]})
+    assert gone[0] == gone[1] and len(gone[0]) > 20
+
+
+def test_characters_of_scripts_without_blanks_are_far(spark):
+    """Only lines with a character that far on are searched for those scripts."""
+    codes = [x for x in range(1, 0x110000) if not 0xD800 <= x <= 0xDFFF]
+    chars = spark.createDataFrame([("".join(map(chr, codes[k : k + 64])),) for k in range(0, len(codes), 64)], "t string")
+    one = chars.select(F.explode(F.split("t", "")).alias("c"))
+    assert one.where(F.col("c").rlike(line_dedup.NO_BLANKS) & ~F.col("c").rlike(line_dedup.FAR)).count() == 0
+    assert one.where(F.col("c").rlike(line_dedup.NO_BLANKS)).count() > 90_000
+
+
 def test_line_dedup_short_lines_and_scripts_without_blanks(spark):
     han = "我们今天在北京的一个小公园里看到了很多不同的花和鸟"
     rows = [

@@ -67,7 +67,7 @@ RUN_BITS = 24
 
 #: Lines that share a run from which on their pairs must share a rare word too; the
 #: longs that hold a line's word parities.
-HOT, PARITY = 16, 4
+HOT, PARITY = 256, 4
 
 #: Up to which occurrence in a line a word's occurrences are counted apart.
 NTH = 4
@@ -85,12 +85,15 @@ MARKED = r"\u0E01-\u0E3A\u0E40-\u0E4E\u0E50-\u0E59\u0E80-\u0EFF\u1000-\u1049\u10
 NO_BLANKS = rf"[\u3005-\u3007\u3041-\u3096\u30A1-\u30FA\u30FC-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\x{{20000}}-\x{{3FFFD}}{MARKED}]"
 BREAK = r"[^\p{L}\p{N}]+"
 
+#: Where the first of those scripts begins: most lines have no character so far on, which one comparison a character tells.
+FAR = r"[\u0E01-\x{10FFFF}]"
+
 
 def line_words(line: str) -> Column:
     """The words of a normalised line."""
     low = F.lower(F.col(line))
     single = F.split(F.regexp_replace(low, NO_BLANKS, " $0 "), BREAK.replace("]", MARKED + "]"))
-    return F.array_remove(F.when(low.rlike(NO_BLANKS), single).otherwise(F.split(low, BREAK)), "")
+    return F.array_remove(F.when(low.rlike(FAR) & low.rlike(NO_BLANKS), single).otherwise(F.split(low, BREAK)), "")
 
 
 def has_words(line: str) -> Column:
@@ -133,11 +136,11 @@ def line_nodes(docs: DataFrame) -> DataFrame:
     the words would be moved before the count and cut each line twice more. The
     SimHash's sums need no shuffle of their own: they group by the line, too."""
     lines = docs.select(F.explode(F.split("text", "\n")).alias("raw")).where(has_words("raw")).groupBy("raw").agg(F.count("*").alias("times"))
-    words = lines.select("raw", "times", line_words("raw").alias("words"))
-    letter = F.transform("words", lambda w: F.get(F.split(F.lit(LETTERS), ""), F.pmod(F.xxhash64(w), F.lit(len(LETTERS))).cast("int")))
+    words = lines.select("raw", "times", F.transform(line_words("raw"), lambda w: F.xxhash64(w)).alias("words"))  # from here on a word is its hash
+    letter = F.transform("words", lambda w: F.get(F.split(F.lit(LETTERS), ""), F.pmod(w, F.lit(len(LETTERS))).cast("int")))
     hashed = words.select(
         "raw", "times", F.xxhash64("words").alias("norm"), F.size("words").alias("n_words"), F.array_join(letter, "").alias("code"),
-        F.expr("transform(array_distinct(words), w -> xxhash64(w))").alias("hashes"),
+        F.array_distinct("words").alias("hashes"),
     )
     made = simhashes(hashed).withColumn("line", F.xxhash64("raw")).drop("raw")
     return saved(made.withColumn("id", F.monotonically_increasing_id()))
@@ -162,13 +165,17 @@ def near(a: str, b: str) -> Column:
 def shared_blocks(fps: DataFrame) -> DataFrame:
     """(fp, key, low, last, last_but_one) of the fingerprints that are not alone
     with a key: the smallest fingerprint of the key, the one and two before."""
-    keyed = fps.select("fp", F.explode(block_keys(F.col("fp"))).alias("key"))
+    keyed = not_alone(fps.select("fp", F.explode(block_keys(F.col("fp"))).alias("key")))
     w = Window.partitionBy("key").orderBy("fp")
-    found = keyed.select(
-        "*", F.first("fp").over(w).alias("low"), F.lag("fp").over(w).alias("last"), F.lag("fp", 2).over(w).alias("last_but_one"),
-        F.lead("fp").over(w).alias("next"),
-    )
-    return found.where("last is not null or next is not null").drop("next")
+    return keyed.select("fp", "key", F.first("fp").over(w).alias("low"), F.lag("fp").over(w).alias("last"), F.lag("fp", 2).over(w).alias("last_but_one"))
+
+
+def not_alone(keyed: DataFrame) -> DataFrame:
+    """The rows whose key others have too, with their number ``m``.
+
+    Most keys are there once. They go by a sort of the key alone, a number, which costs
+    less than one in the order that the rows that stay are wanted in."""
+    return keyed.withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1")
 
 
 def similar(similarity: float) -> Column:
@@ -195,16 +202,24 @@ def edits(n: str | Column, similarity: float) -> Column:
 
 def line_runs(texts: DataFrame, similarity: float) -> DataFrame:
     """(key, id): the runs of words of each line by place, from its start one more
-    than it may have edits, and the last few from its end."""
-    chars = texts.select("id", F.col("n_words").alias("n"), edits("n_words", similarity).alias("edits"), F.split("code", "").alias("c"))
-    out = []
-    for q, least, most in RUNS:
-        some = chars.where(F.col("n") >= least) if most is None else chars.where(F.col("n").between(least, most))
-        for side, runs in ((0, f"least(n div {q}, edits + 1)"), (1, f"least(n div {q}, {ENDS})")):
-            at = some.select("id", "n", "c", F.explode(F.expr(f"sequence(0, {runs} - 1)")).alias("i"))
-            word = [f"get(c, i * {q} + {k})" if side == 0 else f"get(c, n - i * {q} - {q - k})" for k in range(q)]
-            out.append(at.select(F.expr(f"xxhash64({q}, {side}, i, {', '.join(word)})").alias("key"), "id"))
-    return reduce(DataFrame.union, out)
+    than it may have edits, and the last few from its end.
+
+    One row for each run, numbered through the kinds of runs; of the code, two bytes a
+    word, a run is a slice that needs no count of the characters before."""
+    kinds = [(q, side, least, most) for q, least, most in RUNS for side in (0, 1)]
+    most_runs = lambda q, side: f"least(n div {q}, {ENDS if side else 'edits + 1'})"
+    held = [f"if(n >= {least}{'' if most is None else f' and n <= {most}'}, {most_runs(q, side)}, 0)" for q, side, least, most in kinds]
+    lines = texts.select("id", F.col("n_words").alias("n"), edits("n_words", similarity).alias("edits"), F.encode("code", "UTF-16BE").alias("c"))
+    lines = lines.select("id", "n", "c", *(F.expr(f"cast({x} as int)").alias(f"r{k}") for k, x in enumerate(held)))
+    upto = [" + ".join(f"r{x}" for x in range(k + 1)) for k in range(len(kinds))]
+    at = lines.where(f"{upto[-1]} > 0").select("*", F.explode(F.expr(f"sequence(0, {upto[-1]} - 1)")).alias("j"))
+    pick = lambda of: "case " + " ".join(f"when j < {upto[k]} then {of(k)}" for k in range(len(kinds))) + " end"
+    run = at.select(
+        "id", "n", "c", F.expr(pick(lambda k: kinds[k][0])).alias("q"), F.expr(pick(lambda k: kinds[k][1])).alias("side"),
+        F.expr(pick(lambda k: f"j - ({upto[k - 1]})" if k else "j")).alias("i"),
+    )
+    first = "if(side = 0, i * q, n - (i + 1) * q)"
+    return run.select(F.expr(f"xxhash64(q, side, i, substring(c, 2 * {first} + 1, 2 * q))").alias("key"), "id")
 
 
 def close(similarity: float, a: str = "a", b: str = "b") -> Column:
@@ -213,19 +228,25 @@ def close(similarity: float, a: str = "a", b: str = "b") -> Column:
     return fits & (F.bit_count(F.col(f"fp_{a}").bitwiseXOR(F.col(f"fp_{b}"))) <= RUN_BITS)
 
 
-def line_letters(texts: DataFrame) -> DataFrame:
-    """(id, n_words, word, nth) of each word of a line: its letter, and its how many-eth there.
+def line_places(texts: DataFrame) -> DataFrame:
+    """(id, n_words, word) of each place of a line: the hash of its letter.
 
     Lines are dealt out by id before they are cut: their letters then are where all
     that is asked by line needs them, and only the short codes are shuffled."""
-    at = texts.select("id", "code", "n_words").repartition("id").select("*", F.explode(F.expr("sequence(1, n_words)")).alias("place"))
-    one = at.select("id", "n_words", "place", F.expr("ascii(substring(code, place, 1))").alias("word"))
-    return one.select("id", "n_words", "word", F.row_number().over(Window.partitionBy("id", "word").orderBy("place")).alias("nth"))
+    at = texts.select("id", "n_words", "code").repartition("id").select("id", "n_words", F.explode(F.split("code", "")).alias("letter"))
+    return at.select("id", "n_words", F.xxhash64("letter").alias("word"))
+
+
+def line_letters(texts: DataFrame) -> DataFrame:
+    """(id, n_words, word, nth) of each word of a line, and its how many-eth there: the
+    words are counted, not sorted."""
+    counted = line_places(texts).groupBy("id", "n_words", "word").agg(F.count("*").alias("times"))
+    return counted.select("id", "n_words", "word", F.explode(F.expr("sequence(1, cast(times as int))")).alias("nth"))
 
 
 def parities(letters: DataFrame) -> DataFrame:
     """(id, p0, p1, ...): 64 PARITY bits of a line, each the parity of the words that fall to it."""
-    bit = [F.expr(f"if(word div 64 % {PARITY} = {k}, shiftleft(1L, word % 64), 0L)") for k in range(PARITY)]
+    bit = [F.expr(f"if(pmod(shiftrightunsigned(word, 6), {PARITY}) = {k}, shiftleft(1L, cast(word & 63 as int)), 0L)") for k in range(PARITY)]
     return letters.groupBy("id").agg(*(F.bit_xor(b).alias(f"p{k}") for k, b in enumerate(bit)))
 
 
@@ -254,41 +275,41 @@ def pairs_apart(rows: DataFrame, on: list[str], similarity: float) -> DataFrame:
 
 def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) of similar lines that share a run and that ``links`` leaves apart."""
-    w = Window.partitionBy("key").orderBy("id")
-    columns = [f("id").over(w).alias(c) for f, c in ((F.first, "low"), (F.lag, "last"), (F.lead, "next"))]
-    found = line_runs(texts, similarity).select("key", "id", *columns)
-    shared = saved(found.where("last is not null or next is not null").drop("next"))
+    shared = not_alone(line_runs(texts, similarity)).select("key", "m", F.col("id").alias("a"))
     groups = cut(components(links))
-
-    def side(x: str) -> DataFrame:
-        named = texts.select("id", "n_words", "fp").join(groups.withColumnRenamed("node", "id"), "id", "left")
-        return named.select(F.col("id").alias(x), F.col("n_words").alias(f"n_{x}"), F.col("fp").alias(f"fp_{x}"), F.coalesce("root", "id").alias(f"root_{x}"))
-
-    star = [
-        shared.where(F.col(end) != F.col("id")).select(F.least(end, "id").alias("a"), F.greatest(end, "id").alias("b"))
-        for end in ("low", "last")
-    ]
-    star = reduce(DataFrame.union, star).distinct()
-    tried = cut(star.join(side("a"), "a").join(side("b"), "b").where("root_a <> root_b").where(close(similarity)).select("a", "b"))
-    first = cut(verified(tried, texts, similarity))
+    sides = texts.select(F.col("id").alias("a"), F.col("n_words").alias("n_a"), F.col("fp").alias("fp_a"))
+    named = saved(with_root(shared.join(sides, "a"), groups))
+    w = Window.partitionBy("key").orderBy("a")
+    side = F.struct("a", "n_a", "fp_a", "root_a")
+    ends = named.select(side.alias("y"), F.first(side).over(w).alias("low"), F.lag(side).over(w).alias("last"))
+    ends = ends.select("y", F.explode(F.array("low", "last")).alias("x"))
+    star = ends.select(*(F.col(f"{end}.{c}").alias(f"{c[:-1]}{end}") for end in "xy" for c in ("a", "n_a", "fp_a", "root_a")))
+    star = star.where("x <> y and root_x <> root_y").where(close(similarity, "x", "y"))
+    tried = cut(star.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    lines = saved(texts.select("id", "n_words", "code").join(named.select(F.col("a").alias("id")).distinct(), "id", "left_semi"))
+    first = cut(verified(tried, lines, similarity))
 
     groups = cut(components(links.union(first)))
-    placed = saved(shared.select("key", F.col("id").alias("a")).join(side("a"), "a"))
-    several = placed.groupBy("key").agg(
-        F.min("root_a").alias("x"), F.max("root_a").alias("y"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("a")).alias("ids")
-    )
-    once = several.where("x < y and m > 2").groupBy("m", "ids").agg(F.min("key").alias("key"))  # runs of the same lines; a pair alone was tried
-    apart = placed.join(once.select("key", "m"), "key")
-    lines = saved(texts.select("id", "n_words", "code").join(apart.select(F.col("a").alias("id")).distinct(), "id", "left_semi"))
-    marks = parities(line_letters(lines)).select(F.col("id").alias("a"), *(F.col(f"p{k}").alias(f"p{k}_a") for k in range(PARITY)))
+    placed = saved(with_root(named.drop("root_a"), groups))
+    held = placed.groupBy("key", "m").agg(F.min("root_a").alias("x"), F.max("root_a").alias("y"), F.bit_xor(F.xxhash64("a")).alias("ids"))
+    once = held.where("x < y and m > 2").groupBy("m", "ids").agg(F.min("key").alias("key"))  # runs of the same lines; a pair alone was tried
+    apart = saved(placed.join(once.select("key"), "key", "left_semi"))
+    lines_of = lambda rows: lines.join(rows.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+    marks = parities(line_places(lines_of(apart))).select(F.col("id").alias("a"), *(F.col(f"p{k}").alias(f"p{k}_a") for k in range(PARITY)))
     apart = saved(apart.join(marks, "a"))
     hot = apart.where(F.col("m") > HOT)
-    rare = saved(rare_words(line_letters(lines.join(hot.select(F.col("a").alias("id")).distinct(), "id", "left_semi")), similarity))
+    rare = saved(rare_words(line_letters(lines_of(hot)), similarity))
     few = pairs_apart(apart.where(F.col("m") <= HOT), ["key"], similarity)
     both = hot.join(rare.withColumnRenamed("id", "a"), "a").withColumn("at", F.xxhash64("key", "word", "nth"))
     many = pairs_apart(both, ["at"], similarity)
     open_ = cut(few.union(many).distinct().join(tried, ["a", "b"], "left_anti"))  # the joins' files go before the lines' are made
-    return first.union(cut(verified(open_, texts, similarity)))
+    return first.union(cut(verified(open_, lines, similarity)))
+
+
+def with_root(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` (a, ...) with root_a, the first line of the group of ``a``."""
+    known = groups.select(F.col("node").alias("a"), "root")
+    return rows.join(known, "a", "left").withColumn("root_a", F.coalesce("root", "a")).drop("root")
 
 
 def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame:
@@ -307,7 +328,8 @@ def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame
     ]
     ends = [fps.select(F.col("fp").alias(f"f{x}"), F.col("rep").alias(x)) for x in "ab"]
     star = reduce(DataFrame.union, star).distinct().join(ends[0], "fa").join(ends[1], "fb").select("a", "b")
-    found = cut(verified(own.union(star), nodes, similarity))
+    texts = saved(nodes.select("id", "code").join(member.select("id"), "id", "left_semi"))
+    found = cut(verified(own.union(star), texts, similarity))
 
     placed = cut(_placed(member, found))
     part = placed.select("fp", "root").distinct()
@@ -322,7 +344,7 @@ def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame
         .distinct()
     )
     ma, mb = (placed.select(*(F.col(c).alias(f"{c}_{x}") for c in ("fp", "root")), F.col("id").alias(x)) for x in "ab")
-    more = verified(open_.join(ma, ["fp_a", "root_a"]).join(mb, ["fp_b", "root_b"]).select("a", "b").distinct(), nodes, similarity)
+    more = verified(open_.join(ma, ["fp_a", "root_a"]).join(mb, ["fp_b", "root_b"]).select("a", "b").distinct(), texts, similarity)
     links = cut(found.union(more))
     if segments:
         links = links.union(run_links(nodes, links, similarity))
@@ -337,8 +359,8 @@ def _placed(member: DataFrame, links: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, segments: bool = False) -> DataFrame:
     """(doc_id, text_hash, removed): the line numbers that go, by document."""
     nodes = line_nodes(docs)
-    alike = nodes.groupBy("norm").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1")
-    equal = cut(nodes.select("norm", F.col("id").alias("b")).join(alike, "norm").where("a <> b").select("a", "b"))
+    first = F.min("id").over(Window.partitionBy("norm"))
+    equal = cut(nodes.select(first.alias("a"), F.col("id").alias("b")).where("a <> b"))
     judged = nodes.where(F.col("n_words") >= max(1, min_words))
     groups = components(equal.union(line_links(judged, similarity, segments)))
     rooted = groups.select(F.col("node").alias("id"), "root").union(groups.select("root", "root").distinct())
