@@ -310,6 +310,7 @@ def test_characters_of_scripts_without_blanks_are_far(spark):
     one = chars.select(F.explode(F.split("t", "")).alias("c"))
     assert one.where(F.col("c").rlike(line_dedup.NO_BLANKS) & ~F.col("c").rlike(line_dedup.FAR)).count() == 0
     assert one.where(F.col("c").rlike(line_dedup.NO_BLANKS)).count() > 90_000
+    assert one.where((F.size(line_dedup.line_words("c")) > 0) != line_dedup.has_words("c")).count() == 0
 
 
 def test_line_dedup_short_lines_and_scripts_without_blanks(spark):

@@ -276,7 +276,7 @@ def pairs_apart(rows: DataFrame, on: list[str], similarity: float) -> DataFrame:
 def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) of similar lines that share a run and that ``links`` leaves apart."""
     shared = not_alone(line_runs(texts, similarity)).select("key", "m", F.col("id").alias("a"))
-    groups = cut(components(links))
+    groups = components(links)
     sides = texts.select(F.col("id").alias("a"), F.col("n_words").alias("n_a"), F.col("fp").alias("fp_a"))
     named = saved(with_root(shared.join(sides, "a"), groups))
     w = Window.partitionBy("key").orderBy("a")
@@ -289,7 +289,7 @@ def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFram
     lines = saved(texts.select("id", "n_words", "code").join(named.select(F.col("a").alias("id")).distinct(), "id", "left_semi"))
     first = cut(verified(tried, lines, similarity))
 
-    groups = cut(components(links.union(first)))
+    groups = components(links.union(first))
     placed = saved(with_root(named.drop("root_a"), groups))
     held = placed.groupBy("key", "m").agg(F.min("root_a").alias("x"), F.max("root_a").alias("y"), F.bit_xor(F.xxhash64("a")).alias("ids"))
     once = held.where("x < y and m > 2").groupBy("m", "ids").agg(F.min("key").alias("key"))  # runs of the same lines; a pair alone was tried
@@ -319,7 +319,7 @@ def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame
     other = block.select(F.col("fp").alias("b"), "key")
     linked = cut(block.join(other, [block["key"] == other["key"], F.col("fp") != F.col("b"), near("fp", "b")], "left_semi").select("fp").distinct())
     several = fps.where("n > 1").select("fp").union(linked).distinct()
-    member = saved(nodes.select("id", "fp").join(several, "fp", "left_semi").join(fps, "fp").select("id", "fp", "rep"))
+    member = saved(nodes.select("id", "fp", "code").join(several, "fp", "left_semi").join(fps, "fp").select("id", "fp", "rep", "code"))
     block = saved(block.join(linked, "fp", "left_semi"))
     own = member.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     star = [
@@ -328,8 +328,7 @@ def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame
     ]
     ends = [fps.select(F.col("fp").alias(f"f{x}"), F.col("rep").alias(x)) for x in "ab"]
     star = reduce(DataFrame.union, star).distinct().join(ends[0], "fa").join(ends[1], "fb").select("a", "b")
-    texts = saved(nodes.select("id", "code").join(member.select("id"), "id", "left_semi"))
-    found = cut(verified(own.union(star), texts, similarity))
+    found = cut(verified(own.union(star), member, similarity))
 
     placed = cut(_placed(member, found))
     part = placed.select("fp", "root").distinct()
@@ -344,7 +343,7 @@ def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame
         .distinct()
     )
     ma, mb = (placed.select(*(F.col(c).alias(f"{c}_{x}") for c in ("fp", "root")), F.col("id").alias(x)) for x in "ab")
-    more = verified(open_.join(ma, ["fp_a", "root_a"]).join(mb, ["fp_b", "root_b"]).select("a", "b").distinct(), texts, similarity)
+    more = verified(open_.join(ma, ["fp_a", "root_a"]).join(mb, ["fp_b", "root_b"]).select("a", "b").distinct(), member, similarity)
     links = cut(found.union(more))
     if segments:
         links = links.union(run_links(nodes, links, similarity))
