@@ -51,7 +51,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, saved
+from .common import saved
 from .components import components
 
 BLOCKS, MAX_BITS, MIN_WORDS, SIMILARITY = 5, 3, 5, 0.8
@@ -285,9 +285,9 @@ def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFram
     ends = ends.select("y", F.explode(F.array("low", "last")).alias("x"))
     star = ends.select(*(F.col(f"{end}.{c}").alias(f"{c[:-1]}{end}") for end in "xy" for c in ("a", "n_a", "fp_a", "root_a")))
     star = star.where("x <> y and root_x <> root_y").where(close(similarity, "x", "y"))
-    tried = cut(star.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    tried = saved(star.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
     lines = saved(texts.select("id", "n_words", "code").join(named.select(F.col("a").alias("id")).distinct(), "id", "left_semi"))
-    first = cut(verified(tried, lines, similarity))
+    first = saved(verified(tried, lines, similarity))
 
     groups = components(links.union(first))
     placed = saved(with_root(named.drop("root_a"), groups))
@@ -302,8 +302,8 @@ def run_links(texts: DataFrame, links: DataFrame, similarity: float) -> DataFram
     few = pairs_apart(apart.where(F.col("m") <= HOT), ["key"], similarity)
     both = hot.join(rare.withColumnRenamed("id", "a"), "a").withColumn("at", F.xxhash64("key", "word", "nth"))
     many = pairs_apart(both, ["at"], similarity)
-    open_ = cut(few.union(many).distinct().join(tried, ["a", "b"], "left_anti"))  # the joins' files go before the lines' are made
-    return first.union(cut(verified(open_, lines, similarity)))
+    open_ = saved(few.union(many).distinct().join(tried, ["a", "b"], "left_anti"))  # the joins' files go before the lines' are made
+    return first.union(saved(verified(open_, lines, similarity)))
 
 
 def with_root(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -314,10 +314,10 @@ def with_root(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame:
     """(a, b) of lines that are similar, one path at least between any two of a group."""
-    fps = cut(nodes.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
+    fps = saved(nodes.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
     block = saved(shared_blocks(fps))
     other = block.select(F.col("fp").alias("b"), "key")
-    linked = cut(block.join(other, [block["key"] == other["key"], F.col("fp") != F.col("b"), near("fp", "b")], "left_semi").select("fp").distinct())
+    linked = saved(block.join(other, [block["key"] == other["key"], F.col("fp") != F.col("b"), near("fp", "b")], "left_semi").select("fp").distinct())
     several = fps.where("n > 1").select("fp").union(linked).distinct()
     member = saved(nodes.select("id", "fp", "code").join(several, "fp", "left_semi").join(fps, "fp").select("id", "fp", "rep", "code"))
     block = saved(block.join(linked, "fp", "left_semi"))
@@ -328,9 +328,9 @@ def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame
     ]
     ends = [fps.select(F.col("fp").alias(f"f{x}"), F.col("rep").alias(x)) for x in "ab"]
     star = reduce(DataFrame.union, star).distinct().join(ends[0], "fa").join(ends[1], "fb").select("a", "b")
-    found = cut(verified(own.union(star), member, similarity))
+    found = saved(verified(own.union(star), member, similarity))
 
-    placed = cut(_placed(member, found))
+    placed = saved(_placed(member, found))
     part = placed.select("fp", "root").distinct()
     same = part.groupBy("fp").count().where("count > 1").select("fp", F.lit(None).cast("long").alias("key"))
     keyed = block.select("fp", "key").union(same).join(part, "fp").select("fp", F.coalesce("key", "fp").alias("key"), F.col("key").isNull().alias("own"), "root")
@@ -344,7 +344,7 @@ def line_links(nodes: DataFrame, similarity: float, segments: bool) -> DataFrame
     )
     ma, mb = (placed.select(*(F.col(c).alias(f"{c}_{x}") for c in ("fp", "root")), F.col("id").alias(x)) for x in "ab")
     more = verified(open_.join(ma, ["fp_a", "root_a"]).join(mb, ["fp_b", "root_b"]).select("a", "b").distinct(), member, similarity)
-    links = cut(found.union(more))
+    links = saved(found.union(more))
     if segments:
         links = links.union(run_links(nodes, links, similarity))
     return links
@@ -359,7 +359,7 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float
     """(doc_id, text_hash, removed): the line numbers that go, by document."""
     nodes = line_nodes(docs)
     first = F.min("id").over(Window.partitionBy("norm"))
-    equal = cut(nodes.select(first.alias("a"), F.col("id").alias("b")).where("a <> b"))
+    equal = saved(nodes.select(first.alias("a"), F.col("id").alias("b")).where("a <> b"))
     judged = nodes.where(F.col("n_words") >= max(1, min_words))
     groups = components(equal.union(line_links(judged, similarity, segments)))
     rooted = groups.select(F.col("node").alias("id"), "root").union(groups.select("root", "root").distinct())
